@@ -9,11 +9,12 @@ from __future__ import annotations
 import math
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geolayer.errors import InputTypeError
 from geolayer.functions import geometry as g
+from geolayer.functions.sql import add, each, let, num, struct
 
 # Ellipsoids (semi-major axis in metres, inverse flattening).
 WGS84 = (6378137.0, 298.257223563)
@@ -31,8 +32,6 @@ UTM_SERIES = ((32600, 60, WGS84, False), (32700, 60, WGS84, True), (26900, 23, G
 # Single codes as code -> (zone, ellipsoid, southern half).
 UTM_SINGLE = {2149: (18, GRS80, False)}
 
-MAX_MERCATOR_X = math.pi * WGS84[0]
-
 
 def utm_zone(epsg: int) -> tuple[int, tuple[float, float], bool] | None:
     """Zone, ellipsoid and hemisphere of a UTM code; ``None`` for other codes."""
@@ -138,79 +137,71 @@ def series(ellipsoid: tuple[float, float]) -> dict[str, object]:
     }
 
 
-def _sum(terms: list[Column]) -> Column:
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
-    return total
-
-
-def _xy(x: Column, y: Column) -> Column:
-    return F.struct(x.alias("x"), y.alias("y"))
+def _xy(x: str, y: str) -> str:
+    return struct(x=x, y=y)
 
 
-def _from_utm(x: Column, y: Column, epsg: int) -> Column:
+def _from_utm(x: str, y: str, epsg: int) -> str:
     zone, ellipsoid, south = utm_zone(epsg)
     s = series(ellipsoid)
-    scale = F.lit(UTM_SCALE * s["radius"])
+    scale = num(UTM_SCALE * s["radius"])
     y0 = FALSE_NORTHING_SOUTH if south else 0.0
-    start = _xy((x - FALSE_EASTING) / scale, (y - y0) / scale)
+    start = _xy(f"({x} - {num(FALSE_EASTING)}) / {scale}", f"({y} - {num(y0)}) / {scale}")
 
-    def sphere(p: Column) -> Column:
-        xi = p.y - _sum([F.lit(b) * F.sin(p.y * (2 * j)) * F.cosh(p.x * (2 * j))
-                         for j, b in enumerate(s["inv"], 1)])
-        eta = p.x - _sum([F.lit(b) * F.cos(p.y * (2 * j)) * F.sinh(p.x * (2 * j))
-                          for j, b in enumerate(s["inv"], 1)])
-        return F.struct(xi.alias("xi"), eta.alias("eta"))
+    def sphere(p: str) -> str:
+        xi = add([f"{num(b)} * sin({2 * j} * {p}.y) * cosh({2 * j} * {p}.x)"
+                  for j, b in enumerate(s["inv"], 1)])
+        eta = add([f"{num(b)} * cos({2 * j} * {p}.y) * sinh({2 * j} * {p}.x)"
+                   for j, b in enumerate(s["inv"], 1)])
+        return struct(xi=f"{p}.y - {xi}", eta=f"{p}.x - {eta}")
 
-    def conformal(q: Column) -> Column:
-        chi = F.asin(F.sin(q.xi) / F.cosh(q.eta))
-        return F.struct(chi.alias("chi"), F.atan2(F.sinh(q.eta), F.cos(q.xi)).alias("lam"))
+    def conformal(q: str) -> str:
+        return struct(chi=f"asin(sin({q}.xi) / cosh({q}.eta))",
+                      lam=f"atan2(sinh({q}.eta), cos({q}.xi))")
 
-    def degrees(c: Column) -> Column:
-        phi = c.chi + _sum([F.lit(d) * F.sin(c.chi * (2 * j)) for j, d in enumerate(s["lat"], 1)])
-        return _xy(F.degrees(c.lam) + F.lit(zone * 6 - 183.0), F.degrees(phi))
+    def degrees(c: str) -> str:
+        phi = add([f"{c}.chi", *[f"{num(d)} * sin({2 * j} * {c}.chi)"
+                                 for j, d in enumerate(s["lat"], 1)]])
+        return _xy(f"degrees({c}.lam) + {num(zone * 6 - 183)}", f"degrees({phi})")
 
-    return g.let(g.let(g.let(start, sphere), conformal), degrees)
+    return let(let(let(start, sphere), conformal), degrees)
 
 
-def _to_utm(lon: Column, lat: Column, epsg: int) -> Column:
+def _to_utm(lon: str, lat: str, epsg: int) -> str:
     zone, ellipsoid, south = utm_zone(epsg)
     s = series(ellipsoid)
-    ecc = F.lit(s["ecc"])
-    scale = F.lit(UTM_SCALE * s["radius"])
+    ecc = num(s["ecc"])
+    scale = num(UTM_SCALE * s["radius"])
     y0 = FALSE_NORTHING_SOUTH if south else 0.0
-    start = F.struct(
-        F.radians(lon - F.lit(zone * 6 - 183.0)).alias("lam"), F.sin(F.radians(lat)).alias("sn")
-    )
+    start = struct(lam=f"radians({lon} - {num(zone * 6 - 183)})", sn=f"sin(radians({lat}))")
 
-    def conformal(p: Column) -> Column:
-        t = F.sinh(F.atanh(p.sn) - ecc * F.atanh(ecc * p.sn))
-        return F.struct(t.alias("t"), p.lam.alias("lam"))
+    def conformal(p: str) -> str:
+        return struct(t=f"sinh(atanh({p}.sn) - {ecc} * atanh({ecc} * {p}.sn))", lam=f"{p}.lam")
 
-    def sphere(q: Column) -> Column:
-        xi = F.atan2(q.t, F.cos(q.lam))
-        eta = F.asinh(F.sin(q.lam) / F.sqrt(q.t * q.t + F.pow(F.cos(q.lam), F.lit(2.0))))
-        return F.struct(xi.alias("xi"), eta.alias("eta"))
+    def sphere(q: str) -> str:
+        return struct(
+            xi=f"atan2({q}.t, cos({q}.lam))",
+            eta=f"asinh(sin({q}.lam) / sqrt({q}.t * {q}.t + cos({q}.lam) * cos({q}.lam)))")
 
-    def metres(c: Column) -> Column:
-        xi = c.xi + _sum([F.lit(a) * F.sin(c.xi * (2 * j)) * F.cosh(c.eta * (2 * j))
-                          for j, a in enumerate(s["fwd"], 1)])
-        eta = c.eta + _sum([F.lit(a) * F.cos(c.xi * (2 * j)) * F.sinh(c.eta * (2 * j))
-                            for j, a in enumerate(s["fwd"], 1)])
-        return _xy(eta * scale + FALSE_EASTING, xi * scale + y0)
+    def metres(c: str) -> str:
+        xi = add([f"{c}.xi", *[f"{num(a)} * sin({2 * j} * {c}.xi) * cosh({2 * j} * {c}.eta)"
+                               for j, a in enumerate(s["fwd"], 1)]])
+        eta = add([f"{c}.eta", *[f"{num(a)} * cos({2 * j} * {c}.xi) * sinh({2 * j} * {c}.eta)"
+                                 for j, a in enumerate(s["fwd"], 1)]])
+        return _xy(f"{eta} * {scale} + {num(FALSE_EASTING)}", f"{xi} * {scale} + {num(y0)}")
 
-    return g.let(g.let(g.let(start, conformal), sphere), metres)
+    return let(let(let(start, conformal), sphere), metres)
 
 
-def project(x: Column, y: Column, in_crs: int | str, out_crs: int | str) -> Column:
+def project(x: str, y: str, in_crs: int | str, out_crs: int | str) -> str:
     """Struct ``(x, y)`` of a position in another CRS, always in x, y order."""
     src, dst = parse_crs(in_crs), parse_crs(out_crs)
     if src == dst or {src, dst} <= set(GEOGRAPHIC):
         return _xy(x, y)
-    a = F.lit(WGS84[0])
+    a = num(WGS84[0])
     if src == MERCATOR:
-        here = _xy(F.degrees(x / a), F.degrees(F.lit(math.pi / 2) - 2 * F.atan(F.exp(-y / a))))
+        here = _xy(f"degrees({x} / {a})",
+                   f"degrees({num(math.pi / 2)} - 2 * atan(exp(-{y} / {a})))")
     elif src in GEOGRAPHIC:
         here = _xy(x, y)
     else:
@@ -218,36 +209,39 @@ def project(x: Column, y: Column, in_crs: int | str, out_crs: int | str) -> Colu
     if dst in GEOGRAPHIC:
         return here
     if dst == MERCATOR:
-        return g.let(here, lambda p: _xy(
-            F.radians(p.x) * a, F.log(F.tan(F.lit(math.pi / 4) + F.radians(p.y) / 2)) * a
-        ))
-    return g.let(here, lambda p: _to_utm(p.x, p.y, dst))
+        return let(here, lambda p: _xy(
+            f"radians({p}.x) * {a}",
+            f"ln(tan({num(math.pi / 4)} + radians({p}.y) / 2)) * {a}"))
+    return let(here, lambda p: _to_utm(f"{p}.x", f"{p}.y", dst))
 
 
-def reproject_geom(geom: Column, in_crs: int | str, out_crs: int | str) -> Column:
-    """Geometry in another CRS; the same column if nothing changes."""
+def same_crs(in_crs: int | str, out_crs: int | str) -> bool:
+    """Whether nothing moves between the two."""
     src, dst = parse_crs(in_crs), parse_crs(out_crs)
-    if src == dst or {src, dst} <= set(GEOGRAPHIC):
+    return src == dst or {src, dst} <= set(GEOGRAPHIC)
+
+
+def reproject_geom(geom: str, in_crs: int | str, out_crs: int | str) -> str:
+    """Geometry in another CRS; the same text if nothing changes."""
+    if same_crs(in_crs, out_crs):
         return geom
-    return g.map_vertices(
-        geom, lambda v: g.let(project(v.x, v.y, src, dst), lambda p: g.vertex(p.x, p.y, v.m))
-    )
+    return g.map_vertices(geom, lambda v: let(
+        project(f"{v}.x", f"{v}.y", in_crs, out_crs),
+        lambda p: g.vertex_text(f"{p}.x", f"{p}.y", f"{v}.m")))
 
 
 def reproject_box(
-    w: Column, s: Column, e: Column, n: Column, in_crs: int | str, out_crs: int | str
-) -> Column:
+    w: str, s: str, e: str, n: str, in_crs: int | str, out_crs: int | str
+) -> str:
     """Envelope of the four transformed corners as a struct ``west, south, east, north``."""
-    names = ("west", "south", "east", "north")
-    src, dst = parse_crs(in_crs), parse_crs(out_crs)
-    if src == dst or {src, dst} <= set(GEOGRAPHIC):
-        return F.struct(*[c.cast("double").alias(k) for c, k in zip((w, s, e, n), names)])
-    corners = F.array(_xy(w, s), _xy(e, s), _xy(e, n), _xy(w, n))
-    moved = F.transform(corners, lambda c: project(c.x, c.y, src, dst))
-    return g.let(moved, lambda c: F.struct(
-        F.array_min(c.getField("x")).alias("west"), F.array_min(c.getField("y")).alias("south"),
-        F.array_max(c.getField("x")).alias("east"), F.array_max(c.getField("y")).alias("north"),
-    ))
+    if same_crs(in_crs, out_crs):
+        return struct(west=f"double({w})", south=f"double({s})",
+                      east=f"double({e})", north=f"double({n})")
+    corners = f"array({_xy(w, s)}, {_xy(e, s)}, {_xy(e, n)}, {_xy(w, n)})"
+    moved = each(corners, lambda c: project(f"{c}.x", f"{c}.y", in_crs, out_crs))
+    return let(moved, lambda c: struct(
+        west=f"array_min({c}.x)", south=f"array_min({c}.y)",
+        east=f"array_max({c}.x)", north=f"array_max({c}.y)"))
 
 
 def match_crs(value: object, in_crs: int | str, out_crs: int | str) -> object:
@@ -256,14 +250,14 @@ def match_crs(value: object, in_crs: int | str, out_crs: int | str) -> object:
     A box stays a box, a list stays a list, and a lone ``(x, y)`` comes back as a one-item list.
     """
     spark = SparkSession.active()
-    if isinstance(value, tuple) and len(value) == 4 and not isinstance(value[0], (tuple, list)):
-        row = spark.createDataFrame([tuple(map(float, value))], "w double,s double,e double,n double")
-        out = row.select(reproject_box(*map(F.col, "wsen"), in_crs, out_crs).alias("b")).first().b
-        return tuple(out)
-    listed = list(value) if isinstance(value, tuple) and isinstance(value[0], (tuple, list)) else value
-    moved = g.literal_table(spark, listed).select(
-        reproject_geom(F.col("geom"), in_crs, out_crs).alias("geom")
-    ).first().geom
+    nested = isinstance(value, tuple) and bool(value) and isinstance(value[0], (tuple, list))
+    if isinstance(value, tuple) and len(value) == 4 and not nested:
+        _, ring = g.as_geometry(value)
+        (w, s, _), (e, n, _) = ring[0][0], ring[0][2]
+        text = reproject_box(num(w), num(s), num(e), num(n), in_crs, out_crs)
+        return tuple(spark.range(1).select(F.expr(text).alias("b")).first().b)
+    moved = g.literal_table(spark, list(value) if nested else value).select(
+        F.expr(reproject_geom("geom", in_crs, out_crs)).alias("geom")).first().geom
     if isinstance(value, dict):
         keep_m = any(v.m is not None for part in moved.parts for v in part)
         return {"kind": moved.kind, "parts": [
@@ -271,7 +265,7 @@ def match_crs(value: object, in_crs: int | str, out_crs: int | str) -> object:
     return [(part[0].x, part[0].y) for part in moved.parts]
 
 
-def geodesic(lon1: Column, lat1: Column, lon2: Column, lat2: Column, steps: int = 6) -> Column:
+def geodesic(lon1: str, lat1: str, lon2: str, lat2: str, steps: int = 6) -> str:
     """Metres between two positions on GRS80 by Vincenty's inverse method, fixed steps.
 
     Null where the steps do not settle, which happens only for nearly antipodal pairs.
@@ -279,64 +273,63 @@ def geodesic(lon1: Column, lat1: Column, lon2: Column, lat2: Column, steps: int
     a, inv = GRS80
     f = 1.0 / inv
     b = a * (1 - f)
-    start = F.struct(
-        F.radians(lon2 - lon1).alias("L"),
-        F.atan(F.lit(1 - f) * F.tan(F.radians(lat1))).alias("u1"),
-        F.atan(F.lit(1 - f) * F.tan(F.radians(lat2))).alias("u2"),
-    )
-
-    def seed(p: Column) -> Column:
-        return F.struct(
-            p.L.alias("L"), F.sin(p.u1).alias("s1"), F.cos(p.u1).alias("c1"),
-            F.sin(p.u2).alias("s2"), F.cos(p.u2).alias("c2"),
-            p.L.alias("lam"), p.L.alias("prev"),
-        )
-
-    def angles(p: Column) -> Column:
-        sl, cl = F.sin(p.lam), F.cos(p.lam)
-        cross = p.c1 * p.s2 - p.s1 * p.c2 * cl
-        ss = F.sqrt((p.c2 * sl) * (p.c2 * sl) + cross * cross)
-        cs = p.s1 * p.s2 + p.c1 * p.c2 * cl
-        return F.struct(*[p.getField(k).alias(k) for k in ("L", "s1", "c1", "s2", "c2", "lam")],
-                        ss.alias("ss"), cs.alias("cs"), F.atan2(ss, cs).alias("sig"), sl.alias("sl"))
-
-    def azimuth(p: Column) -> Column:
-        sa = F.when(p.ss == 0, F.lit(0.0)).otherwise(p.c1 * p.c2 * p.sl / p.ss)
-        return F.struct(*[p.getField(k).alias(k)
-                          for k in ("L", "s1", "c1", "s2", "c2", "lam", "ss", "cs", "sig")],
-                        sa.alias("sa"), (F.lit(1.0) - sa * sa).alias("c2a"))
-
-    def midpoint(p: Column) -> Column:
-        c2m = F.when(p.c2a == 0, F.lit(0.0)).otherwise(p.cs - 2 * p.s1 * p.s2 / p.c2a)
-        big_c = F.lit(f / 16) * p.c2a * (F.lit(4.0) + F.lit(f) * (F.lit(4.0) - 3 * p.c2a))
-        return F.struct(*[p.getField(k).alias(k)
-                          for k in ("L", "s1", "c1", "s2", "c2", "lam", "ss", "cs", "sig", "sa", "c2a")],
-                        c2m.alias("c2m"), big_c.alias("C"))
-
-    def step(p: Column) -> Column:
-        lam = p.L + (F.lit(1.0) - p.C) * F.lit(f) * p.sa * (
-            p.sig + p.C * p.ss * (p.c2m + p.C * p.cs * (2 * p.c2m * p.c2m - 1)))
-        return F.struct(*[p.getField(k).alias(k) for k in ("L", "s1", "c1", "s2", "c2")],
-                        lam.alias("lam"), p.lam.alias("prev"))
-
-    def state(p: Column) -> Column:
-        return g.let(g.let(angles(p), azimuth), midpoint)
-
-    def length(p: Column) -> Column:
-        u2 = p.m.c2a * F.lit((a * a - b * b) / (b * b))
-        big_a = F.lit(1.0) + u2 / 16384 * (
-            F.lit(4096.0) + u2 * (F.lit(-768.0) + u2 * (F.lit(320.0) - 175 * u2)))
-        big_b = u2 / 1024 * (F.lit(256.0) + u2 * (F.lit(-128.0) + u2 * (F.lit(74.0) - 47 * u2)))
-        m = p.m
-        return g.let(F.struct(big_a.alias("A"), big_b.alias("B")), lambda k: F.when(
-            F.abs(m.lam - p.prev) < 1e-9,
-            F.lit(b) * k.A * (m.sig - k.B * m.ss * (m.c2m + k.B / 4 * (
-                m.cs * (2 * m.c2m * m.c2m - 1)
-                - k.B / 6 * m.c2m * (4 * m.ss * m.ss - 3) * (4 * m.c2m * m.c2m - 3)))),
-        ))
-
-    cur = g.let(start, seed)
+    start = struct(
+        L=f"radians({lon2} - {lon1})",
+        u1=f"atan({num(1 - f)} * tan(radians({lat1})))",
+        u2=f"atan({num(1 - f)} * tan(radians({lat2})))")
+
+    def carry(p: str, *names: str) -> dict[str, str]:
+        return {n: f"{p}.{n}" for n in names}
+
+    fixed = ("L", "s1", "c1", "s2", "c2")
+
+    def seed(p: str) -> str:
+        return struct(L=f"{p}.L", s1=f"sin({p}.u1)", c1=f"cos({p}.u1)",
+                      s2=f"sin({p}.u2)", c2=f"cos({p}.u2)", lam=f"{p}.L", prev=f"{p}.L")
+
+    def angles(p: str) -> str:
+        cross = f"({p}.c1 * {p}.s2 - {p}.s1 * {p}.c2 * cos({p}.lam))"
+        side = f"({p}.c2 * sin({p}.lam))"
+        return struct(**carry(p, *fixed, "lam"), sl=f"sin({p}.lam)",
+                      ss=f"sqrt({side} * {side} + {cross} * {cross})",
+                      cs=f"{p}.s1 * {p}.s2 + {p}.c1 * {p}.c2 * cos({p}.lam)")
+
+    def azimuth(p: str) -> str:
+        return struct(**carry(p, *fixed, "lam", "ss", "cs"), sig=f"atan2({p}.ss, {p}.cs)",
+                      sa=f"IF({p}.ss = 0, 0.0D, {p}.c1 * {p}.c2 * {p}.sl / {p}.ss)")
+
+    def square(p: str) -> str:
+        return struct(**carry(p, *fixed, "lam", "ss", "cs", "sig", "sa"),
+                      q=f"1.0D - {p}.sa * {p}.sa")
+
+    def midpoint(p: str) -> str:
+        return struct(**carry(p, *fixed, "lam", "ss", "cs", "sig", "sa", "q"),
+                      cm=f"IF({p}.q = 0, 0.0D, {p}.cs - 2 * {p}.s1 * {p}.s2 / {p}.q)",
+                      cc=f"{num(f / 16)} * {p}.q * (4.0D + {num(f)} * (4.0D - 3 * {p}.q))")
+
+    def state(p: str) -> str:
+        return let(let(let(angles(p), azimuth), square), midpoint)
+
+    def step(p: str) -> str:
+        lam = (f"{p}.L + (1.0D - {p}.cc) * {num(f)} * {p}.sa * ({p}.sig + {p}.cc * {p}.ss * "
+               f"({p}.cm + {p}.cc * {p}.cs * (2 * {p}.cm * {p}.cm - 1)))")
+        return struct(**carry(p, *fixed), lam=lam, prev=f"{p}.lam")
+
+    def factors(p: str) -> str:
+        u = f"{p}.m.q * {num((a * a - b * b) / (b * b))}"
+        return let(struct(m=f"{p}.m", prev=f"{p}.prev", u=u), lambda k: struct(
+            m=f"{k}.m", prev=f"{k}.prev",
+            A=f"1.0D + {k}.u / 16384 * (4096.0D + {k}.u * (-768.0D + {k}.u * (320.0D - 175 * {k}.u)))",
+            B=f"{k}.u / 1024 * (256.0D + {k}.u * (-128.0D + {k}.u * (74.0D - 47 * {k}.u)))"))
+
+    def length(k: str) -> str:
+        m = f"{k}.m"
+        return (
+            f"IF(abs({m}.lam - {k}.prev) < 1e-9D, {num(b)} * {k}.A * ({m}.sig - {k}.B * {m}.ss * "
+            f"({m}.cm + {k}.B / 4 * ({m}.cs * (2 * {m}.cm * {m}.cm - 1) - {k}.B / 6 * {m}.cm * "
+            f"(4 * {m}.ss * {m}.ss - 3) * (4 * {m}.cm * {m}.cm - 3)))), NULL)")
+
+    cur = let(start, seed)
     for _ in range(steps):
-        cur = g.let(cur, lambda p: g.let(state(p), step))
-    return g.let(cur, lambda p: g.let(
-        F.struct(state(p).alias("m"), p.prev.alias("prev")), length))
+        cur = let(cur, lambda p: let(state(p), step))
+    return let(let(cur, lambda p: let(struct(m=state(p), prev=f"{p}.prev"), factors)), length)

@@ -3,6 +3,8 @@
 A point is one part with one vertex, a multipoint one part per point, a line one part per
 path. A polygon is a list of closed rings read by the even-odd rule, so holes and several
 shells need no nesting.
+
+Constructors take columns; what transforms a whole geometry is SQL text for ``F.expr``.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geolayer.errors import InputTypeError
+from geolayer.functions.sql import each, let, num, struct
 
 VERTEX = "struct<x:double,y:double,m:double>"
 GEOMETRY = f"struct<kind:string,parts:array<array<{VERTEX}>>>"
@@ -22,9 +25,9 @@ AREAS = ("polygon", "multipolygon")
 LINES = ("line", "multiline")
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and hand it to ``body``, so that it is not repeated inline."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def one_of(kind: str, names: tuple[str, ...]) -> str:
+    """Test of a kind."""
+    return f"{kind} IN (" + ", ".join(f"'{n}'" for n in names) + ")"
 
 
 def vertex(x: Column, y: Column, m: Column | None = None) -> Column:
@@ -61,79 +64,65 @@ def box(west: Column, south: Column, east: Column, north: Column) -> Column:
     )
 
 
-def vertices(geom: Column) -> Column:
-    """All vertices of a geometry in one array."""
-    return F.flatten(geom.getField("parts"))
+def vertex_text(x: str, y: str, m: str = "CAST(NULL AS DOUBLE)") -> str:
+    """One vertex, as text."""
+    return struct(x=x, y=y, m=m)
 
 
-def envelope(geom: Column) -> Column:
+def envelope(geom: str) -> str:
     """Bounding box struct; null for a null or empty geometry."""
-    return let(
-        vertices(geom),
-        lambda v: F.struct(
-            F.array_min(v.getField("x")).alias("xmin"),
-            F.array_min(v.getField("y")).alias("ymin"),
-            F.array_max(v.getField("x")).alias("xmax"),
-            F.array_max(v.getField("y")).alias("ymax"),
-        ),
-    )
+    return let(f"flatten({geom}.parts)", lambda v: struct(
+        xmin=f"array_min({v}.x)", ymin=f"array_min({v}.y)",
+        xmax=f"array_max({v}.x)", ymax=f"array_max({v}.y)"))
 
 
 def with_bbox(df: DataFrame, geom: str = "geom") -> DataFrame:
     """Add plain ``xmin, ymin, xmax, ymax`` columns, which Parquet statistics can prune on."""
-    env = envelope(F.col(geom))
-    return df.withColumn("_env", env).select(
-        *[c for c in df.columns if c not in BBOX], *[F.col(f"_env.{b}").alias(b) for b in BBOX]
-    )
+    kept = [c for c in df.columns if c not in BBOX]
+    return df.select(*kept, F.expr(envelope(geom)).alias("_env")).select(
+        *kept, *[F.col(f"_env.{b}").alias(b) for b in BBOX])
 
 
-def map_vertices(geom: Column, fn: Callable[[Column], Column]) -> Column:
+def map_vertices(geom: str, fn: Callable[[str], str]) -> str:
     """Apply ``fn`` to every vertex."""
-    parts = F.transform(geom.getField("parts"), lambda p: F.transform(p, fn))
-    return F.when(geom.isNotNull(), geometry(geom.getField("kind"), parts))
+    parts = each(f"{geom}.parts", lambda p: each(p, fn, "v"), "p")
+    moved = struct(kind=f"{geom}.kind", parts=parts)
+    return f"IF({geom} IS NULL, NULL, CAST({moved} AS {GEOMETRY}))"
 
 
-def flip(geom: Column) -> Column:
+def flip(geom: str) -> str:
     """Swap x and y of every vertex."""
-    return map_vertices(geom, lambda v: vertex(v.y, v.x, v.m))
+    return map_vertices(geom, lambda v: vertex_text(f"{v}.y", f"{v}.x", f"{v}.m"))
 
 
-def drop_measure(geom: Column) -> Column:
+def drop_measure(geom: str) -> str:
     """Null out the measure of every vertex."""
-    return map_vertices(geom, lambda v: vertex(v.x, v.y))
+    return map_vertices(geom, lambda v: vertex_text(f"{v}.x", f"{v}.y"))
 
 
-def on_grid(value: Column, decimals: int) -> Column:
+def on_grid(value: str, decimals: int) -> str:
     """Nearest multiple of ``10**-decimals``, halves up."""
-    return F.floor(value * F.lit(float(10**decimals)) + F.lit(0.5)) / F.lit(float(10**decimals))
+    scale = num(10**decimals)
+    return f"floor({value} * {scale} + 0.5D) / {scale}"
 
 
-def snap(geom: Column, decimals: int) -> Column:
+def snap(geom: str, decimals: int) -> str:
     """Snap vertices to the grid, drop repeated neighbours, drop parts that collapse.
 
     A ring needs four vertices and a path two; topology is not repaired.
     """
-    kind = geom.getField("kind")
-    least = F.when(kind.isin(*AREAS), 4).when(kind.isin(*LINES), 2).otherwise(1)
-
-    def tidy(part: Column) -> Column:
-        grid = F.transform(
-            part, lambda v: vertex(on_grid(v.x, decimals), on_grid(v.y, decimals), v.m)
-        )
-        return let(
-            grid,
-            lambda g: F.filter(
-                g,
-                lambda v, i: (i == 0)
-                | (v.x != F.get(g, i - 1).getField("x"))
-                | (v.y != F.get(g, i - 1).getField("y")),
-            ),
-        )
-
-    parts = F.filter(
-        F.transform(geom.getField("parts"), tidy), lambda p: F.size(p) >= least
-    )
-    return F.when(geom.isNotNull(), geometry(kind, parts))
+    least = (f"CASE WHEN {one_of(f'{geom}.kind', AREAS)} THEN 4 "
+             f"WHEN {one_of(f'{geom}.kind', LINES)} THEN 2 ELSE 1 END")
+
+    def tidy(part: str) -> str:
+        grid = each(part, lambda v: vertex_text(
+            on_grid(f"{v}.x", decimals), on_grid(f"{v}.y", decimals), f"{v}.m"), "v")
+        return let(grid, lambda g: (
+            f"filter({g}, (v, i) -> i = 0 OR v.x != get({g}, i - 1).x OR v.y != get({g}, i - 1).y)"))
+
+    parts = f"filter({each(f'{geom}.parts', tidy, 'p')}, p -> size(p) >= {least})"
+    return (f"IF({geom} IS NULL, NULL, CAST({struct(kind=f'{geom}.kind', parts=parts)} "
+            f"AS {GEOMETRY}))")
 
 
 def as_geometry(value: object) -> tuple[str, list[list[tuple[float, float, float | None]]]]:
@@ -175,39 +164,31 @@ def literal_table(spark: SparkSession, geom: object, query_id: int = 0) -> DataF
     )
 
 
-def wkt(geom: Column, yx: bool = False) -> Column:
+def wkt(geom: str, yx: bool = False) -> str:
     """Text form, ``y x`` order if asked.
 
     Every ring of a multipolygon is written as a polygon of its own, since the even-odd list
     does not say which shell a hole belongs to.
     """
-    def number(c: Column) -> Column:
-        text = F.call_function("format_number", c, F.lit("0.0#########"))
-        return F.when(text == "-0.0", "0.0").otherwise(text)
-
-    def coords(part: Column) -> Column:
-        pair = (lambda v: F.concat_ws(" ", number(v.y), number(v.x))) if yx else (
-            lambda v: F.concat_ws(" ", number(v.x), number(v.y))
-        )
-        return F.array_join(F.transform(part, pair), ", ")
-
-    def wrap(text: Column) -> Column:
-        return F.concat(F.lit("("), text, F.lit(")"))
-
-    kind, parts = geom.getField("kind"), geom.getField("parts")
-    each = F.transform(parts, lambda p: wrap(coords(p)))
-    bare = coords(F.flatten(parts))
-    return (
-        F.when(kind == "point", F.concat(F.lit("POINT "), wrap(bare)))
-        .when(kind == "multipoint", F.concat(F.lit("MULTIPOINT "), wrap(F.array_join(each, ", "))))
-        .when(kind == "line", F.concat(F.lit("LINESTRING "), wrap(bare)))
-        .when(kind == "multiline", F.concat(F.lit("MULTILINESTRING "), wrap(F.array_join(each, ", "))))
-        .when(kind == "polygon", F.concat(F.lit("POLYGON "), wrap(F.array_join(each, ", "))))
-        .when(
-            kind == "multipolygon",
-            F.concat(
-                F.lit("MULTIPOLYGON "),
-                wrap(F.array_join(F.transform(each, wrap), ", ")),
-            ),
-        )
-    )
+    def number(c: str) -> str:
+        return f"replace(format_number({c}, '0.0#########'), '-0.0 ', '0.0 ')"
+
+    def pair(v: str) -> str:
+        first, second = (f"{v}.y", f"{v}.x") if yx else (f"{v}.x", f"{v}.y")
+        return f"concat({number(first)}, ' ', {number(second)})"
+
+    def coords(part: str) -> str:
+        return f"array_join({each(part, pair, 'v')}, ', ')"
+
+    def listed(start: str, end: str) -> str:
+        items = each(f"{geom}.parts", lambda p: f"concat('{start}', {coords(p)}, '{end}')", "p")
+        return f"array_join({items}, ', ')"
+
+    bare = coords(f"flatten({geom}.parts)")
+    return f"""CASE {geom}.kind
+        WHEN 'point' THEN concat('POINT (', {bare}, ')')
+        WHEN 'multipoint' THEN concat('MULTIPOINT (', {listed('(', ')')}, ')')
+        WHEN 'line' THEN concat('LINESTRING (', {bare}, ')')
+        WHEN 'multiline' THEN concat('MULTILINESTRING (', {listed('(', ')')}, ')')
+        WHEN 'polygon' THEN concat('POLYGON (', {listed('(', ')')}, ')')
+        WHEN 'multipolygon' THEN concat('MULTIPOLYGON (', {listed('((', '))')}, ')') END"""

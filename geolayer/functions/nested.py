@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from geolayer.functions.geometry import let
 
 MAX_NESTED_LISTS = 4
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and hand it to ``body``."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _null_variant() -> Column:
     return F.parse_json(F.lit("null"))
 

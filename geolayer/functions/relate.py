@@ -5,255 +5,223 @@ point, a stretch of an edge, a spot beside an edge) whose place in both geometri
 interior, boundary or exterior. A matrix cell holds the highest dimension among its probes.
 Edges are first cut where the other geometry meets them, so one midpoint speaks for a stretch.
 
-All of it is array functions over one row, so a pair needs no further shuffle.
+All of it is array functions over one row, so a pair needs no further shuffle. The functions
+take column names of prepared geometries and return SQL text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from geolayer.errors import InputValueError
-from geolayer.functions.geometry import AREAS, LINES, let
+from geolayer.functions.geometry import AREAS, LINES, one_of
+from geolayer.functions.sql import each, each_indexed, keep, let, num, some, struct
 
 INTERIOR, BOUNDARY, EXTERIOR = 0, 1, 2
-XY = "struct<x:double,y:double>"
-SEGMENT = "struct<x1:double,y1:double,x2:double,y2:double>"
-
+SEGMENTS = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
+SPOTS = "array<struct<x:double,y:double>>"
+PROBES = "array<struct<la:int,lb:int,d:int>>"
+NO_PROBE = f"CAST(array() AS {PROBES})"
 
-def _xy(x: Column, y: Column) -> Column:
-    return F.struct(x.alias("x"), y.alias("y"))
 
-
-def prepare(geom: Column) -> Column:
+def prepare(geom: str) -> str:
     """Struct the relations work on: dimension, vertices, segments, line ends.
 
     Built once per geometry, before any join.
     """
-    kind, parts = geom.getField("kind"), geom.getField("parts")
-    dim = F.when(kind.isin(*AREAS), 2).when(kind.isin(*LINES), 1).otherwise(0)
-
-    def edges(part: Column) -> Column:
-        pairs = F.transform(
-            F.slice(part, F.lit(1), F.greatest(F.size(part) - 1, F.lit(0))),
-            lambda v, i: let(F.get(part, i + 1), lambda w: F.struct(
-                v.x.alias("x1"), v.y.alias("y1"), w.x.alias("x2"), w.y.alias("y2"))),
-        )
-        return F.filter(pairs, lambda s: (s.x1 != s.x2) | (s.y1 != s.y2))
-
-    segs = F.when(dim > 0, F.flatten(F.transform(parts, edges))).otherwise(
-        F.array().cast(f"array<{SEGMENT}>")
+    kind, parts = f"{geom}.kind", f"{geom}.parts"
+    dim = f"CASE WHEN {one_of(kind, AREAS)} THEN 2 WHEN {one_of(kind, LINES)} THEN 1 ELSE 0 END"
+
+    def edges(part: str) -> str:
+        heads = f"slice({part}, 1, greatest(size({part}) - 1, 0))"
+        pairs = each_indexed(heads, lambda v, i: let(f"get({part}, {i} + 1)", lambda w: struct(
+            x1=f"{v}.x", y1=f"{v}.y", x2=f"{w}.x", y2=f"{w}.y")))
+        return keep(pairs, lambda s: f"{s}.x1 != {s}.x2 OR {s}.y1 != {s}.y2")
+
+    def spot(v: str) -> str:
+        return let(v, lambda w: struct(x=f"{w}.x", y=f"{w}.y"))
+
+    ends = "flatten(" + each(
+        parts, lambda p: f"array({spot(f'get({p}, 0)')}, {spot(f'element_at({p}, -1)')})") + ")"
+    odd = let(ends, lambda all_: keep(
+        f"array_distinct({all_})", lambda e: f"size({keep(all_, lambda o: f'{o} = {e}')}) % 2 = 1"))
+    made = struct(
+        dim=dim,
+        verts=f"array_distinct({each(f'flatten({parts})', lambda v: struct(x=f'{v}.x', y=f'{v}.y'))})",
+        segs=f"IF({one_of(kind, AREAS + LINES)}, flatten({each(parts, edges)}), "
+             f"CAST(array() AS {SEGMENTS}))",
+        ends=f"IF({one_of(kind, LINES)}, {odd}, CAST(array() AS {SPOTS}))",
     )
-    ends = F.flatten(F.transform(parts, lambda p: F.array(
-        _xy(F.get(p, F.lit(0)).x, F.get(p, F.lit(0)).y),
-        _xy(F.element_at(p, -1).x, F.element_at(p, -1).y))))
-    odd_ends = let(ends, lambda all_: F.filter(
-        F.array_distinct(all_), lambda e: F.size(F.filter(all_, lambda o: o == e)) % 2 == 1))
-    verts = F.array_distinct(F.transform(F.flatten(parts), lambda v: _xy(v.x, v.y)))
-    return F.when(geom.isNotNull(), F.struct(
-        dim.alias("dim"),
-        verts.alias("verts"),
-        segs.alias("segs"),
-        F.when(dim == 1, odd_ends).otherwise(F.array().cast(f"array<{XY}>")).alias("ends"),
-    ))
-
-
-def near_segment(x: Column, y: Column, s: Column, tol: float) -> Column:
+    return f"IF({geom} IS NULL, NULL, {made})"
+
+
+def near_segment(x: str, y: str, s: str, tol: float) -> str:
     """Whether a position lies on a segment, within ``tol``."""
-    dx, dy = s.x2 - s.x1, s.y2 - s.y1
-    cross = dx * (y - s.y1) - dy * (x - s.x1)
-    len2 = dx * dx + dy * dy
-    t = F.lit(tol)
-    return (
-        (x >= F.least(s.x1, s.x2) - t) & (x <= F.greatest(s.x1, s.x2) + t)
-        & (y >= F.least(s.y1, s.y2) - t) & (y <= F.greatest(s.y1, s.y2) + t)
-        & (cross * cross <= F.lit(tol * tol) * len2)
-    )
+    cross = f"(({s}.x2 - {s}.x1) * ({y} - {s}.y1) - ({s}.y2 - {s}.y1) * ({x} - {s}.x1))"
+    len2 = (f"(({s}.x2 - {s}.x1) * ({s}.x2 - {s}.x1) + "
+            f"({s}.y2 - {s}.y1) * ({s}.y2 - {s}.y1))")
+    t = num(tol)
+    return (f"{x} >= least({s}.x1, {s}.x2) - {t} AND {x} <= greatest({s}.x1, {s}.x2) + {t} "
+            f"AND {y} >= least({s}.y1, {s}.y2) - {t} AND {y} <= greatest({s}.y1, {s}.y2) + {t} "
+            f"AND {cross} * {cross} <= {num(tol * tol)} * {len2}")
 
 
-def _near(x: Column, y: Column, p: Column, tol: float) -> Column:
-    return (F.abs(p.x - x) <= tol) & (F.abs(p.y - y) <= tol)
+def _near(x: str, y: str, p: str, tol: float) -> str:
+    return f"abs({p}.x - {x}) <= {num(tol)} AND abs({p}.y - {y}) <= {num(tol)}"
 
 
-def _odd_crossings(x: Column, y: Column, segs: Column) -> Column:
-    def crosses(s: Column) -> Column:
-        turn = (s.x2 - s.x1) * (y - s.y1) - (x - s.x1) * (s.y2 - s.y1)
-        return ((s.y1 > y) != (s.y2 > y)) & ((turn > 0) == (s.y2 > s.y1))
+def _odd_crossings(x: str, y: str, segs: str) -> str:
+    def crosses(s: str) -> str:
+        turn = f"({s}.x2 - {s}.x1) * ({y} - {s}.y1) - ({x} - {s}.x1) * ({s}.y2 - {s}.y1)"
+        return (f"({s}.y1 > {y}) != ({s}.y2 > {y}) AND ({turn} > 0) = ({s}.y2 > {s}.y1)")
 
-    return F.size(F.filter(segs, crosses)) % 2 == 1
+    return f"size({keep(segs, crosses)}) % 2 = 1"
 
 
-def locate(x: Column, y: Column, prep: Column, tol: float) -> Column:
+def locate(x: str, y: str, prep: str, tol: float) -> str:
     """Place of a position in a geometry: interior 0, boundary 1 or exterior 2."""
-    on_edge = F.exists(prep.segs, lambda s: near_segment(x, y, s, tol))
-    area = F.when(on_edge, BOUNDARY).when(_odd_crossings(x, y, prep.segs), INTERIOR)
-    path = F.when(F.exists(prep.ends, lambda e: _near(x, y, e, tol)), BOUNDARY).when(
-        on_edge, INTERIOR)
-    spots = F.when(F.exists(prep.verts, lambda v: _near(x, y, v, tol)), INTERIOR)
-    return F.coalesce(
-        F.when(prep.dim == 2, area).when(prep.dim == 1, path).otherwise(spots), F.lit(EXTERIOR)
-    )
+    on_edge = some(f"{prep}.segs", lambda s: near_segment(x, y, s, tol))
+    return f"""CASE {prep}.dim
+        WHEN 2 THEN CASE WHEN {on_edge} THEN 1
+            WHEN {_odd_crossings(x, y, f'{prep}.segs')} THEN 0 ELSE 2 END
+        WHEN 1 THEN CASE WHEN {some(f'{prep}.ends', lambda e: _near(x, y, e, tol))} THEN 1
+            WHEN {on_edge} THEN 0 ELSE 2 END
+        ELSE IF({some(f'{prep}.verts', lambda v: _near(x, y, v, tol))}, 0, 2) END"""
+
+
+def _meet(s: str, o: str) -> str:
+    """Where two segments' lines meet: parameters along both; null if parallel."""
+    base = struct(
+        det=f"({s}.x2 - {s}.x1) * ({o}.y2 - {o}.y1) - ({s}.y2 - {s}.y1) * ({o}.x2 - {o}.x1)",
+        len1=f"hypot({s}.x2 - {s}.x1, {s}.y2 - {s}.y1)",
+        len2=f"hypot({o}.x2 - {o}.x1, {o}.y2 - {o}.y1)",
+        tn=f"({o}.x1 - {s}.x1) * ({o}.y2 - {o}.y1) - ({o}.y1 - {s}.y1) * ({o}.x2 - {o}.x1)",
+        un=f"({o}.x1 - {s}.x1) * ({s}.y2 - {s}.y1) - ({o}.y1 - {s}.y1) * ({s}.x2 - {s}.x1)")
+    return let(base, lambda b: (
+        f"IF(abs({b}.det) > 1e-9D * {b}.len1 * {b}.len2, "
+        + struct(t=f"{b}.tn / {b}.det", u=f"{b}.un / {b}.det",
+                 len1=f"{b}.len1", len2=f"{b}.len2") + ", NULL)"))
+
+
+def _boxes_meet(s: str, o: str, tol: float) -> str:
+    t = num(tol)
+    return (f"greatest({s}.x1, {s}.x2) >= least({o}.x1, {o}.x2) - {t} "
+            f"AND greatest({o}.x1, {o}.x2) >= least({s}.x1, {s}.x2) - {t} "
+            f"AND greatest({s}.y1, {s}.y2) >= least({o}.y1, {o}.y2) - {t} "
+            f"AND greatest({o}.y1, {o}.y2) >= least({s}.y1, {s}.y2) - {t}")
+
+
+def _crossing(s: str, o: str, tol: float) -> str:
+    """Whether two segments cross at a position inside both."""
+    def inside(m: str) -> str:
+        et, eu = f"{num(tol)} / {m}.len1", f"{num(tol)} / {m}.len2"
+        return (f"{m}.t > {et} AND {m}.t < 1 - {et} AND {m}.u > {eu} AND {m}.u < 1 - {eu}")
 
+    return f"{_boxes_meet(s, o, tol)} AND coalesce({let(_meet(s, o), inside)}, false)"
 
-def _meet(s: Column, o: Column) -> Column:
-    """Where two segments' lines meet: parameters along both and the meeting position."""
-    dx, dy = s.x2 - s.x1, s.y2 - s.y1
-    ex, ey = o.x2 - o.x1, o.y2 - o.y1
-    det = dx * ey - dy * ex
-    len1, len2 = F.sqrt(dx * dx + dy * dy), F.sqrt(ex * ex + ey * ey)
-    base = F.struct(
-        det.alias("det"), len1.alias("len1"), len2.alias("len2"),
-        ((o.x1 - s.x1) * ey - (o.y1 - s.y1) * ex).alias("tn"),
-        ((o.x1 - s.x1) * dy - (o.y1 - s.y1) * dx).alias("un"),
-    )
-    return let(base, lambda b: F.when(
-        F.abs(b.det) > F.lit(1e-9) * b.len1 * b.len2,
-        F.struct((b.tn / b.det).alias("t"), (b.un / b.det).alias("u"),
-                 b.len1.alias("len1"), b.len2.alias("len2")),
-    ))
-
-
-def _boxes_meet(s: Column, o: Column, tol: float) -> Column:
-    return (
-        (F.greatest(s.x1, s.x2) >= F.least(o.x1, o.x2) - tol)
-        & (F.greatest(o.x1, o.x2) >= F.least(s.x1, s.x2) - tol)
-        & (F.greatest(s.y1, s.y2) >= F.least(o.y1, o.y2) - tol)
-        & (F.greatest(o.y1, o.y2) >= F.least(s.y1, s.y2) - tol)
-    )
 
+def _any_crossing(a: str, b: str, tol: float) -> str:
+    return some(f"{a}.segs", lambda s: some(f"{b}.segs", lambda o: _crossing(s, o, tol)))
 
-def _crossing(s: Column, o: Column, tol: float) -> Column:
-    """Whether two segments cross at a position inside both."""
-    def inside(m: Column) -> Column:
-        et, eu = F.lit(tol) / m.len1, F.lit(tol) / m.len2
-        return (m.t > et) & (m.t < 1 - et) & (m.u > eu) & (m.u < 1 - eu)
 
-    return _boxes_meet(s, o, tol) & F.coalesce(let(_meet(s, o), inside), F.lit(False))
+def intersects(a: str, b: str, tol: float) -> str:
+    """Whether two prepared geometries share a position."""
+    def touch(p: str, q: str) -> str:
+        return some(f"{p}.verts", lambda v: f"{locate(f'{v}.x', f'{v}.y', q, tol)} != 2")
 
+    return (f"CASE WHEN {a}.dim = 0 THEN {touch(a, b)} WHEN {b}.dim = 0 THEN {touch(b, a)} "
+            f"ELSE {touch(a, b)} OR {touch(b, a)} OR {_any_crossing(a, b, tol)} END")
 
-def _any_crossing(a: Column, b: Column, tol: float) -> Column:
-    return F.exists(a.segs, lambda s: F.exists(b.segs, lambda o: _crossing(s, o, tol)))
 
+def _along(s: str, x: str, y: str) -> str:
+    return (f"((({x}) - {s}.x1) * ({s}.x2 - {s}.x1) + (({y}) - {s}.y1) * ({s}.y2 - {s}.y1)) / "
+            f"(({s}.x2 - {s}.x1) * ({s}.x2 - {s}.x1) + ({s}.y2 - {s}.y1) * ({s}.y2 - {s}.y1))")
 
-def intersects(a: Column, b: Column, tol: float) -> Column:
-    """Whether two prepared geometries share a position."""
-    def touch(p: Column, q: Column) -> Column:
-        return F.exists(p.verts, lambda v: locate(v.x, v.y, q, tol) != EXTERIOR)
 
-    both = touch(a, b) | touch(b, a) | _any_crossing(a, b, tol)
-    return F.when(a.dim == 0, touch(a, b)).when(b.dim == 0, touch(b, a)).otherwise(both)
+def _stretches(s: str, other: str, tol: float) -> str:
+    """Cut a segment where ``other`` meets it; midpoints and direction of the stretches."""
+    def cuts(o: str) -> str:
+        ends = f"array({_along(s, f'{o}.x1', f'{o}.y1')}, {_along(s, f'{o}.x2', f'{o}.y2')})"
+        return let(_meet(s, o), lambda m: (
+            f"CASE WHEN {m} IS NULL THEN {ends} WHEN {m}.u >= -1e-6D AND {m}.u <= 1.000001D "
+            f"THEN array({m}.t) ELSE CAST(array() AS array<double>) END"))
 
+    close = keep(f"{other}.segs", lambda o: _boxes_meet(s, o, tol))
+    on_it = keep(f"{other}.verts", lambda v: (
+        f"{other}.dim = 0 AND {near_segment(f'{v}.x', f'{v}.y', s, tol)}"))
+    spots = each(on_it, lambda v: _along(s, f"{v}.x", f"{v}.y"))
+    inner = keep(f"concat(flatten({each(close, cuts)}), {spots})", lambda t: f"{t} > 0 AND {t} < 1")
+    marks = f"array_sort(array_distinct(concat(array(0.0D, 1.0D), {inner})))"
+    length = f"hypot({s}.x2 - {s}.x1, {s}.y2 - {s}.y1)"
 
-def _stretches(s: Column, other: Column, tol: float) -> Column:
-    """Cut a segment where ``other`` meets it; midpoints and direction of the stretches."""
-    dx, dy = s.x2 - s.x1, s.y2 - s.y1
-
-    def cuts(o: Column) -> Column:
-        def along(x: Column, y: Column) -> Column:
-            return ((x - s.x1) * dx + (y - s.y1) * dy) / (dx * dx + dy * dy)
-
-        return let(_meet(s, o), lambda m: F.when(
-            m.isNull(), F.array(along(o.x1, o.y1), along(o.x2, o.y2))
-        ).when(
-            (m.u >= -1e-6) & (m.u <= 1 + 1e-6), F.array(m.t)
-        ).otherwise(F.array().cast("array<double>")))
-
-    near = F.filter(other.segs, lambda o: _boxes_meet(s, o, tol))
-    spots = F.transform(other.verts, lambda v: F.when(
-        (other.dim == 0) & near_segment(v.x, v.y, s, tol),
-        ((v.x - s.x1) * dx + (v.y - s.y1) * dy) / (dx * dx + dy * dy)))
-    inner = F.filter(
-        F.concat(F.flatten(F.transform(near, cuts)), spots),
-        lambda t: t.isNotNull() & (t > 0) & (t < 1),
-    )
-    marks = F.array_sort(F.array_distinct(
-        F.concat(F.array(F.lit(0.0), F.lit(1.0)), inner)))
-    length = F.sqrt(dx * dx + dy * dy)
-    pieces = let(F.struct(marks.alias("marks"), length.alias("len")), lambda k: F.filter(
-        F.transform(
-            F.slice(k.marks, F.lit(1), F.size(k.marks) - 1),
-            lambda t, i: let(F.get(k.marks, i + 1), lambda u: F.struct(
-                (s.x1 + dx * (t + u) / 2).alias("x"), (s.y1 + dy * (t + u) / 2).alias("y"),
-                ((u - t) * k.len).alias("len"),
-                (-dy / k.len).alias("nx"), (dx / k.len).alias("ny"))),
-        ),
-        lambda p: p.len > 10 * tol,
-    ))
-    return pieces
+    def pieces(k: str) -> str:
+        def piece(t: str, i: str) -> str:
+            return let(f"get({k}.marks, {i} + 1)", lambda u: struct(
+                x=f"{s}.x1 + ({s}.x2 - {s}.x1) * ({t} + {u}) / 2",
+                y=f"{s}.y1 + ({s}.y2 - {s}.y1) * ({t} + {u}) / 2",
+                len=f"({u} - {t}) * {k}.len",
+                nx=f"({s}.y1 - {s}.y2) / {k}.len", ny=f"({s}.x2 - {s}.x1) / {k}.len"))
+
+        cut = each_indexed(f"slice({k}.marks, 1, size({k}.marks) - 1)", piece)
+        return keep(cut, lambda p: f"{p}.len > {num(10 * tol)}")
 
+    return let(struct(marks=marks, len=length), pieces)
 
-def _probe(la: Column, lb: Column, d: Column) -> Column:
-    return F.struct(
-        la.cast("int").alias("la"), lb.cast("int").alias("lb"), d.cast("int").alias("d"))
 
+def _probe(la: object, lb: object, d: int) -> str:
+    return struct(la=f"{la}", lb=f"{lb}", d=f"{d}")
 
-_PROBES = "array<struct<la:int,lb:int,d:int>>"
 
+def _own(p: str) -> str:
+    """Place of an edge in its own geometry."""
+    return f"IF({p}.dim = 2, 1, 0)"
 
-def _edge_probes(a: Column, b: Column, tol: float, swap: bool) -> Column:
+
+def _edge_probes(a: str, b: str, tol: float, swap: bool) -> str:
     """Probes of the stretches of ``a``; ``swap`` if ``a`` is the second geometry."""
-    def out(la: Column, lb: Column, d: int) -> Column:
-        la, lb = (lb, la) if swap else (la, lb)
-        return _probe(la, lb, F.lit(d))
+    def out(la: object, lb: object, d: int) -> str:
+        return _probe(lb, la, d) if swap else _probe(la, lb, d)
 
-    own = F.when(a.dim == 2, BOUNDARY).otherwise(INTERIOR)
-    areas = (a.dim == 2) & (b.dim == 2)
-    step = 50 * tol
+    step = num(50 * tol)
 
-    def stretch(p: Column) -> Column:
-        def sides(lb: Column) -> Column:
-            left = (p.x + p.nx * step, p.y + p.ny * step)
-            right = (p.x - p.nx * step, p.y - p.ny * step)
-            beside = F.array(
-                out(locate(*left, a, tol), locate(*left, b, tol), 2),
-                out(locate(*right, a, tol), locate(*right, b, tol), 2))
-            through = F.array(out(F.lit(INTERIOR), lb, 2), out(F.lit(EXTERIOR), lb, 2))
-            here = F.array(out(own, lb, 1))
-            return F.concat(here, F.when(~areas, F.array().cast(_PROBES))
-                            .when(lb == BOUNDARY, beside).otherwise(through))
+    def stretch(p: str) -> str:
+        def beside(sign: str) -> str:
+            spot = struct(x=f"{p}.x {sign} {p}.nx * {step}", y=f"{p}.y {sign} {p}.ny * {step}")
+            return let(spot, lambda w: out(
+                locate(f"{w}.x", f"{w}.y", a, tol), locate(f"{w}.x", f"{w}.y", b, tol), 2))
 
-        return let(locate(p.x, p.y, b, tol), sides)
+        return let(locate(f"{p}.x", f"{p}.y", b, tol), lambda lb: (
+            f"concat(array({out(_own(a), lb, 1)}), CASE "
+            f"WHEN {a}.dim < 2 OR {b}.dim < 2 THEN {NO_PROBE} "
+            f"WHEN {lb} = 1 THEN array({beside('+')}, {beside('-')}) "
+            f"ELSE array({out(INTERIOR, lb, 2)}, {out(EXTERIOR, lb, 2)}) END)"))
 
-    return F.flatten(F.transform(
-        F.flatten(F.transform(a.segs, lambda s: _stretches(s, b, tol))), stretch))
+    cut = each(f"{a}.segs", lambda s: _stretches(s, b, tol))
+    return f"flatten({each(f'flatten({cut})', stretch)})"
 
 
-def matrix(a: Column, b: Column, tol: float) -> Column:
+def matrix(a: str, b: str, tol: float) -> str:
     """Nine-character relation matrix of two prepared geometries."""
-    def spots(p: Column, q: Column, swap: bool) -> Column:
-        def one(v: Column) -> Column:
-            lp = F.when(p.dim == 2, BOUNDARY).when(p.dim == 0, INTERIOR).otherwise(
-                locate(v.x, v.y, p, tol))
-            lq = locate(v.x, v.y, q, tol)
-            return _probe(lq, lp, F.lit(0)) if swap else _probe(lp, lq, F.lit(0))
-
-        return F.transform(p.verts, one)
-
-    def own(p: Column) -> Column:
-        return F.when(p.dim == 2, BOUNDARY).otherwise(INTERIOR)
-
-    crossing = F.when(_any_crossing(a, b, tol), F.array(_probe(own(a), own(b), F.lit(0))))
-    fixed = F.concat(
-        F.array(_probe(F.lit(EXTERIOR), F.lit(EXTERIOR), F.lit(2))),
-        F.when((a.dim == 2) & (b.dim < 2),
-               F.array(_probe(F.lit(INTERIOR), F.lit(EXTERIOR), F.lit(2))))
-        .when((b.dim == 2) & (a.dim < 2),
-              F.array(_probe(F.lit(EXTERIOR), F.lit(INTERIOR), F.lit(2))))
-        .otherwise(F.array().cast(_PROBES)),
-    )
-    probes = F.concat(
-        fixed, F.coalesce(crossing, F.array().cast(_PROBES)),
-        spots(a, b, False), spots(b, a, True),
-        _edge_probes(a, b, tol, False), _edge_probes(b, a, tol, True),
-    )
+    def spots(p: str, q: str, swap: bool) -> str:
+        def one(v: str) -> str:
+            x, y = f"{v}.x", f"{v}.y"
+            lp = f"CASE {p}.dim WHEN 2 THEN 1 WHEN 0 THEN 0 ELSE {locate(x, y, p, tol)} END"
+            lq = locate(x, y, q, tol)
+            return _probe(lq, lp, 0) if swap else _probe(lp, lq, 0)
 
-    def text(all_: Column) -> Column:
-        def cell(i: int, j: int) -> Column:
-            best = F.array_max(F.transform(
-                F.filter(all_, lambda p: (p.la == i) & (p.lb == j)), lambda p: p.d))
-            return F.coalesce(best.cast("string"), F.lit("F"))
+        return each(f"{p}.verts", one)
 
-        return F.concat(*[cell(i, j) for i in range(3) for j in range(3)])
+    crossing = f"IF({_any_crossing(a, b, tol)}, array({_probe(_own(a), _own(b), 0)}), {NO_PROBE})"
+    fixed = (f"concat(array({_probe(2, 2, 2)}), CASE WHEN {a}.dim = 2 AND {b}.dim < 2 THEN "
+             f"array({_probe(0, 2, 2)}) WHEN {b}.dim = 2 AND {a}.dim < 2 THEN "
+             f"array({_probe(2, 0, 2)}) ELSE {NO_PROBE} END)")
+    probes = (f"concat({fixed}, {crossing}, {spots(a, b, False)}, {spots(b, a, True)}, "
+              f"{_edge_probes(a, b, tol, False)}, {_edge_probes(b, a, tol, True)})")
+
+    def text(all_: str) -> str:
+        def cell(i: int, j: int) -> str:
+            found = keep(all_, lambda p: f"{p}.la = {i} AND {p}.lb = {j}")
+            return f"coalesce(string(array_max({each(found, lambda p: f'{p}.d')})), 'F')"
+
+        return "concat(" + ", ".join(cell(i, j) for i in range(3) for j in range(3)) + ")"
 
     return let(probes, text)
 
@@ -277,62 +245,63 @@ CROSSES_HIGHER = "T*****T**"
 CROSSES_LINES = "0********"
 
 
-def matches(m: Column, *patterns: str) -> Column:
+def matches(m: str, *patterns: str) -> str:
     """Whether a matrix fits one of the patterns."""
-    return m.rlike("|".join(pattern_regex(p) for p in patterns))
+    return f"{m} RLIKE '" + "|".join(pattern_regex(p) for p in patterns) + "'"
 
 
-def within(a: Column, b: Column, tol: float) -> Column:
+def within(a: str, b: str, tol: float) -> str:
     """Whether ``a`` lies in ``b`` and their interiors meet."""
-    places = F.transform(a.verts, lambda v: locate(v.x, v.y, b, tol))
-    spots = let(places, lambda p: ~F.exists(p, lambda k: k == EXTERIOR)
-                & F.exists(p, lambda k: k == INTERIOR))
-    return F.when(a.dim == 0, spots).when(a.dim > b.dim, F.lit(False)).otherwise(
-        matches(matrix(a, b, tol), WITHIN))
+    places = each(f"{a}.verts", lambda v: locate(f"{v}.x", f"{v}.y", b, tol))
+    spots = let(places, lambda p: f"NOT array_contains({p}, 2) AND array_contains({p}, 0)")
+    return (f"CASE WHEN {a}.dim = 0 THEN {spots} WHEN {a}.dim > {b}.dim THEN false "
+            f"ELSE {matches(matrix(a, b, tol), WITHIN)} END")
 
 
-def equals(a: Column, b: Column, tol: float) -> Column:
+def equals(a: str, b: str, tol: float) -> str:
     """Whether both cover the same positions."""
-    return (a.dim == b.dim) & matches(matrix(a, b, tol), EQUALS)
+    return f"{a}.dim = {b}.dim AND {matches(matrix(a, b, tol), EQUALS)}"
 
 
-def touches(a: Column, b: Column, tol: float) -> Column:
+def touches(a: str, b: str, tol: float) -> str:
     """Whether only boundaries meet."""
-    return ~((a.dim == 0) & (b.dim == 0)) & matches(matrix(a, b, tol), *TOUCHES)
+    return f"({a}.dim + {b}.dim > 0) AND {matches(matrix(a, b, tol), *TOUCHES)}"
 
 
-def overlaps(a: Column, b: Column, tol: float) -> Column:
+def overlaps(a: str, b: str, tol: float) -> str:
     """Whether geometries of one dimension share a part of that dimension, each keeping more."""
-    m = matrix(a, b, tol)
-    return (a.dim == b.dim) & let(m, lambda t: F.when(a.dim == 1, matches(t, OVERLAPS_LINES))
-                                  .otherwise(matches(t, OVERLAPS_SAME)))
+    return f"{a}.dim = {b}.dim AND " + let(matrix(a, b, tol), lambda t: (
+        f"IF({a}.dim = 1, {matches(t, OVERLAPS_LINES)}, {matches(t, OVERLAPS_SAME)})"))
 
 
-def crosses(a: Column, b: Column, tol: float) -> Column:
+def crosses(a: str, b: str, tol: float) -> str:
     """Whether the interiors meet in a part of lower dimension than the larger of the two."""
-    return let(matrix(a, b, tol), lambda t: F.when(a.dim < b.dim, matches(t, CROSSES_LOWER))
-               .when(a.dim > b.dim, matches(t, CROSSES_HIGHER))
-               .otherwise((a.dim == 1) & matches(t, CROSSES_LINES)))
+    return let(matrix(a, b, tol), lambda t: (
+        f"CASE WHEN {a}.dim < {b}.dim THEN {matches(t, CROSSES_LOWER)} "
+        f"WHEN {a}.dim > {b}.dim THEN {matches(t, CROSSES_HIGHER)} "
+        f"WHEN {a}.dim = 1 THEN {matches(t, CROSSES_LINES)} ELSE false END"))
 
 
-def relate(a: Column, b: Column, tol: float, pattern: str) -> Column:
+def relate(a: str, b: str, tol: float, pattern: str) -> str:
     """Whether the matrix fits a pattern given by the caller."""
     return matches(matrix(a, b, tol), pattern)
 
 
-def planar_distance(a: Column, b: Column) -> Column:
+def planar_distance(a: str, b: str) -> str:
     """Shortest distance of two prepared geometries in their own units, 0 if they meet."""
-    def spot_to_segment(v: Column, s: Column) -> Column:
-        dx, dy = s.x2 - s.x1, s.y2 - s.y1
-        along = ((v.x - s.x1) * dx + (v.y - s.y1) * dy) / (dx * dx + dy * dy)
-        return let(F.greatest(F.lit(0.0), F.least(F.lit(1.0), along)), lambda t: F.hypot(
-            v.x - (s.x1 + t * dx), v.y - (s.y1 + t * dy)))
-
-    def to_segments(p: Column, q: Column) -> Column:
-        return F.transform(p.verts, lambda v: F.array_min(
-            F.transform(q.segs, lambda s: spot_to_segment(v, s))))
-
-    spots = F.transform(a.verts, lambda v: F.array_min(
-        F.transform(b.verts, lambda w: F.hypot(v.x - w.x, v.y - w.y))))
-    gap = F.array_min(F.concat(spots, to_segments(a, b), to_segments(b, a)))
-    return F.when(intersects(a, b, 0.0), F.lit(0.0)).otherwise(gap)
+    def spot_to_segment(v: str, s: str) -> str:
+        clamp = f"greatest(0.0D, least(1.0D, {_along(s, f'{v}.x', f'{v}.y')}))"
+        return let(clamp, lambda t: (
+            f"hypot({v}.x - ({s}.x1 + {t} * ({s}.x2 - {s}.x1)), "
+            f"{v}.y - ({s}.y1 + {t} * ({s}.y2 - {s}.y1)))"))
+
+    def to_segments(p: str, q: str) -> str:
+        return each(f"{p}.verts", lambda v: "array_min(" + each(
+            f"{q}.segs", lambda s: spot_to_segment(v, s)) + ")")
+
+    spots = each(f"{a}.verts", lambda v: "array_min(" + each(
+        f"{b}.verts", lambda w: f"hypot({v}.x - {w}.x, {v}.y - {w}.y)") + ")")
+    gap = f"array_min(concat({spots}, {to_segments(a, b)}, {to_segments(b, a)}))"
+    return f"IF({intersects(a, b, 0.0)}, 0.0D, {gap})"
+
+

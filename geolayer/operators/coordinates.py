@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from geolayer.functions import crs
 from geolayer.functions import geometry as g
+from geolayer.functions.sql import each, each_indexed, let, struct
 
 # Geometry type names of the service.
 TYPE_NAMES = {
@@ -18,12 +19,8 @@ TYPE_NAMES = {
 PAYLOAD_DECIMALS = 6
 
 
-def _paths(geom: Column) -> Column:
-    return F.transform(geom.parts, lambda p: F.transform(p, lambda v: F.array(v.x, v.y)))
-
-
-def _reference(epsg: int) -> Column:
-    return F.struct(F.lit(str(epsg)).alias("wkid")).alias("spatialReference")
+def _reference(epsg: int) -> str:
+    return struct(wkid=f"'{epsg}'")
 
 
 def geometry_payloads(
@@ -34,25 +31,22 @@ def geometry_payloads(
     Every ring is sent, so holes are kept.
     """
     epsg = crs.parse_crs(out_crs)
-    moved = g.snap(crs.reproject_geom(F.col(geom), in_crs, out_crs), PAYLOAD_DECIMALS)
-    shape = F.col("_shape")
-    kind = shape.kind
-    first = F.get(F.get(shape.parts, F.lit(0)), F.lit(0))
-    text = (
-        F.when(kind == "point", F.to_json(F.struct(
-            first.x.alias("x"), first.y.alias("y"), _reference(epsg))))
-        .when(kind == "multipoint", F.to_json(F.struct(
-            F.flatten(_paths(shape)).alias("points"), _reference(epsg))))
-        .when(kind.isin(*g.LINES), F.to_json(F.struct(
-            _paths(shape).alias("paths"), _reference(epsg))))
-        .when(kind.isin(*g.AREAS), F.to_json(F.struct(
-            _paths(shape).alias("rings"), _reference(epsg))))
-    )
+    paths = each("_shape.parts", lambda p: each(p, lambda v: f"array({v}.x, {v}.y)"))
+
+    def body(**fields: str) -> str:
+        return f"to_json({struct(**fields, spatialReference=_reference(epsg))})"
+
+    first = "get(get(_shape.parts, 0), 0)"
+    text = f"""CASE WHEN _shape.kind = 'point' THEN {body(x=f'{first}.x', y=f'{first}.y')}
+        WHEN _shape.kind = 'multipoint' THEN {body(points=f'flatten({paths})')}
+        WHEN {g.one_of('_shape.kind', g.LINES)} THEN {body(paths=paths)}
+        WHEN {g.one_of('_shape.kind', g.AREAS)} THEN {body(rings=paths)} END"""
     names = F.create_map(*[F.lit(t) for kv in TYPE_NAMES.items() for t in kv])
     return (
-        df.withColumn("_shape", moved)
-        .withColumn("geometry_type", names[kind])
-        .withColumn("geometry", text)
+        df.withColumn("_shape", F.expr(crs.reproject_geom(geom, in_crs, out_crs)))
+        .withColumn("_shape", F.expr(g.snap("_shape", PAYLOAD_DECIMALS)))
+        .withColumn("geometry_type", names[F.col("_shape.kind")])
+        .withColumn("geometry", F.expr(text))
         .withColumn("in_sr", F.lit(str(epsg)))
         .drop("_shape")
     )
@@ -63,15 +57,13 @@ def box_payloads(
 ) -> DataFrame:
     """The same columns for a table of boxes ``west, south, east, north``."""
     epsg = crs.parse_crs(out_crs)
-    sides = [F.col(c) for c in ("west", "south", "east", "north")]
-    moved = crs.reproject_box(*sides, in_crs, out_crs)
-    b = F.col("_box")
-    bounds = [g.on_grid(b[s], PAYLOAD_DECIMALS).alias(n)
-              for s, n in zip(("west", "south", "east", "north"), g.BBOX)]
+    sides = ("west", "south", "east", "north")
+    bounds = {n: g.on_grid(f"_box.{s}", PAYLOAD_DECIMALS) for s, n in zip(sides, g.BBOX)}
     return (
-        df.withColumn("_box", moved)
+        df.withColumn("_box", F.expr(crs.reproject_box(*sides, in_crs, out_crs)))
         .withColumn("geometry_type", F.lit(TYPE_NAMES["envelope"]))
-        .withColumn("geometry", F.to_json(F.struct(*bounds, _reference(epsg))))
+        .withColumn("geometry", F.expr(
+            f"to_json({struct(**bounds, spatialReference=_reference(epsg))})"))
         .withColumn("in_sr", F.lit(str(epsg)))
         .drop("_box")
     )
@@ -80,29 +72,27 @@ def box_payloads(
 def with_wkt(df: DataFrame, epsg: int = 4326, always_xy: bool = False, geom: str = "geom") -> DataFrame:
     """Add ``wkt``; ``y x`` for a geographic layer unless ``always_xy``."""
     flipped = not crs.is_projected(epsg) and not always_xy
-    return df.withColumn("wkt", g.wkt(F.col(geom), yx=flipped))
+    return df.withColumn("wkt", F.expr(g.wkt(geom, yx=flipped)))
 
 
 def with_length_m(df: DataFrame, geom: str = "geom", epsg: int = 4326) -> DataFrame:
     """Add ``length_m``: geodesic length over the segments of every part."""
-    shape = crs.reproject_geom(F.col(geom), epsg, 4326)
-
-    def part(p: Column) -> Column:
-        steps = F.transform(
-            F.slice(p, F.lit(1), F.greatest(F.size(p) - 1, F.lit(0))),
-            lambda v, i: g.let(F.get(p, i + 1), lambda w: crs.geodesic(v.x, v.y, w.x, w.y)))
-        return F.aggregate(steps, F.lit(0.0), lambda total, d: total + d)
+    def part(p: str) -> str:
+        heads = f"slice({p}, 1, greatest(size({p}) - 1, 0))"
+        return each_indexed(heads, lambda v, i: let(f"get({p}, {i} + 1)", lambda w: crs.geodesic(
+            f"{v}.x", f"{v}.y", f"{w}.x", f"{w}.y")))
 
-    total = F.aggregate(
-        F.transform(shape.parts, part), F.lit(0.0), lambda total, d: total + d)
-    return df.withColumn("length_m", total)
+    steps = f"flatten({each('_line.parts', part)})"
+    total = f"aggregate({steps}, 0.0D, (total, step) -> total + step)"
+    moved = df.withColumn("_line", F.expr(crs.reproject_geom(geom, epsg, 4326)))
+    return moved.withColumn("length_m", F.expr(total)).drop("_line")
 
 
 def flip_axes(df: DataFrame, when: Column | bool = True, geom: str = "geom") -> DataFrame:
     """Swap x and y of the geometry where ``when`` holds."""
     if isinstance(when, bool):
-        return df.withColumn(geom, g.flip(F.col(geom))) if when else df
-    return df.withColumn(geom, F.when(when, g.flip(F.col(geom))).otherwise(F.col(geom)))
+        return df.withColumn(geom, F.expr(g.flip(geom))) if when else df
+    return df.withColumn(geom, F.when(when, F.expr(g.flip(geom))).otherwise(F.col(geom)))
 
 
 def yx_order(
@@ -121,12 +111,13 @@ def reproject(
     supported become null.
     """
     if not isinstance(in_crs, Column):
-        return df.withColumn(geom, crs.reproject_geom(F.col(geom), in_crs, out_crs))
+        return df.withColumn(geom, F.expr(crs.reproject_geom(geom, in_crs, out_crs)))
     codes = [r.c for r in df.select(in_crs.cast("int").alias("c")).distinct().collect()]
     known = sorted(c for c in codes if c in set(crs.supported_codes()))
     moved = F.lit(None).cast(g.GEOMETRY)
     for code in known:
-        moved = F.when(in_crs == code, crs.reproject_geom(F.col(geom), code, out_crs)).otherwise(moved)
+        moved = F.when(
+            in_crs == code, F.expr(crs.reproject_geom(geom, code, out_crs))).otherwise(moved)
     return df.withColumn(geom, moved)
 
 
@@ -136,6 +127,6 @@ def snap(df: DataFrame, epsg: int = 4326, geom: str = "geom", payload: bool = Fa
     ``payload`` uses the six decimals of query payloads whatever the CRS.
     """
     decimals = PAYLOAD_DECIMALS if payload else crs.grid_decimals(epsg)
-    out = df.withColumn("_snapped", g.snap(F.col(geom), decimals))
-    lost = F.size(F.col(geom).parts) - F.size(F.col("_snapped.parts"))
+    out = df.withColumn("_snapped", F.expr(g.snap(geom, decimals)))
+    lost = F.size(F.col(f"{geom}.parts")) - F.size(F.col("_snapped.parts"))
     return out.withColumn("collapsed", lost).withColumn(geom, F.col("_snapped")).drop("_snapped")

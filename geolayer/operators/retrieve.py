@@ -49,10 +49,10 @@ def get_features(
     fields = select_fields(found.drop(geom, *boxes), outfields, info).columns
     if not return_geom:
         return matched(found.select(*fields), require_match)
-    shape = crs.reproject_geom(F.col(geom), info.epsg, out_crs or info.epsg)
     if not return_m:
-        shape = g.drop_measure(shape)
-    return matched(found.select(*fields, shape.alias(geom)), require_match)
+        found = found.withColumn(geom, F.expr(g.drop_measure(geom)))
+    shape = crs.reproject_geom(geom, info.epsg, out_crs or info.epsg)
+    return matched(found.select(*fields, F.expr(shape).alias(geom)), require_match)
 
 
 def missing_ids(requested: DataFrame, df: DataFrame, column: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from geolayer.errors import InputTypeError, InputValueError, ZeroMatchedError
 from geolayer.functions import crs, relate
 from geolayer.functions import geometry as g
+from geolayer.functions.sql import each, let, num, struct
 from geolayer.layer import LayerInfo, geometry_column, resolve_field
 from geolayer.plans.bounded import Size
 from geolayer.plans.spatial_join import candidate_pairs
@@ -33,7 +34,7 @@ PREDICATES = (
     "RELATE", "BEYOND",
 )
 
-Relation = Callable[[Column, Column, float], Column]
+Relation = Callable[[str, str, float], str]
 
 
 def matched(df: DataFrame, require_match: bool, detail: str | None = None) -> DataFrame:
@@ -95,22 +96,21 @@ def default_cell(epsg: int) -> float:
 
 def as_queries(
     spark: SparkSession, geom: object, in_crs: int | str, out_crs: int | str
-) -> tuple[DataFrame, bool]:
-    """Query table ``(query_id, geom)`` in the layer CRS, and whether it is one literal."""
-    literal = not isinstance(geom, DataFrame)
-    table = g.literal_table(spark, geom) if literal else geom
-    moved = crs.reproject_geom(F.col("geom"), in_crs, out_crs)
-    return table.select("query_id", moved.alias("geom")), literal
+) -> DataFrame:
+    """Query table ``(query_id, geom)`` in the layer CRS."""
+    table = geom if isinstance(geom, DataFrame) else g.literal_table(spark, geom)
+    moved = crs.reproject_geom("geom", in_crs, out_crs)
+    return table.select("query_id", F.expr(moved).alias("geom"))
 
 
 def _prepared(df: DataFrame, key: str, geom: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """Key, envelope, prepared geometry and vertex count of a geometry table."""
-    env = [] if set(g.BBOX) <= set(df.columns) else [g.envelope(F.col(geom)).alias("_env")]
+    env = [] if set(g.BBOX) <= set(df.columns) else [F.expr(g.envelope(geom)).alias("_env")]
     wide = df.select(F.col(key).alias("id"), F.col(geom).alias("_g"), *extra, *env,
                      *([] if env else g.BBOX))
     box = [F.col(f"_env.{b}").alias(b) for b in g.BBOX] if env else [F.col(b) for b in g.BBOX]
     return wide.select(
-        "id", *extra, *box, relate.prepare(F.col("_g")).alias("prep"),
+        "id", *extra, *box, F.expr(relate.prepare("_g")).alias("prep"),
         F.coalesce(F.size(F.flatten(F.col("_g.parts"))), F.lit(0)).alias("_nv"),
         F.xxhash64("id").alias("_salt"),
     )
@@ -120,13 +120,13 @@ def spatial_pairs(
     features: DataFrame,
     info: LayerInfo,
     queries: DataFrame,
-    test: Callable[[Column, Column], Column] | None,
+    test: Callable[[str, str], str] | None,
     cell: float | None = None,
     query_size: Size | None = None,
 ) -> DataFrame:
     """``(query_id, feature_id)`` of the pairs whose envelopes meet and that pass ``test``.
 
-    ``test`` gets the prepared feature and the prepared query; ``None`` keeps envelope pairs.
+    ``test`` writes the test of the prepared feature and query; ``None`` keeps envelope pairs.
     """
     cell = cell or default_cell(info.epsg)
     left = _prepared(features, info.id_col, geometry_column(features, info)).drop("_nv")
@@ -141,7 +141,7 @@ def spatial_pairs(
     levels = (0,) if info.kind == "point" else None
     pairs = candidate_pairs(left, right, cell, query_size, levels)
     if test is not None:
-        pairs = pairs.where(test(F.col("l_prep"), F.col("r_prep")))
+        pairs = pairs.where(test("l_prep", "r_prep"))
     return pairs.select(F.col("r_id").alias("query_id"), F.col("l_id").alias("feature_id"))
 
 
@@ -192,7 +192,7 @@ def ids_by_geom(
     means none.
     """
     test = _relation_test(relation, crs.tolerance(info.epsg), pattern)
-    queries, _ = as_queries(df.sparkSession, geom, geo_crs, info.epsg)
+    queries = as_queries(df.sparkSession, geom, geo_crs, info.epsg)
     if where:
         df = df.where(where)
     if distance and int(distance):
@@ -204,39 +204,36 @@ def ids_by_geom(
     return matched(pairs, require_match)
 
 
-def _lonlat(prep: Column, epsg: int) -> Column:
-    return crs.project(F.get(prep.verts, F.lit(0)).x, F.get(prep.verts, F.lit(0)).y, epsg, 4326)
+def _lonlat(prep: str, epsg: int) -> str:
+    return let(f"get({prep}.verts, 0)", lambda v: crs.project(f"{v}.x", f"{v}.y", epsg, 4326))
 
 
-def _local_metres(prep: Column, origin: Column) -> Column:
+def _local_metres(prep: str, origin: str) -> str:
     """Prepared geometry in metres around ``origin``: a local plane on the ellipsoid."""
     a, inv = crs.GRS80
     e2 = (2 - 1 / inv) / inv
+    degree = 3.141592653589793 / 180 * a
 
-    def scale(o: Column) -> Column:
-        w = F.sqrt(F.lit(1.0) - e2 * F.sin(F.radians(o.y)) * F.sin(F.radians(o.y)))
-        return F.struct(
-            o.x.alias("x"), o.y.alias("y"),
-            (F.radians(F.lit(1.0)) * a * F.cos(F.radians(o.y)) / w).alias("kx"),
-            (F.radians(F.lit(1.0)) * a * (1 - e2) / (w * w * w)).alias("ky"))
-
-    def moved(o: Column) -> Column:
-        def at(x: Column, y: Column) -> tuple[Column, Column]:
-            return (x - o.x) * o.kx, (y - o.y) * o.ky
+    def scale(o: str) -> str:
+        bend = f"(1.0D - {num(e2)} * sin(radians({o}.y)) * sin(radians({o}.y)))"
+        return struct(
+            x=f"{o}.x", y=f"{o}.y",
+            kx=f"{num(degree)} * cos(radians({o}.y)) / sqrt({bend})",
+            ky=f"{num(degree * (1 - e2))} / ({bend} * sqrt({bend}))")
 
-        def vert(v: Column) -> Column:
-            x, y = at(v.x, v.y)
-            return F.struct(x.alias("x"), y.alias("y"))
+    def moved(o: str) -> str:
+        def spot(v: str) -> str:
+            return struct(x=f"({v}.x - {o}.x) * {o}.kx", y=f"({v}.y - {o}.y) * {o}.ky")
 
-        def seg(s: Column) -> Column:
-            (x1, y1), (x2, y2) = at(s.x1, s.y1), at(s.x2, s.y2)
-            return F.struct(x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"))
+        def seg(s: str) -> str:
+            return struct(
+                x1=f"({s}.x1 - {o}.x) * {o}.kx", y1=f"({s}.y1 - {o}.y) * {o}.ky",
+                x2=f"({s}.x2 - {o}.x) * {o}.kx", y2=f"({s}.y2 - {o}.y) * {o}.ky")
 
-        return F.struct(
-            prep.dim.alias("dim"), F.transform(prep.verts, vert).alias("verts"),
-            F.transform(prep.segs, seg).alias("segs"), F.transform(prep.ends, vert).alias("ends"))
+        return struct(dim=f"{prep}.dim", verts=each(f"{prep}.verts", spot),
+                      segs=each(f"{prep}.segs", seg), ends=each(f"{prep}.ends", spot))
 
-    return g.let(g.let(origin, scale), moved)
+    return let(let(origin, scale), moved)
 
 
 def within_distance(
@@ -256,7 +253,7 @@ def within_distance(
     if int(metres) <= 0:
         raise InputValueError("metres", ["whole metres above 0"], metres)
     metres = int(metres)
-    queries, _ = as_queries(df.sparkSession, geom, geo_crs, info.epsg)
+    queries = as_queries(df.sparkSession, geom, geo_crs, info.epsg)
     projected = crs.is_projected(info.epsg)
     right = _prepared(queries, "query_id", "geom")
     # Degrees that cover the distance anywhere on the query; poles get the whole circle.
@@ -276,24 +273,17 @@ def within_distance(
     left = _prepared(df, info.id_col, geometry_column(df, info)).drop("_nv")
     levels = (0,) if info.kind == "point" else None
     pairs = candidate_pairs(left, right, cell or default_cell(info.epsg), None, levels)
-    f, q = F.col("l_prep"), F.col("r_prep")
-    spots = (f.dim == 0) & (q.dim == 0) & (F.size(f.verts) == 1) & (F.size(q.verts) == 1)
-
-    def ellipsoid(ends: Column) -> Column:
-        return crs.geodesic(ends.a.x, ends.a.y, ends.b.x, ends.b.y)
-
-    direct = g.let(
-        F.struct(_lonlat(f, info.epsg).alias("a"), _lonlat(q, info.epsg).alias("b")), ellipsoid)
+    f, q = "l_prep", "r_prep"
+    spots = f"{f}.dim = 0 AND {q}.dim = 0 AND size({f}.verts) = 1 AND size({q}.verts) = 1"
+    ends = struct(a=_lonlat(f, info.epsg), b=_lonlat(q, info.epsg))
+    direct = let(ends, lambda e: crs.geodesic(f"{e}.a.x", f"{e}.a.y", f"{e}.b.x", f"{e}.b.y"))
     if projected:
         plane = relate.planar_distance(f, q)
     else:
-        centre = F.struct(
-            ((F.col("r_xmin") + F.col("r_xmax")) / 2).alias("x"),
-            ((F.col("r_ymin") + F.col("r_ymax")) / 2).alias("y"))
-        both = F.struct(
-            _local_metres(f, centre).alias("f"), _local_metres(q, centre).alias("q"))
-        plane = g.let(both, lambda p: relate.planar_distance(p.f, p.q))
-    near = F.when(spots, direct <= metres).otherwise(plane <= metres)
+        centre = struct(x="(r_xmin + r_xmax) / 2", y="(r_ymin + r_ymax) / 2")
+        both = struct(f=_local_metres(f, centre), q=_local_metres(q, centre))
+        plane = let(both, lambda p: relate.planar_distance(f"{p}.f", f"{p}.q"))
+    near = f"CASE WHEN {spots} THEN {direct} <= {metres} ELSE {plane} <= {metres} END"
     return pairs.where(near).select(
         F.col("r_id").alias("query_id"), F.col("l_id").alias("feature_id"))
 
@@ -328,13 +318,13 @@ def features_by_box(
               & (F.col("ymin") >= s) & (F.col("ymax") <= n))
     if info.kind == "point":
         return near.where(inside)
-    geom = F.col(geometry_column(df, info))
-    frame = g.box(*[F.lit(v) for v in (w, s, e, n)])
-    tol = crs.tolerance(info.epsg)
-    exact = g.let(
-        F.struct(relate.prepare(geom).alias("f"), relate.prepare(frame).alias("q")),
-        lambda p: relate.intersects(p.f, p.q, tol))
-    return near.where(inside | exact)
+    kind, parts = g.as_geometry((w, s, e, n))
+    ring = ", ".join(g.vertex_text(num(v[0]), num(v[1])) for v in parts[0])
+    both = struct(
+        f=relate.prepare(f"`{geometry_column(df, info)}`"),
+        q=relate.prepare(struct(kind=f"'{kind}'", parts=f"array(array({ring}))")))
+    exact = let(both, lambda p: relate.intersects(f"{p}.f", f"{p}.q", crs.tolerance(info.epsg)))
+    return near.where(inside | F.expr(exact))
 
 
 def _predicate_test(predicate: str, tol: float, pattern: str | None) -> Callable:
@@ -372,9 +362,9 @@ def features_by_geom(
     predicate = predicate.upper()
     if predicate not in PREDICATES:
         raise InputValueError("predicate", PREDICATES, predicate)
-    queries, literal = as_queries(df.sparkSession, geom, geo_crs, info.epsg)
+    queries = as_queries(df.sparkSession, geom, geo_crs, info.epsg)
     decimals = crs.grid_decimals(info.epsg)
-    queries = queries.select("query_id", g.snap(F.col("geom"), decimals).alias("geom"))
+    queries = queries.select("query_id", F.expr(g.snap("geom", decimals)).alias("geom"))
     if predicate in ("DISJOINT", "BEYOND"):
         if predicate == "BEYOND":
             if not metres:

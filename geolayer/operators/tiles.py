@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from geolayer.errors import InputTypeError, InputValueError
 from geolayer.functions import crs
 from geolayer.functions import geometry as g
+from geolayer.functions.sql import let
 from geolayer.layer import LayerInfo, geometry_column
 from geolayer.plans.spatial_join import candidate_pairs
 from geolayer.operators.select import default_cell
@@ -35,14 +36,12 @@ def pixel_size(boxes: DataFrame, resolution: float, epsg: int = 4326) -> DataFra
 
     The width is taken along the south side and the height along the west side.
     """
-    degrees = crs.reproject_box(*[F.col(c) for c in SIDES], epsg, 4326)
-    d = F.col("_d")
-    along = crs.geodesic(d.west, d.south, d.east, d.south)
-    up = crs.geodesic(d.west, d.south, d.west, d.north)
+    along = crs.geodesic("_d.west", "_d.south", "_d.east", "_d.south")
+    up = crs.geodesic("_d.west", "_d.south", "_d.west", "_d.north")
     return (
-        boxes.withColumn("_d", degrees)
-        .withColumn("width", F.ceil(along / resolution))
-        .withColumn("height", F.ceil(up / resolution))
+        boxes.withColumn("_d", F.expr(crs.reproject_box(*SIDES, epsg, 4326)))
+        .withColumn("width", F.ceil(F.expr(along) / resolution))
+        .withColumn("height", F.ceil(F.expr(up) / resolution))
         .drop("_d")
     )
 
@@ -99,11 +98,11 @@ def decompose(
     )
 
 
-def number_text(value: Column, decimals: int) -> Column:
+def number_text(value: str, decimals: int) -> str:
     """Rounded number as plain text with at least one decimal and no trailing zeros."""
-    text = F.call_function(
-        "format_number", g.on_grid(value, decimals), F.lit("0.0" + "#" * (decimals - 1)))
-    return F.when(text == "-0.0", "0.0").otherwise(text)
+    shape = "0.0" + "#" * (decimals - 1)
+    return let(f"format_number({g.on_grid(value, decimals)}, '{shape}')",
+               lambda t: f"IF({t} = '-0.0', '0.0', {t})")
 
 
 def tile_requests(
@@ -130,14 +129,14 @@ def tile_requests(
         raise InputTypeError("extra", "a dict or None")
     layers = [layers] if isinstance(layers, str) else [str(name) for name in layers]
     rest = [c for c in boxes.columns if c not in SIDES]
-    moved = boxes.select(*rest, crs.reproject_box(
-        *[F.col(c) for c in SIDES], box_crs, epsg).alias("_b")).select(*rest, "_b.*")
+    moved = boxes.select(*rest, F.expr(crs.reproject_box(
+        *SIDES, box_crs, epsg)).alias("_b")).select(*rest, "_b.*")
     tiles = decompose(moved, resolution, epsg, max_px)
     decimals = crs.grid_decimals(epsg)
     order = SIDES
     if version != "1.1.1" and not crs.is_projected(epsg) and not always_xy:
         order = ("south", "west", "north", "east")
-    bbox = F.concat_ws(",", *[number_text(F.col(c), decimals) for c in order])
+    bbox = F.concat_ws(",", *[F.expr(number_text(c, decimals)) for c in order])
     fixed = {
         "version": version, "format": outformat, "request": "GetMap", **(extra or {}),
         ("srs" if version == "1.1.1" else "crs"): crs.validate_crs(epsg),

@@ -99,8 +99,8 @@ def layer_extent(df: DataFrame, info: LayerInfo) -> DataFrame:
         return fn(F.when(~F.isnan(c), c)).alias(name)
 
     row = df.agg(best(F.min, "xmin"), best(F.min, "ymin"), best(F.max, "xmax"), best(F.max, "ymax"))
-    moved = crs.reproject_box(*[F.col(b) for b in g.BBOX], info.epsg, 4326)
-    return row.select(moved.alias("_e")).select("_e.*")
+    moved = crs.reproject_box(*g.BBOX, info.epsg, 4326)
+    return row.select(F.expr(moved).alias("_e")).select("_e.*")
 
 
 def feature_types(df: DataFrame, id_col: str, name_col: str) -> DataFrame:

@@ -10,7 +10,7 @@ def geodesic_sql(lon1: str, lat1: str, lon2: str, lat2: str, source: str, steps:
     a, inv = GRS80
     f = 1.0 / inv
     b = a * (1 - f)
-    sql = (f"SELECT *, radians({lon2}-{lon1}) AS bl, atan({1 - f!r}*tan(radians({lat1}))) AS u1, "
+    sql = (f"SELECT *, radians({lon2} - ({lon1})) AS bl, atan({1 - f!r}*tan(radians({lat1}))) AS u1, "
            f"atan({1 - f!r}*tan(radians({lat2}))) AS u2 FROM ({source})")
     sql = f"SELECT *, sin(u1) s1, cos(u1) c1, sin(u2) s2, cos(u2) c2, bl AS lam0 FROM ({sql})"
     for i in range(steps + 1):
