@@ -18,8 +18,7 @@ from geolayer.functions.sql import each, each_indexed, keep, let, num, some, str
 INTERIOR, BOUNDARY, EXTERIOR = 0, 1, 2
 SEGMENTS = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 SPOTS = "array<struct<x:double,y:double>>"
-PROBES = "array<struct<la:int,lb:int,d:int>>"
-NO_PROBE = f"CAST(array() AS {PROBES})"
+NO_PROBE = "CAST(array() AS array<int>)"
 
 
 def prepare(geom: str) -> str:
@@ -110,12 +109,18 @@ def _boxes_meet(s: str, o: str, tol: float) -> str:
 
 
 def _crossing(s: str, o: str, tol: float) -> str:
-    """Whether two segments cross at a position inside both."""
-    def inside(m: str) -> str:
-        et, eu = f"{num(tol)} / {m}.len1", f"{num(tol)} / {m}.len2"
-        return (f"{m}.t > {et} AND {m}.t < 1 - {et} AND {m}.u > {eu} AND {m}.u < 1 - {eu}")
+    """Whether two segments cross at a position inside both: each has its ends on both sides of
+    the other, farther than ``tol`` from it."""
+    def beside(p: str, q: str, n: int) -> str:
+        return (f"(({p}.x2 - {p}.x1) * ({q}.y{n} - {p}.y1) - "
+                f"({p}.y2 - {p}.y1) * ({q}.x{n} - {p}.x1))")
 
-    return f"{_boxes_meet(s, o, tol)} AND coalesce({let(_meet(s, o), inside)}, false)"
+    def apart(p: str, q: str) -> str:
+        reach = f"({num(tol)} * (abs({p}.x2 - {p}.x1) + abs({p}.y2 - {p}.y1)))"
+        one, two = beside(p, q, 1), beside(p, q, 2)
+        return f"{one} * {two} < 0 AND abs({one}) > {reach} AND abs({two}) > {reach}"
+
+    return f"{_boxes_meet(s, o, tol)} AND {apart(s, o)} AND {apart(o, s)}"
 
 
 def _any_crossing(a: str, b: str, tol: float) -> str:
@@ -167,7 +172,8 @@ def _stretches(s: str, other: str, tol: float) -> str:
 
 
 def _probe(la: object, lb: object, d: int) -> str:
-    return struct(la=f"{la}", lb=f"{lb}", d=f"{d}")
+    """One number per probe: its two places and its dimension."""
+    return f"(({la}) * 9 + ({lb}) * 3 + {d})"
 
 
 def _own(p: str) -> str:
@@ -216,14 +222,15 @@ def matrix(a: str, b: str, tol: float) -> str:
     probes = (f"concat({fixed}, {crossing}, {spots(a, b, False)}, {spots(b, a, True)}, "
               f"{_edge_probes(a, b, tol, False)}, {_edge_probes(b, a, tol, True)})")
 
-    def text(all_: str) -> str:
+    def text(codes: str) -> str:
         def cell(i: int, j: int) -> str:
-            found = keep(all_, lambda p: f"{p}.la = {i} AND {p}.lb = {j}")
-            return f"coalesce(string(array_max({each(found, lambda p: f'{p}.d')})), 'F')"
+            found = " ".join(
+                f"WHEN array_contains({codes}, {i * 9 + j * 3 + d}) THEN '{d}'" for d in (2, 1, 0))
+            return f"CASE {found} ELSE 'F' END"
 
         return "concat(" + ", ".join(cell(i, j) for i in range(3) for j in range(3)) + ")"
 
-    return let(probes, text)
+    return let(f"array_distinct({probes})", text)
 
 
 def pattern_regex(pattern: str) -> str:
@@ -250,41 +257,66 @@ def matches(m: str, *patterns: str) -> str:
     return f"{m} RLIKE '" + "|".join(pattern_regex(p) for p in patterns) + "'"
 
 
+def _if_met(a: str, b: str, tol: float, test: str) -> str:
+    """``test`` for pairs that share a position; the others are spared the matrix."""
+    return f"CASE WHEN {intersects(a, b, tol)} THEN {test} ELSE false END"
+
+
 def within(a: str, b: str, tol: float) -> str:
     """Whether ``a`` lies in ``b`` and their interiors meet."""
     places = each(f"{a}.verts", lambda v: locate(f"{v}.x", f"{v}.y", b, tol))
-    spots = let(places, lambda p: f"NOT array_contains({p}, 2) AND array_contains({p}, 0)")
-    return (f"CASE WHEN {a}.dim = 0 THEN {spots} WHEN {a}.dim > {b}.dim THEN false "
-            f"ELSE {matches(matrix(a, b, tol), WITHIN)} END")
+    return let(places, lambda p: (
+        f"CASE WHEN {a}.dim > {b}.dim OR array_contains({p}, 2) THEN false "
+        f"WHEN {a}.dim = 0 THEN array_contains({p}, 0) "
+        f"ELSE {matches(matrix(a, b, tol), WITHIN)} END"))
 
 
 def equals(a: str, b: str, tol: float) -> str:
     """Whether both cover the same positions."""
-    return f"{a}.dim = {b}.dim AND {matches(matrix(a, b, tol), EQUALS)}"
+    def covered(p: str, q: str) -> str:
+        return "NOT " + some(
+            f"{p}.verts", lambda v: f"{locate(f'{v}.x', f'{v}.y', q, tol)} = 2")
+
+    return (f"CASE WHEN {a}.dim = {b}.dim AND {covered(a, b)} AND {covered(b, a)} "
+            f"THEN {matches(matrix(a, b, tol), EQUALS)} ELSE false END")
 
 
 def touches(a: str, b: str, tol: float) -> str:
     """Whether only boundaries meet."""
-    return f"({a}.dim + {b}.dim > 0) AND {matches(matrix(a, b, tol), *TOUCHES)}"
+    return f"({a}.dim + {b}.dim > 0) AND " + _if_met(
+        a, b, tol, matches(matrix(a, b, tol), *TOUCHES))
 
 
 def overlaps(a: str, b: str, tol: float) -> str:
     """Whether geometries of one dimension share a part of that dimension, each keeping more."""
-    return f"{a}.dim = {b}.dim AND " + let(matrix(a, b, tol), lambda t: (
+    fits = let(matrix(a, b, tol), lambda t: (
         f"IF({a}.dim = 1, {matches(t, OVERLAPS_LINES)}, {matches(t, OVERLAPS_SAME)})"))
+    return f"{a}.dim = {b}.dim AND {_if_met(a, b, tol, fits)}"
 
 
 def crosses(a: str, b: str, tol: float) -> str:
     """Whether the interiors meet in a part of lower dimension than the larger of the two."""
-    return let(matrix(a, b, tol), lambda t: (
+    return _if_met(a, b, tol, let(matrix(a, b, tol), lambda t: (
         f"CASE WHEN {a}.dim < {b}.dim THEN {matches(t, CROSSES_LOWER)} "
         f"WHEN {a}.dim > {b}.dim THEN {matches(t, CROSSES_HIGHER)} "
-        f"WHEN {a}.dim = 1 THEN {matches(t, CROSSES_LINES)} ELSE false END"))
+        f"WHEN {a}.dim = 1 THEN {matches(t, CROSSES_LINES)} ELSE false END")))
+
+
+def check_pattern(pattern: str) -> str:
+    """A relation pattern that only pairs sharing a position can fit.
+
+    Others, such as ``FF*FF****``, fit nearly every pair of a layer.
+    """
+    pattern_regex(pattern)
+    if not set(pattern.upper()[i] for i in (0, 1, 3, 4)) & set("T012"):
+        raise InputValueError(
+            "pattern", ["one that asks for a shared position, or the predicate DISJOINT"], pattern)
+    return pattern
 
 
 def relate(a: str, b: str, tol: float, pattern: str) -> str:
     """Whether the matrix fits a pattern given by the caller."""
-    return matches(matrix(a, b, tol), pattern)
+    return _if_met(a, b, tol, matches(matrix(a, b, tol), check_pattern(pattern)))
 
 
 def planar_distance(a: str, b: str) -> str:

@@ -159,7 +159,7 @@ def _relation_test(relation: str, tol: float, pattern: str | None) -> Callable |
     if name == "Relation":
         if pattern is None:
             raise InputTypeError("pattern", "a relation pattern", "'T*F**F***'")
-        relate.pattern_regex(pattern)
+        relate.check_pattern(pattern)
         return lambda f, q: relate.relate(q, f, tol, pattern)
     tests: dict[str, Relation] = {
         "Intersects": relate.intersects,
@@ -332,7 +332,7 @@ def _predicate_test(predicate: str, tol: float, pattern: str | None) -> Callable
     if predicate == "RELATE":
         if pattern is None:
             raise InputTypeError("pattern", "a relation pattern", "'T*F**F***'")
-        relate.pattern_regex(pattern)
+        relate.check_pattern(pattern)
         return lambda f, q: relate.relate(f, q, tol, pattern)
     tests: dict[str, Relation] = {
         "EQUALS": relate.equals, "INTERSECTS": relate.intersects, "TOUCHES": relate.touches,

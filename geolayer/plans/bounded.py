@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_VERTICES = 1_000_000
+SMALL_BYTES_PER_CORE = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -25,14 +25,25 @@ class Size:
         return self.rows <= MAX_BROADCAST_ROWS and self.vertices <= MAX_BROADCAST_VERTICES
 
 
-def measure(df: DataFrame, n_vertices: Column, level: Column) -> Size:
-    """One pass over ``df``: three numbers-sized results, whatever the table's size."""
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(n_vertices).alias("v"), F.collect_set(level).alias("l")
-    ).first()
+def measure(df: DataFrame, n_vertices: str, level: str) -> Size:
+    """One pass over ``df``: two numbers and a few levels, whatever the table's size."""
+    row = df.selectExpr(
+        "count(1) AS n", f"sum({n_vertices}) AS v", f"collect_set({level}) AS l").first()
     return Size(row.n, row.v or 0, tuple(sorted(row.l)))
 
 
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Give a small table one partition per core.
+
+    A small file is one task, and the exact tests after a broadcast join would all run in it.
+    Tables that the optimizer does not know to be small are left as they are: they have many
+    partitions already and are not worth a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, key) if size <= cores * SMALL_BYTES_PER_CORE else df
+
+
 def small_rows(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> bool:
     """Whether a table has at most ``limit`` rows; reads no more than it must to know."""
     return df.limit(limit + 1).count() <= limit

@@ -13,55 +13,53 @@ to all blocks of the other side, so no task holds a hot cell whole.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geolayer.functions.geometry import BBOX
-from geolayer.plans.bounded import Size, measure
+from geolayer.functions.sql import num
+from geolayer.plans.bounded import Size, measure, spread_small
 
-LEVELS = 12
-LEVEL_RATIO = 4.0
+LEVELS = 24
+LEVEL_RATIO = 2.0
 HOT_CELL_ROWS = 100_000
 HOT_SHARE = 1000
 
 
-def level_of(cell: float) -> Column:
+def level_of(cell: float) -> str:
     """Grid level by the longer side of the envelope."""
-    side = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
-    up = F.ceil(F.log(LEVEL_RATIO, side / cell)).cast("int")
-    return F.when(side <= cell, F.lit(0)).otherwise(
-        F.least(F.greatest(up, F.lit(0)), F.lit(LEVELS)))
+    side = "greatest(xmax - xmin, ymax - ymin)"
+    up = f"int(ceil(log({num(LEVEL_RATIO)}, {side} / {num(cell)})))"
+    return f"IF({side} <= {num(cell)}, 0, least(greatest({up}, 0), {LEVELS}))"
 
 
-def _size(level: Column, cell: float) -> Column:
-    return F.lit(cell) * F.pow(F.lit(LEVEL_RATIO), level.cast("double"))
+def _size(level: str, cell: float) -> str:
+    return f"({num(cell)} * pow({num(LEVEL_RATIO)}, {level}))"
 
 
-def _span(low: Column, high: Column, level: Column, cell: float) -> Column:
-    size = _size(level, cell)
-    return F.sequence(F.floor(low / size), F.floor(high / size))
+def with_cells(df: DataFrame, cell: float, levels: tuple[int, ...]) -> DataFrame:
+    """One row per grid cell a geometry is listed in (``_lv, _cx, _cy``).
 
+    A null or NaN envelope is in no cell.
+    """
+    others = "CAST(array(" + ", ".join(map(str, levels)) + ") AS array<int>)"
+    size = _size("_lv", cell)
+
+    def span(low: str, high: str) -> str:
+        cells = f"sequence(floor({low} / {size}), floor({high} / {size}))"
+        return f"explode(IF(isnan({low} + {high}), NULL, {cells}))"
 
-def with_cells(df: DataFrame, cell: float, levels: tuple[int, ...]) -> DataFrame:
-    """One row per grid cell a geometry is listed in (``_lv, _cx, _cy``)."""
-    own = F.col("_own")
-    listed = F.filter(
-        F.array_union(F.array(*[F.lit(k) for k in levels]).cast("array<int>"), F.array(own)),
-        lambda k: k >= own,
-    )
     return (
-        df.where(F.col("xmin").isNotNull() & ~F.isnan("xmin") & ~F.isnan("ymin")
-                 & ~F.isnan("xmax") & ~F.isnan("ymax"))
-        .withColumn("_own", level_of(cell))
-        .withColumn("_lv", F.explode(listed))
-        .withColumn("_cx", F.explode(_span(F.col("xmin"), F.col("xmax"), F.col("_lv"), cell)))
-        .withColumn("_cy", F.explode(_span(F.col("ymin"), F.col("ymax"), F.col("_lv"), cell)))
+        df.selectExpr("*", f"{level_of(cell)} AS _own")
+        .selectExpr("*", f"explode(filter(array_union({others}, array(_own)), k -> k >= _own)) AS _lv")
+        .selectExpr("*", f"{span('xmin', 'xmax')} AS _cx")
+        .selectExpr("*", f"{span('ymin', 'ymax')} AS _cy")
     )
 
 
 def _side(df: DataFrame, prefix: str) -> DataFrame:
     keep = ("_lv", "_cx", "_cy", "_block_l", "_block_r")
-    return df.select([F.col(c).alias(c if c in keep else prefix + c) for c in df.columns])
+    return df.toDF(*[c if c in keep else prefix + c for c in df.columns])
 
 
 def _split_hot(
@@ -113,12 +111,12 @@ def candidate_pairs(
     ``right`` also ``_nv``, its vertex count. ``right`` is the smaller one, the queries.
     """
     if right_size is None:
-        right_size = measure(right, F.col("_nv"), level_of(cell))
+        right_size = measure(right, "_nv", level_of(cell))
     right = right.drop("_nv")
-    left_size = None if right_size.small else measure(left, F.lit(0), level_of(cell))
+    left_size = None if right_size.small else measure(left, "0", level_of(cell))
     if left_levels is None:
         left_levels = left_size.levels if left_size else tuple(range(LEVELS + 1))
-    cells_l = with_cells(left, cell, right_size.levels)
+    cells_l = with_cells(spread_small(left, "id"), cell, right_size.levels)
     cells_r = with_cells(right, cell, left_levels)
     on = ["_lv", "_cx", "_cy"]
     if not right_size.small:
@@ -128,12 +126,8 @@ def candidate_pairs(
     cells_l, cells_r = _side(cells_l, "l_"), _side(cells_r, "r_")
     joined = cells_l.join(F.broadcast(cells_r) if right_size.small else cells_r, on)
 
-    size = _size(F.col("_lv"), cell)
-    corner_x = F.floor(F.greatest("l_xmin", "r_xmin") / size)
-    corner_y = F.floor(F.greatest("l_ymin", "r_ymin") / size)
-    return joined.where(
-        (F.col("_lv") == F.greatest("l__own", "r__own"))
-        & (F.col("l_xmin") <= F.col("r_xmax")) & (F.col("r_xmin") <= F.col("l_xmax"))
-        & (F.col("l_ymin") <= F.col("r_ymax")) & (F.col("r_ymin") <= F.col("l_ymax"))
-        & (corner_x == F.col("_cx")) & (corner_y == F.col("_cy"))
-    )
+    size = _size("_lv", cell)
+    return joined.where(f"""_lv = greatest(l__own, r__own)
+        AND l_xmin <= r_xmax AND r_xmin <= l_xmax AND l_ymin <= r_ymax AND r_ymin <= l_ymax
+        AND floor(greatest(l_xmin, r_xmin) / {size}) = _cx
+        AND floor(greatest(l_ymin, r_ymin) / {size}) = _cy""")

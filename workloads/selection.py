@@ -361,8 +361,8 @@ def c10(spark, sf):
 
 
 @query("c10_catchments_meeting_boxes_large_radius", f"""SELECT box_id AS query_id,
-    catch_id AS feature_id FROM ({BOXES_SQL}) JOIN ({CATCHMENTS_SQL}) ON xmin <= east AND xmax >= west
-    AND ymin <= north AND ymax >= south AND r > 0.75""")
+    catch_id AS feature_id FROM ({BOXES_SQL}) JOIN ({CATCHMENTS_SQL}) ON xmin <= east + 1e-9
+    AND xmax >= west - 1e-9 AND ymin <= north + 1e-9 AND ymax >= south - 1e-9 AND r > 0.75""")
 def c10_areas(spark, sf):
     return ids(sel.ids_by_geom(
         ly.catchments(spark, sf), CATCHMENTS, ly.as_queries(ly.boxes(spark, sf), "box_id"),
