@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from geolayer.functions.crs import GRS80
+from geolayer.functions.crs import (
+    FALSE_EASTING, FALSE_NORTHING_SOUTH, GRS80, UTM_SCALE, series, utm_zone,
+)
 
 
 def geodesic_sql(lon1: str, lat1: str, lon2: str, lat2: str, source: str, steps: int = 6) -> str:
@@ -64,3 +66,20 @@ def clipped_sql(segments: str, boxes: str) -> str:
         least(1.0, {bound('x1', '(x2-x1)', 'west', 'east', 'high')},
               {bound('y1', '(y2-y1)', 'south', 'north', 'high')}) AS t1
         FROM ({segments}) JOIN ({boxes}) ON true) WHERE t0 < t1"""
+
+
+def utm_sql(lon: str, lat: str, epsg: int, source: str) -> str:
+    """All columns of ``source`` plus ``easting`` and ``northing``."""
+    zone, ellipsoid, south = utm_zone(epsg)
+    s = series(ellipsoid)
+    e, scale = s["ecc"], UTM_SCALE * s["radius"]
+    sql = (f"SELECT *, radians({lon} - ({zone * 6 - 183}.0::DOUBLE)) AS lam, "
+           f"sin(radians({lat})) AS sn FROM ({source})")
+    sql = (f"SELECT *, sinh(atanh(sn) - {e!r}::DOUBLE*atanh({e!r}::DOUBLE*sn)) AS tt FROM ({sql})")
+    sql = (f"SELECT *, atan2(tt, cos(lam)) AS xi, asinh(sin(lam)/sqrt(tt*tt + cos(lam)*cos(lam))) AS eta "
+           f"FROM ({sql})")
+    north = " + ".join(f"({a!r})*sin({2 * j}*xi)*cosh({2 * j}*eta)" for j, a in enumerate(s["fwd"], 1))
+    east = " + ".join(f"({a!r})*cos({2 * j}*xi)*sinh({2 * j}*eta)" for j, a in enumerate(s["fwd"], 1))
+    y0 = FALSE_NORTHING_SOUTH if south else 0.0
+    return (f"SELECT *, (eta + {east})*{scale!r} + {FALSE_EASTING} AS easting, "
+            f"(xi + {north})*{scale!r} + {y0} AS northing FROM ({sql})")
