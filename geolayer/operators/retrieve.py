@@ -110,7 +110,8 @@ def failed_ids(split: DataFrame, requests: DataFrame) -> DataFrame:
     """Distinct ids asked for by the failed requests, from their ``object_ids`` text."""
     bad = split.where("failed").select("request_id")
     return requests.join(bad, "request_id", "left_semi").select(
-        F.explode(F.split("object_ids", ",")).cast("bigint").alias("id")).distinct()
+        F.explode(F.split("object_ids", ",")).alias("id")).select(
+        F.col("id").cast("bigint")).distinct()
 
 
 def retry_sizes(max_nrecords: int) -> list[int]:
