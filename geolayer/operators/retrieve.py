@@ -116,9 +116,9 @@ def failed_ids(split: DataFrame, requests: DataFrame) -> DataFrame:
 
 def retry_sizes(max_nrecords: int) -> list[int]:
     """Batch sizes of the retry rounds, from half the limit evenly down to one."""
-    low = 1 / max_nrecords
-    shares = [low + (0.5 - low) * k / (RETRY_ROUNDS - 1) for k in reversed(range(RETRY_ROUNDS))]
-    return [max(int(share * max_nrecords), 1) for share in shares]
+    least = 1 / max_nrecords
+    step = (0.5 - least) / (RETRY_ROUNDS - 1)
+    return [max(int((step * k + least) * max_nrecords), 1) for k in range(RETRY_ROUNDS - 1, -1, -1)]
 
 
 def retry_plan(failed: DataFrame, max_nrecords: int) -> DataFrame:
