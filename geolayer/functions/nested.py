@@ -13,27 +13,36 @@ MAX_NESTED_LISTS = 4
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and hand it to ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def _null_variant() -> Column:
     return F.parse_json(F.lit("null"))
 
 
-def _fan_out(item: Column) -> Column:
+def _items(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "array<variant>")
+
+
+def _fan_out(value: Column) -> Column:
     """Items of a list, or the value itself; an empty list gives one null."""
-    return let(F.try_variant_get(item, "$", "array<variant>"), lambda items: F.when(
-        items.isNull(), F.array(item)
-    ).when(F.size(items) == 0, F.array(_null_variant())).otherwise(items))
+    return let(_items(value), lambda items: F.when(items.isNull(), F.array(value)).when(
+        F.size(items) == 0, F.array(_null_variant())).otherwise(items))
+
+
+def _spread(values: Column, depth: int) -> Column:
+    """Lists among the values replaced by their items, down to ``depth`` lists in lists."""
+    if depth == 0:
+        return values
+    return let(values, lambda v: F.when(
+        F.exists(v, lambda i: _items(i).isNotNull()),
+        _spread(F.flatten(F.transform(v, _fan_out)), depth - 1)).otherwise(v))
 
 
-def _step(items: Column, key: str) -> Column:
+def _step(values: Column, key: str) -> Column:
     """Value of ``key`` for each item, lists spread out first; null where it is absent."""
-    spread = items
-    for _ in range(MAX_NESTED_LISTS):
-        spread = F.flatten(F.transform(spread, _fan_out))
     quoted = "$['" + key.replace("'", "\\'") + "']"
-    return F.transform(spread, lambda i: F.coalesce(
+    return F.transform(_spread(values, MAX_NESTED_LISTS), lambda i: F.coalesce(
         F.try_variant_get(i, quoted, "variant"), _null_variant()))
 
 

@@ -52,7 +52,7 @@ def some(items: str, test: Callable[[str], str], stem: str = "s") -> str:
 
 def let(value: str, body: Callable[[str], str], stem: str = "v") -> str:
     """Evaluate ``value`` once and hand it to ``body``, so that it is not repeated inline."""
-    return f"get({each(f'array({value})', body, stem)}, 0)"
+    return f"element_at({each(f'array({value})', body, stem)}, 1)"
 
 
 def add(terms: list[str]) -> str:

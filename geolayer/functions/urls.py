@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Default ports left out of a normal URL.
 DEFAULT_PORTS = {"http": "80", "https": "443"}
+# A character no URL holds, put between the parts of one.
+_GAP = "\x01"
 _SHAPE = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?(#.*)?$"
 
 
@@ -25,24 +27,25 @@ def normalize_url(url: Column, params: Column | None = None) -> Column:
     URL stays as it is.
     """
     trimmed = F.trim(url)
-
-    def piece(i: int) -> Column:
-        return F.regexp_extract(trimmed, _SHAPE, i)
-
-    scheme, host = F.lower(piece(1)), F.lower(piece(2))
-    for name, port in DEFAULT_PORTS.items():
-        host = F.when(scheme == name, F.regexp_replace(host, f":{port}$", "")).otherwise(host)
-    path = F.when(piece(3) == "", "/").otherwise(piece(3))
-    pairs = F.filter(F.split(F.substring(piece(4), 2, 1 << 30), "&"), lambda p: p != "")
-    if params is not None:
-        added = F.transform(F.map_entries(params), lambda e: F.concat(e.key, F.lit("="), e.value))
-        pairs = F.concat(pairs, F.coalesce(added, F.array().cast("array<string>")))
-    query = F.array_join(F.array_sort(pairs), "&")
-    return F.when(
-        trimmed.rlike(_SHAPE),
-        F.concat(scheme, F.lit("://"), host, path,
-                 F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")),
-    ).otherwise(trimmed)
+    pieces = F.split(F.regexp_replace(trimmed, _SHAPE, f"$1{_GAP}$2{_GAP}$3{_GAP}$4"), _GAP)
+
+    def normal(p: Column) -> Column:
+        scheme, host = F.lower(F.get(p, F.lit(0))), F.lower(F.get(p, F.lit(1)))
+        for name, port in DEFAULT_PORTS.items():
+            host = F.when((scheme == name) & host.endswith(f":{port}"), F.substring(
+                host, 1, F.length(host) - len(port) - 1)).otherwise(host)
+        path = F.get(p, F.lit(2))
+        pairs = F.filter(
+            F.split(F.substring(F.get(p, F.lit(3)), 2, 1 << 30), "&"), lambda q: q != "")
+        if params is not None:
+            added = F.transform(F.map_entries(params), lambda e: F.concat(e.key, F.lit("="), e.value))
+            pairs = F.concat(pairs, F.coalesce(added, F.array().cast("array<string>")))
+        query = F.array_join(F.array_sort(pairs), "&")
+        mark = F.when(query == "", "").otherwise("?")
+        return F.concat(scheme, F.lit("://"), host, F.when(path == "", "/").otherwise(path), mark, query)
+
+    joined = F.element_at(F.transform(F.array(pieces), normal), 1)
+    return F.when(F.size(pieces) == 4, joined).otherwise(trimmed)
 
 
 def request_key(

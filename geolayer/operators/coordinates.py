@@ -107,13 +107,14 @@ def reproject(
 ) -> DataFrame:
     """Geometry column in another CRS; ``in_crs`` may be a column of codes.
 
-    With a column, each source code present gets its own branch; rows with a code that is not
-    supported become null.
+    With a column, each supported code present gets its own branch; rows with another code
+    become null.
     """
     if not isinstance(in_crs, Column):
         return df.withColumn(geom, F.expr(crs.reproject_geom(geom, in_crs, out_crs)))
-    codes = [r.c for r in df.select(in_crs.cast("int").alias("c")).distinct().collect()]
-    known = sorted(c for c in codes if c in set(crs.supported_codes()))
+    code = in_crs.cast("int")
+    present = df.where(code.isin(crs.supported_codes())).select(code.alias("c")).distinct()
+    known = sorted(r.c for r in present.collect())
     moved = F.lit(None).cast(g.GEOMETRY)
     for code in known:
         moved = F.when(

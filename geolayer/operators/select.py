@@ -276,14 +276,15 @@ def within_distance(
     f, q = "l_prep", "r_prep"
     spots = f"{f}.dim = 0 AND {q}.dim = 0 AND size({f}.verts) = 1 AND size({q}.verts) = 1"
     ends = struct(a=_lonlat(f, info.epsg), b=_lonlat(q, info.epsg))
-    direct = let(ends, lambda e: crs.geodesic(f"{e}.a.x", f"{e}.a.y", f"{e}.b.x", f"{e}.b.y"))
+    direct = let(ends, lambda e: crs.nearer_than(
+        f"{e}.a.x", f"{e}.a.y", f"{e}.b.x", f"{e}.b.y", metres))
     if projected:
         plane = relate.planar_distance(f, q)
     else:
         centre = struct(x="(r_xmin + r_xmax) / 2", y="(r_ymin + r_ymax) / 2")
         both = struct(f=_local_metres(f, centre), q=_local_metres(q, centre))
         plane = let(both, lambda p: relate.planar_distance(f"{p}.f", f"{p}.q"))
-    near = f"CASE WHEN {spots} THEN {direct} <= {metres} ELSE {plane} <= {metres} END"
+    near = f"CASE WHEN {spots} THEN {direct} ELSE {plane} <= {metres} END"
     return pairs.where(near).select(
         F.col("r_id").alias("query_id"), F.col("l_id").alias("feature_id"))
 

@@ -6,9 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-MAX_BROADCAST_ROWS = 200_000
-MAX_BROADCAST_VERTICES = 1_000_000
+MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_VERTICES = 2_000_000
 SMALL_BYTES_PER_CORE = 8 << 20
+# A geometry covers at most two by two cells of a grid level that fits it.
+CELLS_PER_LEVEL = 4
 
 
 @dataclass(frozen=True)
@@ -19,10 +21,12 @@ class Size:
     vertices: int
     levels: tuple[int, ...]
 
-    @property
-    def small(self) -> bool:
-        """Whether the table may be sent whole to every executor."""
-        return self.rows <= MAX_BROADCAST_ROWS and self.vertices <= MAX_BROADCAST_VERTICES
+    def fits(self, other_levels: int) -> bool:
+        """Whether the table, listed at its own and ``other_levels`` more grid levels, may be
+        sent whole to every executor."""
+        copies = CELLS_PER_LEVEL * (other_levels + 1)
+        return (self.rows * copies <= MAX_BROADCAST_ROWS
+                and self.vertices * copies <= MAX_BROADCAST_VERTICES)
 
 
 def measure(df: DataFrame, n_vertices: str, level: str) -> Size:

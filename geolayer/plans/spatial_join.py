@@ -6,8 +6,8 @@ level and at the coarser ones the other table uses, never at finer ones. A pair
 several cells is kept only in the cell with the lower-left corner of the envelopes' overlap, so
 no distinct is needed.
 
-A measured small query table is broadcast. Otherwise both sides are shuffled by cell, and cells
-with many entries are split into blocks: a row of one side goes to one of its side's blocks and
+A query table measured to be small, with all its cell entries, is broadcast. Otherwise both
+sides are shuffled by cell, and cells with many entries are split into blocks: a row of one side goes to one of its side's blocks and
 to all blocks of the other side, so no task holds a hot cell whole.
 """
 
@@ -113,18 +113,21 @@ def candidate_pairs(
     if right_size is None:
         right_size = measure(right, "_nv", level_of(cell))
     right = right.drop("_nv")
-    left_size = None if right_size.small else measure(left, "0", level_of(cell))
-    if left_levels is None:
-        left_levels = left_size.levels if left_size else tuple(range(LEVELS + 1))
+    every = tuple(range(LEVELS + 1))
+    left_size = None
+    send = right_size.fits(len(left_levels or every))
+    if not send:
+        left_size = measure(left, "0", level_of(cell))
+        left_levels = left_size.levels
+        send = right_size.fits(len(left_levels))
     cells_l = with_cells(spread_small(left, "id"), cell, right_size.levels)
-    cells_r = with_cells(right, cell, left_levels)
+    cells_r = with_cells(right, cell, left_levels or every)
     on = ["_lv", "_cx", "_cy"]
-    if not right_size.small:
-        cells_l, cells_r = _split_hot(
-            cells_l, cells_r, left_size.rows, right_size.rows)
+    if not send:
+        cells_l, cells_r = _split_hot(cells_l, cells_r, left_size.rows, right_size.rows)
         on += ["_block_l", "_block_r"]
     cells_l, cells_r = _side(cells_l, "l_"), _side(cells_r, "r_")
-    joined = cells_l.join(F.broadcast(cells_r) if right_size.small else cells_r, on)
+    joined = cells_l.join(F.broadcast(cells_r) if send else cells_r, on)
 
     size = _size("_lv", cell)
     return joined.where(f"""_lv = greatest(l__own, r__own)
