@@ -13,12 +13,11 @@ from __future__ import annotations
 
 from geolayer.errors import InputValueError
 from geolayer.functions.geometry import AREAS, LINES, one_of
-from geolayer.functions.sql import each, each_indexed, keep, let, num, some, struct
+from geolayer.functions.sql import each, each_indexed, joined, keep, let, num, some, struct
 
 INTERIOR, BOUNDARY, EXTERIOR = 0, 1, 2
 SEGMENTS = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 SPOTS = "array<struct<x:double,y:double>>"
-NO_PROBE = "CAST(array() AS array<int>)"
 
 
 def prepare(geom: str) -> str:
@@ -150,11 +149,11 @@ def _stretches(s: str, other: str, tol: float) -> str:
             f"THEN array({m}.t) ELSE CAST(array() AS array<double>) END"))
 
     close = keep(f"{other}.segs", lambda o: _boxes_meet(s, o, tol))
-    on_it = keep(f"{other}.verts", lambda v: (
-        f"{other}.dim = 0 AND {near_segment(f'{v}.x', f'{v}.y', s, tol)}"))
+    on_it = keep(f"{other}.verts", lambda v: near_segment(f"{v}.x", f"{v}.y", s, tol))
     spots = each(on_it, lambda v: _along(s, f"{v}.x", f"{v}.y"))
-    inner = keep(f"concat(flatten({each(close, cuts)}), {spots})", lambda t: f"{t} > 0 AND {t} < 1")
-    marks = f"array_sort(array_distinct(concat(array(0.0D, 1.0D), {inner})))"
+    met = f"flatten({each(close, cuts)})"
+    inner = keep(f"IF({other}.dim = 0, {spots}, {met})", lambda t: f"{t} > 0 AND {t} < 1")
+    marks = f"array_sort(array_distinct({joined('array(0.0D, 1.0D)', inner)}))"
     length = f"hypot({s}.x2 - {s}.x1, {s}.y2 - {s}.y1)"
 
     def pieces(k: str) -> str:
@@ -194,11 +193,17 @@ def _edge_probes(a: str, b: str, tol: float, swap: bool) -> str:
             return let(spot, lambda w: out(
                 locate(f"{w}.x", f"{w}.y", a, tol), locate(f"{w}.x", f"{w}.y", b, tol), 2))
 
-        return let(locate(f"{p}.x", f"{p}.y", b, tol), lambda lb: (
-            f"concat(array({out(_own(a), lb, 1)}), CASE "
-            f"WHEN {a}.dim < 2 OR {b}.dim < 2 THEN {NO_PROBE} "
-            f"WHEN {lb} = 1 THEN array({beside('+')}, {beside('-')}) "
-            f"ELSE array({out(INTERIOR, lb, 2)}, {out(EXTERIOR, lb, 2)}) END)"))
+        def codes(lb: str) -> str:
+            # Always three, so that no lists are joined; a repeated one does no harm.
+            here = out(_own(a), lb, 1)
+
+            def side(sign: str, inner: int) -> str:
+                return (f"CASE WHEN {a}.dim < 2 OR {b}.dim < 2 THEN {here} "
+                        f"WHEN {lb} = 1 THEN {beside(sign)} ELSE {out(inner, lb, 2)} END")
+
+            return f"array({here}, {side('+', INTERIOR)}, {side('-', EXTERIOR)})"
+
+        return let(locate(f"{p}.x", f"{p}.y", b, tol), codes)
 
     cut = each(f"{a}.segs", lambda s: _stretches(s, b, tol))
     return f"flatten({each(f'flatten({cut})', stretch)})"
@@ -215,12 +220,14 @@ def matrix(a: str, b: str, tol: float) -> str:
 
         return each(f"{p}.verts", one)
 
-    crossing = f"IF({_any_crossing(a, b, tol)}, array({_probe(_own(a), _own(b), 0)}), {NO_PROBE})"
-    fixed = (f"concat(array({_probe(2, 2, 2)}), CASE WHEN {a}.dim = 2 AND {b}.dim < 2 THEN "
-             f"array({_probe(0, 2, 2)}) WHEN {b}.dim = 2 AND {a}.dim < 2 THEN "
-             f"array({_probe(2, 0, 2)}) ELSE {NO_PROBE} END)")
-    probes = (f"concat({fixed}, {crossing}, {spots(a, b, False)}, {spots(b, a, True)}, "
-              f"{_edge_probes(a, b, tol, False)}, {_edge_probes(b, a, tol, True)})")
+    outside = _probe(EXTERIOR, EXTERIOR, 2)
+    crossing = f"IF({_any_crossing(a, b, tol)}, {_probe(_own(a), _own(b), 0)}, {outside})"
+    larger = (f"CASE WHEN {a}.dim = 2 AND {b}.dim < 2 THEN {_probe(INTERIOR, EXTERIOR, 2)} "
+              f"WHEN {b}.dim = 2 AND {a}.dim < 2 THEN {_probe(EXTERIOR, INTERIOR, 2)} "
+              f"ELSE {outside} END")
+    probes = joined(
+        f"array({outside}, {crossing}, {larger})", spots(a, b, False), spots(b, a, True),
+        _edge_probes(a, b, tol, False), _edge_probes(b, a, tol, True))
 
     def text(codes: str) -> str:
         def cell(i: int, j: int) -> str:
