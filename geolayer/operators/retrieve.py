@@ -58,7 +58,7 @@ def get_features(
 def missing_ids(requested: DataFrame, df: DataFrame, column: str) -> DataFrame:
     """Distinct requested ids that the layer does not hold."""
     wanted = requested.select(F.col(requested.columns[0]).alias(column)).distinct()
-    return wanted.join(df.select(column), column, "left_anti")
+    return wanted.join(df.select(column).distinct(), column, "left_anti")
 
 
 def missing_report(requested: DataFrame, df: DataFrame, column: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from geolayer.errors import InputTypeError, InputValueError, ZeroMatchedError
 from geolayer.functions import crs, relate
 from geolayer.functions import geometry as g
-from geolayer.functions.sql import each, let, num, struct
+from geolayer.functions.sql import each, let, num, some, struct
 from geolayer.layer import LayerInfo, geometry_column, resolve_field
 from geolayer.plans.bounded import Size
 from geolayer.plans.spatial_join import candidate_pairs
@@ -196,16 +196,23 @@ def ids_by_geom(
     if where:
         df = df.where(where)
     if distance and int(distance):
-        if not relation.endswith("Intersects"):
-            raise InputValueError("relation", ["esriSpatialRelIntersects"], relation)
+        if relation != SPATIAL_RELATIONS[0]:
+            raise InputValueError("relation with a distance", SPATIAL_RELATIONS[:1], relation)
         pairs = within_distance(df, info, queries, int(distance), info.epsg, cell)
     else:
         pairs = spatial_pairs(df, info, queries, test, cell)
     return matched(pairs, require_match)
 
 
-def _lonlat(prep: str, epsg: int) -> str:
-    return let(f"get({prep}.verts, 0)", lambda v: crs.project(f"{v}.x", f"{v}.y", epsg, 4326))
+def _spots_near(f: str, q: str, epsg: int, metres: int) -> str:
+    """Whether a position of one and a position of the other are at most ``metres`` apart."""
+    def lonlat(v: str, body: Callable[[str], str]) -> str:
+        return body(v) if not crs.is_projected(epsg) else let(
+            crs.project(f"{v}.x", f"{v}.y", epsg, 4326), body)
+
+    return some(f"{f}.verts", lambda v: lonlat(v, lambda a: some(
+        f"{q}.verts", lambda w: lonlat(w, lambda b: crs.nearer_than(
+            f"{a}.x", f"{a}.y", f"{b}.x", f"{b}.y", metres)))))
 
 
 def _local_metres(prep: str, origin: str) -> str:
@@ -246,7 +253,7 @@ def within_distance(
 ) -> DataFrame:
     """``(query_id, feature_id)`` of the features at most ``metres`` away.
 
-    Two points are measured along the ellipsoid. Lines and areas of a geographic layer are
+    Points are measured along the ellipsoid. Lines and areas of a geographic layer are
     measured in a local plane around the query, good to about one part in a thousand up to
     100 km; those of a projected layer in its own plane.
     """
@@ -274,17 +281,14 @@ def within_distance(
     levels = (0,) if info.kind == "point" else None
     pairs = candidate_pairs(left, right, cell or default_cell(info.epsg), None, levels)
     f, q = "l_prep", "r_prep"
-    spots = f"{f}.dim = 0 AND {q}.dim = 0 AND size({f}.verts) = 1 AND size({q}.verts) = 1"
-    ends = struct(a=_lonlat(f, info.epsg), b=_lonlat(q, info.epsg))
-    direct = let(ends, lambda e: crs.nearer_than(
-        f"{e}.a.x", f"{e}.a.y", f"{e}.b.x", f"{e}.b.y", metres))
     if projected:
         plane = relate.planar_distance(f, q)
     else:
         centre = struct(x="(r_xmin + r_xmax) / 2", y="(r_ymin + r_ymax) / 2")
         both = struct(f=_local_metres(f, centre), q=_local_metres(q, centre))
         plane = let(both, lambda p: relate.planar_distance(f"{p}.f", f"{p}.q"))
-    near = f"CASE WHEN {spots} THEN {direct} ELSE {plane} <= {metres} END"
+    near = (f"CASE WHEN {f}.dim = 0 AND {q}.dim = 0 THEN {_spots_near(f, q, info.epsg, metres)} "
+            f"ELSE {plane} <= {metres} END")
     return pairs.where(near).select(
         F.col("r_id").alias("query_id"), F.col("l_id").alias("feature_id"))
 

@@ -89,14 +89,20 @@ def describe_layer(df: DataFrame, info: LayerInfo) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
-def layer_extent(df: DataFrame, info: LayerInfo) -> DataFrame:
-    """Extent in degrees; NaN bounds are left out. No bound at all gives nulls."""
+def layer_extent(
+    df: DataFrame, info: LayerInfo, fallback: tuple[float, float, float, float] | None = None
+) -> DataFrame:
+    """Extent in degrees; NaN bounds are left out.
+
+    A layer without any usable bound has the ``fallback`` extent, given in its CRS, else nulls.
+    """
     if not set(g.BBOX) <= set(df.columns):
         df = g.with_bbox(df, geometry_column(df, info))
 
     def best(fn, name: str):
         c = F.col(name)
-        return fn(F.when(~F.isnan(c), c)).alias(name)
+        spare = F.lit(float(fallback[g.BBOX.index(name)]) if fallback else None).cast("double")
+        return F.coalesce(fn(F.when(~F.isnan(c), c)), spare).alias(name)
 
     row = df.agg(best(F.min, "xmin"), best(F.min, "ymin"), best(F.max, "xmax"), best(F.max, "ymax"))
     moved = crs.reproject_box(*g.BBOX, info.epsg, 4326)

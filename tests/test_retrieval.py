@@ -183,6 +183,9 @@ def test_extent_skips_nan(spark):
         [(1, float("nan"), 1.0, 2.0, 3.0), (2, 0.0, 0.5, 4.0, 3.5)],
         "id int, xmin double, ymin double, xmax double, ymax double")
     assert tuple(src.layer_extent(rows, INFO).first()) == (0.0, 0.5, 4.0, 3.5)
+    none = rows.where("id > 5")
+    assert tuple(src.layer_extent(none, INFO).first()) == (None,) * 4
+    assert tuple(src.layer_extent(none, INFO, (1, 2, 3, 4)).first()) == (1.0, 2.0, 3.0, 4.0)
 
 
 def test_readers_prune_columns(spark, sf):

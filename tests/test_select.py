@@ -105,6 +105,18 @@ def test_distance_to_lines_and_areas(spark):
         sel.within_distance(things, SITE, (0.0, 0.0), 0.5)
 
 
+def test_distance_to_several_points_and_in_a_projected_layer(spark):
+    spots = layer(spark, [(-75.0, 40.0), (-75.0, 40.02), [(-80.0, 40.0), (-75.0, 40.05)]])
+    ends = [(-75.0, 40.001), (-79.99, 40.0)]
+    assert found(sel.ids_by_geom(spots, SITE, ends, distance=1500)) == [0, 2]
+    from geolayer.operators import coordinates as co
+    metric = LayerInfo("id", epsg=32618)
+    moved = co.reproject(spots, 32618)
+    assert found(sel.ids_by_geom(moved, metric, ends, distance=1500)) == [0, 2]
+    with pytest.raises(InputValueError):
+        sel.ids_by_geom(spots, SITE, ends, distance=5, relation="esriSpatialRelWithin")
+
+
 def test_beyond(spark):
     spots = layer(spark, [(0.01, 0.0), (1.0, 0.0)])
     assert found(sel.features_by_geom(spots, SITE, (0.0, 0.0), predicate="BEYOND", metres=5000)) == [1]

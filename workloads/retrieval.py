@@ -238,6 +238,24 @@ def d3_all(spark, sf):
         "o_orderkey", "o_custkey", "rn", "page")
 
 
+@query("d3_pages_of_a_box", f"""SELECT site_id, acctbal, rn, (rn - 1) // 100 AS page FROM (
+    SELECT site_id, acctbal, row_number() OVER (ORDER BY acctbal, site_id) AS rn FROM ({SITES_SQL})
+    WHERE lon BETWEEN -110.5 AND -80.5 AND lat BETWEEN 28.25 AND 41.75)""")
+def d3_box(spark, sf):
+    info = LayerInfo("site_id", kind="point", max_nrecords=100)
+    inside = sel.features_by_box(ly.sites(spark, sf), info, (-110.5, 28.25, -80.5, 41.75))
+    return paging.all_pages(inside.select("site_id", "acctbal"), info, "acctbal")
+
+
+@query("d3_pages_of_ids", """SELECT o_orderkey, o_custkey, (row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1)
+    // 1000 AS page FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""")
+def d3_ids(spark, sf):
+    wanted = ly.table(spark, sf, "customer").where("c_acctbal < 0").select("c_custkey")
+    found = sel.features_by_id(
+        ly.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), ORDERS, "o_custkey", wanted)
+    return paging.all_pages(found, ORDERS, "o_custkey").select("o_orderkey", "o_custkey", "page")
+
+
 @query("d4_row_number", """SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey,
     row_number() OVER (ORDER BY l_suppkey, l_orderkey, l_linenumber, l_partkey) AS rn FROM lineitem""")
 def d4(spark, sf):
