@@ -103,14 +103,15 @@ def as_queries(
     return table.select("query_id", F.expr(moved).alias("geom"))
 
 
-def _prepared(df: DataFrame, key: str, geom: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Key, envelope, prepared geometry and vertex count of a geometry table."""
+def _prepared(df: DataFrame, key: str, geom: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Key, envelope, prepared geometry, vertex count and carried columns of a geometry table."""
+    extra = [F.col(c).alias(f"c_{c}") for c in carry]
     env = [] if set(g.BBOX) <= set(df.columns) else [F.expr(g.envelope(geom)).alias("_env")]
     wide = df.select(F.col(key).alias("id"), F.col(geom).alias("_g"), *extra, *env,
                      *([] if env else g.BBOX))
     box = [F.col(f"_env.{b}").alias(b) for b in g.BBOX] if env else [F.col(b) for b in g.BBOX]
     return wide.select(
-        "id", *extra, *box, F.expr(relate.prepare("_g")).alias("prep"),
+        "id", *[f"c_{c}" for c in carry], *box, F.expr(relate.prepare("_g")).alias("prep"),
         F.coalesce(F.size(F.flatten(F.col("_g.parts"))), F.lit(0)).alias("_nv"),
         F.xxhash64("id").alias("_salt"),
     )
@@ -123,13 +124,15 @@ def spatial_pairs(
     test: Callable[[str, str], str] | None,
     cell: float | None = None,
     query_size: Size | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """``(query_id, feature_id)`` of the pairs whose envelopes meet and that pass ``test``.
 
     ``test`` writes the test of the prepared feature and query; ``None`` keeps envelope pairs.
+    ``carry`` names feature columns to bring along, which saves a join on the id afterwards.
     """
     cell = cell or default_cell(info.epsg)
-    left = _prepared(features, info.id_col, geometry_column(features, info)).drop("_nv")
+    left = _prepared(features, info.id_col, geometry_column(features, info), carry).drop("_nv")
     right = _prepared(queries, "query_id", "geom")
     if test is None:
         left, right = left.drop("prep"), right.drop("prep")
@@ -142,7 +145,13 @@ def spatial_pairs(
     pairs = candidate_pairs(left, right, cell, query_size, levels)
     if test is not None:
         pairs = pairs.where(test("l_prep", "r_prep"))
-    return pairs.select(F.col("r_id").alias("query_id"), F.col("l_id").alias("feature_id"))
+    return _named(pairs, carry)
+
+
+def _named(pairs: DataFrame, carry: tuple[str, ...]) -> DataFrame:
+    return pairs.select(
+        F.col("r_id").alias("query_id"), F.col("l_id").alias("feature_id"),
+        *[F.col(f"l_c_{c}").alias(c) for c in carry])
 
 
 def _mirrored(fn: Relation) -> Relation:
@@ -183,9 +192,12 @@ def ids_by_geom(
     pattern: str | None = None,
     cell: float | None = None,
     require_match: bool = False,
+    outfields: list[str] | None = None,
 ) -> DataFrame:
     """Ids of the features in a relation to a geometry or to each of a table of geometries.
 
+    ``outfields`` brings feature fields along, so that no second pass by id is needed.
+
     The query geometry is the first operand: ``Contains`` finds the features it contains,
     ``Within`` the features around it. ``where`` is AND-ed and reaches the scan. ``distance``
     in metres widens the query geometry for ``Intersects``; it is cut to whole metres and 0
@@ -193,17 +205,22 @@ def ids_by_geom(
     """
     test = _relation_test(relation, crs.tolerance(info.epsg), pattern)
     queries = as_queries(df.sparkSession, geom, geo_crs, info.epsg)
+    carry = _carried(df, info, outfields)
     if where:
         df = df.where(where)
     if distance and int(distance):
         if relation != SPATIAL_RELATIONS[0]:
             raise InputValueError("relation with a distance", SPATIAL_RELATIONS[:1], relation)
-        pairs = within_distance(df, info, queries, int(distance), info.epsg, cell)
+        pairs = within_distance(df, info, queries, int(distance), info.epsg, cell, outfields)
     else:
-        pairs = spatial_pairs(df, info, queries, test, cell)
+        pairs = spatial_pairs(df, info, queries, test, cell, carry=carry)
     return matched(pairs, require_match)
 
 
+def _carried(df: DataFrame, info: LayerInfo, outfields: list[str] | None) -> tuple[str, ...]:
+    return tuple(dict.fromkeys(resolve_field(df, name, info) for name in outfields or ()))
+
+
 def _spots_near(f: str, q: str, epsg: int, metres: int) -> str:
     """Whether a position of one and a position of the other are at most ``metres`` apart."""
     def lonlat(v: str, body: Callable[[str], str]) -> str:
@@ -250,8 +267,9 @@ def within_distance(
     metres: float,
     geo_crs: int | str = 4326,
     cell: float | None = None,
+    outfields: list[str] | None = None,
 ) -> DataFrame:
-    """``(query_id, feature_id)`` of the features at most ``metres`` away.
+    """``(query_id, feature_id)`` and ``outfields`` of the features at most ``metres`` away.
 
     Points are measured along the ellipsoid. Lines and areas of a geographic layer are
     measured in a local plane around the query, good to about one part in a thousand up to
@@ -277,7 +295,8 @@ def within_distance(
         "id", "prep", "_nv", "_salt",
         (F.col("xmin") - pad_x).alias("xmin"), (F.col("ymin") - pad_y).alias("ymin"),
         (F.col("xmax") + pad_x).alias("xmax"), (F.col("ymax") + pad_y).alias("ymax"))
-    left = _prepared(df, info.id_col, geometry_column(df, info)).drop("_nv")
+    carry = _carried(df, info, outfields)
+    left = _prepared(df, info.id_col, geometry_column(df, info), carry).drop("_nv")
     levels = (0,) if info.kind == "point" else None
     pairs = candidate_pairs(left, right, cell or default_cell(info.epsg), None, levels)
     f, q = "l_prep", "r_prep"
@@ -289,8 +308,7 @@ def within_distance(
         plane = let(both, lambda p: relate.planar_distance(f"{p}.f", f"{p}.q"))
     near = (f"CASE WHEN {f}.dim = 0 AND {q}.dim = 0 THEN {_spots_near(f, q, info.epsg, metres)} "
             f"ELSE {plane} <= {metres} END")
-    return pairs.where(near).select(
-        F.col("r_id").alias("query_id"), F.col("l_id").alias("feature_id"))
+    return _named(pairs.where(near), carry)
 
 
 def features_by_box(
@@ -356,8 +374,9 @@ def features_by_geom(
     pattern: str | None = None,
     metres: float | None = None,
     cell: float | None = None,
+    outfields: list[str] | None = None,
 ) -> DataFrame:
-    """``(query_id, feature_id)`` for ``PREDICATE(feature, query)``.
+    """``(query_id, feature_id)`` and ``outfields`` for ``PREDICATE(feature, query)``.
 
     The feature is the first operand: ``WITHIN`` finds the features inside the query geometry,
     ``CONTAINS`` those around it. The query is snapped to the grid of the layer CRS. ``DISJOINT``
@@ -377,13 +396,13 @@ def features_by_geom(
             near = within_distance(df, info, queries, metres, info.epsg, cell)
         else:
             near = features_by_geom(df, info, queries, info.epsg, "INTERSECTS", cell=cell)
-        return _all_but(df, info, queries, near)
+        return _all_but(df, info, queries, near, _carried(df, info, outfields))
     test = _predicate_test(predicate, crs.tolerance(info.epsg), pattern)
-    return spatial_pairs(df, info, queries, test, cell)
+    return spatial_pairs(df, info, queries, test, cell, carry=_carried(df, info, outfields))
 
 
 def _all_but(
-    df: DataFrame, info: LayerInfo, queries: DataFrame, pairs: DataFrame
+    df: DataFrame, info: LayerInfo, queries: DataFrame, pairs: DataFrame, carry: tuple[str, ...]
 ) -> DataFrame:
     """Every (query, feature) pair except ``pairs``; the query table must be short."""
     ids = [r.query_id for r in queries.where("geom is not null").select("query_id")
@@ -394,7 +413,8 @@ def _all_but(
     listed = F.array(*[F.lit(i).cast(dtype) for i in sorted(set(ids))])
     geom = geometry_column(df, info)
     every = df.where(F.col(geom).isNotNull()).select(
-        F.explode(listed).alias("query_id"), F.col(info.id_col).alias("feature_id"))
+        F.explode(listed).alias("query_id"), F.col(info.id_col).alias("feature_id"),
+        *[F.col(c).alias(c) for c in carry])
     return every.join(pairs, ["query_id", "feature_id"], "left_anti")
 
 

@@ -164,6 +164,20 @@ def test_hot_cell_is_split_and_nothing_is_lost(spark, monkeypatch):
     assert got.count() == 300 * 50 == got.distinct().count()
 
 
+def test_fields_are_carried_without_a_join_on_the_id(spark, sf):
+    spots = ly.sites(spark, sf)
+    queries = ly.as_queries(ly.boxes(spark, sf), "box_id")
+    got = sel.ids_by_geom(spots, SITES, queries, outfields=["segment", "site_id"])
+    assert got.columns == ["query_id", "feature_id", "segment", "site_id"]
+    assert plan(got).count("Join") == 1
+    assert got.where("feature_id <> site_id").count() == 0
+    far = sel.features_by_geom(spots, SITES, (-100.0, 30.0), predicate="BEYOND", metres=1000,
+                               outfields=["segment"])
+    assert far.columns == ["query_id", "feature_id", "segment"]
+    with pytest.raises(InputValueError):
+        sel.ids_by_geom(spots, SITES, queries, outfields=["nope"])
+
+
 def test_empty_and_null_geometries_match_nothing(spark):
     rows = spark.createDataFrame([(0, None), (1, ("polygon", []))], f"id bigint, geom {g.GEOMETRY}")
     assert found(sel.ids_by_geom(rows, SITE, (0.0, 0.0, 1.0, 1.0))) == []

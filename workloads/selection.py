@@ -371,13 +371,11 @@ def c10_areas(spark, sf):
 
 def sites_in_boxes(spark, sf):
     """Flagship: the sites in each box that owe nothing, with their attributes."""
-    spots = ly.sites(spark, sf)
-    pairs = sel.ids_by_geom(
-        spots, SITES, ly.as_queries(ly.boxes(spark, sf), "box_id"), where="acctbal > 0")
-    return pairs.join(
-        spots.select(F.col("site_id").alias("feature_id"), "segment", "acctbal"), "feature_id"
-    ).select(F.col("query_id").alias("box_id"), F.col("feature_id").alias("site_id"),
-             "segment", "acctbal")
+    found = sel.ids_by_geom(
+        ly.sites(spark, sf), SITES, ly.as_queries(ly.boxes(spark, sf), "box_id"),
+        where="acctbal > 0", outfields=["segment", "acctbal"])
+    return found.select(F.col("query_id").alias("box_id"), F.col("feature_id").alias("site_id"),
+                        "segment", "acctbal")
 
 
 query("flagship_sites_in_boxes", f"""SELECT box_id, b.site_id, segment, b.acctbal FROM ({SITE_IN_BOX}) b
