@@ -36,6 +36,11 @@ def measure(df: DataFrame, n_vertices: str, level: str) -> Size:
     return Size(row.n, row.v or 0, tuple(sorted(row.l)))
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of a table as the optimizer knows it; that of files is exact, others lean high."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def spread_small(df: DataFrame, key: str) -> DataFrame:
     """Give a small table one partition per core.
 
@@ -44,8 +49,8 @@ def spread_small(df: DataFrame, key: str) -> DataFrame:
     partitions already and are not worth a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, key) if size <= cores * SMALL_BYTES_PER_CORE else df
+    small = estimated_bytes(df) <= cores * SMALL_BYTES_PER_CORE
+    return df.repartition(cores, key) if small else df
 
 
 def small_rows(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> bool:

@@ -12,16 +12,27 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geolayer.plans.bounded import estimated_bytes
 from geolayer.session import written
 
 
+PART_BYTES = 64 << 20
+
+
+def _parts(df: DataFrame) -> int:
+    """Parts of an ordered table: the shuffle setting, but for a small table one per core."""
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return min(most, max(cores, estimated_bytes(df) // PART_BYTES))
+
+
 def ordered_table(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
     """``df`` written in global order, with ``_part`` and ``_pos`` (0-based in the part).
 
     Range bounds come from a sample, so give keys that tell rows apart (end with an id): a
     key shared by a third of the rows is then split as well.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or _parts(df)
     cols = [F.col(k) for k in keys]
     placed = (
         df.repartitionByRange(n, *cols)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from geolayer.functions.geometry import BBOX
 from geolayer.functions.sql import num
 from geolayer.plans.bounded import Size, measure, spread_small
+from geolayer.session import written
 
 LEVELS = 24
 LEVEL_RATIO = 2.0
@@ -79,8 +80,9 @@ def _split_hot(
             F.ceil(F.count(F.lit(1)) / F.lit(limit)).cast("int").alias(name)
         ).where(F.col(name) > 1)
 
-    blocks = F.broadcast(
-        hot(left, left_rows, "_nl").join(hot(right, right_rows, "_nr"), key, "full"))
+    # Written, so that both sides are counted once and not once for each use of the list.
+    listed = hot(left, left_rows, "_nl").join(hot(right, right_rows, "_nr"), key, "full")
+    blocks = F.broadcast(written(listed, "hot-cells"))
 
     def assign(df: DataFrame, mine: str, n_mine: str, other: str, n_other: str) -> DataFrame:
         n1, n2 = F.coalesce(F.col(n_mine), F.lit(1)), F.coalesce(F.col(n_other), F.lit(1))
