@@ -5,10 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_WORK: dict[str, str] = {}
+_SHIPPED: set[str] = set()
+_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+_PACKAGES = ("geolayer", "workloads")
 
 
 def get_session(master: str | None = None, app: str = "geolayer", **conf: str) -> SparkSession:
@@ -53,3 +57,23 @@ def written(df: DataFrame, name: str = "cut") -> DataFrame:
     path = os.path.join(work_dir(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_packages(spark: SparkSession) -> None:
+    """Send the packages' code to the executors, once per application.
+
+    The archive is code only; the driver serves it, so its own temporary folder will do.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="geolayer-code-"), "geolayer_packages.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for package in _PACKAGES:
+            for folder, _, names in os.walk(os.path.join(_ROOT, package)):
+                for name in names:
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        z.write(path, os.path.relpath(path, _ROOT))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
