@@ -49,10 +49,10 @@ def exact_dedup(
         "_xpre": F.xxhash64(F.substring("_xnorm", 1, prefix_chars)),
     })
     slim = written(keyed.select("_xlen", "_xpre"), "exact-keys")
-    several = slim.groupBy("_xlen").count().filter("count > 1").select("_xlen")
+    counted = slim.groupBy("_xlen", "_xpre").count()
+    several = counted.groupBy("_xlen").agg(F.sum("count").alias("n")).filter("n > 1")
     groups = written(
-        slim.join(several, "_xlen", "left_semi")
-        .groupBy("_xlen", "_xpre").count().filter("count > 1").select("_xlen", "_xpre"),
+        counted.join(several, "_xlen", "left_semi").filter("count > 1").select("_xlen", "_xpre"),
         "exact-groups")
     groups = bounded(groups)
     # Rows of groups that survive the prefix hash, with the hash of their whole content.

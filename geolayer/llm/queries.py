@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from geolayer.llm.bpe import encode_documents
 from geolayer.llm.common import documents, remainder, text_of
 from geolayer.llm.exact_dedup import exact_dedup, normalised
+from geolayer.llm.lm_scoring import lm_scores
 from geolayer.llm.mixing import mix_copies, times, with_plan
 from geolayer.llm.near_dedup import near_duplicates
 from geolayer.llm.quality_classifier import fit, labelled, scored
@@ -54,6 +55,11 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model and base scores."""
+    return lm_scores(documents(spark, sf_dir))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdicts of the quality rules."""
     return quality_rules(documents(spark, sf_dir))
@@ -83,6 +89,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_token_counts, op2_substring_dedup, op3_mixing, op4_bpe, op5_near_dedup,
-        op7_quality_rules, op8_quality_classifier, op9_exact_dedup, op10_sharding)}
+        op6_lm_scoring, op7_quality_rules, op8_quality_classifier, op9_exact_dedup, op10_sharding)}
 
 ORACLES: dict[str, str] = {}
