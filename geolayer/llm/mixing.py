@@ -81,7 +81,7 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
         "_left", F.col("target") - F.col("epochs") * F.col("source_size"))
     state = written(state.select(
         "source", "source_size", "target", "epochs", "_left", F.lit(0).cast("long").alias("_low"),
-        F.lit(False).alias("_done"), F.lit(None).cast("long").alias("cut")), "mix-state")
+        (F.col("_left") <= 0).alias("_done"), F.lit(0).cast("long").alias("cut")), "mix-state")
     shift = HASH_BITS
     while shift > 0 and state.filter("NOT _done").limit(1).count():
         step = min(LEVEL_BITS, shift)

@@ -91,4 +91,82 @@ QUERIES: dict[str, Query] = {
         op1_token_counts, op2_substring_dedup, op3_mixing, op4_bpe, op5_near_dedup,
         op6_lm_scoring, op7_quality_rules, op8_quality_classifier, op9_exact_dedup, op10_sharding)}
 
-ORACLES: dict[str, str] = {}
+_MIX_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'text:' || md5(coalesce(text, '')))), 1, 15))
+      ::BIGINT AS h
+  FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS w
+  FROM d GROUP BY source),
+c AS (
+  SELECT *, 2 * source_size AS most, 2.0::DOUBLE * source_size / w AS r,
+    sum(2 * source_size) OVER o AS most_to, sum(w) OVER o AS w_to,
+    sum(source_size) OVER () AS total, sum(w) OVER () AS w_all
+  FROM s WINDOW o AS (ORDER BY 2.0::DOUBLE * source_size / w, source ROWS UNBOUNDED PRECEDING)),
+l AS (
+  SELECT r, (total::DOUBLE * 150 / 100 - (most_to - most)::DOUBLE) / (w_all - (w_to - w))::DOUBLE
+    AS level FROM c),
+t AS (
+  SELECT source, source_size,
+    least(most::DOUBLE, w * (SELECT min_by(level, r) FROM l WHERE level <= r)) AS target FROM c),
+e AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs
+  FROM t),
+g AS (SELECT source, h, sum(size)::BIGINT AS size FROM d GROUP BY source, h),
+k AS (
+  SELECT source, h, size,
+    (sum(size) OVER (PARTITION BY source ORDER BY h ROWS UNBOUNDED PRECEDING))::BIGINT AS upto
+  FROM g)
+SELECT d.doc_id, d.size, e.source_size, e.target,
+  d.size * (e.epochs + CASE
+    WHEN k.upto <= e.target - e.epochs * e.source_size THEN 1
+    WHEN k.upto - k.size < e.target - e.epochs * e.source_size
+      AND k.upto - (e.target - e.epochs * e.source_size)
+        < e.target - e.epochs * e.source_size - (k.upto - k.size) THEN 1
+    ELSE 0 END)::BIGINT AS taken
+FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source
+JOIN k ON k.source IS NOT DISTINCT FROM d.source AND k.h = d.h
+"""
+
+_NEAR_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(ws) < 2 THEN ws
+      ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS s
+    FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+e AS (
+  SELECT x, y FROM p JOIN n n1 ON n1.doc_id = x JOIN n n2 ON n2.doc_id = y
+  WHERE 100 * c >= 80 * (n1.n + n2.n - c)),
+b AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r AS (
+  SELECT doc_id, doc_id AS c FROM documents
+  UNION SELECT r.doc_id, b.y FROM r JOIN b ON r.c = b.x),
+m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
+SELECT m.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, m.doc_id = component_id AS kept
+FROM m LEFT JOIN n ON n.doc_id = m.doc_id
+"""
+
+_EXACT_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+    regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS n FROM documents)
+SELECT doc_id, sha256(n) AS text_sha256, first_value(doc_id) OVER o AS keep_id,
+  count(*) OVER (PARTITION BY n) AS group_size, row_number() OVER o = 1 AS kept
+FROM d WINDOW o AS (PARTITION BY n ORDER BY length(t) DESC, doc_id)
+"""
+
+#: The others have no SQL of their kind (automaton, merge queue, learnt models), or one that does
+#: not end on whole tables; they are tested against brute force.
+ORACLES: dict[str, str] = {
+    "op3_mixing": _MIX_SQL, "op5_near_dedup": _NEAR_SQL, "op9_exact_dedup": _EXACT_SQL}
