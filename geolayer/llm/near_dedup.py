@@ -6,9 +6,11 @@ of differing bits whether a proposed pair can be similar enough, and the full se
 pass decide. Documents with the same set form one class, so that copies are never paired.
 
 In a bucket of a band every class is first paired with the earliest one. What these links join is
-one component; only classes of a bucket that are still in different components are then paired
-with each other, in blocks. So a group of near copies costs a pair for each member, and no link
-between what is not yet joined is skipped.
+one component. Then the classes of buckets that still hold several components are dealt into small
+groups at random and paired with one of their group. Only classes of a bucket that are in different
+components even then are compared with each other, in blocks and by larger sketches, and pairs that
+these let pass are confirmed. So a large group of near copies costs a few pairs for each member, and
+no link between what is not joined is skipped.
 """
 
 from __future__ import annotations
@@ -29,15 +31,22 @@ SHINGLE_WORDS = 2
 SIMILAR_PERCENT = 80
 BANDS = 32
 ROWS = 5
-SKETCH_BITS = 512
-#: The sketch lets a pair pass up to so many standard deviations below the wanted similarity.
-SLACK = 6.0
+SAMPLES = 512
+SKETCH_BITS = 1024
+#: The sketch lets a pair pass up to so many standard deviations beyond the bits it should differ in.
+SLACK = 5.0
+#: Sketches of the classes that are compared with all others of a bucket.
+FINE_SAMPLES = 4096
+FINE_BITS = 8192
+#: Rounds of random groups of about so many classes.
+TURNS = 1
+GROUP = 16
 #: Classes of one bucket that meet in one task, when they are paired with each other.
 BLOCK = 2_000
 CLASSES_PER_PART = 500_000
 
 _MULTIPLIERS = np.random.default_rng(17).integers(
-    1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    1, 1 << 63, FINE_SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _WORD_IDS: dict[str, Cache] = {}
 
 
@@ -66,36 +75,45 @@ def shingles(text: bytes, size: int = SHINGLE_WORDS) -> np.ndarray:
     return np.unique(rows)
 
 
-def samples(rows: np.ndarray) -> np.ndarray:
+def samples(rows: np.ndarray, count: int = SAMPLES) -> np.ndarray:
     """MinHash samples of a set, in blocks so that memory stays bounded."""
-    least = np.full(len(_MULTIPLIERS), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(rows), 2048):
-        block = np.multiply.outer(_MULTIPLIERS, rows[at:at + 2048])
+    least = np.full(count, np.iinfo(np.uint64).max, np.uint64)
+    width = (1 << 20) // count
+    for at in range(0, len(rows), width):
+        block = np.multiply.outer(_MULTIPLIERS[:count], rows[at:at + width])
         np.minimum(least, block.min(axis=1), out=least)
     return least
 
 
+def odd_sketches(least: np.ndarray, size: int) -> np.ndarray:
+    """Bitmaps of ``size`` bits: for each bit, whether an odd number of samples falls on it."""
+    each = np.arange(least.shape[1], dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
+    bit = (_mix(least + each) % np.uint64(size)).astype(np.int64)
+    at = bit + np.arange(len(least))[:, None] * size
+    odd = np.bincount(at.ravel(), minlength=len(least) * size).reshape(-1, size) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view("<i8")
+
+
 def sketch_rows(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Band keys and odd sketches of sets."""
-    least = np.array([samples(s) for s in sets], np.uint64).reshape(-1, BANDS * ROWS)
-    parts = least.reshape(-1, BANDS, ROWS)
+    least = np.array([samples(s) for s in sets], np.uint64).reshape(-1, SAMPLES)
+    parts = least[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS)
     keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), parts.shape[:2]).copy()
     for k in range(ROWS):
         keys = _mix(keys * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, k])
-    each = np.arange(BANDS * ROWS, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
-    bit = (_mix(least + each) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    at = bit + np.arange(len(least))[:, None] * SKETCH_BITS
-    odd = np.bincount(at.ravel(), minlength=len(least) * SKETCH_BITS).reshape(-1, SKETCH_BITS) & 1
-    words = np.packbits(odd.astype(np.uint8), axis=1).view("<i8")
-    return keys.view(np.int64), words
+    return keys.view(np.int64), odd_sketches(least, SKETCH_BITS)
 
 
-def most_differing_bits(similar_percent: int) -> int:
-    """Bits in which the sketches of a pair that is similar enough may differ."""
-    s, k = similar_percent / 100, BANDS * ROWS
-    least = max(0.0, s - SLACK * math.sqrt(s * (1 - s) / k))
-    apart = 2 * k * (1 - least)
-    return math.ceil(SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** apart))
+def most_differing_bits(similar_percent: int, k: int = SAMPLES, n: int = SKETCH_BITS) -> int:
+    """Bits in which the sketches of a pair that is similar enough may differ.
+
+    Samples that differ are binomial, and each of the two they leave flips a bit at random.
+    """
+    s = similar_percent / 100
+    apart = 2 * k * (1 - s)
+    left = (1 - 2 / n) ** apart
+    spread = math.sqrt(left ** 2 * 4 * k * s * (1 - s) + n / 4 * (1 - left ** 2))
+    return math.ceil(n / 2 * (1 - left) + SLACK * spread)
 
 
 def _sketches(docs: DataFrame, text: str, doc_id: str, size: int, carry: list[Column]) -> DataFrame:
@@ -133,20 +151,29 @@ def near_duplicates(
     rows are one document. Null ids come after all ids; where a component has no other, its
     ``component_id`` is null and its rows are kept. Other columns are not read.
 
-    A pair at the limit shares no band with a probability of 2e-6 and is cut by the sketch with less
-    than 1e-7; the sets then decide exactly (by 64-bit hashes of shingles).
+    A pair at the limit shares no band with a probability of 3e-6 and is cut by the sketch with less
+    than 1e-6; the sets then decide exactly (by 64-bit hashes of shingles).
     """
     sketches = written(_sketches(docs, text, doc_id, size, carry or []), "near-sketches")
     nodes = _classes(sketches)
     shared = _shared_buckets(nodes)
+    sets = _sets(shared.select("node").distinct(), nodes, docs, text, doc_id, size)
     star = shared.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
     star = written(_estimated(star.distinct(), nodes, similar_percent), "near-star")
-    links = _confirmed(star, nodes, docs, text, doc_id, size, similar_percent)
+    links = _confirmed(star, sets, similar_percent)
     joined = components(links)
-    across = written(_across(shared, joined, nodes, similar_percent), "near-across")
+    for turn in range(1, TURNS + 1):
+        opened = written(_open_buckets(shared, joined), "near-open")
+        drawn = written(
+            _estimated(_random_stars(opened, turn), nodes, similar_percent), "near-drawn")
+        if not drawn.limit(1).count():
+            break
+        links = links.unionByName(_confirmed(drawn, sets, similar_percent))
+        joined = components(links)
+    opened = written(_open_buckets(shared, joined), "near-open")
+    across = written(_across(opened, nodes, sets, similar_percent), "near-across")
     if across.limit(1).count():
-        more = _confirmed(across, nodes, docs, text, doc_id, size, similar_percent)
-        joined = components(links.unionByName(more))
+        joined = components(links.unionByName(_confirmed(across, sets, similar_percent)))
     # Nodes are numbered in the order of ids, so the least node of a component has the least id.
     heads = joined.join(nodes.select(F.col("node").alias("comp"), F.col("id").alias("head")), "comp")
     named = nodes.select("node", "digest", "id").join(
@@ -202,60 +229,95 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         _may_match(F.col("n1"), F.col("n2"), F.col("o1"), F.col("o2"), percent)).select("a", "b")
 
 
-def _across(shared: DataFrame, joined: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def _open_buckets(shared: DataFrame, joined: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components: ``bucket, node, comp, leader, size``."""
+    placed = written(
+        shared.join(joined, "node", "left").withColumn("comp", F.coalesce("comp", "node")),
+        "near-placed")
+    several = placed.groupBy("bucket").agg(
+        F.min("comp").alias("c1"), F.max("comp").alias("c2"),
+        F.count(F.lit(1)).alias("size")).filter("c1 < c2").select("bucket", "size")
+    return placed.join(several, "bucket").select("bucket", "node", "comp", "leader", "size")
+
+
+def _random_stars(opened: DataFrame, turn: int) -> DataFrame:
+    """Pairs of classes with one of their group; groups are drawn anew in each turn."""
+    drawn = F.xxhash64("node", F.lit(turn))
+    rows = opened.withColumn(
+        "group", F.pmod(drawn, F.ceil(F.col("size") / GROUP))).withColumn(
+        "draw", F.xxhash64("node", F.lit(-turn)))
+    first = rows.groupBy("bucket", "group").agg(
+        F.min(F.struct("draw", "node", "comp")).alias("f"))
+    return rows.join(first, ["bucket", "group"]).filter(F.col("comp") != F.col("f.comp")).select(
+        F.least("node", "f.node").alias("a"), F.greatest("node", "f.node").alias("b")).distinct()
+
+
+def _across(opened: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of a bucket in different components that sizes and sketches let pass.
 
-    Buckets that lie in one component have nothing left to find. The pairs with the leader were
-    tried before. Large buckets are cut into blocks, and each pair of blocks is a join key.
+    The pairs with the leader were tried before. Large buckets are cut into blocks, and each pair of
+    blocks is a join key. A pair is listed for the first band it shares. The small sketch is
+    compared first, the larger one, made from the sets of these classes alone, where that passes.
     """
-    placed = shared.join(joined, "node", "left").withColumn(
-        "comp", F.coalesce("comp", "node"))
-    placed = written(placed, "near-placed")
-    opened = placed.filter("node <> leader").groupBy("bucket").agg(
-        F.min("comp").alias("c1"), F.max("comp").alias("c2"),
-        F.count(F.lit(1)).alias("size")).filter("c1 < c2").select(
-        "bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    rows = placed.filter("node <> leader").join(opened, "bucket").join(
-        nodes.select("node", "n", "odd"), "node").withColumn(
+    def run(batch: pa.RecordBatch) -> dict:
+        least = np.array([
+            samples(s.values.to_numpy().view(np.uint64), FINE_SAMPLES) for s in batch.column(1)])
+        words = odd_sketches(least, FINE_BITS)
+        return {"node": batch.column(0),
+                "fine": list_array(words.ravel(), [words.shape[1]] * len(words), pa.int64())}
+
+    members = written(opened.filter("node <> leader").select("node").distinct(), "near-members")
+    fine = map_batches(
+        sets.join(members, "node", "left_semi").select("node", "set"), run,
+        "node long, fine array<long>")
+    block = F.ceil(F.col("size") / BLOCK).cast("int")
+    rows = opened.filter("node <> leader").select("bucket", "node", "comp", block.alias("blocks")).join(
+        nodes.select("node", "n", "odd", "bands"), "node").join(fine, "node").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = written(rows.select("bucket", "node", "comp", "n", "odd", "block", "blocks"), "near-open")
+    rows = written(rows, "near-blocks")
+    sent = ("node", "comp", "n", "odd", "bands", "fine")
     left = rows.withColumn("other", F.explode(F.sequence("block", F.col("blocks") - 1))).select(
         "bucket", F.col("block").alias("i"), F.col("other").alias("j"),
-        *(F.col(c).alias(f"{c}1") for c in ("node", "comp", "n", "odd")))
+        *(F.col(c).alias(f"{c}1") for c in sent))
     right = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("block")))).select(
         "bucket", F.col("other").alias("i"), F.col("block").alias("j"),
-        *(F.col(c).alias(f"{c}2") for c in ("node", "comp", "n", "odd")))
+        *(F.col(c).alias(f"{c}2") for c in sent))
+    apart = F.aggregate(
+        F.zip_with("fine1", "fine2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0),
+        lambda total, x: total + x)
+    same = F.zip_with("bands1", "bands2", lambda x, y: F.when(x == y, x))
     return left.join(right, ["bucket", "i", "j"]).filter(
         (F.col("comp1") != F.col("comp2"))
         & ((F.col("i") < F.col("j")) | (F.col("node1") < F.col("node2")))
-        & _may_match(F.col("n1"), F.col("n2"), F.col("odd1"), F.col("odd2"), percent)).select(
+        & _may_match(F.col("n1"), F.col("n2"), F.col("odd1"), F.col("odd2"), percent)
+        & (F.element_at(F.array_compact(same), 1) == F.col("bucket"))
+        & (apart <= most_differing_bits(percent, FINE_SAMPLES, FINE_BITS))).select(
         F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct()
 
 
-def _confirmed(
-    pairs: DataFrame, nodes: DataFrame, docs: DataFrame, text: str, doc_id: str, size: int,
-    percent: int,
+def _sets(
+    wanted: DataFrame, nodes: DataFrame, docs: DataFrame, text: str, doc_id: str, size: int,
 ) -> DataFrame:
-    """The pairs whose full sets are similar enough.
-
-    Sets are made anew from the texts of the paired classes alone.
-    """
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = written(wanted.join(nodes.select("node", "id", "digest", "n"), "node"), "near-wanted")
+    """``(node, set)`` of the wanted classes, made anew from the texts of their earliest rows."""
+    wanted = written(wanted.join(nodes.select("node", "id", "digest"), "node"), "near-wanted")
     ids = bounded(wanted.select(F.col("id").alias("_wid")).distinct())
     rows = docs.select(F.col(doc_id).alias("_id"), text_of(text).cast("binary").alias("_text")).join(
         ids, F.col("_id").eqNullSafe(F.col("_wid")), "left_semi")
 
     def run(batch: pa.RecordBatch) -> dict:
         sets = [shingles(t, size) for t in batch.column(0).to_pylist()]
-        flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
         return {"digest": [_digest(s) for s in sets],
-                "set": list_array(flat, [len(s) for s in sets], pa.int64())}
+                "set": list_array(
+                    np.concatenate(sets).view(np.int64), [len(s) for s in sets], pa.int64())}
 
     sets = map_batches(rows.select("_text"), run, "digest binary, set array<long>")
-    sets = written(
+    return written(
         sets.join(wanted.select("digest", "node"), "digest").select("node", "set")
         .dropDuplicates(["node"]), "near-sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
     left = sets.select(F.col("node").alias("a"), F.col("set").alias("s1"))
     right = sets.select(F.col("node").alias("b"), F.col("set").alias("s2"))
     common = F.size(F.array_intersect("s1", "s2"))
