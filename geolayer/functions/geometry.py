@@ -101,9 +101,9 @@ def drop_measure(geom: str) -> str:
 
 
 def on_grid(value: str, decimals: int) -> str:
-    """Nearest multiple of ``10**-decimals``, halves up."""
+    """Nearest multiple of ``10**-decimals``, halves up; not-a-number stays what it is."""
     scale = num(10**decimals)
-    return f"floor({value} * {scale} + 0.5D) / {scale}"
+    return f"if(isnan({value}), {value}, floor({value} * {scale} + 0.5D) / {scale})"
 
 
 def snap(geom: str, decimals: int) -> str:

@@ -23,8 +23,9 @@ def body_text(body: Column) -> Column:
 def normalize_url(url: Column, params: Column | None = None) -> Column:
     """Normal form: lower-case scheme and host, no default port or fragment, sorted query.
 
-    ``params`` is a map whose pairs join those already in the URL. Text that is no absolute
-    URL stays as it is.
+    ``params`` is a map whose pairs join those already in the URL; their names and values are
+    percent-encoded, a blank as ``+``, so that a mark inside one cannot pass for another pair. Text
+    that is no absolute URL stays as it is.
     """
     trimmed = F.trim(url)
     pieces = F.split(F.regexp_replace(trimmed, _SHAPE, f"$1{_GAP}$2{_GAP}$3{_GAP}$4"), _GAP)
@@ -38,7 +39,8 @@ def normalize_url(url: Column, params: Column | None = None) -> Column:
         pairs = F.filter(
             F.split(F.substring(F.get(p, F.lit(3)), 2, 1 << 30), "&"), lambda q: q != "")
         if params is not None:
-            added = F.transform(F.map_entries(params), lambda e: F.concat(e.key, F.lit("="), e.value))
+            added = F.transform(F.map_entries(params), lambda e: F.concat(
+                F.url_encode(e.key), F.lit("="), F.url_encode(e.value)))
             pairs = F.concat(pairs, F.coalesce(added, F.array().cast("array<string>")))
         query = F.array_join(F.array_sort(pairs), "&")
         mark = F.when(query == "", "").otherwise("?")

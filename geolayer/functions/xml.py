@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def stripped(text: Column) -> Column:
+    """A text without white space around it, line breaks included."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def well_formed(text: Column) -> Column:
     """Whether a text is XML; the path functions raise on other texts."""
     parsed = F.from_xml(
@@ -13,4 +18,4 @@ def well_formed(text: Column) -> Column:
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     return F.coalesce(
         text.isNotNull() & parsed.getField("_corrupt_record").isNull()
-        & F.trim(text).startswith("<"), F.lit(False))
+        & stripped(text).startswith("<"), F.lit(False))

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from geolayer.errors import InputTypeError, InputValueError
 from geolayer.functions.urls import body_text, normalize_url, request_key
-from geolayer.functions.xml import well_formed
+from geolayer.functions.xml import stripped, well_formed
 from geolayer.plans.ordered import ordered_table
 
 # Parts a request may carry, methods, and the default age limit in seconds.
@@ -114,7 +114,7 @@ def cache_lookup(
 
     ``requests`` has ``request_id, ts``, ``cache`` has ``cache_id, ts``, both have the keys.
     ``status`` is ``hit``, ``expired`` (older than ``ttl``) or ``miss``. A disabled cache always
-    misses; a negative ``ttl`` never expires.
+    misses; a negative ``ttl`` never expires. A request with a null key or time misses.
 
     Both tables are put in one order of key and time and cut into even parts, whatever the
     key, so a key with a third of the rows is worked on by many tasks. Inside a part a window
@@ -125,8 +125,10 @@ def cache_lookup(
         disabled = os.environ.get("GEOLAYER_CACHE_DISABLE", "false").lower() == "true"
     reply = "struct<micros:bigint,id:bigint>"
     if disabled:
-        return requests.withColumn("cache_id", F.lit(None).cast("bigint")).withColumn(
-            "cache_ts", F.lit(None).cast("timestamp")).withColumn("status", F.lit("miss"))
+        return requests.select(
+            F.col("request_id").cast("bigint").alias("request_id"), *keys,
+            F.col("ts").cast("timestamp").alias("ts"), F.lit(None).cast("bigint").alias("cache_id"),
+            F.lit(None).cast("timestamp").alias("cache_ts"), F.lit("miss").alias("status"))
     limit = age_limit(ttl)
 
     def side(df: DataFrame, name: str, is_request: int) -> DataFrame:
@@ -134,6 +136,8 @@ def cache_lookup(
             *keys, F.col("ts").cast("timestamp").alias("ts"), F.lit(is_request).alias("_req"),
             F.col(name).cast("bigint").alias("_id"))
 
+    # A reply without a key or time answers nothing, and a request without a key asks for nothing.
+    cache = cache.dropna(subset=[*keys, "ts"])
     both = side(cache, "cache_id", 0).unionByName(side(requests, "request_id", 1))
     table = ordered_table(both, [*keys, "ts", "_req", "_id"], partitions)
     own = F.when(F.col("_req") == 0, F.struct(
@@ -172,15 +176,16 @@ def cache_lookup(
 
 
 def _first_text(xml: Column, path: str) -> Column:
-    return F.trim(F.get(F.xpath(xml, F.lit(path)), F.lit(0)))
+    return stripped(F.get(F.xpath(xml, F.lit(path)), F.lit(0)))
 
 
 def error_text(reply: Column) -> Column:
     """Message of an error reply.
 
-    Text that is not XML is the message. Otherwise it is the text before the first nested
+    White space around a reply or message does not count. Text that is not XML is the message. Otherwise it is the text before the first nested
     element of the first child of the last child, else of the last child, else of the root.
     """
+    reply = stripped(reply)
     deep = F.xpath_boolean(reply, F.lit("/*/*[last()]/*"))
     wide = F.xpath_boolean(reply, F.lit("/*/*"))
     inside = (

@@ -80,11 +80,13 @@ def _error(payload: Column, field: str) -> Column:
 def split_responses(responses: DataFrame, payload: str = "payload") -> DataFrame:
     """Add ``failed`` and ``message``: a reply with the key ``error`` failed, even a null one.
 
-    A reply that never came (null payload) failed too.
+    A reply that never came (null payload) failed too, and so did one that is no JSON, such as one
+    cut off in transit.
     """
     body = F.col(payload)
     return responses.withColumn(
-        "failed", body.isNull() | _error(body, "$.error").isNotNull()
+        "failed",
+        body.isNull() | F.try_parse_json(body).isNull() | _error(body, "$.error").isNotNull()
     ).withColumn("message", _error(body, "$.error.message"))
 
 
@@ -106,12 +108,15 @@ def ok_responses(split: DataFrame, retry: bool = True) -> DataFrame:
     return good
 
 
-def failed_ids(split: DataFrame, requests: DataFrame) -> DataFrame:
-    """Distinct ids asked for by the failed requests, from their ``object_ids`` text."""
+def failed_ids(split: DataFrame, requests: DataFrame, id_type: str = "bigint") -> DataFrame:
+    """Distinct ids asked for by the failed requests, from their ``object_ids`` text.
+
+    ``id_type`` is the type of the layer's ids, ``string`` for text ids.
+    """
     bad = split.where("failed").select("request_id")
     return requests.join(bad, "request_id", "left_semi").select(
         F.explode(F.split("object_ids", ",")).alias("id")).select(
-        F.col("id").cast("bigint")).distinct()
+        F.col("id").cast(id_type)).distinct()
 
 
 def retry_sizes(max_nrecords: int) -> list[int]:

@@ -12,18 +12,18 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geolayer.plans.bounded import estimated_bytes
-from geolayer.session import written
+from geolayer.session import stored_bytes, written, written_at
 
+#: Stored bytes of a part; sorting takes a few times as much memory.
+PART_BYTES = 32 << 20
 
-PART_BYTES = 64 << 20
 
-
-def _parts(df: DataFrame) -> int:
-    """Parts of an ordered table: the shuffle setting, but for a small table one per core."""
-    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return min(most, max(cores, estimated_bytes(df) // PART_BYTES))
+def _stored(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` written once, since sorting reads it twice, and how many parts its bytes make: no
+    fewer than there are cores, with no upper limit."""
+    spark = df.sparkSession
+    table, path = written_at(df, "unordered")
+    return table, max(spark.sparkContext.defaultParallelism, stored_bytes(spark, path) // PART_BYTES)
 
 
 def ordered_table(df: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
@@ -32,7 +32,7 @@ def ordered_table(df: DataFrame, keys: list[str], partitions: int | None = None)
     Range bounds come from a sample, so give keys that tell rows apart (end with an id): a
     key shared by a third of the rows is then split as well.
     """
-    n = partitions or _parts(df)
+    df, n = (df, partitions) if partitions else _stored(df)
     cols = [F.col(k) for k in keys]
     placed = (
         df.repartitionByRange(n, *cols)

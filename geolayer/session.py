@@ -53,10 +53,21 @@ def written(df: DataFrame, name: str = "cut") -> DataFrame:
     This cuts the lineage: what follows reads files that survive the loss of any executor,
     and sees the same rows however often it is run.
     """
+    return written_at(df, name)[0]
+
+
+def written_at(df: DataFrame, name: str = "cut") -> tuple[DataFrame, str]:
+    """``written`` and the folder it went to."""
     spark = df.sparkSession
     path = os.path.join(work_dir(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the Parquet files of a folder; only the list of files is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return files.agg({"length": "sum"}).first()[0] or 0
 
 
 def ship_packages(spark: SparkSession) -> None:
