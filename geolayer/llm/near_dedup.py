@@ -44,6 +44,7 @@ GROUP = 16
 #: Classes of one bucket that meet in one task, when they are paired with each other.
 BLOCK = 2_000
 CLASSES_PER_PART = 500_000
+LINKS_PER_PART = 1_000_000
 
 _MULTIPLIERS = np.random.default_rng(17).integers(
     1, 1 << 63, FINE_SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -160,20 +161,18 @@ def near_duplicates(
     sets = _sets(shared.select("node").distinct(), nodes, docs, text, doc_id, size)
     star = shared.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
     star = written(_estimated(star.distinct(), nodes, similar_percent), "near-star")
-    links = _confirmed(star, sets, similar_percent)
-    joined = components(links)
+    joined = components(_confirmed(star, sets, similar_percent))
     for turn in range(1, TURNS + 1):
         opened = written(_open_buckets(shared, joined), "near-open")
         drawn = written(
             _estimated(_random_stars(opened, turn), nodes, similar_percent), "near-drawn")
         if not drawn.limit(1).count():
             break
-        links = links.unionByName(_confirmed(drawn, sets, similar_percent))
-        joined = components(links)
+        joined = components(_stars(joined).unionByName(_confirmed(drawn, sets, similar_percent)))
     opened = written(_open_buckets(shared, joined), "near-open")
     across = written(_across(opened, nodes, sets, similar_percent), "near-across")
     if across.limit(1).count():
-        joined = components(links.unionByName(_confirmed(across, sets, similar_percent)))
+        joined = components(_stars(joined).unionByName(_confirmed(across, sets, similar_percent)))
     # Nodes are numbered in the order of ids, so the least node of a component has the least id.
     heads = joined.join(nodes.select(F.col("node").alias("comp"), F.col("id").alias("head")), "comp")
     named = nodes.select("node", "digest", "id").join(
@@ -327,6 +326,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .filter(common * 100 >= (total - common) * percent).select("a", "b"), "near-links")
 
 
+def _stars(joined: DataFrame) -> DataFrame:
+    """Components as links to their least node, from which further rounds go on."""
+    return joined.select(F.col("comp").alias("a"), F.col("node").alias("b"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """``(node, comp)`` of every linked node: the least node of its component.
 
@@ -336,18 +340,21 @@ def components(links: DataFrame) -> DataFrame:
     edges = written(links.select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(),
         "component-edges")
+    # Links are few against the documents; a file holds up to a million of them.
+    cores = edges.sparkSession.sparkContext.defaultParallelism
+    parts = max(cores, edges.count() // LINKS_PER_PART)
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.join(least, "u").filter("v > u").select(
             F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = written(large, "component-edges")
+        large = written(large.coalesce(parts), "component-edges")
         small_least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(small_least, "u").filter("v <> m").select(
             F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             small_least.select("u", F.col("m").alias("v"))).distinct()
-        edges = written(small, "component-edges")
+        edges = written(small.coalesce(parts), "component-edges")
         seen = edges.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == state:
