@@ -8,9 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-MAX_NESTED_LISTS = 4
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and hand it to ``body``."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -30,39 +27,52 @@ def _fan_out(value: Column) -> Column:
         F.size(items) == 0, F.array(_null_variant())).otherwise(items))
 
 
-def _spread(values: Column, depth: int) -> Column:
-    """Lists among the values replaced by their items, down to ``depth`` lists in lists."""
-    if depth == 0:
-        return values
-    return let(values, lambda v: F.when(
-        F.exists(v, lambda i: _items(i).isNotNull()),
-        _spread(F.flatten(F.transform(v, _fan_out)), depth - 1)).otherwise(v))
+def _any_list(values: Column) -> Column:
+    return F.exists(values, lambda i: _items(i).isNotNull())
+
+
+def _spread(values: Column, lists: Column) -> Column:
+    """Lists among the values replaced by their items until no list is left.
 
+    ``lists`` is at least the number of lists in the document, so as many rounds reach any depth;
+    rounds after the last list do nothing.
+    """
+    def once(state: Column, _: Column) -> Column:
+        spread = let(F.flatten(F.transform(state["v"], _fan_out)),
+                     lambda v: F.struct(v.alias("v"), _any_list(v).alias("more")))
+        return F.when(state["more"], spread).otherwise(state)
+
+    start = F.struct(values.alias("v"), _any_list(values).alias("more"))
+    return F.aggregate(F.array_repeat(F.lit(0), lists), start, once, lambda state: state["v"])
 
-def _step(values: Column, key: str) -> Column:
+
+def _step(values: Column, key: str, lists: Column) -> Column:
     """Value of ``key`` for each item, lists spread out first; null where it is absent."""
     quoted = "$['" + key.replace("'", "\\'") + "']"
-    return F.transform(_spread(values, MAX_NESTED_LISTS), lambda i: F.coalesce(
+    # Bound once, since the walk over lists names them twice.
+    return F.transform(let(values, lambda v: _spread(v, lists)), lambda i: F.coalesce(
         F.try_variant_get(i, quoted, "variant"), _null_variant()))
 
 
-def _walk(start: Column, path: list[str]) -> Column:
+def _walk(start: Column, path: list[str], lists: Column) -> Column:
     items = F.array(start)
     for key in path:
-        items = _step(items, key)
+        items = _step(items, key, lists)
     return F.transform(items, lambda v: F.try_variant_get(v, "$", "string"))
 
 
 def traverse_json(text: Column, path: list[str]) -> Column:
     """Values found along ``path``, as text, one list per item of a top-level list.
 
-    Lists take no path step. A missing key, an empty list, a scalar before the end of the path and
-    a null give one null each. A list at the final key is kept whole, as JSON text. A top-level
+    Lists take no path step, however deep they lie in lists. A missing key, an empty list, a
+    scalar before the end of the path and a null give one null each. A list at the final key is kept whole, as JSON text. A top-level
     object gives one list. Text that is not JSON gives null.
     """
+    lists = F.length(text) - F.length(F.replace(text, F.lit("["), F.lit("")))
+
     def outer(value: Column) -> Column:
         items = F.try_variant_get(value, "$", "array<variant>")
-        each = F.transform(items, lambda i: _walk(i, path))
-        return F.when(items.isNotNull(), each).otherwise(F.array(_walk(value, path)))
+        each = F.transform(items, lambda i: _walk(i, path, lists))
+        return F.when(items.isNotNull(), each).otherwise(F.array(_walk(value, path, lists)))
 
     return let(F.try_parse_json(text), lambda v: F.when(v.isNotNull(), outer(v)))

@@ -335,14 +335,13 @@ def features_by_box(
     """Features meeting a box ``(west, south, east, north)``.
 
     The box is rounded in its own CRS (6 decimals for degrees, 2 for metres) and then moved to
-    the layer CRS. With ``always_xy=False`` the box of a geographic CRS is given as
-    ``(south, west, north, east)``. Envelope comparisons on plain columns reach the scan.
+    the layer CRS. ``always_xy`` tells how a request would write its axes (``flip_axes``); the box
+    is given in the same order either way and selects the same features. Envelope comparisons on
+    plain columns reach the scan.
     """
     if not (isinstance(bbox, tuple) and len(bbox) == 4
             and all(isinstance(v, (int, float)) for v in bbox)):
         raise InputTypeError("bbox", "a tuple of four numbers", "(west, south, east, north)")
-    if not always_xy and not crs.is_projected(box_crs):
-        bbox = (bbox[1], bbox[0], bbox[3], bbox[2])
     w, s, e, n = (round(float(v), crs.grid_decimals(box_crs)) for v in bbox)
     if not {crs.parse_crs(box_crs), info.epsg} <= set(crs.GEOGRAPHIC) and (
             crs.parse_crs(box_crs) != info.epsg):

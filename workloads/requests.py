@@ -47,7 +47,7 @@ def page_requests(spark, sf):
     """GET requests of the pages; every third is written again in another spelling."""
     pages = ly.table(spark, sf, "pages").select("page_id", "url")
     host = F.regexp_extract("url", "^([a-z]+://[^/]*)", 1)
-    odd = F.concat(F.upper(host), F.substring(F.col("url"), F.length(host) + 1, F.lit(10_000)))
+    odd = F.concat(F.upper(host), F.substring(F.col("url"), F.length(host) + 1, F.length("url")))
     again = pages.where("page_id % 3 = 0").select(
         (F.col("page_id") + 1_000_000_000).alias("request_id"), odd.alias("url"))
     return pages.select(F.col("page_id").alias("request_id"), "url").unionByName(again).withColumn(
