@@ -1,8 +1,10 @@
 """Substring dedup by hashing lines, cut further at the ends of sentences.
 
 Units are normalised and hashed, digests are grouped over all documents, and of equal units the
-earliest one (by document id, then by place) is kept. The others are repeats; a run of
-neighbouring repeats with enough words is removed, by offsets into the original text.
+earliest one (by document id, then by place) is kept. The others are repeats. A later repeat of a
+whole line is removed whatever its length. A run of neighbouring sentence repeats is extended at
+both ends by the words of the next unit that also stand beside the kept copy; with enough words it
+is removed as far as it matches, by offsets into the original text.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geolayer.llm.common import bounded, list_array, map_batches, text_of
@@ -36,25 +38,161 @@ def units_of(text: str) -> list[tuple[int, int, int, bytes]]:
     return out
 
 
+def lines_of(text: str, units: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int]]:
+    """First and last unit of each line."""
+    out: list[tuple[int, int]] = []
+    for i, u in enumerate(units):
+        if i and text.find("\n", units[i - 1][1], u[0]) < 0:
+            out[-1] = (out[-1][0], i)
+        else:
+            out.append((i, i))
+    return out
+
+
+def _entries(text: str) -> list[tuple[int, int, int, int, int, bool, bytes]]:
+    """``(no, last, start, end, words, whole, digest)`` of units, and of lines of several units.
+
+    A line of one unit has no entry of its own: its unit is marked as a whole line.
+    """
+    units = units_of(text)
+    lines = lines_of(text, units)
+    alone = {i for i, j in lines if i == j}
+    out = [(i, i, *u[:3], i in alone, u[3]) for i, u in enumerate(units)]
+    for i, j in lines:
+        if i < j:
+            start, end = units[i][0], units[j][1]
+            digest = hashlib.blake2b(
+                " ".join(text[start:end].lower().split()).encode("utf-8"), digest_size=16,
+                person=b"line").digest()
+            out.append((i, j, start, end, sum(u[2] for u in units[i:j + 1]), True, digest))
+    return out
+
+
+_ENTRY = {"no": "int", "last": "int", "start": "int", "end": "int", "words": "int",
+          "whole": "boolean", "h1": "long", "h2": "long"}
+_ARROW = {"int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_()}
+
+
 def text_units(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per document with its units as arrays."""
+    """One row per document with its text, and its units and lines as arrays."""
     def run(batch: pa.RecordBatch) -> dict:
-        rows = [units_of(t) for t in batch.column(1).to_pylist()]
+        rows = [_entries(t) for t in batch.column(1).to_pylist()]
         lengths = [len(r) for r in rows]
         flat = [u for r in rows for u in r]
-        digests = np.frombuffer(b"".join(u[3] for u in flat), "<i8").reshape(-1, 2)
-        column = {
-            "start": [u[0] for u in flat], "end": [u[1] for u in flat],
-            "words": [u[2] for u in flat], "h1": digests[:, 0], "h2": digests[:, 1]}
-        kinds = {"start": pa.int32(), "end": pa.int32(), "words": pa.int32(),
-                 "h1": pa.int64(), "h2": pa.int64()}
-        return {"doc_id": batch.column(0)} | {
-            k: list_array(v, lengths, kinds[k]) for k, v in column.items()}
+        digests = np.frombuffer(b"".join(u[6] for u in flat), "<i8").reshape(-1, 2)
+        column = {n: [u[k] for u in flat] for k, n in enumerate(list(_ENTRY)[:6])}
+        column |= {"h1": digests[:, 0], "h2": digests[:, 1]}
+        return {"doc_id": batch.column(0), "text": batch.column(1)} | {
+            n: list_array(v, lengths, _ARROW[_ENTRY[n]]) for n, v in column.items()}
 
     return map_batches(
         docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text")), run,
-        f"doc_id {dict(docs.dtypes)[doc_id]}, start array<int>, end array<int>, words array<int>, "
-        "h1 array<long>, h2 array<long>")
+        f"doc_id {dict(docs.dtypes)[doc_id]}, text string, "
+        + ", ".join(f"{n} array<{k}>" for n, k in _ENTRY.items()))
+
+
+def neighbours(table: DataFrame, ends: DataFrame) -> DataFrame:
+    """``row, no, side, at, near``: the text of the unit before (side -1) or after (side 1) unit
+    ``no``, and where it starts. ``ends`` names ``row, no, side``; units at the edge have none.
+
+    Texts meet the list of their own ends only, so each is moved once.
+    """
+    asked = ends.distinct().groupBy(F.col("row").alias("_row")).agg(
+        F.collect_list("no").alias("nos"), F.collect_list("side").alias("sides"))
+    held = table.select("row", "text", "no", "last", "start", "end").join(
+        asked, F.col("row") == F.col("_row"))
+
+    def run(batch: pa.RecordBatch) -> dict:
+        out: dict[str, list] = {n: [] for n in ("row", "no", "side", "at", "near")}
+        names = ("row", "text", "no", "last", "start", "end", "nos", "sides")
+        for row, text, first, last, start, end, nos, sides in zip(
+                *(batch.column(n).to_pylist() for n in names)):
+            n = sum(i == j for i, j in zip(first, last))
+            for no, side in zip(nos, sides):
+                if 0 <= no + side < n:
+                    at = start[no + side]
+                    for name, v in zip(out, (row, no, side, at, text[at:end[no + side]])):
+                        out[name].append(v)
+        return out
+
+    return map_batches(
+        held.drop("_row"), run, "row long, no int, side int, at int, near string")
+
+
+def matching(own: str, kept: str, side: int) -> tuple[int, int, int]:
+    """How many words of ``own`` match ``kept`` from the end that touches the run (side -1: from
+    its last word), the offset in ``own`` up to which they match, and the words of ``own``."""
+    mine, theirs = list(re.finditer(r"\S+", own)), kept.lower().split()
+    if side < 0:
+        mine, theirs = mine[::-1], theirs[::-1]
+    n = 0
+    while n < min(len(mine), len(theirs)) and mine[n].group().lower() == theirs[n]:
+        n += 1
+    at = 0 if not n else mine[n - 1].start() if side < 0 else mine[n - 1].end()
+    return n, at, len(mine)
+
+
+def extended(table: DataFrame, runs: DataFrame) -> DataFrame:
+    """``row, first, side, more, at, size`` of the run ends with matching words beside them.
+
+    Many runs can end at one kept unit; that join is split by Spark where a key is hot.
+    """
+    ends = runs.select("row", "first", F.explode(F.array(
+        F.struct(F.lit(-1).alias("side"), F.col("first").alias("no"),
+                 F.col("kept.row").alias("krow"), F.col("kept.no").alias("kno")),
+        F.struct(F.lit(1).alias("side"), F.col("last").alias("no"),
+                 F.col("kept_last.row").alias("krow"), F.col("kept_last.no").alias("kno"))))
+        .alias("e")).select("row", "first", "e.*")
+    near = written(neighbours(table, ends.select("row", "no", "side").union(
+        ends.select("krow", "kno", "side"))), "neighbours")
+    both = ends.join(near, ["row", "no", "side"]).join(
+        near.select(F.col("row").alias("krow"), F.col("no").alias("kno"), "side",
+                    F.col("near").alias("other")), ["krow", "kno", "side"])
+
+    def run(batch: pa.RecordBatch) -> dict:
+        found = [matching(*t) for t in zip(
+            *(batch.column(n).to_pylist() for n in ("near", "other", "side")))]
+        return {n: batch.column(n) for n in ("row", "first", "side")} | {
+            "more": [f[0] for f in found], "size": [f[2] for f in found],
+            "at": [a + f[1] for a, f in zip(batch.column("at").to_pylist(), found)]}
+
+    return map_batches(
+        both.select("row", "first", "side", "at", "near", "other"), run,
+        "row long, first int, side int, more int, at int, size int").filter("more > 0")
+
+
+def joined_spans(pieces: list[dict], least: int) -> list[tuple[int, int, int, dict]]:
+    """``(start, end, words, kept)`` of one document's runs and repeated lines.
+
+    Runs with fewer words than ``least`` leave only their repeated lines. Neighbouring lines make one
+    span, and so do runs that match the whole unit between them from both sides.
+    """
+    out: list[tuple[int, int, int, dict]] = []
+    done, touching, reach = -1, -2, 0
+    # A run comes before the lines in it.
+    for p in sorted(pieces, key=lambda p: (p["first"], -p["last"], p["line"])):
+        if p["last"] <= done:
+            continue
+        if p["line"]:
+            if touching == p["first"] - 1 and not reach:
+                start, _, words, kept = out.pop()
+                out.append((start, p["end"], words + p["words"], kept))
+            else:
+                out.append((p["start"], p["end"], p["words"], p["kept"]))
+            done, touching, reach = p["last"], p["last"], 0
+            continue
+        left, right = p["left"] or {"more": 0, "at": p["start"]}, p["right"] or {"more": 0, "at": p["end"]}
+        words = p["words"] + left["more"] + right["more"]
+        if words < least:
+            continue
+        between = left["more"] and p["first"] == touching + 2 and left["size"]
+        if between and reach and reach + left["more"] >= between:
+            start, _, before, kept = out.pop()
+            out.append((start, right["at"], before - reach - left["more"] + between + words, kept))
+        else:
+            out.append((left["at"], right["at"], words, p["kept"]))
+        done, touching, reach = p["last"], p["last"], right["more"]
+    return out
 
 
 def repeated_spans(
@@ -63,40 +201,78 @@ def repeated_spans(
 ) -> DataFrame:
     """Spans to remove: ``doc_id, start, end, n_words, first_doc_id, first_start``.
 
-    ``first_doc_id`` and ``first_start`` tell where the first unit of the run was kept. A null or
-    empty text has no units. A null id ranks after all ids; repeated rows are ranked in the order
-    they are read, so the later ones are repeats of the first. Other columns are not read.
+    ``first_doc_id`` and ``first_start`` tell where the first unit of the span was kept; words matched
+    beside it stand there too. A null or empty text has no units. A null id ranks after all ids;
+    repeated rows are ranked in the order they are read, so the later ones are repeats of the
+    first. Other columns are not read.
 
-    Units are written once without texts. A digest is grouped with map-side aggregates, and only
+    Texts are written once with their units. A digest is grouped with map-side aggregates, and only
     digests found twice or more are joined back, so a line that a third of all documents hold is
-    spread over tasks.
+    spread over tasks. Spans of one document meet in one row.
     """
-    units = written(
-        text_units(docs, text=text, doc_id=doc_id)
-        .withColumn("row", F.monotonically_increasing_id())
-        .select("doc_id", "row", F.posexplode(F.arrays_zip("start", "end", "words", "h1", "h2"))
-                .alias("no", "u"))
-        .select("doc_id", "row", "no", "u.*"),
-        "units")
+    table = written(
+        text_units(docs, text=text, doc_id=doc_id).withColumn(
+            "row", F.monotonically_increasing_id()), "units")
+    units = table.select("doc_id", "row", F.explode(F.arrays_zip(*_ENTRY)).alias("u")).select(
+        "doc_id", "row", "u.*")
     rank = F.struct(
         F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"),
         F.col("row").alias("row"), F.col("no").alias("no"), F.col("start").alias("start"))
     several = written(
-        units.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(rank).alias("kept"))
-        .filter("n > 1").select("h1", "h2", "kept"),
+        units.groupBy("h1", "h2").agg(
+            F.count(F.lit(1)).alias("n"), F.min(rank).alias("kept"),
+            F.min(F.when(F.col("whole"), rank)).alias("kept_line"))
+        .filter("n > 1").select("h1", "h2", "kept", "kept_line"),
         "repeated-units")
-    repeats = units.join(bounded(several), ["h1", "h2"]).filter(
-        (F.col("row") != F.col("kept.row")) | (F.col("no") != F.col("kept.no")))
+
+    def later(kept: str) -> Column:
+        return (F.col("row") != F.col(f"{kept}.row")) | (F.col("no") != F.col(f"{kept}.no"))
+
+    repeats = written(
+        units.join(bounded(several), ["h1", "h2"]).filter(later("kept"))
+        .withColumn("line", F.col("whole") & later("kept_line")).drop("h1", "h2", "whole"),
+        "repeats")
     in_place = Window.partitionBy("row").orderBy("no")
-    runs = repeats.withColumn("run", F.col("no") - F.row_number().over(in_place))
-    return (
-        runs.groupBy("row", "run").agg(
-            F.first("doc_id").alias("doc_id"), F.min("start").alias("start"),
-            F.max("end").alias("end"), F.sum("words").cast("long").alias("n_words"),
-            F.min_by("kept", "no").alias("kept"))
-        .filter(F.col("n_words") >= min_run_words)
-        .select("doc_id", "start", "end", "n_words", F.col("kept.doc_id").alias("first_doc_id"),
-                F.col("kept.start").alias("first_start")))
+    runs = written(
+        repeats.filter(F.col("no") == F.col("last"))
+        .withColumn("run", F.col("no") - F.row_number().over(in_place))
+        .groupBy("row", "run").agg(
+            F.first("doc_id").alias("doc_id"), F.min("no").alias("first"),
+            F.max("no").alias("last"), F.min("start").alias("start"), F.max("end").alias("end"),
+            F.sum("words").cast("long").alias("words"), F.min_by("kept", "no").alias("kept"),
+            F.max_by("kept", "no").alias("kept_last")).drop("run"), "runs")
+    more = extended(table, runs)
+
+    def side(k: int) -> Column:
+        return F.max(F.when(F.col("side") == k, F.struct("more", "at", "size")))
+
+    more = more.groupBy("row", "first").agg(side(-1).alias("left"), side(1).alias("right"))
+    shape = ["row", "doc_id", "first", "last", "start", "end", "words", "line",
+             F.struct("kept.doc_id", "kept.start").alias("kept"), "left", "right"]
+    kind = more.schema["left"].dataType
+    pieces = runs.join(more, ["row", "first"], "left").withColumn("line", F.lit(False)).select(
+        *shape).union(
+        repeats.filter("line").withColumn("first", F.col("no")).withColumn(
+            "kept", F.col("kept_line")).withColumn("words", F.col("words").cast("long"))
+        .withColumn("left", F.lit(None).cast(kind)).withColumn("right", F.lit(None).cast(kind))
+        .select(*shape))
+    own = pieces.groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"),
+        F.collect_list(F.struct(*pieces.columns[2:])).alias("pieces"))
+    key = dict(table.dtypes)["doc_id"]
+
+    def run(batch: pa.RecordBatch) -> dict:
+        out: dict[str, list] = {n: [] for n in (
+            "doc_id", "start", "end", "n_words", "first_doc_id", "first_start")}
+        for i, found in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "pieces"))):
+            for start, end, words, kept in joined_spans(found, min_run_words):
+                for name, v in zip(out, (i, start, end, words, kept["doc_id"], kept["start"])):
+                    out[name].append(v)
+        return out
+
+    return map_batches(own.select("doc_id", "pieces"), run,
+                       f"doc_id {key}, start int, end int, n_words long, first_doc_id {key}, "
+                       "first_start int")
 
 
 def without_spans(text: str, starts: list[int], ends: list[int]) -> str:

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -136,6 +137,61 @@ def test_spans_are_cut_and_first_stays(spark, awkward):
     assert {r.doc_id for r in repeated_spans(awkward, min_run_words=5).collect()} == {6}
 
 
+def test_repeats_are_whole(spark):
+    rng = random.Random(7)
+
+    def fresh(n):
+        return " ".join(f"{rng.choice('bcdfghkl')}{rng.randrange(10**9):x}" for _ in range(n))
+
+    sentence, other, one, two = fresh(12), fresh(12), fresh(14), fresh(14)
+    a, b, c = fresh(6), fresh(6), fresh(6)
+    passage = f"{fresh(15)}. {sentence}. {fresh(14)}"
+    docs = table(spark, [
+        (1, f"{fresh(9)} {passage} {fresh(8)}.\nShort line. Two parts.\n{fresh(6)}. {other}. {fresh(6)}.", "a"),
+        # Starts and ends inside sentences; twelve words of it are a whole unit.
+        (2, f"{fresh(5)} {passage.upper()} {fresh(7)}.", "a"),
+        # A whole line of four words, and one that is no repeat of a line.
+        (3, f"{fresh(5)}\n short LINE.  Two parts. \nTwo parts.", "a"),
+        # The same sentence among other words is too short.
+        (4, f"{fresh(6)}. {other}. {fresh(6)}.", "a"),
+        # The unit between two repeats matches from both ends, beside different copies: one span.
+        (5, f"{one}. {a} {b} {fresh(6)}.\n{fresh(6)} {b} {c}. {two}.", "a"),
+        (6, f"{one}. {a} {b} {c}. {two}.", "a")])
+    spans = repeated_spans(docs)
+    left = by_id(remove_spans(docs, spans))
+    before = by_id(docs)
+    assert {(r.doc_id, r.n_words, r.first_doc_id) for r in spans.collect()} == {
+        (2, 41, 1), (3, 4, 1), (6, 46, 5)}
+    assert len(words(left[2].text)) == 12 and passage.upper().split()[0] not in left[2].text
+    assert words(left[3].text)[5:] == ["Two", "parts."] and not words(left[6].text)
+    for i in (1, 4, 5):
+        assert left[i].text == before[i].text
+
+
+def test_repeated_windows_are_removed(spark, documents, rows):
+    """Word windows know nothing of units: 50 words seen in an earlier document lose some word."""
+    spans = collections.defaultdict(list)
+    for r in repeated_spans(documents).collect():
+        spans[r.doc_id].append((r.start, r.end))
+        removed = words(rows[r.doc_id][r.start:r.end])
+        assert len(removed) == r.n_words
+    seen, lost, runs = set(), 0, 0
+    for i, text in sorted(rows.items()):
+        found = [(m.start(), m.end()) for m in re.finditer(r"\S+", text or "")]
+        own = [text[a:b].lower() for a, b in found]
+        at = [tuple(own[k:k + 50]) for k in range(len(own) - 49)]
+        cover = [False] * len(own)
+        for k, w in enumerate(at):
+            if w in seen:
+                cover[k:k + 50] = [True] * 50
+        gone = [any(s <= a and b <= e for s, e in spans[i]) for a, b in found]
+        for held, part in itertools.groupby(range(len(own)), cover.__getitem__):
+            if held:
+                runs, lost = runs + 1, lost + (not any(gone[k] for k in part))
+        seen.update(at)
+    assert runs > 30 and lost == 0
+
+
 # Mixing
 
 def test_targets_share_the_excess(spark):
