@@ -9,10 +9,6 @@ from geolayer.errors import InputValueError
 from geolayer.functions.xml import well_formed
 
 _WMS_LAYER = "Name:string,Title:string,CRS:array<string>,SRS:array<string>"
-_WMS = (
-    "struct<Capability:struct<Request:struct<GetMap:struct<Format:array<string>>>,"
-    f"Layer:struct<{_WMS_LAYER},Layer:array<struct<{_WMS_LAYER}>>>>>"
-)
 _WFS_PARAM = "array<struct<_name:string,Value:array<string>,AllowedValues:struct<Value:array<string>>>>"
 _WFS = (
     "struct<OperationsMetadata:struct<Operation:array<struct<_name:string,"
@@ -37,28 +33,67 @@ def _code(texts: Column) -> Column:
         texts, lambda t: F.regexp_replace(F.lower(F.trim(t)), "^urn:.*epsg:[^:]*:", "epsg:")))
 
 
+def _wms(depth: int) -> str:
+    """Schema of a map service's document with layers nested ``depth`` deep."""
+    layer = f"struct<{_WMS_LAYER}>"
+    for _ in range(depth - 1):
+        layer = f"struct<{_WMS_LAYER},Layer:array<{layer}>>"
+    return ("struct<Capability:struct<Request:struct<GetMap:struct<Format:array<string>>>,"
+            f"Layer:array<{layer}>>>")
+
+
+def _layer_depth(text: Column) -> Column:
+    """How deep layers are nested in a text that is XML."""
+    bare = F.regexp_replace(text, r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "")
+    tags = F.regexp_extract_all(bare, F.lit(r"(<Layer(?=[\s>/])[^>]*>|</Layer\s*>)"), F.lit(1))
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(at: Column, tag: Column) -> Column:
+        inner = at.now + F.when(tag.startswith("</"), -1).otherwise(1)
+        return F.struct(
+            (inner - F.when(tag.endswith("/>"), 1).otherwise(0)).alias("now"),
+            F.greatest(at.most, inner).alias("most"))
+
+    return F.aggregate(tags, start, step, lambda at: at.most)
+
+
+def _all_layers(layers: Column, outer: Column, depth: int) -> Column:
+    """Layers of all levels with their own codes before those of the layers around them."""
+    def codes(y: Column) -> Column:
+        return F.concat(_listed(y.CRS, y.SRS), outer)
+
+    own = F.transform(layers, lambda y: F.struct(
+        y.Name.alias("Name"), y.Title.alias("Title"), codes(y).alias("codes")))
+    if depth > 1:
+        own = F.concat(own, F.flatten(F.transform(
+            layers, lambda y: _all_layers(y.getField("Layer"), codes(y), depth - 1))))
+    return F.coalesce(own, F.array().cast(
+        "array<struct<Name:string,Title:string,codes:array<string>>>"))
+
+
 def catalog_from_xml(docs: DataFrame, service: str = "wms", xml: str = "xml") -> DataFrame:
     """One row per layer: ``layer, title, crs, formats``, codes and formats lowercased.
 
-    A map layer also offers the codes of the layer around it. Documents that are not XML give
-    one row with nulls, so that an unavailable service can be seen.
+    Map layers with a name are listed from any level, and also offer the codes of all layers around
+    them; the depth is taken from the documents in a pass of its own. Documents that are not XML
+    give one row with nulls, so that an unavailable service can be seen.
     """
     if service not in ("wms", "wfs"):
         raise InputValueError("service", ("wms", "wfs"), service)
     rest = [c for c in docs.columns if c != xml]
     text = F.when(well_formed(F.col(xml)), F.col(xml))
-    doc = docs.select(*rest, F.from_xml(text, _WMS if service == "wms" else _WFS).alias("_d"))
+    depth = 1
+    if service == "wms":
+        depth = max(1, docs.agg(F.max(_layer_depth(text))).first()[0] or 1)
+    doc = docs.select(
+        *rest, F.from_xml(text, _wms(depth) if service == "wms" else _WFS).alias("_d"))
     if service == "wms":
-        top = F.col("_d.Capability.Layer")
         layers = F.filter(
-            F.coalesce(top.getField("Layer"), F.array(F.struct(
-                *[top.getField(n).alias(n) for n in ("Name", "Title", "CRS", "SRS")]))),
+            _all_layers(F.col("_d.Capability.Layer"), F.array().cast("array<string>"), depth),
             lambda y: y.Name.isNotNull())
         formats = _lower(_listed(F.col("_d.Capability.Request.GetMap.Format")))
-        outer = _listed(top.getField("CRS"), top.getField("SRS"))
-        rows = doc.select(*rest, outer.alias("_outer"), formats.alias("formats"),
-                          F.explode_outer(layers).alias("_y"))
-        codes = _code(F.concat(_listed(F.col("_y.CRS"), F.col("_y.SRS")), F.col("_outer")))
+        rows = doc.select(*rest, formats.alias("formats"), F.explode_outer(layers).alias("_y"))
+        codes = _code(F.col("_y.codes"))
     else:
         def of(items: Column, name: str) -> Column:
             return F.filter(items, lambda o: o.getField("_name") == name)

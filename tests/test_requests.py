@@ -165,3 +165,20 @@ def test_catalogs(spark):
          ("z", "image/png", "epsg:4326")], "layer string, outformat string, crs string")
     got = [r.reason for r in catalog.check_options(asked, catalog.catalog_from_xml(docs)).collect()]
     assert sorted(map(str, got)) == ["None", "crs", "layer", "outformat"]
+
+
+def test_nested_catalogs(spark):
+    deep = "<Layer><Name>d5</Name><CRS>EPSG:5</CRS></Layer>"
+    for k in (4, 3):
+        deep = f"<Layer><Title>t{k}</Title><!-- </Layer> --><CRS>EPSG:{k}</CRS>{deep}<Layer/></Layer>"
+    docs = spark.createDataFrame([
+        (1, "<W><Capability><Layer><Name>root &amp; all</Name><CRS>EPSG:1</CRS><Layer><Name>group</Name>"
+            f"<CRS>EPSG:2</CRS>{deep}</Layer><Layer queryable='1'><Name>flat</Name></Layer></Layer>"
+            "</Capability></W>"),
+        (2, "<W><Capability><Layer><Name>one</Name></Layer><Layer><Name>two</Name></Layer></Capability></W>"),
+        (3, "<W><Capability/></W>"), (4, "down <Layer>")], "doc int, xml string")
+    got = {(r.doc, r.layer): r.crs for r in catalog.catalog_from_xml(docs).collect()}
+    assert got == {
+        (1, "root & all"): ["epsg:1"], (1, "group"): ["epsg:2", "epsg:1"], (1, "flat"): ["epsg:1"],
+        (1, "d5"): ["epsg:5", "epsg:4", "epsg:3", "epsg:2", "epsg:1"],
+        (2, "one"): [], (2, "two"): [], (3, None): None, (4, None): None}

@@ -147,11 +147,14 @@ def b3(spark, sf):
 
 
 def capability_docs(spark, sf):
-    """One document per region, listing its nations as layers."""
+    """One document per region, listing its nations as layers on levels two to four."""
     layer = F.concat(
         F.lit("<Layer><Name>"), F.col("n_name"), F.lit("</Name><Title>Title of "), F.col("n_name"),
         F.lit("</Title><CRS>EPSG:"), (F.lit(26901) + F.col("n_nationkey") % 20).cast("string"),
         F.lit("</CRS></Layer>"))
+    for k in (1, 2, 2):
+        layer = F.when(F.col("n_nationkey") % 3 == k, F.concat(
+            F.lit("<Layer><Title>group</Title>"), layer, F.lit("</Layer>"))).otherwise(layer)
     nations = ly.table(spark, sf, "nation").groupBy("n_regionkey").agg(
         F.array_join(F.sort_array(F.collect_list(layer)), "").alias("layers"))
     return nations.select(
