@@ -69,7 +69,7 @@ def read_page(
         return df.orderBy(*keys).offset(start).limit(count)
     rn = F.col("_rn")
     numbered = with_row_number(df, keys, "_rn")
-    return numbered.where((rn > start) & (rn <= start + count)).drop("_rn")
+    return numbered.where((rn > start) & (rn <= start + count)).orderBy("_rn").drop("_rn")
 
 
 def all_pages(df: DataFrame, info: LayerInfo, sort_attr: str | None = None) -> DataFrame:

@@ -102,6 +102,13 @@ def test_deep_page_equals_top_page(spark, monkeypatch):
     assert [tuple(r) for r in near] == [tuple(r) for r in deep]
 
 
+def test_deep_page_is_in_order(spark, monkeypatch):
+    rows = spark.range(5000).select((F.col("id") % 7).alias("group"), "id")
+    near = paging.read_page(rows, INFO, 100, 4500, "group").collect()
+    monkeypatch.setattr(paging, "MAX_TOP_ROWS", 0)
+    assert paging.read_page(rows, INFO, 100, 4500, "group").collect() == near
+
+
 def test_page_plan_asks_for_the_limit_on_the_last_page(spark):
     layers = spark.createDataFrame([("a", 12), ("b", 5), ("c", 0), ("d", 3)], "layer string, hits bigint")
     rows = paging.page_plan(layers, 5, "1.1.0").collect()
