@@ -7,6 +7,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -19,6 +20,9 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 #: A table is broadcast only if it was counted and has at most so many narrow rows.
 BROADCAST_ROWS = 200_000
+#: Rows and text bytes of the parts that a batch is cut into.
+SLICE_ROWS = 4_096
+SLICE_BYTES = 4 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +82,35 @@ def map_partitions(
     return df.mapInArrow(run, schema)
 
 
+def slices(
+    batch: pa.RecordBatch, column: int = -1, rows: int = SLICE_ROWS, size: int = SLICE_BYTES,
+) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of at most ``rows`` rows whose texts in ``column`` have at most ``size`` bytes;
+    a longer text is a part of its own."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+    ends = np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        upto = max(int(np.searchsorted(ends, before + size, "right")), at + 1)
+        upto = min(upto, at + rows, batch.num_rows)
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
+def map_slices(
+    df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, Any] | None], schema: str,
+    rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """``map_batches`` with batches cut by the bytes of the last column, so that what ``fn`` needs
+    does not grow with the length of the texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, Any] | None]:
+        return (fn(part) for batch in batches if batch.num_rows
+                for part in slices(batch, rows=rows))
+
+    return map_partitions(df, run, schema)
+
+
 class Cache(dict):
     """Results by key, in two generations of at most ``limit`` keys: when the young one is full it
     becomes the old one, so that frequent keys stay. Long keys are not kept."""
