@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geolayer.llm.common import Cache, list_array, map_batches, text_of
+from geolayer.llm.common import Cache, list_array, map_slices, text_of
 
 # Fixed value: the pre-tokenizer's pattern of the vocabulary's family.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -223,7 +223,7 @@ def encode_documents(
             out["ids"] = list_array(np.concatenate(blocks), counts, pa.int32())
         return out
 
-    return map_batches(
+    return map_slices(
         docs.select(*names, text_of(text).alias("_text")), run,
         ", ".join([*(f"`{n}` {kinds[n]}" for n in names), "n_tokens long",
                    *["ids array<int>"] * with_ids, "ids_sha256 string", "decoded_sha256 string"]))

@@ -85,10 +85,14 @@ def map_partitions(
 def slices(
     batch: pa.RecordBatch, column: int = -1, rows: int = SLICE_ROWS, size: int = SLICE_BYTES,
 ) -> Iterator[pa.RecordBatch]:
-    """A batch in parts of at most ``rows`` rows whose texts in ``column`` have at most ``size`` bytes;
-    a longer text is a part of its own."""
-    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
-    ends = np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64)
+    """A batch in parts of at most ``rows`` rows whose texts or lists in ``column`` have at most
+    ``size`` bytes (items of lists count eight); a longer one is a part of its own."""
+    values = batch.column(column)
+    if pa.types.is_list(values.type):
+        lengths = pc.multiply(pc.list_value_length(values), 8)
+    else:
+        lengths = pc.binary_length(values)
+    ends = np.cumsum(pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     at = 0
     while at < batch.num_rows:
         before = ends[at - 1] if at else 0
@@ -99,14 +103,20 @@ def slices(
 
 
 def map_slices(
-    df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, Any] | None], schema: str,
-    rows: int = SLICE_ROWS,
+    df: DataFrame, fn: Callable[..., dict[str, Any] | None], schema: str,
+    rows: int = SLICE_ROWS, start: Callable[[], Any] | None = None,
 ) -> DataFrame:
-    """``map_batches`` with batches cut by the bytes of the last column, so that what ``fn`` needs
-    does not grow with the length of the texts."""
+    """``map_batches`` with batches cut by rows and by the bytes of the last column, so that what ``fn``
+    needs does not grow with the batch. With ``start``, what it returns at the start of a partition
+    is handed to ``fn`` as well, and let go at the end."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, Any] | None]:
-        return (fn(part) for batch in batches if batch.num_rows
-                for part in slices(batch, rows=rows))
+        more = () if start is None else (start(),)
+        for batch in batches:
+            if batch.num_rows:
+                for part in slices(batch, rows=rows):
+                    yield fn(part, *more)
+        # Workers go on to other tasks and stages; they give back what this one took.
+        pa.default_memory_pool().release_unused()
 
     return map_partitions(df, run, schema)
 
@@ -134,7 +144,11 @@ class Cache(dict):
 
 
 def list_array(values: Any, lengths: Any, kind: pa.DataType) -> pa.ListArray:
-    """A list column from flat values and the length of each row's list."""
-    offsets = np.zeros(len(lengths) + 1, np.int32)
+    """A list column from flat values and the length of each row's list; lists of one batch may
+    hold 2 ** 31 - 1 values, more is an error."""
+    offsets = np.zeros(len(lengths) + 1, np.int64)
     np.cumsum(lengths, out=offsets[1:])
+    if offsets[-1] > np.iinfo(np.int32).max:
+        raise OverflowError(f"{offsets[-1]} values in the lists of one batch")
+    offsets = offsets.astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))

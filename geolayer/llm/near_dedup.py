@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geolayer.llm.common import Cache, bounded, list_array, map_batches, text_of
+from geolayer.llm.common import Cache, bounded, list_array, map_slices, text_of
 from geolayer.session import written
 
 SHINGLE_WORDS = 2
@@ -48,7 +48,11 @@ LINKS_PER_PART = 1_000_000
 
 _MULTIPLIERS = np.random.default_rng(17).integers(
     1, 1 << 63, FINE_SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_WORD_IDS: dict[str, Cache] = {}
+#: Rows worked on at once; a row has a few KB of samples, and hundreds with the larger sketch.
+SKETCH_ROWS = 512
+FINE_ROWS = 64
+#: Hashes of frequent words that a task keeps.
+CACHED_WORDS = 60_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -58,7 +62,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: bytes, size: int = SHINGLE_WORDS) -> np.ndarray:
+def word_hashes() -> Cache:
+    """64-bit hashes of words; one for each task, so that a worker holds none between tasks."""
+    return Cache(xxhash.xxh3_64_intdigest, CACHED_WORDS)
+
+
+def shingles(text: bytes, size: int = SHINGLE_WORDS, ids: Cache | None = None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's word shingles.
 
     A-Z are lower-cased and words lie between ASCII white space. A text with fewer words than a
@@ -67,7 +76,7 @@ def shingles(text: bytes, size: int = SHINGLE_WORDS) -> np.ndarray:
     words = text.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    ids = _WORD_IDS.setdefault("", Cache(xxhash.xxh3_64_intdigest))
+    ids = word_hashes() if ids is None else ids
     hashes = np.fromiter(map(ids.__getitem__, words), np.uint64, len(words))
     width = min(size, len(words))
     rows = _mix(hashes[:len(words) - width + 1] + np.uint64(width))
@@ -118,8 +127,8 @@ def most_differing_bits(similar_percent: int, k: int = SAMPLES, n: int = SKETCH_
 
 
 def _sketches(docs: DataFrame, text: str, doc_id: str, size: int, carry: list[Column]) -> DataFrame:
-    def run(batch: pa.RecordBatch) -> dict:
-        sets = [shingles(t, size) for t in batch.column(batch.num_columns - 1).to_pylist()]
+    def run(batch: pa.RecordBatch, ids: Cache) -> dict:
+        sets = [shingles(t, size, ids) for t in batch.column(batch.num_columns - 1).to_pylist()]
         full = [s for s in sets if len(s)]
         keys, words = sketch_rows(full)
         lengths = [len(s) for s in sets]
@@ -132,8 +141,8 @@ def _sketches(docs: DataFrame, text: str, doc_id: str, size: int, carry: list[Co
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), *carry, text_of(text).cast("binary").alias("_text"))
     head = ", ".join(f"`{n}` {k}" for n, k in rows.dtypes[:-1])
-    return map_batches(rows, run, head + ", n_shingles long, digest binary, bands array<long>, "
-                       "odd array<long>")
+    return map_slices(rows, run, head + ", n_shingles long, digest binary, bands array<long>, "
+                      "odd array<long>", SKETCH_ROWS, word_hashes)
 
 
 def _digest(rows: np.ndarray) -> bytes:
@@ -266,9 +275,9 @@ def _across(opened: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
                 "fine": list_array(words.ravel(), [words.shape[1]] * len(words), pa.int64())}
 
     members = written(opened.filter("node <> leader").select("node").distinct(), "near-members")
-    fine = map_batches(
+    fine = map_slices(
         sets.join(members, "node", "left_semi").select("node", "set"), run,
-        "node long, fine array<long>")
+        "node long, fine array<long>", FINE_ROWS)
     block = F.ceil(F.col("size") / BLOCK).cast("int")
     rows = opened.filter("node <> leader").select("bucket", "node", "comp", block.alias("blocks")).join(
         nodes.select("node", "n", "odd", "bands"), "node").join(fine, "node").withColumn(
@@ -303,13 +312,14 @@ def _sets(
     rows = docs.select(F.col(doc_id).alias("_id"), text_of(text).cast("binary").alias("_text")).join(
         ids, F.col("_id").eqNullSafe(F.col("_wid")), "left_semi")
 
-    def run(batch: pa.RecordBatch) -> dict:
-        sets = [shingles(t, size) for t in batch.column(0).to_pylist()]
+    def run(batch: pa.RecordBatch, ids: Cache) -> dict:
+        sets = [shingles(t, size, ids) for t in batch.column(0).to_pylist()]
         return {"digest": [_digest(s) for s in sets],
                 "set": list_array(
                     np.concatenate(sets).view(np.int64), [len(s) for s in sets], pa.int64())}
 
-    sets = map_batches(rows.select("_text"), run, "digest binary, set array<long>")
+    sets = map_slices(
+        rows.select("_text"), run, "digest binary, set array<long>", SKETCH_ROWS, word_hashes)
     return written(
         sets.join(wanted.select("digest", "node"), "digest").select("node", "set")
         .dropDuplicates(["node"]), "near-sets")

@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geolayer.llm.common import list_array, map_batches, map_partitions, remainder, text_of
+from geolayer.llm.common import (
+    list_array, map_batches, map_partitions, map_slices, remainder, text_of)
 from geolayer.session import written
 
 THRESHOLD = 0.3
@@ -113,7 +114,7 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         return {n: batch.column(i) for i, n in enumerate(names)} | {
             "stats": list_array(stats.ravel(), [stats.shape[1]] * len(stats), pa.float64())}
 
-    return map_batches(
+    return map_slices(
         docs.select(*names, text_of(text).alias("_text")), run,
         ", ".join([*(f"`{n}` {kinds[n]}" for n in names), "stats array<double>"]))
 
@@ -253,7 +254,7 @@ def scored(
         return {n: batch.column(i) for i, n in enumerate(names)} | {
             "score": score, "predicted": (score >= threshold).astype(np.int32)}
 
-    return map_batches(
+    return map_slices(
         docs.select(*names, text_of(text).alias("_text")), run,
         ", ".join([*(f"`{n}` {kinds[n]}" for n in names), "score double", "predicted int"]))
 
