@@ -5,6 +5,8 @@ earliest one (by document id, then by place) is kept. The others are repeats. A
 whole line is removed whatever its length. A run of neighbouring sentence repeats is extended at
 both ends by the words of the next unit that also stand beside the kept copy; with enough words it
 is removed as far as it matches, by offsets into the original text.
+
+Digests are counted first; only the units whose digest occurs twice meet again to find the earliest.
 """
 
 from __future__ import annotations
@@ -161,13 +163,13 @@ def extended(table: DataFrame, runs: DataFrame) -> DataFrame:
         "row long, first int, side int, more int, at int, size int").filter("more > 0")
 
 
-def joined_spans(pieces: list[dict], least: int) -> list[tuple[int, int, int, dict]]:
-    """``(start, end, words, kept)`` of one document's runs and repeated lines.
+def joined_spans(pieces: list[dict], least: int) -> list[tuple[int, int, int, dict, str]]:
+    """``(start, end, words, kept, kind)`` of one document's runs and repeated lines.
 
     Runs with fewer words than ``least`` leave only their repeated lines. Neighbouring lines make one
     span, and so do runs that match the whole unit between them from both sides.
     """
-    out: list[tuple[int, int, int, dict]] = []
+    out: list[tuple[int, int, int, dict, str]] = []
     done, touching, reach = -1, -2, 0
     # A run comes before the lines in it.
     for p in sorted(pieces, key=lambda p: (p["first"], -p["last"], p["line"])):
@@ -175,10 +177,10 @@ def joined_spans(pieces: list[dict], least: int) -> list[tuple[int, int, int, di
             continue
         if p["line"]:
             if touching == p["first"] - 1 and not reach:
-                start, _, words, kept = out.pop()
-                out.append((start, p["end"], words + p["words"], kept))
+                start, _, words, kept, kind = out.pop()
+                out.append((start, p["end"], words + p["words"], kept, kind))
             else:
-                out.append((p["start"], p["end"], p["words"], p["kept"]))
+                out.append((p["start"], p["end"], p["words"], p["kept"], "line"))
             done, touching, reach = p["last"], p["last"], 0
             continue
         left, right = p["left"] or {"more": 0, "at": p["start"]}, p["right"] or {"more": 0, "at": p["end"]}
@@ -187,10 +189,11 @@ def joined_spans(pieces: list[dict], least: int) -> list[tuple[int, int, int, di
             continue
         between = left["more"] and p["first"] == touching + 2 and left["size"]
         if between and reach and reach + left["more"] >= between:
-            start, _, before, kept = out.pop()
-            out.append((start, right["at"], before - reach - left["more"] + between + words, kept))
+            start, _, before, kept, _ = out.pop()
+            out.append((
+                start, right["at"], before - reach - left["more"] + between + words, kept, "run"))
         else:
-            out.append((left["at"], right["at"], words, p["kept"]))
+            out.append((left["at"], right["at"], words, p["kept"], "run"))
         done, touching, reach = p["last"], p["last"], right["more"]
     return out
 
@@ -199,37 +202,49 @@ def repeated_spans(
     docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     min_run_words: int = MIN_RUN_WORDS,
 ) -> DataFrame:
-    """Spans to remove: ``doc_id, start, end, n_words, first_doc_id, first_start``.
+    """Spans to remove: ``doc_id, start, end, n_words, first_doc_id, first_start, kind``.
 
     ``first_doc_id`` and ``first_start`` tell where the first unit of the span was kept; words matched
-    beside it stand there too. A null or empty text has no units. A null id ranks after all ids;
-    repeated rows are ranked in the order they are read, so the later ones are repeats of the
-    first. Other columns are not read.
-
-    Texts are written once with their units. A digest is grouped with map-side aggregates, and only
-    digests found twice or more are joined back, so a line that a third of all documents hold is
-    spread over tasks. Spans of one document meet in one row.
+    beside it stand there too. ``kind`` is ``line`` for whole repeated lines, removed whatever their
+    length, and ``run`` for runs of sentences. A null or empty text has no units, an empty table no
+    spans. A null id ranks after all ids; repeated rows are ranked in the order they are read, so the
+    later ones are repeats of the first. Other columns are not read. A very long text is one row with
+    arrays of its units.
+
+    Digests are counted with map-side aggregates, so a line that a third of all documents hold is
+    one row a task. Only units of digests found twice or more go on; where those are joined by shuffle,
+    Spark cuts hot keys. Spans of one document meet in one row.
     """
-    table = written(
+    return _spans(_stored_units(docs, text, doc_id), min_run_words).drop("row")
+
+
+def _stored_units(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    return written(
         text_units(docs, text=text, doc_id=doc_id).withColumn(
             "row", F.monotonically_increasing_id()), "units")
+
+
+def _spans(table: DataFrame, min_run_words: int) -> DataFrame:
+    """``repeated_spans`` of written units, with the ``row`` each span lies in."""
     units = table.select("doc_id", "row", F.explode(F.arrays_zip(*_ENTRY)).alias("u")).select(
         "doc_id", "row", "u.*")
+    several = written(
+        units.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2"),
+        "repeated-digests")
+    found = written(units.join(bounded(several), ["h1", "h2"]), "repeated-units")
     rank = F.struct(
         F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"),
         F.col("row").alias("row"), F.col("no").alias("no"), F.col("start").alias("start"))
-    several = written(
-        units.groupBy("h1", "h2").agg(
-            F.count(F.lit(1)).alias("n"), F.min(rank).alias("kept"),
-            F.min(F.when(F.col("whole"), rank)).alias("kept_line"))
-        .filter("n > 1").select("h1", "h2", "kept", "kept_line"),
-        "repeated-units")
+    first = written(
+        found.groupBy("h1", "h2").agg(
+            F.min(rank).alias("kept"), F.min(F.when(F.col("whole"), rank)).alias("kept_line")),
+        "kept-units")
 
     def later(kept: str) -> Column:
         return (F.col("row") != F.col(f"{kept}.row")) | (F.col("no") != F.col(f"{kept}.no"))
 
     repeats = written(
-        units.join(bounded(several), ["h1", "h2"]).filter(later("kept"))
+        found.join(bounded(first), ["h1", "h2"]).filter(later("kept"))
         .withColumn("line", F.col("whole") & later("kept_line")).drop("h1", "h2", "whole"),
         "repeats")
     in_place = Window.partitionBy("row").orderBy("no")
@@ -263,16 +278,17 @@ def repeated_spans(
 
     def run(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {n: [] for n in (
-            "doc_id", "start", "end", "n_words", "first_doc_id", "first_start")}
-        for i, found in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "pieces"))):
-            for start, end, words, kept in joined_spans(found, min_run_words):
-                for name, v in zip(out, (i, start, end, words, kept["doc_id"], kept["start"])):
+            "row", "doc_id", "start", "end", "n_words", "first_doc_id", "first_start", "kind")}
+        for row, i, found in zip(*(batch.column(n).to_pylist() for n in ("row", "doc_id", "pieces"))):
+            for start, end, words, kept, kind in joined_spans(found, min_run_words):
+                for name, v in zip(
+                        out, (row, i, start, end, words, kept["doc_id"], kept["start"], kind)):
                     out[name].append(v)
         return out
 
-    return map_batches(own.select("doc_id", "pieces"), run,
-                       f"doc_id {key}, start int, end int, n_words long, first_doc_id {key}, "
-                       "first_start int")
+    return map_batches(own.select("row", "doc_id", "pieces"), run,
+                       f"row long, doc_id {key}, start int, end int, n_words long, first_doc_id {key}, "
+                       "first_start int, kind string")
 
 
 def without_spans(text: str, starts: list[int], ends: list[int]) -> str:
@@ -284,16 +300,9 @@ def without_spans(text: str, starts: list[int], ends: list[int]) -> str:
     return "".join([*out, text[at:]])
 
 
-def remove_spans(
-    docs: DataFrame, spans: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
-) -> DataFrame:
-    """``docs`` with the spans of each id taken out of its text; ids must be unique.
-
-    The spans of one document meet in one row; there are at most as many as it has units.
-    """
-    own = spans.groupBy(F.col("doc_id").alias("_sid")).agg(
-        F.collect_list("start").alias("_starts"), F.collect_list("end").alias("_ends"))
-    cut = docs.join(own, F.col(doc_id).eqNullSafe(F.col("_sid")), "left").drop("_sid")
+def _cut(docs: DataFrame, own: DataFrame, on: Column, text: str) -> DataFrame:
+    """``docs`` with ``_starts, _ends`` of ``own`` taken out of the texts that fit ``on``."""
+    cut = docs.join(own, on, "left").select(*docs.columns, "_starts", "_ends")
 
     def run(batch: pa.RecordBatch) -> dict:
         out = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
@@ -302,3 +311,44 @@ def remove_spans(
                              for t, s, e in rows]}
 
     return map_batches(cut, run, ", ".join(f"`{c}` {k}" for c, k in docs.dtypes))
+
+
+def _by(spans: DataFrame, key: str) -> DataFrame:
+    return spans.groupBy(F.col(key).alias("_at")).agg(
+        F.collect_list("start").alias("_starts"), F.collect_list("end").alias("_ends"))
+
+
+def remove_spans(
+    docs: DataFrame, spans: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
+) -> DataFrame:
+    """``docs`` with the spans of each id taken out of its text.
+
+    An id with spans must name one row: a repeated or null one is an error, since its spans could be
+    cut out of another text (``remove_repeats`` takes any ids). The spans of one document meet in one
+    row; there are at most as many as it has units.
+    """
+    own = _by(spans, "doc_id")
+    named = docs.select(F.col(doc_id).alias("_id")).join(
+        own.select("_at"), F.col("_id").eqNullSafe(F.col("_at")), "left_semi")
+    wrong = named.groupBy("_id").count().filter("count > 1 OR _id IS NULL").limit(1).collect()
+    if wrong:
+        raise ValueError(f"spans need ids that name one row each; {wrong[0]._id} does not")
+    return _cut(docs, own, F.col(doc_id) == F.col("_at"), text)
+
+
+def remove_repeats(
+    docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
+    min_run_words: int = MIN_RUN_WORDS,
+) -> DataFrame:
+    """``docs`` without the repeats that ``repeated_spans`` finds, whatever the ids.
+
+    The rows are written with a number of their own, and the spans of a row are cut out of that row.
+    """
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    # The number takes the place of the row number of the units.
+    table = written(text_units(
+        rows.select(F.struct(F.col(doc_id).alias("id"), "_row").alias("_key"), F.col(text).alias("text")),
+        text="text", doc_id="_key").select(
+            F.col("doc_id.id").alias("doc_id"), "text", *_ENTRY, F.col("doc_id._row").alias("row")), "units")
+    own = _by(_spans(table, min_run_words), "row")
+    return _cut(rows, own, F.col("_row") == F.col("_at"), text).drop("_row")

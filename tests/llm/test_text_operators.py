@@ -23,7 +23,7 @@ from geolayer.llm.near_dedup import distinct_documents, near_duplicates
 from geolayer.llm.quality_classifier import fit, good_documents, labelled, scored
 from geolayer.llm.quality_rules import clean_lines, quality_rules
 from geolayer.llm.sharding import shard_documents
-from geolayer.llm.substring_dedup import remove_spans, repeated_spans, units_of
+from geolayer.llm.substring_dedup import remove_repeats, remove_spans, repeated_spans
 from geolayer.llm.token_counts import Automaton, read_pieces, token_counts
 
 SCHEMA = "doc_id long, text string, source string, kept string, score string, size string"
@@ -103,28 +103,129 @@ def test_token_counts(spark, awkward, empty):
 
 # Substring dedup
 
+def sentences(line, at):
+    """``(start, end)`` of the sentences of one line: up to marks that white space or the end follows."""
+    out, i = [], 0
+    while i < len(line):
+        if line[i].isspace():
+            i += 1
+            continue
+        start, i = i, i + 1
+        while i < len(line):
+            if line[i] not in ".!?":
+                i += 1
+                continue
+            while i < len(line) and line[i] in ".!?":
+                i += 1
+            if i == len(line) or line[i].isspace():
+                break
+        out.append((at + start, at + i))
+    return out
+
+
 def brute_spans(docs, least):
-    seen, out = set(), set()
-    for i, text in sorted(docs.items()):
-        run = []
-        for start, end, n, digest in [*units_of(text or ""), (0, 0, 0, None)]:
-            if digest is not None and digest in seen:
-                run.append((start, end, n))
+    """Spans by the rule of the operator, straight from texts: no digests and no shared code."""
+    lines, units = {}, {}
+    for i, text in docs.items():
+        at, units[i], lines[i] = 0, [], []
+        for line in (text or "").split("\n"):
+            own = sentences(line, at)
+            if own:
+                lines[i].append((len(units[i]), len(units[i]) + len(own) - 1))
+                units[i] += own
+            at += len(line) + 1
+
+    def said(i, a, b):
+        return tuple(docs[i][units[i][a][0]:units[i][b][1]].lower().split())
+
+    first, first_line = {}, {}
+    for i in sorted(docs):
+        alone = {a for a, b in lines[i] if a == b}
+        for k in range(len(units[i])):
+            first.setdefault(said(i, k, k), (i, k))
+            if k in alone:
+                first_line.setdefault(("one", said(i, k, k)), (i, k))
+        for a, b in lines[i]:
+            if a < b:
+                first_line.setdefault(("more", said(i, a, b)), (i, a))
+
+    def side_words(i, k):
+        return said(i, k, k) if 0 <= k < len(units[i]) else ()
+
+    def alike(mine, theirs):
+        n = 0
+        while n < min(len(mine), len(theirs)) and mine[n] == theirs[n]:
+            n += 1
+        return n
+
+    out = set()
+    for i in docs:
+        again = [k for k in range(len(units[i])) if first[said(i, k, k)] != (i, k)]
+        spans, gone = [], set()
+        runs = [(k, max(j for j in range(k, len(units[i])) if set(range(k, j + 1)) <= set(again)))
+                for k in again if k - 1 not in again]
+        for a, b in runs:
+            n = sum(len(said(i, k, k)) for k in range(a, b + 1))
+            before, after = side_words(i, a - 1), side_words(i, b + 1)
+            fi, fk = first[said(i, a, a)]
+            li, lk = first[said(i, b, b)]
+            left = alike(before[::-1], side_words(fi, fk - 1)[::-1])
+            right = alike(after, side_words(li, lk + 1))
+            if n + left + right >= least:
+                spans.append((a, b, left, right, n, len(before)))
+                gone |= set(range(a, b + 1))
+        cut = []
+        for a, b, left, right, n, between in spans:
+            start = units[i][a][0] if not left else [
+                m.start() for m in re.finditer(r"\S+", docs[i][:units[i][a - 1][1]])][-left]
+            end = units[i][b][1] if not right else units[i][b + 1][0] + [
+                m.end() for m in re.finditer(r"\S+", docs[i][slice(*units[i][b + 1])])][right - 1]
+            cut.append((a, b, start, end, n + left + right, "run", left, right, between))
+        for a, b in lines[i]:
+            key = ("one" if a == b else "more", said(i, a, b))
+            if first_line[key] != (i, a) and b not in gone and not set(range(a, b + 1)) <= gone:
+                cut.append((a, b, units[i][a][0], units[i][b][1], len(said(i, a, b)), "line", 0, 0, 0))
+        # What lies in a span further left is part of it already.
+        merged = []
+        for p in sorted(cut, key=lambda p: (p[0], -p[1], p[5] == "line")):
+            if merged and p[1] <= merged[-1]["last"]:
                 continue
-            seen.add(digest)
-            if run and sum(r[2] for r in run) >= least:
-                out.add((i, run[0][0], run[-1][1], sum(r[2] for r in run)))
-            run = []
+            prior = merged[-1] if merged else None
+            if p[5] == "line" and prior and prior["last"] == p[0] - 1 and not prior["reach"]:
+                prior.update(last=p[1], end=p[3], n=prior["n"] + p[4])
+            elif (p[5] == "run" and prior and p[6] and prior["reach"] and prior["last"] == p[0] - 2
+                  and prior["reach"] + p[6] >= p[8]):
+                prior.update(last=p[1], end=p[3], n=prior["n"] - prior["reach"] - p[6] + p[8] + p[4],
+                             reach=p[7], kind="run")
+            else:
+                merged.append({"last": p[1], "start": p[2], "end": p[3], "n": p[4], "kind": p[5],
+                               "reach": p[7]})
+        out |= {(i, m["start"], m["end"], m["n"], m["kind"]) for m in merged}
     return out
 
 
 def test_repeated_spans(spark, documents, rows, empty):
-    got = {(r.doc_id, r.start, r.end, r.n_words)
+    got = {(r.doc_id, r.start, r.end, r.n_words, r.kind)
            for r in queries.op2_substring_dedup(spark, "/root/testdata/sf0.001").collect()}
-    assert got == brute_spans(rows, 25) and got
+    assert got == brute_spans(rows, 25) and {g[4] for g in got} == {"line", "run"}
     assert repeated_spans(empty).count() == 0
 
 
+def test_repeats_are_cut_out_of_their_own_rows(spark, empty):
+    line = "A line of words that all of these texts hold."
+    docs = table(spark, [
+        (6, line, "a"), (6, line, "a"), (6, f"{line}\nOther words here.", "a"), (None, line, "b"),
+        (None, f"Not the same.\n{line}", "b"), (7, "Clean text.", "b"), (8, None, "b")])
+    left = remove_repeats(docs)
+    assert left.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted([
+        (6, line), (6, ""), (6, "\nOther words here."), (None, ""), (None, "Not the same.\n"),
+        (7, "Clean text."), (8, None)], key=repr)
+    with pytest.raises(ValueError, match="one row"):
+        remove_spans(docs, repeated_spans(docs))
+    assert remove_repeats(empty).count() == 0
+
+
 def test_spans_are_cut_and_first_stays(spark, awkward):
     passage = " ".join(f"Sentence {i} of it is long." for i in range(12))
     docs = table(spark, [(1, f"Intro here. {passage} Tail one.", "a"), (2, f"{passage}\nOther.", "a"),
