@@ -2,6 +2,11 @@
 
 Each stage is a function of (spark, docs, sf_dir); its result is written as Parquet and read again
 as the next stage's documents. All but the last keep the columns of ``documents``.
+
+Null texts count as empty. An empty text is scored like any other; if it is kept, it is one group of
+equal texts, near to nothing, of size 0 in the mix and without tokens. Repeated rows are equal texts,
+of which one stays. Null ids come last where ids decide. An empty table, or one that loses all rows,
+goes through all stages. Further columns, whatever their names, are carried up to the last stage.
 """
 
 from __future__ import annotations
@@ -43,8 +48,12 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mix."""
     return encode_documents(
-        docs, public_tokenizers.path("byte_bpe_50k.json"), columns=["doc_id", "lang", "source"])
+        docs, public_tokenizers.path("byte_bpe_50k.json"), columns=["doc_id", "lang", "source"],
+        cached_words=CACHED_WORDS)
+
 
+#: The workers of the last stage have run the others before it, and keep fewer words.
+CACHED_WORDS = 100_000
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality classifier", quality),

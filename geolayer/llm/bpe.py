@@ -41,10 +41,14 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
+#: Words whose ids a worker keeps, in two generations.
+CACHED_WORDS = 400_000
+
+
 class Codec:
     """Encoder and decoder of one vocabulary."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes, cached_words: int = CACHED_WORDS):
         spec = json.loads(data)
         vocab, letters = spec["model"]["vocab"], byte_letters()
         self.byte_ids = [vocab[letters[b]] for b in range(256)]
@@ -68,8 +72,8 @@ class Codec:
             self.added[token["content"]] = _packed([token["id"]])
         self._added = re.compile("(" + "|".join(
             map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        self.first = Cache(self._chunk)
-        self.later = Cache(lambda word: self._chunk(" " + word), limit=400_000)
+        self.first = Cache(self._chunk, limit=cached_words * 3 // 4)
+        self.later = Cache(lambda word: self._chunk(" " + word), limit=cached_words)
         self.break_ids = self._chunk("\n")
 
     def merge(self, word: bytes) -> list[int]:
@@ -170,12 +174,13 @@ def _packed(ids: list[int]) -> bytes:
 _CODECS: dict[str, Codec] = {}
 
 
-def codec_of(data: bytes, digest: str) -> Codec:
+def codec_of(data: bytes, digest: str, cached_words: int = CACHED_WORDS) -> Codec:
     """The codec of a vocabulary file, built once in each process."""
-    if digest not in _CODECS:
+    key = f"{digest}:{cached_words}"
+    if key not in _CODECS:
         _CODECS.clear()
-        _CODECS[digest] = Codec(data)
-    return _CODECS[digest]
+        _CODECS[key] = Codec(data, cached_words)
+    return _CODECS[key]
 
 
 def read_vocabulary(path: str) -> bytes:
@@ -189,14 +194,15 @@ def read_vocabulary(path: str) -> bytes:
 
 def encode_documents(
     docs: DataFrame, vocabulary: str, *, text: str = "text", columns: list[str] | None = None,
-    with_ids: bool = True,
+    with_ids: bool = True, cached_words: int = CACHED_WORDS,
 ) -> DataFrame:
     """``columns`` of every row with ``n_tokens``, ``ids`` (if asked), ``ids_sha256`` and
     ``decoded_sha256``, the digest of the text decoded from the ids.
 
     A null text counts as empty and has no tokens. Repeated rows are encoded alike; whole texts
     are encoded whatever their length, in time n log n. Input columns named like output columns
-    are replaced. No shuffle: a row is encoded where it is read.
+    are replaced. An empty table gives no rows. No shuffle: a row is encoded where it is read. A
+    worker keeps the ids of up to four times ``cached_words`` words, about 250 bytes each.
     """
     spark = docs.sparkSession
     data = read_vocabulary(vocabulary)
@@ -207,7 +213,7 @@ def encode_documents(
     kinds = dict(docs.dtypes)
 
     def run(batch: pa.RecordBatch) -> dict:
-        codec = codec_of(sent.value, digest)
+        codec = codec_of(sent.value, digest, cached_words)
         counts, blocks, id_digests, texts = [], [], [], []
         for value in batch.column(len(names)).to_pylist():
             packed = codec.encode(value)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -116,7 +117,11 @@ def map_slices(
                 for part in slices(batch, rows=rows):
                     yield fn(part, *more)
         # Workers go on to other tasks and stages; they give back what this one took.
+        more = part = None
         pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
 
     return map_partitions(df, run, schema)
 
