@@ -7,6 +7,7 @@ both ends by the words of the next unit that also stand beside the kept copy; wi
 is removed as far as it matches, by offsets into the original text.
 
 Digests are counted first; only the units whose digest occurs twice meet again to find the earliest.
+Texts are not stored between the steps: the words beside runs come from a second read.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geolayer.llm.common import bounded, list_array, map_batches, text_of
+from geolayer.llm.common import bounded, list_array, map_batches, map_slices, text_of
 from geolayer.session import written
 
 MIN_RUN_WORDS = 25
@@ -75,50 +76,60 @@ _ENTRY = {"no": "int", "last": "int", "start": "int", "end": "int", "words": "in
 _ARROW = {"int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_()}
 
 
+def _text_key(doc_id: str, text: str) -> list[Column]:
+    """128 bits that tell a row's id and text from those of other rows."""
+    body = text_of(text)
+    return [F.xxhash64(F.col(doc_id), body).alias("t1"), F.xxhash64(body, F.col(doc_id)).alias("t2")]
+
+
 def text_units(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per document with its text, and its units and lines as arrays."""
+    """One row per document with a key of its text, and its units and lines as arrays; no text."""
+    names = ("doc_id", "t1", "t2")
+
     def run(batch: pa.RecordBatch) -> dict:
-        rows = [_entries(t) for t in batch.column(1).to_pylist()]
+        rows = [_entries(t) for t in batch.column(3).to_pylist()]
         lengths = [len(r) for r in rows]
         flat = [u for r in rows for u in r]
         digests = np.frombuffer(b"".join(u[6] for u in flat), "<i8").reshape(-1, 2)
         column = {n: [u[k] for u in flat] for k, n in enumerate(list(_ENTRY)[:6])}
         column |= {"h1": digests[:, 0], "h2": digests[:, 1]}
-        return {"doc_id": batch.column(0), "text": batch.column(1)} | {
+        return {n: batch.column(k) for k, n in enumerate(names)} | {
             n: list_array(v, lengths, _ARROW[_ENTRY[n]]) for n, v in column.items()}
 
-    return map_batches(
-        docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text")), run,
-        f"doc_id {dict(docs.dtypes)[doc_id]}, text string, "
+    return map_slices(
+        docs.select(F.col(doc_id).alias("doc_id"), *_text_key(doc_id, text), text_of(text).alias("_text")),
+        run, f"doc_id {dict(docs.dtypes)[doc_id]}, t1 long, t2 long, "
         + ", ".join(f"{n} array<{k}>" for n, k in _ENTRY.items()))
 
 
-def neighbours(table: DataFrame, ends: DataFrame) -> DataFrame:
-    """``row, no, side, at, near``: the text of the unit before (side -1) or after (side 1) unit
-    ``no``, and where it starts. ``ends`` names ``row, no, side``; units at the edge have none.
+def neighbours(docs: DataFrame, text: str, doc_id: str, ends: DataFrame) -> DataFrame:
+    """``t1, t2, no, side, at, near``: the text of the unit before (side -1) or after (side 1) unit
+    ``no`` of a text, and where it starts. ``ends`` names ``t1, t2, no, side``; units at the edge have
+    none.
 
-    Texts meet the list of their own ends only, so each is moved once.
+    The texts are read a second time and meet the list of their own ends. Rows with equal ids and
+    texts have one list, and one answer is kept of each.
     """
-    asked = ends.distinct().groupBy(F.col("row").alias("_row")).agg(
+    asked = ends.distinct().groupBy(F.col("t1").alias("_a1"), F.col("t2").alias("_a2")).agg(
         F.collect_list("no").alias("nos"), F.collect_list("side").alias("sides"))
-    held = table.select("row", "text", "no", "last", "start", "end").join(
-        asked, F.col("row") == F.col("_row"))
+    held = docs.select(*_text_key(doc_id, text), text_of(text).alias("_text")).join(
+        asked, (F.col("t1") == F.col("_a1")) & (F.col("t2") == F.col("_a2")))
 
     def run(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {n: [] for n in ("row", "no", "side", "at", "near")}
-        names = ("row", "text", "no", "last", "start", "end", "nos", "sides")
-        for row, text, first, last, start, end, nos, sides in zip(
-                *(batch.column(n).to_pylist() for n in names)):
-            n = sum(i == j for i, j in zip(first, last))
+        out: dict[str, list] = {n: [] for n in ("t1", "t2", "no", "side", "at", "near")}
+        for t1, t2, nos, sides, text in zip(*(c.to_pylist() for c in batch.columns)):
+            places = [m.span() for m in _UNIT.finditer(text)]
             for no, side in zip(nos, sides):
-                if 0 <= no + side < n:
-                    at = start[no + side]
-                    for name, v in zip(out, (row, no, side, at, text[at:end[no + side]])):
+                if 0 <= no + side < len(places):
+                    start, end = places[no + side]
+                    for name, v in zip(out, (t1, t2, no, side, start, text[start:end])):
                         out[name].append(v)
         return out
 
-    return map_batches(
-        held.drop("_row"), run, "row long, no int, side int, at int, near string")
+    return map_slices(
+        held.select("t1", "t2", "nos", "sides", "_text"), run,
+        "t1 long, t2 long, no int, side int, at int, near string").dropDuplicates(
+            ["t1", "t2", "no", "side"])
 
 
 def matching(own: str, kept: str, side: int) -> tuple[int, int, int]:
@@ -134,22 +145,29 @@ def matching(own: str, kept: str, side: int) -> tuple[int, int, int]:
     return n, at, len(mine)
 
 
-def extended(table: DataFrame, runs: DataFrame) -> DataFrame:
+def extended(
+    table: DataFrame, runs: DataFrame, docs: DataFrame, text: str, doc_id: str,
+) -> DataFrame:
     """``row, first, side, more, at, size`` of the run ends with matching words beside them.
 
     Many runs can end at one kept unit; that join is split by Spark where a key is hot.
     """
+    keys = table.select("row", "t1", "t2")
     ends = runs.select("row", "first", F.explode(F.array(
         F.struct(F.lit(-1).alias("side"), F.col("first").alias("no"),
                  F.col("kept.row").alias("krow"), F.col("kept.no").alias("kno")),
         F.struct(F.lit(1).alias("side"), F.col("last").alias("no"),
                  F.col("kept_last.row").alias("krow"), F.col("kept_last.no").alias("kno"))))
         .alias("e")).select("row", "first", "e.*")
-    near = written(neighbours(table, ends.select("row", "no", "side").union(
-        ends.select("krow", "kno", "side"))), "neighbours")
-    both = ends.join(near, ["row", "no", "side"]).join(
-        near.select(F.col("row").alias("krow"), F.col("no").alias("kno"), "side",
-                    F.col("near").alias("other")), ["krow", "kno", "side"])
+    ends = written(
+        ends.join(keys, "row").join(
+            keys.select(F.col("row").alias("krow"), F.col("t1").alias("k1"), F.col("t2").alias("k2")),
+            "krow").drop("krow"), "run-ends")
+    near = written(neighbours(docs, text, doc_id, ends.select("t1", "t2", "no", "side").union(
+        ends.select("k1", "k2", "kno", "side"))), "neighbours")
+    both = ends.join(near, ["t1", "t2", "no", "side"]).join(
+        near.select(F.col("t1").alias("k1"), F.col("t2").alias("k2"), F.col("no").alias("kno"),
+                    "side", F.col("near").alias("other")), ["k1", "k2", "kno", "side"])
 
     def run(batch: pa.RecordBatch) -> dict:
         found = [matching(*t) for t in zip(
@@ -215,16 +233,15 @@ def repeated_spans(
     one row a task. Only units of digests found twice or more go on; where those are joined by shuffle,
     Spark cuts hot keys. Spans of one document meet in one row.
     """
-    return _spans(_stored_units(docs, text, doc_id), min_run_words).drop("row")
-
-
-def _stored_units(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    return written(
+    table = written(
         text_units(docs, text=text, doc_id=doc_id).withColumn(
             "row", F.monotonically_increasing_id()), "units")
+    return _spans(table, docs, text, doc_id, min_run_words).drop("row")
 
 
-def _spans(table: DataFrame, min_run_words: int) -> DataFrame:
+def _spans(
+    table: DataFrame, docs: DataFrame, text: str, doc_id: str, min_run_words: int,
+) -> DataFrame:
     """``repeated_spans`` of written units, with the ``row`` each span lies in."""
     units = table.select("doc_id", "row", F.explode(F.arrays_zip(*_ENTRY)).alias("u")).select(
         "doc_id", "row", "u.*")
@@ -256,7 +273,7 @@ def _spans(table: DataFrame, min_run_words: int) -> DataFrame:
             F.max("no").alias("last"), F.min("start").alias("start"), F.max("end").alias("end"),
             F.sum("words").cast("long").alias("words"), F.min_by("kept", "no").alias("kept"),
             F.max_by("kept", "no").alias("kept_last")).drop("run"), "runs")
-    more = extended(table, runs)
+    more = extended(table, runs, docs, text, doc_id)
 
     def side(k: int) -> Column:
         return F.max(F.when(F.col("side") == k, F.struct("more", "at", "size")))
@@ -347,8 +364,10 @@ def remove_repeats(
     rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     # The number takes the place of the row number of the units.
     table = written(text_units(
-        rows.select(F.struct(F.col(doc_id).alias("id"), "_row").alias("_key"), F.col(text).alias("text")),
-        text="text", doc_id="_key").select(
-            F.col("doc_id.id").alias("doc_id"), "text", *_ENTRY, F.col("doc_id._row").alias("row")), "units")
-    own = _by(_spans(table, min_run_words), "row")
+        rows.select(F.struct(F.col(doc_id).alias("id"), "_row").alias("_key"), F.col(text).alias("_body")),
+        text="_body", doc_id="_key").select(
+            F.col("doc_id.id").alias("doc_id"), "t1", "t2", *_ENTRY, F.col("doc_id._row").alias("row")),
+        "units")
+    keyed = rows.withColumn("_key", F.struct(F.col(doc_id).alias("id"), "_row"))
+    own = _by(_spans(table, keyed, text, "_key", min_run_words), "row")
     return _cut(rows, own, F.col("_row") == F.col("_at"), text).drop("_row")
