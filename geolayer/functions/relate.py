@@ -20,6 +20,17 @@ SEGMENTS = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 SPOTS = "array<struct<x:double,y:double>>"
 
 
+def _run_starts(ordered: str) -> str:
+    """0-based places in a sorted array where a new value begins; null for an empty array."""
+    return (f"IF(size({ordered}) = 0, CAST(array() AS array<int>), filter(sequence(0, "
+            f"size({ordered}) - 1), i -> i = 0 OR get({ordered}, i) != get({ordered}, i - 1)))")
+
+
+def _sorted_distinct(items: str) -> str:
+    """Distinct items by sorting: ``array_distinct`` compares all structs with each other."""
+    return let(f"array_sort({items})", lambda a: f"filter({a}, (v, i) -> i = 0 OR v != get({a}, i - 1))")
+
+
 def prepare(geom: str) -> str:
     """Struct the relations work on: dimension, vertices, segments, line ends.
 
@@ -39,11 +50,14 @@ def prepare(geom: str) -> str:
 
     ends = "flatten(" + each(
         parts, lambda p: f"array({spot(f'get({p}, 0)')}, {spot(f'element_at({p}, -1)')})") + ")"
-    odd = let(ends, lambda all_: keep(
-        f"array_distinct({all_})", lambda e: f"size({keep(all_, lambda o: f'{o} = {e}')}) % 2 = 1"))
+    odd = let(f"array_sort({ends})", lambda all_: let(_run_starts(all_), lambda at: each(
+        f"filter(sequence(0, size({at}) - 1), i -> "
+        f"(coalesce(get({at}, i + 1), size({all_})) - get({at}, i)) % 2 = 1)",
+        lambda i: f"get({all_}, get({at}, {i}))")))
     made = struct(
         dim=dim,
-        verts=f"array_distinct({each(f'flatten({parts})', lambda v: struct(x=f'{v}.x', y=f'{v}.y'))})",
+        verts=_sorted_distinct(
+            each(f"flatten({parts})", lambda v: struct(x=f"{v}.x", y=f"{v}.y"))),
         segs=f"IF({one_of(kind, AREAS + LINES)}, flatten({each(parts, edges)}), "
              f"CAST(array() AS {SEGMENTS}))",
         ends=f"IF({one_of(kind, LINES)}, {odd}, CAST(array() AS {SPOTS}))",

@@ -14,7 +14,7 @@ from geolayer.functions import geometry as g
 from geolayer.functions.sql import each, let, num, some, struct
 from geolayer.layer import LayerInfo, geometry_column, resolve_field
 from geolayer.plans.bounded import Size
-from geolayer.plans.spatial_join import candidate_pairs
+from geolayer.plans.spatial_join import FINEST, candidate_pairs
 
 # Longest id list written into the filter itself; longer ones become a join table.
 MAX_LITERAL_IDS = 1000
@@ -104,10 +104,16 @@ def ids_by_sql(
 
 
 def default_cell(epsg: int) -> float:
-    """Side of the finest grid cell: half a degree, or 50 km."""
+    """Side of the grid cell that levels are counted from: half a degree, or 50 km."""
     return 50_000.0 if crs.is_projected(epsg) else 0.5
 
 
+def grid_of(epsg: int, cell: float | None) -> tuple[float, int]:
+    """Side and finest level of the grid: levels go below the default cell as far as the geometries
+    are small, but not below a cell given by the caller."""
+    return (cell, 0) if cell else (default_cell(epsg), FINEST)
+
+
 def as_queries(
     spark: SparkSession, geom: object, in_crs: int | str, out_crs: int | str
 ) -> DataFrame:
@@ -145,7 +151,7 @@ def spatial_pairs(
     ``test`` writes the test of the prepared feature and query; ``None`` keeps envelope pairs.
     ``carry`` names feature columns to bring along, which saves a join on the id afterwards.
     """
-    cell = cell or default_cell(info.epsg)
+    cell, finest = grid_of(info.epsg, cell)
     left = _prepared(features, info.id_col, geometry_column(features, info), carry).drop("_nv")
     right = _prepared(queries, "query_id", "geom")
     if test is None:
@@ -155,8 +161,7 @@ def spatial_pairs(
         right = right.withColumns({
             "xmin": F.col("xmin") - pad, "ymin": F.col("ymin") - pad,
             "xmax": F.col("xmax") + pad, "ymax": F.col("ymax") + pad})
-    levels = (0,) if info.kind == "point" else None
-    pairs = candidate_pairs(left, right, cell, query_size, levels)
+    pairs = candidate_pairs(left, right, cell, query_size, info.kind == "point", finest)
     if test is not None:
         pairs = pairs.where(test("l_prep", "r_prep"))
     return _named(pairs, carry)
@@ -311,8 +316,8 @@ def within_distance(
         (F.col("xmax") + pad_x).alias("xmax"), (F.col("ymax") + pad_y).alias("ymax"))
     carry = _carried(df, info, outfields)
     left = _prepared(df, info.id_col, geometry_column(df, info), carry).drop("_nv")
-    levels = (0,) if info.kind == "point" else None
-    pairs = candidate_pairs(left, right, cell or default_cell(info.epsg), None, levels)
+    cell, finest = grid_of(info.epsg, cell)
+    pairs = candidate_pairs(left, right, cell, None, info.kind == "point", finest)
     f, q = "l_prep", "r_prep"
     if projected:
         plane = relate.planar_distance(f, q)

@@ -11,7 +11,7 @@ from geolayer.functions import geometry as g
 from geolayer.functions.sql import let
 from geolayer.layer import LayerInfo, geometry_column
 from geolayer.plans.spatial_join import candidate_pairs
-from geolayer.operators.select import default_cell
+from geolayer.operators.select import grid_of
 
 # Fixed value: largest number of pixels of one request.
 MAX_PIXELS = 8_000_000
@@ -182,7 +182,8 @@ def points_to_tiles(
     left = points.where(F.col("xmin") == F.col("xmax")).where(
         F.col("ymin") == F.col("ymax")).select(
         F.col(info.id_col).alias("id"), *values, *g.BBOX, F.xxhash64(info.id_col).alias("_salt"))
-    pairs = candidate_pairs(left, right, cell or default_cell(info.epsg), None, (0,))
+    side, finest = grid_of(info.epsg, cell)
+    pairs = candidate_pairs(left, right, side, None, True, finest)
     b, x, y = F.col("r_grid"), F.col("l_xmin"), F.col("l_ymin")
 
     def step(offset: Column, size: Column, last: Column) -> Column:

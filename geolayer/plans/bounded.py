@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_VERTICES = 2_000_000
@@ -15,11 +16,12 @@ CELLS_PER_LEVEL = 4
 
 @dataclass(frozen=True)
 class Size:
-    """Measured size of a geometry table and the grid levels it uses."""
+    """Measured size of a geometry table, the grid levels it uses and the rows at each."""
 
     rows: int
     vertices: int
     levels: tuple[int, ...]
+    counts: tuple[int, ...] = ()
 
     def fits(self, other_levels: int) -> bool:
         """Whether the table, listed at its own and ``other_levels`` more grid levels, may be
@@ -30,10 +32,12 @@ class Size:
 
 
 def measure(df: DataFrame, n_vertices: str, level: str) -> Size:
-    """One pass over ``df``: two numbers and a few levels, whatever the table's size."""
-    row = df.selectExpr(
-        "count(1) AS n", f"sum({n_vertices}) AS v", f"collect_set({level}) AS l").first()
-    return Size(row.n, row.v or 0, tuple(sorted(row.l)))
+    """One pass over ``df``: a few numbers for each grid level, whatever the table's size."""
+    rows = df.selectExpr(f"{level} AS l", f"{n_vertices} AS v").groupBy("l").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("v").alias("v")).orderBy("l").collect()
+    at = [r for r in rows if r.l is not None]
+    return Size(sum(r.n for r in rows), sum(r.v or 0 for r in rows), tuple(r.l for r in at),
+                tuple(r.n for r in at))
 
 
 def estimated_bytes(df: DataFrame) -> int:

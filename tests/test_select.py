@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from geolayer.errors import InputTypeError, InputValueError, ZeroMatchedError
 from geolayer.functions import geometry as g
+from geolayer.functions import relate
 from geolayer.layer import LayerInfo
 from geolayer.operators import select as sel
 from geolayer.plans import bounded, spatial_join
@@ -144,18 +145,71 @@ def mixed_boxes(n, seed):
 def test_candidates_of_mixed_sizes_are_complete_and_unique(spark, monkeypatch, shuffled):
     if shuffled:
         monkeypatch.setattr(bounded, "MAX_BROADCAST_ROWS", 0)
-        monkeypatch.setattr(spatial_join, "HOT_CELL_ROWS", 4)
-        monkeypatch.setattr(spatial_join, "HOT_SHARE", 10**9)
+        monkeypatch.setattr(spatial_join, "BLOCK_ROWS", 4)
+        monkeypatch.setattr(spatial_join, "MAX_SENT_CELLS", 10)
     a, b = mixed_boxes(120, 1), mixed_boxes(80, 2)
     queries = layer(spark, b).withColumnRenamed("id", "query_id")
     got = sel.ids_by_geom(layer(spark, a), SITE, queries, relation="esriSpatialRelEnvelopeIntersects")
     assert pairs(got) == brute_envelopes(a, b)
 
 
+def dense(spark, n, side, seed):
+    """Boxes of one side, 99 of 100 within a thousandth of the default cell."""
+    spread = F.when(F.col("id") % 100 == 0, 20.0).otherwise(0.0005)
+    return spark.range(n).select(
+        "id", (F.lit(10.0) + F.rand(seed) * spread).alias("xmin"),
+        (F.lit(10.0) + F.rand(seed + 1) * spread).alias("ymin")).select(
+        "id", "xmin", "ymin", (F.col("xmin") + side).alias("xmax"), (F.col("ymin") + side).alias("ymax"),
+        F.col("id").alias("_salt"), F.lit(5).alias("_nv"))
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+@pytest.mark.parametrize("side", [0.0, 4e-6])
+def test_dense_features_meet_few_that_are_far(spark, monkeypatch, shuffled, side):
+    """Of 400 million pairs of the two tables, few more meet in a cell than have overlapping envelopes."""
+    if shuffled:
+        monkeypatch.setattr(bounded, "MAX_BROADCAST_ROWS", 0)
+    left, right = dense(spark, 20_000, side, 1).drop("_nv").cache(), dense(spark, 2_000, 1e-5, 7).cache()
+    cells = spatial_join.cells_of(left, right, 0.5, None, side == 0)
+    assert cells.send != shuffled
+    met, pairs = cells.joined().count(), spatial_join.candidate_pairs(left, right, 0.5, None, side == 0)
+    want = left.alias("l").join(right.alias("r"), F.expr(
+        "l.xmin <= r.xmax AND r.xmin <= l.xmax AND l.ymin <= r.ymax AND r.ymin <= l.ymax")).count()
+    assert pairs.count() == want > 1000
+    assert met < 30 * want + 100_000
+
+
+def test_levels_follow_the_crowd(spark):
+    size = bounded.Size(1_000_000, 0, (-20,), (1_000_000,))
+    queries = bounded.Size(300, 0, (-6, -3, 0), (100, 100, 100))
+    sparse = {k: 1.0 for k in range(-20, 25, 2)}
+    assert spatial_join.chosen_levels(size, queries, sparse) == (0,)
+    dense_ = {k: 1e6 * 4.0 ** min(k, 0) for k in range(-20, 25, 2)}
+    assert spatial_join.chosen_levels(size, queries, dense_) == (-6, -3, 0)
+    one_spot = spark.range(5000).select(F.lit(1.0).alias("xmin"), F.lit(1.0).alias("ymin"))
+    assert all(abs(v - 5000) < 1 for v in spatial_join.crowding(one_spot, 0.5).values())
+    even = spark.range(40_000).select(
+        (F.col("id") % 200 / 2 + 0.1).alias("xmin"), (F.floor(F.col("id") / 200) / 2 + 0.1).alias("ymin"))
+    got = spatial_join.crowding(even, 0.5)
+    assert 1 <= got[0] < 1.5 and 12 < got[2] < 20
+
+
+def test_large_geometries_are_prepared_fast(spark):
+    import time
+    ring = F.transform(F.sequence(F.lit(0), F.lit(100_000)), lambda i: g.vertex(
+        F.cos(i % 100_000 * 2e-5 * 3.141592653589793), F.sin(i % 100_000 * 2e-5 * 3.141592653589793)))
+    whole = spark.range(1).select(F.struct(
+        F.lit("line").alias("kind"), F.array(ring).alias("parts")).alias("geom"))
+    start = time.perf_counter()
+    row = whole.select(F.expr(f"transform(array({relate.prepare('geom')}), "
+                              "p -> array(size(p.verts), size(p.segs), size(p.ends)))[0]").alias("n")).first()
+    assert row.n == [100_000, 100_000, 0]
+    assert time.perf_counter() - start < 10
+
+
 def test_hot_cell_is_split_and_nothing_is_lost(spark, monkeypatch):
     monkeypatch.setattr(bounded, "MAX_BROADCAST_ROWS", 0)
-    monkeypatch.setattr(spatial_join, "HOT_CELL_ROWS", 20)
-    monkeypatch.setattr(spatial_join, "HOT_SHARE", 10**9)
+    monkeypatch.setattr(spatial_join, "BLOCK_ROWS", 20)
     spots = spark.range(300).select("id", g.point(F.lit(0.1), F.lit(0.1)).alias("geom"))
     queries = spark.range(50).select(
         F.col("id").alias("query_id"),

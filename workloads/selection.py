@@ -156,8 +156,7 @@ def c3f(spark, sf):
 def c3g(spark, sf):
     lots = ly.parcels(spark, sf)
     return ids(sel.ids_by_geom(
-        lots, PARCELS, ly.as_queries(lots, "parcel_id"), relation="esriSpatialRelTouches",
-        cell=0.02))
+        lots, PARCELS, ly.as_queries(lots, "parcel_id"), relation="esriSpatialRelTouches"))
 
 
 @query("c3h_within_sites_as_queries",
@@ -288,7 +287,7 @@ def c7c(spark, sf):
 def c7d(spark, sf):
     lots = ly.parcels(spark, sf)
     return ids(sel.features_by_geom(
-        lots, PARCELS, ly.as_queries(lots, "parcel_id"), predicate="TOUCHES", cell=0.02))
+        lots, PARCELS, ly.as_queries(lots, "parcel_id"), predicate="TOUCHES"))
 
 
 @query("c7e_crosses_reaches_boxes", f"""SELECT bid AS query_id, lid AS feature_id FROM (
