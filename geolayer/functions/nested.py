@@ -31,11 +31,28 @@ def _any_list(values: Column) -> Column:
     return F.exists(values, lambda i: _items(i).isNotNull())
 
 
-def _spread(values: Column, lists: Column) -> Column:
+def list_depth(text: Column) -> Column:
+    """How deep lists lie in each other in a JSON text, read in one pass.
+
+    What is quoted is taken out, then all but the brackets; a running sum over them has its peak at
+    the depth. Every pattern is a plain run of characters, so long texts do no harm.
+    """
+    plain = F.regexp_replace(F.regexp_replace(text, r"\\.", ""), '"[^"]*"', "")
+    marks = F.split(F.regexp_replace(plain, r"[^\[\]]+", ""), "")
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("most"))
+
+    def count(state: Column, mark: Column) -> Column:
+        at = state["at"] + F.when(mark == "[", 1).when(mark == "]", -1).otherwise(0)
+        return F.struct(at.alias("at"), F.greatest(state["most"], at).alias("most"))
+
+    return F.aggregate(marks, start, count, lambda state: state["most"])
+
+
+def _spread(values: Column, depth: Column) -> Column:
     """Lists among the values replaced by their items until no list is left.
 
-    ``lists`` is at least the number of lists in the document, so as many rounds reach any depth;
-    rounds after the last list do nothing.
+    ``depth`` is at least the number of lists that lie in each other, so as many rounds reach any of
+    them; rounds after the last list do nothing.
     """
     def once(state: Column, _: Column) -> Column:
         spread = let(F.flatten(F.transform(state["v"], _fan_out)),
@@ -43,21 +60,21 @@ def _spread(values: Column, lists: Column) -> Column:
         return F.when(state["more"], spread).otherwise(state)
 
     start = F.struct(values.alias("v"), _any_list(values).alias("more"))
-    return F.aggregate(F.array_repeat(F.lit(0), lists), start, once, lambda state: state["v"])
+    return F.aggregate(F.array_repeat(F.lit(0), depth), start, once, lambda state: state["v"])
 
 
-def _step(values: Column, key: str, lists: Column) -> Column:
+def _step(values: Column, key: str, depth: Column) -> Column:
     """Value of ``key`` for each item, lists spread out first; null where it is absent."""
     quoted = "$['" + key.replace("'", "\\'") + "']"
     # Bound once, since the walk over lists names them twice.
-    return F.transform(let(values, lambda v: _spread(v, lists)), lambda i: F.coalesce(
+    return F.transform(let(values, lambda v: _spread(v, depth)), lambda i: F.coalesce(
         F.try_variant_get(i, quoted, "variant"), _null_variant()))
 
 
-def _walk(start: Column, path: list[str], lists: Column) -> Column:
+def _walk(start: Column, path: list[str], depth: Column) -> Column:
     items = F.array(start)
     for key in path:
-        items = _step(items, key, lists)
+        items = _step(items, key, depth)
     return F.transform(items, lambda v: F.try_variant_get(v, "$", "string"))
 
 
@@ -68,11 +85,11 @@ def traverse_json(text: Column, path: list[str]) -> Column:
     scalar before the end of the path and a null give one null each. A list at the final key is kept whole, as JSON text. A top-level
     object gives one list. Text that is not JSON gives null.
     """
-    lists = F.length(text) - F.length(F.replace(text, F.lit("["), F.lit("")))
-
-    def outer(value: Column) -> Column:
+    def outer(value: Column, depth: Column) -> Column:
         items = F.try_variant_get(value, "$", "array<variant>")
-        each = F.transform(items, lambda i: _walk(i, path, lists))
-        return F.when(items.isNotNull(), each).otherwise(F.array(_walk(value, path, lists)))
+        each = F.transform(items, lambda i: _walk(i, path, depth))
+        return F.when(items.isNotNull(), each).otherwise(F.array(_walk(value, path, depth)))
 
-    return let(F.try_parse_json(text), lambda v: F.when(v.isNotNull(), outer(v)))
+    # Value and depth are bound once for a document, not worked out again for its items.
+    both = F.struct(F.try_parse_json(text).alias("v"), list_depth(text).alias("depth"))
+    return let(both, lambda b: F.when(b["v"].isNotNull(), outer(b["v"], b["depth"])))

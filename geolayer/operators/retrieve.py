@@ -12,6 +12,7 @@ from geolayer.functions import crs
 from geolayer.functions import geometry as g
 from geolayer.layer import LayerInfo, geometry_column, resolve_field
 from geolayer.operators.paging import partition_ids
+from geolayer.functions.nested import traverse_json
 from geolayer.operators.select import matched, where_in
 from geolayer.session import written
 from geolayer.sources.fetch import fetch_pages
@@ -139,13 +140,28 @@ def retry_plan(failed: DataFrame, max_nrecords: int) -> DataFrame:
     return plan
 
 
-def _round(ids: DataFrame, size: int, fetcher: Callable, slots: int | None) -> tuple:
+def delivered_ids(good: DataFrame, id_path: list[str], id_type: str = "bigint") -> DataFrame:
+    """Distinct ids found along ``id_path`` of the JSON replies."""
+    found = F.flatten(traverse_json(F.col("payload"), id_path))
+    return good.select(F.explode(found).alias("id")).select(
+        F.col("id").try_cast(id_type).alias("id")).where("id IS NOT NULL").distinct()
+
+
+def _round(
+    ids: DataFrame, size: int, fetcher: Callable, slots: int | None, id_type: str,
+    id_path: list[str] | None,
+) -> tuple[DataFrame, DataFrame]:
     requests = partition_ids(ids, "id", size).select(
         F.col("batch").alias("request_id"), F.array_join("ids", ",").alias("object_ids"))
     requests = written(requests, "requests")
     replies = written(fetch_pages(requests, fetcher, slots), "replies")
     split = split_responses(replies)
-    return ok_responses(split), failed_ids(split, requests)
+    good = ok_responses(split)
+    if not id_path:
+        return good, failed_ids(split, requests, id_type)
+    asked = requests.select(F.explode(F.split("object_ids", ",")).alias("id")).select(
+        F.col("id").cast(id_type)).distinct()
+    return good, asked.join(delivered_ids(good, id_path, id_type), "id", "left_anti")
 
 
 def fetch_features(
@@ -154,22 +170,28 @@ def fetch_features(
     max_nrecords: int = 1000,
     retry: bool = True,
     slots: int | None = None,
+    id_type: str = "bigint",
+    id_path: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Fetch features by id through ``fetcher`` and retry failed batches in smaller ones.
 
-    Returns the replies that succeeded and the ids that failed to the end. Each round keeps
-    only the ids that still failed; requests and replies are written tables, so nothing is
-    fetched twice when an executor is lost. At most four more rounds run.
+    Returns the replies that succeeded and the ids that were not delivered to the end. With
+    ``id_path``, the path of the id in a reply (``["features", "attributes", "id"]``), these are the
+    ids asked for without those found in the replies, so a feature left out of a reply, or a reply
+    without features, counts as missing and is asked for again. Without it only the ids of failed
+    requests are known to be missing. ``id_type`` is the type of the ids. Each round keeps only
+    the ids still missing; requests and replies are written tables, so nothing is fetched twice
+    when an executor is lost. At most four more rounds run.
     """
     if max_nrecords < 1:
         raise InputValueError("max_nrecords", ["1 or more"], max_nrecords)
-    good, left = _round(ids, max_nrecords, fetcher, slots)
+    good, left = _round(ids, max_nrecords, fetcher, slots, id_type, id_path)
     good = good.withColumn("round", F.lit(0))
     if not retry:
         return good, left
     for i, size in enumerate(retry_sizes(max_nrecords), 1):
         if not left.limit(1).count():
             break
-        more, left = _round(left, size, fetcher, slots)
+        more, left = _round(left, size, fetcher, slots, id_type, id_path)
         good = good.unionByName(more.withColumn("round", F.lit(i)))
     return good, left

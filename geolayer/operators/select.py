@@ -48,7 +48,7 @@ def id_table(spark: SparkSession, ids: object, dtype: T.DataType, name: str) ->
     """Distinct ids as a one-column table, cast to the type of the column they select on."""
     if isinstance(ids, DataFrame):
         source = "feature_id" if "feature_id" in ids.columns else ids.columns[0]
-        table = ids.select(F.col(source).cast(dtype).alias(name))
+        table = ids.select(F.col(source).try_cast(dtype).alias(name))
     else:
         listed = [ids] if isinstance(ids, (str, int)) else list(ids)
         table = spark.createDataFrame([(str(i),) for i in listed], f"{name} string").select(
@@ -56,31 +56,17 @@ def id_table(spark: SparkSession, ids: object, dtype: T.DataType, name: str) ->
     return table.where(F.col(name).isNotNull()).distinct()
 
 
-def _literal_id(value: object, dtype: T.DataType) -> object:
-    """An id as a literal of a numeric column; None for text that is no such number."""
-    if not isinstance(value, str):
-        return value
-    try:
-        return int(value) if isinstance(dtype, T.IntegralType) else float(value)
-    except ValueError:
-        return None
-
-
 def where_in(df: DataFrame, column: str, ids: object) -> DataFrame:
     """Rows whose ``column`` is among ``ids``: a literal list when short, else a semi join.
 
-    However long the list, text ids that do not fit the column's type select nothing.
+    However long the list, its values are read as text and cast to the column's type by Spark's
+    ``try_cast``; what does not fit (``1_0``, too large a number, a bad date) selects nothing.
     """
     dtype = df.schema[column].dataType
     if not isinstance(ids, DataFrame):
         listed = [ids] if isinstance(ids, (str, int)) else list(dict.fromkeys(ids))
         if len(listed) <= MAX_LITERAL_IDS:
-            if isinstance(dtype, T.NumericType):
-                listed = [_literal_id(i, dtype) for i in listed]
-                return df.where(F.col(column).isin([i for i in listed if i is not None]))
-            if not isinstance(dtype, T.StringType):
-                return df.where(F.col(column).isin(listed))
-            return df.where(F.col(column).isin([str(i) for i in listed]))
+            return df.where(F.col(column).isin([F.lit(str(i)).try_cast(dtype) for i in listed]))
         ids = listed
     wanted = id_table(df.sparkSession, ids, dtype, "_wanted")
     return df.join(wanted, F.col(column) == F.col("_wanted"), "left_semi")

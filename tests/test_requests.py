@@ -182,3 +182,16 @@ def test_nested_catalogs(spark):
         (1, "root & all"): ["epsg:1"], (1, "group"): ["epsg:2", "epsg:1"], (1, "flat"): ["epsg:1"],
         (1, "d5"): ["epsg:5", "epsg:4", "epsg:3", "epsg:2", "epsg:1"],
         (2, "one"): [], (2, "two"): [], (3, None): None, (4, None): None}
+
+
+def test_long_and_deep_json(spark):
+    import time
+    rows = ",".join(f'{{"a": {{"b": "[x]\\\\ {i}"}}}}' for i in range(50_000))
+    df = spark.createDataFrame([('{"rows": [' + rows + "]}",)], "j string")
+    start = time.perf_counter()
+    found = df.select(traverse_json(F.col("j"), ["rows", "a", "b"]).alias("v")).first().v
+    # A walk whose work grows with the square of the items takes hours.
+    assert time.perf_counter() - start < 60
+    assert len(found[0]) == 50_000 and found[0][7] == "[x]\\ 7"
+    deep = json.loads("[" * 12 + '{"b": 1}, {"b": 2}' + "]" * 12)
+    assert walk(spark, {"a": deep}, ["a", "b"]) == [["1", "2"]]

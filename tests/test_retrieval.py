@@ -44,6 +44,23 @@ def test_fetch_returns_each_good_id_once(spark):
     assert failed.count() == 50 * len({i // 50 for i in bad})
 
 
+def leaves_out(request):
+    """Six of thirty ids never come, one batch has no features; ids are text."""
+    ids = [i for i in request["object_ids"].split(",") if int(i[1:]) % 5 != 4]
+    if "s0" in ids and len(ids) > 1:
+        return json.dumps({"message": "nothing here"})
+    return json.dumps({"features": [{"attributes": {"id": i}} for i in ids]})
+
+
+def test_ids_left_out_of_replies_are_missing(spark):
+    ids = spark.range(30).select(F.concat(F.lit("s"), "id").alias("id"))
+    good, left = retrieve.fetch_features(
+        ids, leaves_out, 10, id_type="string", id_path=["features", "attributes", "id"])
+    rows = [r.id for r in pg.features_from_pages(good, "id:string").select("id").collect()]
+    assert sorted(r.id for r in left.collect()) == sorted(f"s{i}" for i in range(4, 30, 5))
+    assert sorted(rows) == sorted(f"s{i}" for i in range(30) if i % 5 != 4)
+
+
 def test_failures_are_rows(spark):
     got = fetch.fetch_pages(spark.range(6).withColumnRenamed("id", "request_id"), raising, 2, binary=True)
     rows = {r.request_id: r for r in got.collect()}

@@ -365,7 +365,8 @@ def batch_fetcher(request: dict) -> str:
     SELECT site_id FROM ({SITES_SQL}))""")
 def e7(spark, sf):
     ids = ly.sites(spark, sf).select(F.col("site_id").alias("id"))
-    good, missing = retrieve.fetch_features(ids, batch_fetcher, 100)
+    good, missing = retrieve.fetch_features(
+        ids, batch_fetcher, 100, id_path=["features", "attributes", "site_id"])
     rows = pg.features_from_pages(good, "site_id:bigint").select("site_id", F.lit(True).alias("found"))
     return rows.unionByName(missing.select(F.col("id").alias("site_id"), F.lit(False).alias("found")))
 
