@@ -190,6 +190,28 @@ SELECT doc_id, sha256(n) AS text_sha256, first_value(doc_id) OVER o AS keep_id,
 FROM d WINDOW o AS (PARTITION BY n ORDER BY length(t) DESC, doc_id)
 """
 
+_SHARD_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, coalesce(doc_id::VARCHAR, '') AS k FROM documents),
+tab AS (
+  SELECT list(list_reduce([i] || range(8),
+    lambda c, s: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab
+  FROM range(256) r(i)),
+c AS (
+  SELECT *, octet_length(encode(t)) + 16 AS size,
+    xor(list_reduce([4294967295::BIGINT] || list_transform(regexp_extract_all(hex(encode(t)), '..'),
+      lambda b: ('0x' || b)::BIGINT),
+      lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) AS crc,
+    list_transform(range(0, 41), lambda i: -ln((('0x' || substr(md5(k || ':' || i), 1, 13))::BIGINT
+      + 0.5::DOUBLE) / 4503599627370496::DOUBLE)) AS races
+  FROM d, tab),
+w AS (SELECT *, list_min(races[1:40]) AS best, list_position(races, list_min(races[1:40])) - 1 AS shard FROM c)
+SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'key' AS law, shard::INT AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY md5(k), doc_id) - 1 AS slot,
+  CASE WHEN races[41] < best THEN 40 ELSE shard END::INT AS grown_shard
+FROM w
+"""
+
 _MIDDLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h
@@ -315,5 +337,5 @@ FROM d LEFT JOIN b USING (k) LEFT JOIN x USING (k)
 #: not end on whole tables; they are tested against brute force.
 ORACLES: dict[str, str] = {
     "op3_mixing": _MIX_SQL, "op5_near_dedup": _NEAR_SQL, "op9_exact_dedup": _EXACT_SQL,
-    "op11_fill_in_middle": _MIDDLE_SQL, "op12_resampling": _RESAMPLING_SQL,
+    "op10_sharding": _SHARD_SQL, "op11_fill_in_middle": _MIDDLE_SQL, "op12_resampling": _RESAMPLING_SQL,
     "op13_license_scan": _license_sql()}
