@@ -30,6 +30,16 @@ def one_of(kind: str, names: tuple[str, ...]) -> str:
     return f"{kind} IN (" + ", ".join(f"'{n}'" for n in names) + ")"
 
 
+def is_area(geom: str) -> str:
+    """Test for polygons."""
+    return one_of(f"{geom}.kind", AREAS)
+
+
+def n_vertices(geom: str) -> str:
+    """Number of vertices, 0 for a null geometry."""
+    return f"coalesce(size(flatten({geom}.parts)), 0)"
+
+
 def vertex(x: Column, y: Column, m: Column | None = None) -> Column:
     """One vertex."""
     measure = F.lit(None).cast("double") if m is None else m.cast("double")

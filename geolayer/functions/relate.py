@@ -31,6 +31,17 @@ def _sorted_distinct(items: str) -> str:
     return let(f"array_sort({items})", lambda a: f"filter({a}, (v, i) -> i = 0 OR v != get({a}, i - 1))")
 
 
+def segments(parts: str) -> str:
+    """Segments of all parts, without those of no length."""
+    def edges(part: str) -> str:
+        heads = f"slice({part}, 1, greatest(size({part}) - 1, 0))"
+        pairs = each_indexed(heads, lambda v, i: let(f"get({part}, {i} + 1)", lambda w: struct(
+            x1=f"{v}.x", y1=f"{v}.y", x2=f"{w}.x", y2=f"{w}.y")))
+        return keep(pairs, lambda s: f"{s}.x1 != {s}.x2 OR {s}.y1 != {s}.y2")
+
+    return f"flatten({each(parts, edges)})"
+
+
 def prepare(geom: str) -> str:
     """Struct the relations work on: dimension, vertices, segments, line ends.
 
@@ -39,12 +50,6 @@ def prepare(geom: str) -> str:
     kind, parts = f"{geom}.kind", f"{geom}.parts"
     dim = f"CASE WHEN {one_of(kind, AREAS)} THEN 2 WHEN {one_of(kind, LINES)} THEN 1 ELSE 0 END"
 
-    def edges(part: str) -> str:
-        heads = f"slice({part}, 1, greatest(size({part}) - 1, 0))"
-        pairs = each_indexed(heads, lambda v, i: let(f"get({part}, {i} + 1)", lambda w: struct(
-            x1=f"{v}.x", y1=f"{v}.y", x2=f"{w}.x", y2=f"{w}.y")))
-        return keep(pairs, lambda s: f"{s}.x1 != {s}.x2 OR {s}.y1 != {s}.y2")
-
     def spot(v: str) -> str:
         return let(v, lambda w: struct(x=f"{w}.x", y=f"{w}.y"))
 
@@ -58,7 +63,7 @@ def prepare(geom: str) -> str:
         dim=dim,
         verts=_sorted_distinct(
             each(f"flatten({parts})", lambda v: struct(x=f"{v}.x", y=f"{v}.y"))),
-        segs=f"IF({one_of(kind, AREAS + LINES)}, flatten({each(parts, edges)}), "
+        segs=f"IF({one_of(kind, AREAS + LINES)}, {segments(parts)}, "
              f"CAST(array() AS {SEGMENTS}))",
         ends=f"IF({one_of(kind, LINES)}, {odd}, CAST(array() AS {SPOTS}))",
     )
@@ -80,12 +85,14 @@ def _near(x: str, y: str, p: str, tol: float) -> str:
     return f"abs({p}.x - {x}) <= {num(tol)} AND abs({p}.y - {y}) <= {num(tol)}"
 
 
-def _odd_crossings(x: str, y: str, segs: str) -> str:
-    def crosses(s: str) -> str:
-        turn = f"({s}.x2 - {s}.x1) * ({y} - {s}.y1) - ({x} - {s}.x1) * ({s}.y2 - {s}.y1)"
-        return (f"({s}.y1 > {y}) != ({s}.y2 > {y}) AND ({turn} > 0) = ({s}.y2 > {s}.y1)")
+def right_of(x: str, y: str, s: str) -> str:
+    """Whether the ray from a position to the right crosses a segment."""
+    turn = f"({s}.x2 - {s}.x1) * ({y} - {s}.y1) - ({x} - {s}.x1) * ({s}.y2 - {s}.y1)"
+    return f"({s}.y1 > {y}) != ({s}.y2 > {y}) AND ({turn} > 0) = ({s}.y2 > {s}.y1)"
 
-    return f"size({keep(segs, crosses)}) % 2 = 1"
+
+def _odd_crossings(x: str, y: str, segs: str) -> str:
+    return f"size({keep(segs, lambda s: right_of(x, y, s))}) % 2 = 1"
 
 
 def locate(x: str, y: str, prep: str, tol: float) -> str:

@@ -13,8 +13,9 @@ from geolayer.functions import crs, relate
 from geolayer.functions import geometry as g
 from geolayer.functions.sql import each, let, num, some, struct
 from geolayer.layer import LayerInfo, geometry_column, resolve_field
-from geolayer.plans.bounded import Size
-from geolayer.plans.spatial_join import FINEST, candidate_pairs
+from geolayer.plans.bounded import Size, measure
+from geolayer.plans.long_rings import LONG_RING, spots_in_areas
+from geolayer.plans.spatial_join import FINEST, candidate_pairs, level_of
 
 # Longest id list written into the filter itself; longer ones become a join table.
 MAX_LITERAL_IDS = 1000
@@ -118,7 +119,7 @@ def _prepared(df: DataFrame, key: str, geom: str, carry: tuple[str, ...] = ()) -
     box = [F.col(f"_env.{b}").alias(b) for b in g.BBOX] if env else [F.col(b) for b in g.BBOX]
     return wide.select(
         "id", *[f"c_{c}" for c in carry], *box, F.expr(relate.prepare("_g")).alias("prep"),
-        F.coalesce(F.size(F.flatten(F.col("_g.parts"))), F.lit(0)).alias("_nv"),
+        F.expr(g.n_vertices("_g")).alias("_nv"),
         F.xxhash64("id").alias("_salt"),
     )
 
@@ -131,11 +132,14 @@ def spatial_pairs(
     cell: float | None = None,
     query_size: Size | None = None,
     carry: tuple[str, ...] = (),
+    spots: str | None = None,
 ) -> DataFrame:
     """``(query_id, feature_id)`` of the pairs whose envelopes meet and that pass ``test``.
 
     ``test`` writes the test of the prepared feature and query; ``None`` keeps envelope pairs.
     ``carry`` names feature columns to bring along, which saves a join on the id afterwards.
+    ``spots`` says what ``test`` asks of a point and an area, ``meet`` or ``inside``: then query areas with
+    long rings meet a point layer segment by segment.
     """
     cell, finest = grid_of(info.epsg, cell)
     left = _prepared(features, info.id_col, geometry_column(features, info), carry).drop("_nv")
@@ -147,10 +151,20 @@ def spatial_pairs(
         right = right.withColumns({
             "xmin": F.col("xmin") - pad, "ymin": F.col("ymin") - pad,
             "xmax": F.col("xmax") + pad, "ymax": F.col("ymax") + pad})
+    by_segment = None
+    if spots and info.kind == "point":
+        query_size = query_size or measure(right, "_nv", level_of(cell, finest))
+        if query_size.most > LONG_RING:
+            long = g.is_area("geom") + f" AND {g.n_vertices('geom')} > {LONG_RING}"
+            by_segment = _named(spots_in_areas(
+                left.drop("prep"), queries.where(long), spots, crs.tolerance(info.epsg), cell, finest), carry)
+            right = right.where(f"NOT (prep.dim = 2 AND _nv > {LONG_RING})")
+            query_size = None
     pairs = candidate_pairs(left, right, cell, query_size, info.kind == "point", finest)
     if test is not None:
         pairs = pairs.where(test("l_prep", "r_prep"))
-    return _named(pairs, carry)
+    pairs = _named(pairs, carry)
+    return pairs if by_segment is None else pairs.unionByName(by_segment)
 
 
 def _named(pairs: DataFrame, carry: tuple[str, ...]) -> DataFrame:
@@ -218,7 +232,8 @@ def ids_by_geom(
             raise InputValueError("relation with a distance", SPATIAL_RELATIONS[:1], relation)
         pairs = within_distance(df, info, queries, int(distance), info.epsg, cell, outfields)
     else:
-        pairs = spatial_pairs(df, info, queries, test, cell, carry=carry)
+        spots = {"Intersects": "meet", "Contains": "inside"}.get(relation.removeprefix("esriSpatialRel"))
+        pairs = spatial_pairs(df, info, queries, test, cell, carry=carry, spots=spots)
     return matched(pairs, require_match)
 
 
@@ -402,7 +417,9 @@ def features_by_geom(
             near = features_by_geom(df, info, queries, info.epsg, "INTERSECTS", cell=cell)
         return _all_but(df, info, queries, near, _carried(df, info, outfields))
     test = _predicate_test(predicate, crs.tolerance(info.epsg), pattern)
-    return spatial_pairs(df, info, queries, test, cell, carry=_carried(df, info, outfields))
+    spots = {"INTERSECTS": "meet", "WITHIN": "inside"}.get(predicate)
+    return spatial_pairs(
+        df, info, queries, test, cell, carry=_carried(df, info, outfields), spots=spots)
 
 
 def _all_but(

@@ -16,12 +16,14 @@ CELLS_PER_LEVEL = 4
 
 @dataclass(frozen=True)
 class Size:
-    """Measured size of a geometry table, the grid levels it uses and the rows at each."""
+    """Measured size of a geometry table, the grid levels it uses, the rows at each and the most
+    vertices of a row."""
 
     rows: int
     vertices: int
     levels: tuple[int, ...]
     counts: tuple[int, ...] = ()
+    most: int = 0
 
     def fits(self, other_levels: int) -> bool:
         """Whether the table, listed at its own and ``other_levels`` more grid levels, may be
@@ -34,10 +36,10 @@ class Size:
 def measure(df: DataFrame, n_vertices: str, level: str) -> Size:
     """One pass over ``df``: a few numbers for each grid level, whatever the table's size."""
     rows = df.selectExpr(f"{level} AS l", f"{n_vertices} AS v").groupBy("l").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("v").alias("v")).orderBy("l").collect()
+        F.count(F.lit(1)).alias("n"), F.sum("v").alias("v"), F.max("v").alias("m")).orderBy("l").collect()
     at = [r for r in rows if r.l is not None]
     return Size(sum(r.n for r in rows), sum(r.v or 0 for r in rows), tuple(r.l for r in at),
-                tuple(r.n for r in at))
+                tuple(r.n for r in at), max((r.m or 0 for r in rows), default=0))
 
 
 def estimated_bytes(df: DataFrame) -> int:

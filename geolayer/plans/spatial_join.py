@@ -138,11 +138,15 @@ def _side(df: DataFrame, prefix: str) -> DataFrame:
     return df.toDF(*[c if c in keep else prefix + c for c in df.columns])
 
 
-def _split_hot(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_hot(
+    left: DataFrame, right: DataFrame, by: tuple[str, ...] = (*BBOX, "_salt"),
+    by_right: tuple[str, ...] | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """Blocks for the cells with more than ``BLOCK_ROWS`` entries of a side.
 
     The bound does not move with the tables, so two blocks never make more pairs than its square. The
-    list of these cells is sent if it is short, and joined by shuffle if not.
+    list of these cells is sent if it is short, and joined by shuffle if not. ``by`` names the columns
+    that deal the rows of a side to its blocks.
     """
     key = ["_lv", "_cx", "_cy"]
 
@@ -156,9 +160,11 @@ def _split_hot(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]
     if small_rows(blocks, MAX_SENT_CELLS):
         blocks = F.broadcast(blocks)
 
-    def assign(df: DataFrame, mine: str, n_mine: str, other: str, n_other: str) -> DataFrame:
+    def assign(
+        df: DataFrame, mine: str, n_mine: str, other: str, n_other: str, by: tuple[str, ...]
+    ) -> DataFrame:
         n1, n2 = F.coalesce(F.col(n_mine), F.lit(1)), F.coalesce(F.col(n_other), F.lit(1))
-        spread = F.pmod(F.xxhash64(*[F.col(b) for b in BBOX], F.col("_salt")), n1).cast("int")
+        spread = F.pmod(F.xxhash64(*[F.col(b) for b in by]), n1).cast("int")
         return (
             df.join(blocks, key, "left")
             .withColumn(mine, spread)
@@ -167,8 +173,8 @@ def _split_hot(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]
         )
 
     return (
-        assign(left, "_block_l", "_nl", "_block_r", "_nr"),
-        assign(right, "_block_r", "_nr", "_block_l", "_nl"),
+        assign(left, "_block_l", "_nl", "_block_r", "_nr", by),
+        assign(right, "_block_r", "_nr", "_block_l", "_nl", by_right or by),
     )
 
 
@@ -207,7 +213,7 @@ def cells_of(
     cells_r = with_cells(right, cell, left_levels, finest, chosen)
     on = ["_lv", "_cx", "_cy"]
     if not send:
-        cells_l, cells_r = _split_hot(cells_l, cells_r)
+        cells_l, cells_r = split_hot(cells_l, cells_r)
         on += ["_block_l", "_block_r"]
     return Cells(_side(cells_l, "l_"), _side(cells_r, "r_"), on, send)
 
