@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from geolayer.errors import InputTypeError, InputValueError, ZeroMatchedError
 from geolayer.functions import crs, relate
 from geolayer.functions import geometry as g
-from geolayer.functions.sql import each, let, num, some, struct
+from geolayer.functions.sql import each, keep, let, num, some, struct
 from geolayer.layer import LayerInfo, geometry_column, resolve_field
 from geolayer.plans.bounded import Size, measure
 from geolayer.plans.long_rings import LONG_RING, spots_in_areas
@@ -21,6 +21,8 @@ from geolayer.plans.spatial_join import FINEST, candidate_pairs, level_of
 MAX_LITERAL_IDS = 1000
 # Most query geometries for the relations whose answer is nearly every pair.
 MAX_COMPLEMENT_QUERIES = 1000
+# Most of their vertices that are held as one value; the same pairs come back beyond it.
+MAX_COMPLEMENT_VERTICES = 50_000
 
 # Relation names of the id selection; the query geometry is the first operand.
 SPATIAL_RELATIONS = (
@@ -293,42 +295,67 @@ def within_distance(
 
     Points are measured along the ellipsoid. Lines and areas of a geographic layer are
     measured in a local plane around the query, good to about one part in a thousand up to
-    100 km; those of a projected layer in its own plane.
+    100 km; those of a projected layer in its own plane. Queries that reach across 180 degrees find the
+    features beyond it.
     """
     if int(metres) <= 0:
         raise InputValueError("metres", ["whole metres above 0"], metres)
     metres = int(metres)
     queries = as_queries(df.sparkSession, geom, geo_crs, info.epsg)
-    projected = crs.is_projected(info.epsg)
-    right = _prepared(queries, "query_id", "geom")
-    # Degrees that cover the distance anywhere on the query; poles get the whole circle.
-    a, inv = crs.GRS80
-    polar = a * (1 - 1 / inv)
-    if projected:
+    right = _reaching(queries, info.epsg, metres)
+    carry = _carried(df, info, outfields)
+    left = _prepared(df, info.id_col, geometry_column(df, info), carry).drop("_nv")
+    cell, finest = grid_of(info.epsg, cell)
+    pairs = candidate_pairs(left, right, cell, None, info.kind == "point", finest)
+    if not crs.is_projected(info.epsg):
+        pairs = pairs.where("r__turned = 0 OR l_xmax - l_xmin < 180")
+    return _named(pairs.where(_near_test("l_prep", "r_prep", "r_", info.epsg, metres)), carry)
+
+
+def _reaching(queries: DataFrame, epsg: int, metres: int) -> DataFrame:
+    """Prepared queries whose envelopes are widened by the distance.
+
+    In degrees the envelope covers the distance anywhere on the query; near poles it gets the whole
+    circle. A query that reaches across 180 degrees is listed a second time, a turn further
+    (``_turned``), to meet the features on the other side. Envelopes half a turn wide or more are listed
+    once, so that no feature below that width meets both.
+    """
+    if crs.is_projected(epsg):
         pad_x = pad_y = F.lit(metres * 1.02)
+        right = _prepared(queries, "query_id", "geom").withColumn("_turned", F.lit(0))
     else:
+        a, inv = crs.GRS80
+        polar = a * (1 - 1 / inv)
         deg = 180.0 / 3.141592653589793 * metres / (polar * 0.99)
         pad_y = F.lit(deg)
         far = F.greatest(F.abs("ymin"), F.abs("ymax")) + deg
         pad_x = F.when(far < 89.9, F.lit(deg) / F.cos(F.radians(far))).otherwise(F.lit(360.0))
-    right = right.select(
-        "id", "prep", "_nv", "_salt",
+        env = queries.select("query_id", "geom", F.expr(g.envelope("geom")).alias("_env")).select(
+            "query_id", "geom", "_env.*")
+        wide = F.col("xmax") - F.col("xmin") + 2 * pad_x
+        turns = F.when((wide < 180) & (F.col("xmin") - pad_x < -180), F.array(F.lit(0), F.lit(360))).when(
+            (wide < 180) & (F.col("xmax") + pad_x > 180), F.array(F.lit(0), F.lit(-360))).otherwise(
+            F.array(F.lit(0)))
+        turned = env.select("query_id", "geom", F.explode(turns).alias("_turned")).select(
+            "query_id", "_turned", F.expr("IF(_turned = 0, geom, " + g.map_vertices(
+                "geom", lambda v: g.vertex_text(f"{v}.x + _turned", f"{v}.y", f"{v}.m")) + ")").alias("geom"))
+        right = _prepared(turned, "query_id", "geom", ("_turned",)).withColumnRenamed("c__turned", "_turned")
+    return right.select(
+        "id", "prep", "_nv", "_salt", "_turned",
         (F.col("xmin") - pad_x).alias("xmin"), (F.col("ymin") - pad_y).alias("ymin"),
         (F.col("xmax") + pad_x).alias("xmax"), (F.col("ymax") + pad_y).alias("ymax"))
-    carry = _carried(df, info, outfields)
-    left = _prepared(df, info.id_col, geometry_column(df, info), carry).drop("_nv")
-    cell, finest = grid_of(info.epsg, cell)
-    pairs = candidate_pairs(left, right, cell, None, info.kind == "point", finest)
-    f, q = "l_prep", "r_prep"
-    if projected:
+
+
+def _near_test(f: str, q: str, box: str, epsg: int, metres: int) -> str:
+    """Whether two prepared geometries are at most ``metres`` apart; ``box`` prefixes the query's envelope."""
+    if crs.is_projected(epsg):
         plane = relate.planar_distance(f, q)
     else:
-        centre = struct(x="(r_xmin + r_xmax) / 2", y="(r_ymin + r_ymax) / 2")
+        centre = struct(x=f"({box}xmin + {box}xmax) / 2", y=f"({box}ymin + {box}ymax) / 2")
         both = struct(f=_local_metres(f, centre), q=_local_metres(q, centre))
         plane = let(both, lambda p: relate.planar_distance(f"{p}.f", f"{p}.q"))
-    near = (f"CASE WHEN {f}.dim = 0 AND {q}.dim = 0 THEN {_spots_near(f, q, info.epsg, metres)} "
+    return (f"CASE WHEN {f}.dim = 0 AND {q}.dim = 0 THEN {_spots_near(f, q, epsg, metres)} "
             f"ELSE {plane} <= {metres} END")
-    return _named(pairs.where(near), carry)
 
 
 def features_by_box(
@@ -409,13 +436,10 @@ def features_by_geom(
     decimals = crs.grid_decimals(info.epsg)
     queries = queries.select("query_id", F.expr(g.snap("geom", decimals)).alias("geom"))
     if predicate in ("DISJOINT", "BEYOND"):
-        if predicate == "BEYOND":
-            if not metres:
-                raise InputTypeError("metres", "a distance above 0 for BEYOND")
-            near = within_distance(df, info, queries, metres, info.epsg, cell)
-        else:
-            near = features_by_geom(df, info, queries, info.epsg, "INTERSECTS", cell=cell)
-        return _all_but(df, info, queries, near, _carried(df, info, outfields))
+        if predicate == "BEYOND" and not (metres and int(metres) > 0):
+            raise InputTypeError("metres", "a distance of whole metres above 0 for BEYOND")
+        reach = int(metres) if predicate == "BEYOND" else None
+        return _all_but(df, info, queries, reach, _carried(df, info, outfields), cell)
     test = _predicate_test(predicate, crs.tolerance(info.epsg), pattern)
     spots = {"INTERSECTS": "meet", "WITHIN": "inside"}.get(predicate)
     return spatial_pairs(
@@ -423,20 +447,52 @@ def features_by_geom(
 
 
 def _all_but(
-    df: DataFrame, info: LayerInfo, queries: DataFrame, pairs: DataFrame, carry: tuple[str, ...]
+    df: DataFrame, info: LayerInfo, queries: DataFrame, metres: int | None, carry: tuple[str, ...],
+    cell: float | None,
 ) -> DataFrame:
-    """Every (query, feature) pair except ``pairs``; the query table must be short."""
-    ids = [r.query_id for r in queries.where("geom is not null").select("query_id")
-           .limit(MAX_COMPLEMENT_QUERIES + 1).collect()]
-    if len(ids) > MAX_COMPLEMENT_QUERIES:
+    """Every (query, feature) pair but those that meet, or are at most ``metres`` apart.
+
+    The query table must be short. Up to ``MAX_COMPLEMENT_VERTICES`` it is one value that the scan of the features is
+    tested against, without a shuffle; beyond, the pairs that meet are taken out by an anti-join.
+    """
+    queries = queries.where("geom is not null")
+    size = queries.agg(
+        F.count_distinct("query_id").alias("n"), F.sum(F.expr(g.n_vertices("geom"))).alias("v")).first()
+    if size.n > MAX_COMPLEMENT_QUERIES:
         raise InputValueError("geom", [f"at most {MAX_COMPLEMENT_QUERIES} query geometries"])
-    dtype = queries.schema["query_id"].dataType
-    listed = F.array(*[F.lit(i).cast(dtype) for i in sorted(set(ids))])
     geom = geometry_column(df, info)
-    every = df.where(F.col(geom).isNotNull()).select(
-        F.explode(listed).alias("query_id"), F.col(info.id_col).alias("feature_id"),
-        *[F.col(c).alias(c) for c in carry])
-    return every.join(pairs, ["query_id", "feature_id"], "left_anti")
+    held = df.where(F.col(geom).isNotNull())
+    if (size.v or 0) > MAX_COMPLEMENT_VERTICES:
+        if metres:
+            met = within_distance(df, info, queries, metres, info.epsg, cell)
+        else:
+            met = features_by_geom(df, info, queries, info.epsg, "INTERSECTS", cell=cell)
+        asked = queries.select("query_id").distinct().agg(F.collect_list("query_id"))
+        every = held.select(
+            F.explode(asked.scalar()).alias("query_id"), F.col(info.id_col).alias("feature_id"),
+            *[F.col(c).alias(c) for c in carry])
+        return every.join(met, ["query_id", "feature_id"], "left_anti")
+    tol = crs.tolerance(info.epsg)
+    right = _reaching(queries, info.epsg, metres) if metres else _prepared(
+        queries, "query_id", "geom").withColumn("_turned", F.lit(0))
+    pad = 0.0 if metres else tol
+    known = right.groupBy("id").agg(F.collect_list(F.struct("prep", "_turned", *g.BBOX)).alias("shapes")).agg(
+        F.collect_list(F.struct("id", "shapes")))
+    left = _prepared(held, info.id_col, geom, carry).withColumn("_queries", known.scalar())
+
+    def meets(s: str) -> str:
+        exact = _near_test("prep", f"{s}.prep", f"{s}.", info.epsg, metres) if metres else (
+            relate.intersects("prep", f"{s}.prep", tol))
+        return (f"xmin <= {s}.xmax + {num(pad)} AND xmax >= {s}.xmin - {num(pad)} "
+                f"AND ymin <= {s}.ymax + {num(pad)} AND ymax >= {s}.ymin - {num(pad)} "
+                f"AND ({s}._turned = 0 OR xmax - xmin < 180) AND {exact}")
+
+    # A feature or query without a vertex has no envelope: it meets nothing.
+    apart = keep("_queries", lambda q: f"NOT coalesce({some(f'{q}.shapes', meets)}, false)")
+    return left.select(
+        F.explode(F.expr(apart)).alias("_q"), F.col("id").alias("feature_id"),
+        *[F.col(f"c_{c}").alias(c) for c in carry]).select(
+        F.col("_q.id").alias("query_id"), "feature_id", *carry)
 
 
 def features_by_id(

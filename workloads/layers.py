@@ -84,6 +84,19 @@ CATCHMENT_EDGES_SQL = f"""SELECT catch_id, e.x1, e.y1, e.x2, e.y2 FROM ({CATCHME
       {{'x1':cx+r,'y1':cy+r,'x2':cx,'y2':cy+r/2}}, {{'x1':cx,'y1':cy+r/2,'x2':cx-r,'y2':cy+r}},
       {{'x1':cx-r,'y1':cy+r,'x2':cx-r,'y2':cy-r}}]) AS e)"""
 
+def long_catchments(spark: SparkSession, sf: str, steps: int = 600) -> DataFrame:
+    """The catchments with ``steps`` vertices on every edge, as drawn shore lines have."""
+    def between(c: str) -> str:
+        return f"v.{c} + (get(geom.parts[0], i + 1).{c} - v.{c}) * j / {steps}D"
+
+    vertex = f"named_struct('x', {between('x')}, 'y', {between('y')}, 'm', CAST(NULL AS DOUBLE))"
+    edges = (f"flatten(transform(slice(geom.parts[0], 1, size(geom.parts[0]) - 1), (v, i) -> "
+             f"transform(sequence(0, {steps - 1}), j -> {vertex})))")
+    ring = f"array(concat({edges}, slice(geom.parts[0], -1, 1)))"
+    return catchments(spark, sf).withColumn(
+        "geom", F.expr(f"CAST(named_struct('kind', 'polygon', 'parts', {ring}) AS {g.GEOMETRY})"))
+
+
 # The same in whole numbers of 1/8000 degree, so that edge tests are exact.
 CATCHMENT_GRID_SQL = """SELECT catch_id, e.x1, e.y1, e.x2, e.y2 FROM (
     SELECT s_suppkey AS catch_id, (-124000 + (s_suppkey*3571) % 56000)*8 + 4 AS cx,

@@ -97,6 +97,14 @@ def c3b(spark, sf):
         relation="esriSpatialRelContains"))
 
 
+@query("c3b_contains_sites_in_long_rings",
+       f"SELECT gid AS query_id, pid AS feature_id FROM ({SITE_IN_CATCHMENT})")
+def c3b_long_rings(spark, sf):
+    return ids(sel.ids_by_geom(
+        ly.sites(spark, sf), SITES, ly.as_queries(ly.long_catchments(spark, sf), "catch_id"),
+        relation="esriSpatialRelContains"))
+
+
 @query("c3b_contains_catchments_in_boxes", f"""SELECT box_id AS query_id, catch_id AS feature_id
     FROM ({BOXES_SQL}) JOIN ({CATCHMENTS_SQL}) ON xmin >= west AND xmax <= east AND ymin >= south
     AND ymax <= north""")
