@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from geolayer.errors import InputTypeError, InputValueError
-from geolayer.functions.urls import body_text, normalize_url, request_key
+from geolayer.functions.urls import body_text, normalize_url, param_pairs, request_key
 from geolayer.functions.xml import stripped, well_formed
 from geolayer.plans.ordered import ordered_table
 
@@ -27,9 +27,9 @@ def _has(df: DataFrame, name: str) -> bool:
 
 
 def normalize_urls(df: DataFrame, url: str = "url", params: str | None = None) -> DataFrame:
-    """Add ``norm_url``, with the parameter map merged in."""
-    return df.withColumn(
-        "norm_url", normalize_url(F.col(url), F.col(params) if params else None))
+    """Add ``norm_url``, with the parameters merged in: a map, pairs in an array, or a query text."""
+    pairs = param_pairs(F.col(params), df.schema[params].dataType) if params else None
+    return df.withColumn("norm_url", normalize_url(F.col(url), pairs))
 
 
 def with_request_key(df: DataFrame) -> DataFrame:

@@ -43,15 +43,25 @@ def h1_object(spark, sf):
     return ly.table(spark, sf, "events").select("event_id", found[0][0].alias("found"))
 
 
+# The same two parameters.
+SPELLINGS = ("q=caf%C3%A9+x~&q=%41*", "q=A%2a&q=caf%c3%a9%20x%7E")
+
+
 def page_requests(spark, sf):
-    """GET requests of the pages; every third is written again in another spelling."""
+    """GET requests of the pages; every third is written again with another host spelling, and every
+    fifth twice with a repeated parameter, its escapes written in two ways."""
     pages = ly.table(spark, sf, "pages").select("page_id", "url")
     host = F.regexp_extract("url", "^([a-z]+://[^/]*)", 1)
     odd = F.concat(F.upper(host), F.substring(F.col("url"), F.length(host) + 1, F.length("url")))
     again = pages.where("page_id % 3 = 0").select(
         (F.col("page_id") + 1_000_000_000).alias("request_id"), odd.alias("url"))
-    return pages.select(F.col("page_id").alias("request_id"), "url").unionByName(again).withColumn(
-        "method", F.lit("get"))
+    requests = pages.select(F.col("page_id").alias("request_id"), "url").unionByName(again)
+    mark = F.when(F.contains("url", F.lit("?")), "&").otherwise("?")
+    for n, query in enumerate(SPELLINGS, 2):
+        requests = requests.unionByName(pages.where("page_id % 5 = 1").select(
+            (F.col("page_id") + n * 1_000_000_000).alias("request_id"),
+            F.concat("url", mark, F.lit(query)).alias("url")))
+    return requests.withColumn("method", F.lit("get"))
 
 
 _SHAPE = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?(#.*)?$"
@@ -61,21 +71,32 @@ def _piece(i: int) -> str:
     return f"regexp_extract(trim(url), '{_SHAPE}', {i})"
 
 
+def _coded(text: str) -> str:
+    return f"url_encode(url_decode(replace({text}, '+', ' ')))"
+
+
+_PAIR_SQL = (f"CASE WHEN contains(p, '=') THEN {_coded("split_part(p, '=', 1)")} || '=' || "
+             f"{_coded("p[strpos(p, '=') + 1:]")} ELSE {_coded('p')} END")
+
+
 def normal_sql(source: str) -> str:
     """All columns of ``source`` plus ``norm_url``."""
     sql = (f"SELECT *, lower({_piece(1)}) AS scheme, lower({_piece(2)}) AS host0, "
            f"{_piece(3)} AS path0, {_piece(4)} AS query0 FROM ({source})")
     sql = ("SELECT *, CASE scheme WHEN 'http' THEN regexp_replace(host0, ':80$', '') WHEN 'https' THEN "
            "regexp_replace(host0, ':443$', '') ELSE host0 END AS host, CASE WHEN path0 = '' THEN '/' ELSE "
-           "path0 END AS path, array_to_string(list_sort(list_filter(string_split(query0[2:], '&'), "
-           f"lambda p: p <> '')), '&') AS query FROM ({sql})")
+           f"path0 END AS path, list_transform(list_filter(string_split(query0[2:], '&'), lambda p: p <> ''), "
+           f"lambda p: {_PAIR_SQL}) AS pairs FROM ({sql})")
+    sql = f"SELECT *, array_to_string(list_sort(pairs), '&') AS query FROM ({sql})"
     return ("SELECT *, scheme || '://' || host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END "
             f"AS norm_url FROM ({sql})")
 
 
 PAGE_REQUESTS_SQL = """SELECT page_id AS request_id, url FROM pages UNION ALL SELECT page_id + 1000000000,
     upper(regexp_extract(url, '^([a-z]+://[^/]*)', 1)) || url[length(regexp_extract(url, '^([a-z]+://[^/]*)', 1)) + 1:]
-    FROM pages WHERE page_id % 3 = 0"""
+    FROM pages WHERE page_id % 3 = 0""" + "".join(
+    f""" UNION ALL SELECT page_id + {n}000000000, url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || '{query}'
+    FROM pages WHERE page_id % 5 = 1""" for n, query in enumerate(SPELLINGS, 2))
 KEYS_SQL = f"""SELECT request_id, norm_url, sha256('GET' || norm_url) AS key FROM ({normal_sql(PAGE_REQUESTS_SQL)})"""
 
 
@@ -96,7 +117,7 @@ def h2_body(spark, sf):
 
 
 @query("h3_normalize_urls", f"""SELECT request_id, scheme || '://' || host || path || '?' || array_to_string(
-    list_sort(list_filter(string_split(query0[2:], '&'), lambda p: p <> '') || ['a=' || request_id, 'z=1']), '&')
+    list_sort(pairs || ['a=' || request_id, 'z=1']), '&')
     AS norm_url FROM ({normal_sql(PAGE_REQUESTS_SQL)})""")
 def h3(spark, sf):
     extra = F.create_map(F.lit("z"), F.lit("1"), F.lit("a"), F.col("request_id").cast("string"))
