@@ -12,7 +12,7 @@ from geolayer.plans.ordered import with_row_number
 
 # Name of the count key by service version.
 COUNT_KEYS = {"2.0.0": "count", "1.1.0": "maxFeatures"}
-# Deepest page read by keeping the first rows; deeper ones use row numbers.
+# Deepest page read by keeping the first rows; deeper ones read the parts that hold their numbers.
 MAX_TOP_ROWS = 100_000
 
 
@@ -67,9 +67,8 @@ def read_page(
     keys = _order(df, info, sort_attr)
     if start + count <= MAX_TOP_ROWS:
         return df.orderBy(*keys).offset(start).limit(count)
-    rn = F.col("_rn")
-    numbered = with_row_number(df, keys, "_rn")
-    return numbered.where((rn > start) & (rn <= start + count)).orderBy("_rn").drop("_rn")
+    numbered = with_row_number(df, keys, "_rn", rows=(start + 1, start + count))
+    return numbered.orderBy("_rn").drop("_rn")
 
 
 def all_pages(df: DataFrame, info: LayerInfo, sort_attr: str | None = None) -> DataFrame:

@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geolayer.errors import InputValueError, ServiceError
+from geolayer.errors import InputTypeError, InputValueError, ServiceError
 from geolayer.functions import crs
 from geolayer.functions import geometry as g
 from geolayer.layer import LayerInfo, geometry_column, resolve_field
-from geolayer.operators.paging import partition_ids
+from geolayer.operators.paging import distinct_ids, partition_ids
 from geolayer.functions.nested import traverse_json
 from geolayer.operators.select import matched, where_in
+from geolayer.plans.ordered import with_row_number
 from geolayer.session import written
 from geolayer.sources.fetch import fetch_pages
 
@@ -128,16 +129,18 @@ def retry_sizes(max_nrecords: int) -> list[int]:
 
 
 def retry_plan(failed: DataFrame, max_nrecords: int) -> DataFrame:
-    """Batches of every retry round if all the failed ids went through it."""
-    plans = [
-        partition_ids(failed, "id", size).select(
-            F.lit(i).alias("round"), F.lit(size).alias("batch_size"), "batch", "ids")
-        for i, size in enumerate(retry_sizes(max_nrecords), 1)
-    ]
-    plan = plans[0]
-    for other in plans[1:]:
-        plan = plan.unionByName(other)
-    return plan
+    """Batches of every retry round if all the failed ids went through it.
+
+    The ids are put in order once; the batch in a round follows from an id's number and the round's size.
+    """
+    rounds = F.array(*[
+        F.struct(F.lit(i).alias("round"), F.lit(size).alias("batch_size"))
+        for i, size in enumerate(retry_sizes(max_nrecords), 1)])
+    numbered = with_row_number(distinct_ids(failed, "id"), ["id"])
+    placed = numbered.select("id", "rn", F.explode(rounds).alias("r")).select(
+        "r.*", F.floor((F.col("rn") - 1) / F.col("r.batch_size")).alias("batch"), "id")
+    return placed.groupBy("round", "batch_size", "batch").agg(
+        F.transform(F.sort_array(F.collect_list("id")), lambda i: i.cast("string")).alias("ids"))
 
 
 def delivered_ids(good: DataFrame, id_path: list[str], id_type: str = "bigint") -> DataFrame:
@@ -148,13 +151,13 @@ def delivered_ids(good: DataFrame, id_path: list[str], id_type: str = "bigint")
 
 
 def _round(
-    ids: DataFrame, size: int, fetcher: Callable, slots: int | None, id_type: str,
+    ids: DataFrame, size: int, ask: Callable[[DataFrame], DataFrame], id_type: str,
     id_path: list[str] | None,
 ) -> tuple[DataFrame, DataFrame]:
     requests = partition_ids(ids, "id", size).select(
         F.col("batch").alias("request_id"), F.array_join("ids", ",").alias("object_ids"))
     requests = written(requests, "requests")
-    replies = written(fetch_pages(requests, fetcher, slots), "replies")
+    replies = written(ask(requests), "replies")
     split = split_responses(replies)
     good = ok_responses(split)
     if not id_path:
@@ -166,14 +169,18 @@ def _round(
 
 def fetch_features(
     ids: DataFrame,
-    fetcher: Callable,
+    fetcher: Callable | None = None,
     max_nrecords: int = 1000,
     retry: bool = True,
     slots: int | None = None,
     id_type: str = "bigint",
     id_path: list[str] | None = None,
+    replies: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Fetch features by id through ``fetcher`` and retry failed batches in smaller ones.
+    """Fetch features by id and retry failed batches in smaller ones.
+
+    Batches are answered by ``fetcher``, called for each request, or by ``replies``, a function from the table of
+    requests (``request_id, object_ids``) to that of replies, such as ``stored_features``.
 
     Returns the replies that succeeded and the ids that were not delivered to the end. With
     ``id_path``, the path of the id in a reply (``["features", "attributes", "id"]``), these are the
@@ -185,13 +192,16 @@ def fetch_features(
     """
     if max_nrecords < 1:
         raise InputValueError("max_nrecords", ["1 or more"], max_nrecords)
-    good, left = _round(ids, max_nrecords, fetcher, slots, id_type, id_path)
+    if (fetcher is None) == (replies is None):
+        raise InputTypeError("fetcher", "given, or else replies")
+    ask = replies or (lambda requests: fetch_pages(requests, fetcher, slots))
+    good, left = _round(ids, max_nrecords, ask, id_type, id_path)
     good = good.withColumn("round", F.lit(0))
     if not retry:
         return good, left
     for i, size in enumerate(retry_sizes(max_nrecords), 1):
         if not left.limit(1).count():
             break
-        more, left = _round(left, size, fetcher, slots, id_type, id_path)
+        more, left = _round(left, size, ask, id_type, id_path)
         good = good.unionByName(more.withColumn("round", F.lit(i)))
     return good, left

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import os
 import uuid
 
@@ -85,21 +84,17 @@ def a3(spark, sf):
     ).select("site_id", "segment", "lon", "lat")
 
 
-def page_fetcher(request: dict) -> str:
-    """Stands in for a service: some urls fail, the others answer with their own text."""
-    if request["request_id"] % 11 == 5:
-        raise OSError(f"cannot read {request['url']}")
-    return json.dumps({"url": request["url"]})
-
-
-@query("a4_fetch_pages", """SELECT page_id AS request_id, CASE WHEN page_id % 11 = 5 THEN 'failed'
-    ELSE 'ok' END AS status, CASE WHEN page_id % 11 = 5 THEN NULL ELSE url END AS url,
-    CASE WHEN page_id % 11 = 5 THEN 'OSError: cannot read ' || url ELSE NULL END AS error FROM pages""")
+@query("a4_fetch_pages", """SELECT w.page_id AS request_id, CASE WHEN s.html IS NULL THEN 'failed' ELSE 'ok' END AS status,
+    sha256(s.html) AS payload_sha256, CASE WHEN s.html IS NULL THEN 'no reply stored for ' || w.url END AS error
+    FROM pages w LEFT JOIN (SELECT url, min(html) AS html FROM pages WHERE page_id % 11 <> 5 GROUP BY url) s
+    ON w.url = s.url""")
 def a4(spark, sf):
-    wanted = ly.table(spark, sf, "pages").select(F.col("page_id").alias("request_id"), "url")
-    replies = fetch.fetch_pages(wanted, page_fetcher)
-    return replies.select("request_id", "status", F.get_json_object("payload", "$.url").alias("url"),
-                          "error")
+    """Requests for all pages, of which a part was never stored."""
+    pages = ly.table(spark, sf, "pages")
+    wanted = pages.select(F.col("page_id").alias("request_id"), "url")
+    replies = fetch.stored_pages(wanted, pages.where("page_id % 11 <> 5"), payload="html")
+    return replies.select(
+        "request_id", "status", F.sha2("payload", 256).alias("payload_sha256"), "error")
 
 
 @query("a5_write_layer", f"""SELECT segment, count(*) AS n, round(sum(acctbal), 2) AS total
@@ -353,21 +348,19 @@ def e6(spark, sf):
         F.array_min(ids).alias("lo"), F.array_max(ids).alias("hi"))
 
 
-def batch_fetcher(request: dict) -> str:
-    """Stands in for a service: a batch with an id of 13 modulo 97 fails whole."""
-    ids = [int(i) for i in request["object_ids"].split(",")]
-    if any(i % 97 == 13 for i in ids):
-        return json.dumps({"error": {"message": "bad id in batch"}})
-    return json.dumps({"features": [{"attributes": {"site_id": i}} for i in ids]})
-
-
-@query("e7_fetch_features", f"""SELECT site_id, site_id % 97 <> 13 AS found FROM (
-    SELECT site_id FROM ({SITES_SQL}))""")
+@query("e7_fetch_features", f"""SELECT site_id, site_id % 97 <> 13 AND site_id % 89 <> 7 AS found,
+    CASE WHEN site_id % 97 <> 13 AND site_id % 89 <> 7 THEN segment END AS segment FROM ({SITES_SQL})""")
 def e7(spark, sf):
-    ids = ly.sites(spark, sf).select(F.col("site_id").alias("id"))
+    """Sites asked for by id; some are not held, and some spoil the batch that asks for them."""
+    spots = ly.sites(spark, sf)
+    stored = spots.where("site_id % 89 <> 7").select(
+        "site_id", F.to_json(F.struct(F.struct("site_id", "segment").alias("attributes"))).alias("feature"),
+        F.when(F.col("site_id") % 97 == 13, "bad id in batch").alias("error"))
     good, missing = retrieve.fetch_features(
-        ids, batch_fetcher, 100, id_path=["features", "attributes", "site_id"])
-    rows = pg.features_from_pages(good, "site_id:bigint").select("site_id", F.lit(True).alias("found"))
-    return rows.unionByName(missing.select(F.col("id").alias("site_id"), F.lit(False).alias("found")))
-
-
+        spots.select(F.col("site_id").alias("id")), max_nrecords=100,
+        replies=fetch.stored_features(stored, "site_id", error="error"),
+        id_path=["features", "attributes", "site_id"])
+    rows = pg.features_from_pages(good, "site_id:bigint,segment:string").select(
+        "site_id", F.lit(True).alias("found"), "segment")
+    return rows.unionByName(missing.select(
+        F.col("id").alias("site_id"), F.lit(False).alias("found"), F.lit(None).cast("string").alias("segment")))
