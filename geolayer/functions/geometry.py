@@ -2,7 +2,7 @@
 
 A point is one part with one vertex, a multipoint one part per point, a line one part per
 path. A polygon is a list of closed rings read by the even-odd rule, so holes and several
-shells need no nesting.
+shells need no nesting; ``rings.polygons`` finds it for text forms that do.
 
 Constructors take columns; what transforms a whole geometry is SQL text for ``F.expr``.
 """
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geolayer.errors import InputTypeError
+from geolayer.functions.rings import polygons
 from geolayer.functions.sql import each, let, num, struct
 
 VERTEX = "struct<x:double,y:double,m:double>"
@@ -177,11 +178,11 @@ def literal_table(spark: SparkSession, geom: object, query_id: int = 0) -> DataF
 def wkt(geom: str, yx: bool = False) -> str:
     """Text form, ``y x`` order if asked.
 
-    Every ring of a multipolygon is written as a polygon of its own, since the even-odd list
-    does not say which shell a hole belongs to.
+    Rings are grouped to shells with their holes, so a polygon of several shells is written as a
+    multipolygon. Positions keep their order.
     """
     def number(c: str) -> str:
-        return f"replace(format_number({c}, '0.0#########'), '-0.0 ', '0.0 ')"
+        return f"regexp_replace(format_number({c}, '0.0#########'), '^-(0[.]0)$', '$1')"
 
     def pair(v: str) -> str:
         first, second = (f"{v}.y", f"{v}.x") if yx else (f"{v}.x", f"{v}.y")
@@ -190,15 +191,19 @@ def wkt(geom: str, yx: bool = False) -> str:
     def coords(part: str) -> str:
         return f"array_join({each(part, pair, 'v')}, ', ')"
 
-    def listed(start: str, end: str) -> str:
-        items = each(f"{geom}.parts", lambda p: f"concat('{start}', {coords(p)}, '{end}')", "p")
+    def listed(parts: str) -> str:
+        items = each(parts, lambda p: f"concat('(', {coords(p)}, ')')", "p")
         return f"array_join({items}, ', ')"
 
+    def areas(groups: str) -> str:
+        texts = each(groups, lambda p: f"concat('(', {listed(p)}, ')')")
+        return let(texts, lambda t: (
+            f"IF({geom}.kind = 'polygon' AND size({t}) = 1, concat('POLYGON ', get({t}, 0)), "
+            f"concat('MULTIPOLYGON (', array_join({t}, ', '), ')'))"))
+
     bare = coords(f"flatten({geom}.parts)")
-    return f"""CASE {geom}.kind
-        WHEN 'point' THEN concat('POINT (', {bare}, ')')
-        WHEN 'multipoint' THEN concat('MULTIPOINT (', {listed('(', ')')}, ')')
-        WHEN 'line' THEN concat('LINESTRING (', {bare}, ')')
-        WHEN 'multiline' THEN concat('MULTILINESTRING (', {listed('(', ')')}, ')')
-        WHEN 'polygon' THEN concat('POLYGON (', {listed('(', ')')}, ')')
-        WHEN 'multipolygon' THEN concat('MULTIPOLYGON (', {listed('((', '))')}, ')') END"""
+    return f"""CASE WHEN {geom}.kind = 'point' THEN concat('POINT (', {bare}, ')')
+        WHEN {geom}.kind = 'multipoint' THEN concat('MULTIPOINT (', {listed(f'{geom}.parts')}, ')')
+        WHEN {geom}.kind = 'line' THEN concat('LINESTRING (', {bare}, ')')
+        WHEN {geom}.kind = 'multiline' THEN concat('MULTILINESTRING (', {listed(f'{geom}.parts')}, ')')
+        WHEN {is_area(geom)} THEN {let(polygons(f'{geom}.parts'), areas)} END"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from geolayer.functions import crs
 from geolayer.functions import geometry as g
+from geolayer.functions import rings
 from geolayer.functions.sql import each, each_indexed, let, struct
 
 # Geometry type names of the service.
@@ -28,10 +29,16 @@ def geometry_payloads(
 ) -> DataFrame:
     """Add ``geometry_type, geometry, in_sr``: moved to the layer CRS, snapped, as JSON.
 
-    Every ring is sent, so holes are kept.
+    Every ring is sent, so holes are kept: shells run clockwise and holes counterclockwise, which is
+    how a service tells them apart.
     """
     epsg = crs.parse_crs(out_crs)
-    paths = each("_shape.parts", lambda p: each(p, lambda v: f"array({v}.x, {v}.y)"))
+    def pairs(parts: str) -> str:
+        return each(parts, lambda p: each(p, lambda v: f"array({v}.x, {v}.y)"))
+
+    paths = pairs("_shape.parts")
+    turned = each(rings.polygons("_shape.parts"), lambda area: each_indexed(area, lambda r, i: (
+        f"IF({i} = 0, {rings.oriented(r, True)}, {rings.oriented(r, False)})")))
 
     def body(**fields: str) -> str:
         return f"to_json({struct(**fields, spatialReference=_reference(epsg))})"
@@ -40,7 +47,7 @@ def geometry_payloads(
     text = f"""CASE WHEN _shape.kind = 'point' THEN {body(x=f'{first}.x', y=f'{first}.y')}
         WHEN _shape.kind = 'multipoint' THEN {body(points=f'flatten({paths})')}
         WHEN {g.one_of('_shape.kind', g.LINES)} THEN {body(paths=paths)}
-        WHEN {g.one_of('_shape.kind', g.AREAS)} THEN {body(rings=paths)} END"""
+        WHEN {g.one_of('_shape.kind', g.AREAS)} THEN {body(rings=pairs(f'flatten({turned})'))} END"""
     names = F.create_map(*[F.lit(t) for kv in TYPE_NAMES.items() for t in kv])
     return (
         df.withColumn("_shape", F.expr(crs.reproject_geom(geom, in_crs, out_crs)))
