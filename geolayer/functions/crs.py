@@ -1,7 +1,8 @@
 """Coordinate systems: the supported codes, reprojection and geodesic length as column math.
 
 Everything goes through longitude and latitude. WGS 84 and NAD 83 degrees are taken as equal,
-3857 is spherical Mercator, transverse Mercator uses the Krueger series to order six.
+3857 is spherical Mercator, transverse Mercator uses the Krueger series to order six, and
+``projections`` holds the other families. ETRS 89 degrees are taken as equal as well.
 """
 
 from __future__ import annotations
@@ -10,11 +11,12 @@ import math
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geolayer.errors import InputTypeError
 from geolayer.functions import geometry as g
+from geolayer.functions import projections as pj
 from geolayer.functions.sql import add, each, let, num, struct
 
 # Ellipsoids (semi-major axis in metres, inverse flattening).
@@ -33,6 +35,14 @@ UTM_SERIES = ((32600, 60, WGS84, False), (32700, 60, WGS84, True), (26900, 23, G
 # Single codes as code -> (zone, ellipsoid, southern half).
 UTM_SINGLE = {2149: (18, GRS80, False)}
 
+# Parameters of single codes (Conus Albers, Europe Lambert and equal area, World Mercator).
+PROJECTED = {
+    5070: pj.Projection("albers", GRS80, -96.0, 23.0, (29.5, 45.5)),
+    3034: pj.Projection("lambert", GRS80, 10.0, 52.0, (35.0, 65.0), 4000000.0, 2800000.0),
+    3035: pj.Projection("azimuthal", GRS80, 10.0, 52.0, east=4321000.0, north=3210000.0),
+    3395: pj.Projection("mercator", WGS84, 0.0),
+}
+
 
 def utm_zone(epsg: int) -> tuple[int, tuple[float, float], bool] | None:
     """Zone, ellipsoid and hemisphere of a UTM code; ``None`` for other codes."""
@@ -45,14 +55,14 @@ def utm_zone(epsg: int) -> tuple[int, tuple[float, float], bool] | None:
 def supported_codes() -> list[int]:
     """Every EPSG code the library can transform."""
     utm = [first + z for first, last, _, _ in UTM_SERIES for z in range(1, last + 1)]
-    return sorted([*GEOGRAPHIC, MERCATOR, *UTM_SINGLE, *utm])
+    return sorted([*GEOGRAPHIC, MERCATOR, *UTM_SINGLE, *PROJECTED, *utm])
 
 
 def parse_crs(crs: int | str) -> int:
     """EPSG number of a supported CRS given as a number or as text."""
     found = re.fullmatch(r"\s*(?:epsg:)?(\d+)\s*", str(crs), flags=re.IGNORECASE)
     code = int(found.group(1)) if found and not isinstance(crs, bool) else -1
-    if code in GEOGRAPHIC or code == MERCATOR or utm_zone(code):
+    if code in GEOGRAPHIC or code == MERCATOR or code in PROJECTED or utm_zone(code):
         return code
     raise InputTypeError("crs", "a valid CRS", "4326 or 'epsg:3857'")
 
@@ -81,8 +91,7 @@ def check_crs(df: DataFrame, epsg_col: str) -> DataFrame:
     """Flag rows with a supported code (``crs_valid``) and add the canonical text (``crs``)."""
     spark: SparkSession = df.sparkSession
     codes = spark.createDataFrame([(c,) for c in supported_codes()], "_code int")
-    text = F.trim(F.col(epsg_col).cast("string"))
-    code = F.regexp_extract(text, r"^(?i:epsg:)?(\d+)$", 1).try_cast("int")
+    code = code_number(F.col(epsg_col))
     return (
         df.withColumn("_want", code)
         .join(F.broadcast(codes), F.col("_want") == F.col("_code"), "left")
@@ -142,42 +151,67 @@ def _xy(x: str, y: str) -> str:
     return struct(x=x, y=y)
 
 
-def _from_utm(x: str, y: str, epsg: int) -> str:
+UTM_TERMS = ("inv", "fwd", "lat")
+
+
+def _utm_parameters(epsg: int) -> dict[str, str]:
+    """Parameters of a zone as literals."""
     zone, ellipsoid, south = utm_zone(epsg)
     s = series(ellipsoid)
-    scale = num(UTM_SCALE * s["radius"])
-    y0 = FALSE_NORTHING_SOUTH if south else 0.0
-    start = _xy(f"({x} - {num(FALSE_EASTING)}) / {scale}", f"({y} - {num(y0)}) / {scale}")
+    return {
+        "lon0": num(zone * 6 - 183), "y0": num(FALSE_NORTHING_SOUTH if south else 0.0),
+        "scale": num(UTM_SCALE * s["radius"]), "ecc": num(s["ecc"]),
+        **{f"{t}{j}": num(v) for t in UTM_TERMS for j, v in enumerate(s[t], 1)},
+    }
 
-    def sphere(p: str) -> str:
-        xi = add([f"{num(b)} * sin({2 * j} * {p}.y) * cosh({2 * j} * {p}.x)"
-                  for j, b in enumerate(s["inv"], 1)])
-        eta = add([f"{num(b)} * cos({2 * j} * {p}.y) * sinh({2 * j} * {p}.x)"
-                   for j, b in enumerate(s["inv"], 1)])
-        return struct(xi=f"{p}.y - {xi}", eta=f"{p}.x - {eta}")
+
+def _utm_by_code(code: str) -> str:
+    """The same parameters as a struct that follows a column of codes; null for other codes."""
+    zone = "CASE " + " ".join(
+        f"WHEN {code} BETWEEN {first + 1} AND {first + last} THEN {code} - {first}"
+        for first, last, _, _ in UTM_SERIES) + " " + " ".join(
+        f"WHEN {code} = {c} THEN {z}" for c, (z, _, _) in UTM_SINGLE.items()) + " END"
+    south = " OR ".join(f"{code} BETWEEN {first + 1} AND {first + last}"
+                        for first, last, _, south in UTM_SERIES if south)
+    wgs = " OR ".join(f"{code} BETWEEN {first + 1} AND {first + last}"
+                      for first, last, ellipsoid, _ in UTM_SERIES if ellipsoid == WGS84)
+    north, other = _utm_parameters(UTM_SERIES[0][0] + 1), _utm_parameters(UTM_SERIES[2][0] + 1)
+    shared = {k: f"IF({wgs}, {v}, {other[k]})" for k, v in north.items() if k not in ("lon0", "y0")}
+    return struct(
+        lon0=f"double(({zone}) * 6 - 183)", y0=f"IF({south}, {num(FALSE_NORTHING_SOUTH)}, 0.0D)", **shared)
+
+
+def _from_utm(x: str, y: str, p: dict[str, str]) -> str:
+    def terms(name: str) -> list[tuple[int, str]]:
+        return [(j, p[f"{name}{j}"]) for j in range(1, len(INVERSE) + 1)]
+
+    start = _xy(f"({x} - {num(FALSE_EASTING)}) / {p['scale']}", f"({y} - {p['y0']}) / {p['scale']}")
+
+    def sphere(q: str) -> str:
+        xi = add([f"{b} * sin({2 * j} * {q}.y) * cosh({2 * j} * {q}.x)" for j, b in terms("inv")])
+        eta = add([f"{b} * cos({2 * j} * {q}.y) * sinh({2 * j} * {q}.x)" for j, b in terms("inv")])
+        return struct(xi=f"{q}.y - {xi}", eta=f"{q}.x - {eta}")
 
     def conformal(q: str) -> str:
         return struct(chi=f"asin(sin({q}.xi) / cosh({q}.eta))",
                       lam=f"atan2(sinh({q}.eta), cos({q}.xi))")
 
     def degrees(c: str) -> str:
-        phi = add([f"{c}.chi", *[f"{num(d)} * sin({2 * j} * {c}.chi)"
-                                 for j, d in enumerate(s["lat"], 1)]])
-        return _xy(f"degrees({c}.lam) + {num(zone * 6 - 183)}", f"degrees({phi})")
+        phi = add([f"{c}.chi", *[f"{d} * sin({2 * j} * {c}.chi)" for j, d in terms("lat")]])
+        return _xy(f"degrees({c}.lam) + {p['lon0']}", f"degrees({phi})")
 
     return let(let(let(start, sphere), conformal), degrees)
 
 
-def _to_utm(lon: str, lat: str, epsg: int) -> str:
-    zone, ellipsoid, south = utm_zone(epsg)
-    s = series(ellipsoid)
-    ecc = num(s["ecc"])
-    scale = num(UTM_SCALE * s["radius"])
-    y0 = FALSE_NORTHING_SOUTH if south else 0.0
-    start = struct(lam=f"radians({lon} - {num(zone * 6 - 183)})", sn=f"sin(radians({lat}))")
+def _to_utm(lon: str, lat: str, p: dict[str, str]) -> str:
+    def terms(name: str) -> list[tuple[int, str]]:
+        return [(j, p[f"{name}{j}"]) for j in range(1, len(FORWARD) + 1)]
 
-    def conformal(p: str) -> str:
-        return struct(t=f"sinh(atanh({p}.sn) - {ecc} * atanh({ecc} * {p}.sn))", lam=f"{p}.lam")
+    ecc = p["ecc"]
+    start = struct(lam=f"radians({lon} - {p['lon0']})", sn=f"sin(radians({lat}))")
+
+    def conformal(q: str) -> str:
+        return struct(t=f"sinh(atanh({q}.sn) - {ecc} * atanh({ecc} * {q}.sn))", lam=f"{q}.lam")
 
     def sphere(q: str) -> str:
         return struct(
@@ -185,35 +219,86 @@ def _to_utm(lon: str, lat: str, epsg: int) -> str:
             eta=f"asinh(sin({q}.lam) / sqrt({q}.t * {q}.t + cos({q}.lam) * cos({q}.lam)))")
 
     def metres(c: str) -> str:
-        xi = add([f"{c}.xi", *[f"{num(a)} * sin({2 * j} * {c}.xi) * cosh({2 * j} * {c}.eta)"
-                               for j, a in enumerate(s["fwd"], 1)]])
-        eta = add([f"{c}.eta", *[f"{num(a)} * cos({2 * j} * {c}.xi) * sinh({2 * j} * {c}.eta)"
-                                 for j, a in enumerate(s["fwd"], 1)]])
-        return _xy(f"{eta} * {scale} + {num(FALSE_EASTING)}", f"{xi} * {scale} + {num(y0)}")
+        xi = add([f"{c}.xi", *[f"{a} * sin({2 * j} * {c}.xi) * cosh({2 * j} * {c}.eta)"
+                               for j, a in terms("fwd")]])
+        eta = add([f"{c}.eta", *[f"{a} * cos({2 * j} * {c}.xi) * sinh({2 * j} * {c}.eta)"
+                                 for j, a in terms("fwd")]])
+        return _xy(f"{eta} * {p['scale']} + {num(FALSE_EASTING)}", f"{xi} * {p['scale']} + {p['y0']}")
 
     return let(let(let(start, conformal), sphere), metres)
 
 
-def project(x: str, y: str, in_crs: int | str, out_crs: int | str) -> str:
-    """Struct ``(x, y)`` of a position in another CRS, always in x, y order."""
-    src, dst = parse_crs(in_crs), parse_crs(out_crs)
-    if src == dst or {src, dst} <= set(GEOGRAPHIC):
-        return _xy(x, y)
+def _to_degrees(x: str, y: str, src: int) -> str:
+    """Longitude and latitude of a position in a CRS."""
     a = num(WGS84[0])
+    if src in GEOGRAPHIC:
+        return _xy(x, y)
     if src == MERCATOR:
-        here = _xy(f"degrees({x} / {a})",
-                   f"degrees({num(math.pi / 2)} - 2 * atan(exp(-{y} / {a})))")
-    elif src in GEOGRAPHIC:
-        here = _xy(x, y)
-    else:
-        here = _from_utm(x, y, src)
+        return _xy(f"degrees({x} / {a})", f"degrees({num(math.pi / 2)} - 2 * atan(exp(-{y} / {a})))")
+    if src in PROJECTED:
+        p = PROJECTED[src]
+        return pj.inverse(x, y, p, series(p.ellipsoid)["lat"])
+    return _from_utm(x, y, _utm_parameters(src))
+
+
+def _from_degrees(here: str, dst: int) -> str:
+    """A position, given as a struct in degrees, in a CRS."""
     if dst in GEOGRAPHIC:
         return here
+    a = num(WGS84[0])
     if dst == MERCATOR:
         return let(here, lambda p: _xy(
-            f"radians({p}.x) * {a}",
-            f"ln(tan({num(math.pi / 4)} + radians({p}.y) / 2)) * {a}"))
-    return let(here, lambda p: _to_utm(f"{p}.x", f"{p}.y", dst))
+            f"radians({p}.x) * {a}", f"ln(tan({num(math.pi / 4)} + radians({p}.y) / 2)) * {a}"))
+    if dst in PROJECTED:
+        return let(here, lambda p: pj.forward(f"{p}.x", f"{p}.y", PROJECTED[dst]))
+    return let(here, lambda p: _to_utm(f"{p}.x", f"{p}.y", _utm_parameters(dst)))
+
+
+def project(x: str, y: str, in_crs: int | str, out_crs: int | str) -> str:
+    """Struct ``(x, y)`` of a position in another CRS, always in x, y order."""
+    src, dst = parse_crs(in_crs), parse_crs(out_crs)
+    if src == dst or {src, dst} <= set(GEOGRAPHIC):
+        return _xy(x, y)
+    return _from_degrees(_to_degrees(x, y, src), dst)
+
+
+def code_number(code: Column) -> Column:
+    """EPSG number of a column of numbers or texts such as ``epsg:4326``; null for other texts."""
+    return F.regexp_extract(
+        F.trim(code.cast("string")), r"^(?i:epsg:)?(\d+)$", 1).try_cast("int")
+
+
+def reproject_by_code(geom: str, code: str, out_crs: int | str) -> str:
+    """Geometry in another CRS where each row names its own; null for rows with another code.
+
+    One branch per family; the parameters of a UTM zone follow the code, so nothing about the rows
+    has to be known beforehand.
+    """
+    dst = parse_crs(out_crs)
+
+    def moved(to_degrees: Callable[[str, str], str]) -> str:
+        return g.map_vertices(geom, lambda v: let(
+            _from_degrees(to_degrees(f"{v}.x", f"{v}.y"), dst),
+            lambda p: g.vertex_text(f"{p}.x", f"{p}.y", f"{v}.m")))
+
+    same = ", ".join(map(str, GEOGRAPHIC if dst in GEOGRAPHIC else (dst,)))
+    singles = [c for c in (GEOGRAPHIC[0], MERCATOR, *PROJECTED) if not same_crs(c, dst)]
+    branches = []
+    for c in singles:
+        test = one_code(code, GEOGRAPHIC if c in GEOGRAPHIC else (c,))
+        branches.append(f"WHEN {test} THEN {moved(lambda x, y, c=c: _to_degrees(x, y, c))}")
+    fields = _utm_parameters(UTM_SERIES[0][0] + 1)
+    zone = let(_utm_by_code(code), lambda p: moved(
+        lambda x, y: _from_utm(x, y, {k: f"{p}.{k}" for k in fields})))
+    ranges = " OR ".join([*[f"{code} BETWEEN {first + 1} AND {first + last}"
+                            for first, last, _, _ in UTM_SERIES], one_code(code, tuple(UTM_SINGLE))])
+    return (f"CASE WHEN {code} IN ({same}) THEN {geom} " + " ".join(branches)
+            + f" WHEN {ranges} THEN {zone} END")
+
+
+def one_code(code: str, codes: tuple[int, ...]) -> str:
+    """Test of a code."""
+    return f"{code} IN ({', '.join(map(str, codes))})"
 
 
 def same_crs(in_crs: int | str, out_crs: int | str) -> bool:

@@ -110,23 +110,23 @@ def yx_order(
 
 
 def reproject(
-    df: DataFrame, out_crs: int | str, in_crs: int | str | Column = 4326, geom: str = "geom"
+    df: DataFrame, out_crs: int | str, in_crs: int | str | Column = 4326, geom: str = "geom",
+    valid: str | None = None,
 ) -> DataFrame:
-    """Geometry column in another CRS; ``in_crs`` may be a column of codes.
+    """Geometry column in another CRS; ``in_crs`` may be a column of codes, numbers or ``epsg:n`` texts.
 
-    With a column, each supported code present gets its own branch; rows with another code
-    become null.
+    With a column, rows whose code is not supported become null; ``valid`` names a column that tells
+    them from rows without a geometry. Nothing is read while the plan is built.
     """
     if not isinstance(in_crs, Column):
-        return df.withColumn(geom, F.expr(crs.reproject_geom(geom, in_crs, out_crs)))
-    code = in_crs.cast("int")
-    present = df.where(code.isin(crs.supported_codes())).select(code.alias("c")).distinct()
-    known = sorted(r.c for r in present.collect())
-    moved = F.lit(None).cast(g.GEOMETRY)
-    for code in known:
-        moved = F.when(
-            in_crs == code, F.expr(crs.reproject_geom(geom, code, out_crs))).otherwise(moved)
-    return df.withColumn(geom, moved)
+        moved = df.withColumn(geom, F.expr(crs.reproject_geom(geom, in_crs, out_crs)))
+        return moved if valid is None else moved.withColumn(valid, F.lit(True))
+    coded = df.withColumn("_code", crs.code_number(in_crs))
+    moved = coded.withColumn(geom, F.expr(crs.reproject_by_code(geom, "_code", out_crs)))
+    if valid is not None:
+        known = F.col("_code").isin(crs.supported_codes())
+        moved = moved.withColumn(valid, F.coalesce(known, F.lit(False)))
+    return moved.drop("_code")
 
 
 def snap(df: DataFrame, epsg: int = 4326, geom: str = "geom", payload: bool = False) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from geolayer.errors import InputTypeError, InputValueError
 from geolayer.functions import crs
 from geolayer.functions import geometry as g
+from geolayer.functions import projections as pj
 from geolayer.functions.sql import num
 from geolayer.operators import coordinates as co
 from geolayer.operators import tiles as tl
@@ -177,3 +178,52 @@ def test_box_report(spark):
     got = [r.reason for r in tl.box_report(rows).collect()]
     assert got[0] is None and got[1] == got[2] == got[5] == "not four numbers"
     assert got[3] == "south above north" and got[4].startswith("west beyond east")
+
+
+# Worked examples published with the formulas (Clarke 1866 ellipsoid), in metres.
+CLARKE = (6378206.4, 294.978698214)
+EXAMPLES = [
+    (pj.Projection("albers", CLARKE, -96.0, 23.0, (29.5, 45.5)), 1885472.7, 1535925.0),
+    (pj.Projection("lambert", CLARKE, -96.0, 23.0, (33.0, 45.0)), 1894410.9, 1564649.5),
+    (pj.Projection("mercator", CLARKE, -180.0), 11688673.7, 4139145.6),
+]
+
+
+@pytest.mark.parametrize("projection, x, y", EXAMPLES)
+def test_published_examples(spark, projection, x, y):
+    v = spark.range(1).select(F.expr(pj.forward(num(-75.0), num(35.0), projection)).alias("v")).first().v
+    assert tuple(v) == pytest.approx((x, y), abs=0.1)
+
+
+def test_equal_area_position(spark):
+    # Published example of EPSG:3035.
+    assert crs.match_crs((5.0, 50.0), 4326, 3035)[0] == pytest.approx((3962799.45, 2999718.85), abs=0.01)
+
+
+@pytest.mark.parametrize("code, spots", [
+    (5070, [(-120.0, 25.0), (-96.0, 23.0), (-66.5, 49.4)]), (3034, [(-10.0, 35.0), (10.0, 52.0), (31.5, 71.0)]),
+    (3035, [(10.0, 52.0), (-10.0, 35.0), (31.5, 71.0)]), (3395, [(-179.5, -60.0), (0.0, 0.0), (100.0, 80.0)])])
+def test_families_there_and_back(spark, code, spots):
+    back = crs.match_crs(crs.match_crs(spots, 4326, code), code, 4326)
+    for a, b in zip(spots, back):
+        assert b == pytest.approx(a, abs=1e-9)
+
+
+def test_codes_by_row(spark):
+    names = ["EPSG:3857", "4326", "epsg:32733", "26918", "2149", "3035", "3395", "9999", "nowhere", None, "32661", "4269"]
+    spot = {"EPSG:3857": (1e6, 5e6), "3395": (1e6, 5e6), "3035": (4e6, 3e6)}
+    rows = [(i, n, g.as_geometry(spot.get(n, (1e0, 2e0) if n in ("4326", "4269") else (5e5, 4e6))))
+            for i, n in enumerate(names)] + [(99, "4326", None)]
+    df = spark.createDataFrame(rows, f"id int, code string, geom {g.GEOMETRY}")
+    for target in (4326, 3857, 32618):
+        got = {r.id: r for r in co.reproject(df, target, F.col("code"), valid="ok").collect()}
+        for i, name, shape in rows[:-1]:
+            known = name not in ("9999", "nowhere", None, "32661")
+            assert got[i].ok is known and (got[i].geom is not None) is known
+            if known:
+                want = crs.match_crs(tuple(shape[1][0][0][:2]), name, target)[0]
+                v = got[i].geom.parts[0][0]
+                assert (v.x, v.y) == pytest.approx(want, abs=1e-6)
+        assert got[99].ok is True and got[99].geom is None
+    numbers = df.withColumn("code", F.lit(4326).cast("bigint"))
+    assert co.reproject(numbers, 4269, F.col("code")).where("geom IS NOT NULL").count() == len(names)

@@ -13,7 +13,7 @@ from workloads.layers import (
     BOXES_SQL, CATCHMENTS_SQL, REACH_EDGES_SQL, REACHES_SQL, SITES, SITES_SQL,
 )
 from workloads.registry import query
-from workloads.sqltext import geodesic_sql, utm_sql
+from workloads.sqltext import albers_sql, geodesic_sql, utm_sql
 
 GRID = 1e6
 
@@ -69,6 +69,34 @@ def f2_back(spark, sf):
                        F.round(spot("geom").y, 6).alias("y"), "epsg")
 
 
+@query("f2_reproject_albers", f"""SELECT site_id, round(easting, 3) AS x, round(northing, 3) AS y FROM (
+    {albers_sql('lon', 'lat', SITES_SQL)})""")
+def f2_albers(spark, sf):
+    moved = co.reproject(ly.sites(spark, sf), "EPSG:5070")
+    return moved.select("site_id", F.round(spot("geom").x, 3).alias("x"),
+                        F.round(spot("geom").y, 3).alias("y"))
+
+
+@query("f2_reproject_by_code", f"""SELECT reach_id, e.place, CASE WHEN reach_id % 6 <> 3 THEN round(e.x, 6) END AS x,
+    CASE WHEN reach_id % 6 <> 3 THEN round(e.y, 6) END AS y, reach_id % 6 <> 3 AS valid FROM (
+    SELECT reach_id, unnest([{{'place': 0, 'x': x0, 'y': y0}}, {{'place': 1, 'x': x1, 'y': y1}},
+      {{'place': 2, 'x': x2, 'y': y2}}]) AS e FROM ({REACHES_SQL})) WHERE reach_id % 6 <> 3 OR e.place = 0""")
+def f2_by_code(spark, sf):
+    """Lines back from the system that each row names; one name is not known."""
+    codes = {0: "EPSG:3857", 1: "4326", 2: "epsg:32614", 3: "9999", 4: "EPSG:5070", 5: "2149"}
+    k = F.col("reach_id") % 6
+    name, there = F.lit(codes[3]), F.col("geom")
+    for i, code in codes.items():
+        name = F.when(k == i, code).otherwise(name)
+        if i != 3:
+            there = F.when(k == i, F.expr(crs.reproject_geom("geom", 4326, code))).otherwise(there)
+    moved = ly.reaches(spark, sf).withColumn("geom", there).withColumn("code", name)
+    back = co.reproject(moved, 4326, F.col("code"), valid="valid")
+    lines = back.select("reach_id", "valid", F.posexplode_outer(F.col("geom.parts")[0]).alias("place", "v"))
+    return lines.select("reach_id", F.coalesce("place", F.lit(0)).alias("place"), F.round("v.x", 6).alias("x"),
+                        F.round("v.y", 6).alias("y"), "valid")
+
+
 @query("f2_reproject_boxes", f"""SELECT box_id, {MERCATOR_SQL[0].format(x='west')} AS west,
     {MERCATOR_SQL[1].format(y='south')} AS south, {MERCATOR_SQL[0].format(x='east')} AS east,
     {MERCATOR_SQL[1].format(y='north')} AS north FROM ({BOXES_SQL})""")
@@ -157,6 +185,39 @@ def f7(spark, sf):
     return lines.unionByName(areas)
 
 
+def _corners(role: str) -> list[tuple[str, str]]:
+    x, half = ly.BASIN_RINGS[role]
+    w, e, s, n = f"{x} - {half}", f"{x} + {half}", f"cy - {half}", f"cy + {half}"
+    return [(w, s), (e, s), (e, n), (w, n), (w, s)]
+
+
+def _ring_sql(role: str) -> str:
+    return f"'(' || {_join_sql(_corners(role))} || ')'"
+
+
+@query("f7_wkt_nested", f"""SELECT basin_id, 'MULTIPOLYGON ((' || {_ring_sql('shell')} || ', ' || {_ring_sql('hole')}
+    || '), (' || {_ring_sql('island')} || '), (' || {_ring_sql('second')} || '))' AS wkt FROM ({ly.BASINS_SQL})""")
+def f7_nested(spark, sf):
+    return co.with_wkt(ly.basins(spark, sf)).select("basin_id", "wkt")
+
+
+def _vertices_sql(no: int, role: str) -> str:
+    spots = _corners(role) if role == "hole" else _corners(role)[::-1]
+    return " UNION ALL ".join(
+        f"SELECT basin_id, {no} AS ring, {i} AS place, floor(({x})*{GRID} + 0.5)/{GRID} AS x, "
+        f"floor(({y})*{GRID} + 0.5)/{GRID} AS y FROM basins" for i, (x, y) in enumerate(spots))
+
+
+@query("f6_payload_rings", f"WITH basins AS ({ly.BASINS_SQL}) " + " UNION ALL ".join(
+    _vertices_sql(i, role) for i, role in enumerate(("shell", "hole", "island", "second"))))
+def f6_rings(spark, sf):
+    """Every position of the rings sent for areas with holes and islands."""
+    sent = co.geometry_payloads(ly.basins(spark, sf)).select("basin_id", F.posexplode(F.from_json(
+        "geometry", "struct<rings:array<array<array<double>>>>").rings).alias("ring", "r"))
+    return sent.select("basin_id", "ring", F.posexplode("r").alias("place", "v")).select(
+        "basin_id", "ring", "place", F.col("v")[0].alias("x"), F.col("v")[1].alias("y"))
+
+
 @query("f8_box_report", """SELECT o_orderkey, CASE WHEN k = 3 THEN 'not four numbers' WHEN k = 5 THEN
     'south above north' WHEN k = 7 THEN 'west beyond east, may cross the antimeridian' END AS reason
     FROM (SELECT o_orderkey, o_orderkey % 11 AS k FROM orders)""")

@@ -152,6 +152,29 @@ PARCELS_SQL = """SELECT c_custkey AS parcel_id, c_mktsegment AS segment, c_custk
     c_custkey // 50 AS row FROM customer"""
 
 
+def basins(spark: SparkSession, sf: str) -> DataFrame:
+    """Areas of the suppliers: a hole, its shell, an island in the hole, and a second shell."""
+    k, cx, cy, r = F.col("s_suppkey"), F.col("cx"), F.col("cy"), F.col("r")
+
+    def square(x, half):
+        return g.box(x - half, cy - half, x + half, cy + half).parts[0]
+
+    return table(spark, sf, "supplier").select(
+        k.alias("basin_id"),
+        (F.lit(-124) + ((k * 3571) % 56000) / 1000 + F.lit(0.0005)).alias("cx"),
+        (F.lit(26) + ((k * 1237) % 22000) / 1000 + F.lit(0.0005)).alias("cy"),
+        (F.lit(0.5) + (k % 4) * F.lit(0.25)).alias("r"),
+    ).withColumn("geom", g.geometry("multipolygon", F.array(
+        square(cx, r / 2), square(cx, r), square(cx, r / 5), square(cx + r * 2, r / 2))))
+
+
+# Centre and half width of the rings by role.
+BASIN_RINGS = {"hole": ("cx", "r/2"), "shell": ("cx", "r"), "island": ("cx", "r/5"), "second": ("(cx + r*2)", "r/2")}
+BASINS_SQL = """SELECT s_suppkey AS basin_id, -124 + ((s_suppkey*3571) % 56000)/1000 + 0.0005::DOUBLE AS cx,
+    26 + ((s_suppkey*1237) % 22000)/1000 + 0.0005::DOUBLE AS cy, 0.5::DOUBLE + (s_suppkey % 4) * 0.25::DOUBLE AS r
+    FROM supplier"""
+
+
 def as_queries(df: DataFrame, key: str) -> DataFrame:
     """Query table of a layer."""
     return df.select(F.col(key).alias("query_id"), "geom")

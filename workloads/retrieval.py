@@ -73,6 +73,54 @@ def a2_geojson(spark, sf):
                         path[2].x.alias("x2"), path[2].y.alias("y2"))
 
 
+@query("a2_features_with_measure", f"""SELECT reach_id, e.place, e.x, e.y, CASE WHEN (reach_id // {PAGE}) % 2 = 0
+    THEN e.m END AS m FROM (SELECT reach_id, unnest([{{'place': 0, 'x': x0, 'y': y0, 'm': 0.0::DOUBLE}},
+    {{'place': 1, 'x': x1, 'y': y1, 'm': 50.0}}, {{'place': 2, 'x': x2, 'y': y2, 'm': 100.0}}]) AS e
+    FROM ({REACHES_SQL}))""")
+def a2_measure(spark, sf):
+    """Pages with heights; every second one has measures too."""
+    page = F.floor(F.col("reach_id") / PAGE)
+    measured = page % 2 == 0
+    spot = F.transform(F.col("geom.parts")[0], lambda v: F.when(
+        measured, F.array(v.x, v.y, F.lit(7.0), v.m)).otherwise(F.array(v.x, v.y, F.lit(7.0))))
+    feature = F.struct(F.struct("reach_id").alias("attributes"), F.struct(F.array(spot).alias("paths")).alias("geometry"))
+    paged = ly.reaches(spark, sf).groupBy(page.alias("page")).agg(F.collect_list(feature).alias("features")).select(
+        "page", F.to_json(F.struct(F.lit(True).alias("hasZ"), (F.col("page") % 2 == 0).alias("hasM"), "features")).alias(
+            "payload"))
+    found = pg.features_from_pages(paged, "reach_id:bigint")
+    return found.select("reach_id", F.posexplode(F.col("geom.parts")[0]).alias("place", "v")).select(
+        "reach_id", "place", "v.x", "v.y", "v.m")
+
+
+@query("a2_page_report", f"""SELECT request_id, CASE WHEN reason IS NULL THEN n ELSE 0 END AS n_features, reason FROM (
+    SELECT site_id // {PAGE} AS request_id, count(*) AS n, CASE WHEN any_value(site_id // {PAGE}) % 5 = 2 THEN 'not JSON'
+    WHEN any_value(site_id // {PAGE}) % 7 = 3 THEN 'error reply' END AS reason FROM ({SITES_SQL}) GROUP BY 1)""")
+def a2_report(spark, sf):
+    """Every fifth page was cut off in transit."""
+    cut = F.when(F.col("request_id") % 5 == 2, F.expr("left(payload, length(payload) - 3)")).otherwise(F.col("payload"))
+    pages = json_pages(spark, sf).select("request_id", cut.alias("payload"))
+    return pg.page_report(pages)
+
+
+@query("a3_quoted_csv_pages", f"""SELECT reach_id, size, CASE reach_id % 3 WHEN 0 THEN name || ', "said"'
+    WHEN 1 THEN name || chr(10) || 'two' ELSE name END AS name,
+    CASE WHEN (reach_id // {PAGE}) % 2 = 0 THEN ftype END AS ftype FROM ({REACHES_SQL})""")
+def a3_quoted(spark, sf):
+    """Values with commas, quotes and line breaks; every second page has other columns in another order."""
+    k = F.col("reach_id") % 3
+    name = F.when(k == 0, F.concat("name", F.lit(', "said"'))).when(
+        k == 1, F.concat("name", F.lit("\ntwo"))).otherwise(F.col("name"))
+    quoted = F.concat(F.lit('"'), F.replace(name, F.lit('"'), F.lit('""')), F.lit('"'))
+    page = F.floor(F.col("reach_id") / PAGE)
+    first = F.concat_ws(",", "reach_id", quoted, "size", "ftype")
+    other = F.concat_ws(",", "size", F.lit('"x,y"'), quoted, "reach_id")
+    rows = ly.reaches(spark, sf).select(page.alias("page"), F.when(page % 2 == 0, first).otherwise(other).alias("line"))
+    head = F.when(F.col("page") % 2 == 0, "reach_id,name,size,ftype").otherwise("SIZE,extra,Name,reach_id")
+    paged = rows.groupBy("page").agg(F.array_join(F.collect_list("line"), "\r\n").alias("lines")).select(
+        "page", F.concat(head, F.lit("\r\n"), "lines").alias("payload"))
+    return pg.rows_from_csv_pages(paged, "reach_id bigint, size int, name string, ftype string").drop("page")
+
+
 @query("a3_rows_from_csv_pages", f"SELECT site_id, segment, lon, lat FROM ({SITES_SQL})")
 def a3(spark, sf):
     row = F.concat_ws(",", "site_id", "segment", "lon", "lat")

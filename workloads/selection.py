@@ -107,6 +107,22 @@ def c3b_long_rings(spark, sf):
         ly.sites(spark, sf), SITES, areas, relation="esriSpatialRelContains"))
 
 
+def _in_ring_sql(role: str) -> str:
+    x, half = ly.BASIN_RINGS[role]
+    return f"lon BETWEEN {x} - {half} AND {x} + {half} AND lat BETWEEN cy - {half} AND cy + {half}"
+
+
+@query("c3b_contains_sites_in_basins", f"""SELECT basin_id AS query_id, site_id AS feature_id
+    FROM ({ly.BASINS_SQL}) JOIN ({SITES_SQL}) ON lon BETWEEN cx - r AND cx + r*5/2 AND lat BETWEEN cy - r AND cy + r
+    WHERE ({_in_ring_sql('shell')} AND NOT ({_in_ring_sql('hole')})) OR ({_in_ring_sql('island')})
+    OR ({_in_ring_sql('second')})""")
+def c3b_basins(spark, sf):
+    """Sites in areas with holes, islands and several shells."""
+    return ids(sel.ids_by_geom(
+        ly.sites(spark, sf), SITES, ly.as_queries(ly.basins(spark, sf), "basin_id"),
+        relation="esriSpatialRelContains"))
+
+
 @query("c3b_contains_catchments_in_boxes", f"""SELECT box_id AS query_id, catch_id AS feature_id
     FROM ({BOXES_SQL}) JOIN ({CATCHMENTS_SQL}) ON xmin >= west AND xmax <= east AND ymin >= south
     AND ymax <= north""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from geolayer.functions.crs import (
     FALSE_EASTING, FALSE_NORTHING_SOUTH, GRS80, UTM_SCALE, series, utm_zone,
 )
@@ -83,3 +85,27 @@ def utm_sql(lon: str, lat: str, epsg: int, source: str) -> str:
     y0 = FALSE_NORTHING_SOUTH if south else 0.0
     return (f"SELECT *, (eta + {east})*{scale!r} + {FALSE_EASTING} AS easting, "
             f"(xi + {north})*{scale!r} + {y0} AS northing FROM ({sql})")
+
+
+def albers_sql(lon: str, lat: str, source: str) -> str:
+    """``source`` with ``easting, northing`` of the Conus Albers projection (EPSG:5070)."""
+    a, f = 6378137.0, 1 / 298.257222101
+    e2 = f * (2 - f)
+    e = math.sqrt(e2)
+
+    def m(deg: float) -> float:
+        s = math.sin(math.radians(deg))
+        return math.cos(math.radians(deg)) / math.sqrt(1 - e2 * s * s)
+
+    def q(deg: float) -> float:
+        s = math.sin(math.radians(deg))
+        return (1 - e2) * (s / (1 - e2 * s * s) - math.log((1 - e * s) / (1 + e * s)) / (2 * e))
+
+    n = (m(29.5) ** 2 - m(45.5) ** 2) / (q(45.5) - q(29.5))
+    c = m(29.5) ** 2 + n * q(29.5)
+    rho0 = a * math.sqrt(c - n * q(23.0)) / n
+    sql = f"SELECT *, sin(radians({lat})) AS sn, {n!r}*radians({lon} + 96.0) AS theta FROM ({source})"
+    sql = (f"SELECT *, {1 - e2!r}*(sn/(1 - {e2!r}*sn*sn) - ln((1 - {e!r}*sn)/(1 + {e!r}*sn))/{2 * e!r}) AS qq "
+           f"FROM ({sql})")
+    sql = f"SELECT *, {a!r}*sqrt({c!r} - {n!r}*qq)/{n!r} AS rho FROM ({sql})"
+    return f"SELECT *, rho*sin(theta) AS easting, {rho0!r} - rho*cos(theta) AS northing FROM ({sql})"
