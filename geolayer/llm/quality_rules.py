@@ -1,13 +1,16 @@
 """Quality rules, line by line first.
 
-Each line is judged by rules on punctuation, navigation and boilerplate. Failing lines are taken
-out, and a document that loses too much of its text with them is rejected. Before that, a
+Each line is judged by rules on its shape (marks, shouting, links, words without letters, missing
+punctuation) and on whole boilerplate phrases in short lines; short bare lines in a row are a menu.
+Failing lines are taken out, and a document that loses too much of its text with them is rejected. Before that, a
 document fails at once if it is very short or repeats itself.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +23,16 @@ from geolayer.llm.common import map_batches, text_of
 SYMBOLS = "#*$%&|<>"
 SENTENCE_ENDS = ".!?…。"
 MENU_MARKS = "|»›•·"
-# Lower-case phrases of navigation and boilerplate lines.
+# Marks that end a line of prose or verse, unlike a menu entry.
+LINE_ENDS = SENTENCE_ENDS + ",;:)]\"'»”’-–—"
+# Whole phrases of navigation and boilerplate lines, in lower case.
 BOILERPLATE = (
     "accept cookies", "all rights reserved", "back to top", "click here", "cookie policy",
-    "enable javascript", "home | about", "javascript is disabled", "log in to", "lorem ipsum",
-    "privacy policy", "read more", "sign in", "sign up", "skip to content", "terms of service",
-    "terms of use", "use cookies",
+    "enable javascript", "javascript is disabled", "log in to", "lorem ipsum", "privacy policy",
+    "read more", "sign in", "sign up", "skip to content", "terms of service", "terms of use", "use cookies",
+    "alle rechte vorbehalten", "cookies akzeptieren", "mehr lesen", "nach oben", "nutzungsbedingungen",
+    "accepter les cookies", "haut de page", "lire la suite", "mentions légales", "tous droits réservés",
+    "aceptar cookies", "aviso legal", "leer más", "política de privacidad", "todos los derechos reservados",
 )
 
 
@@ -42,15 +49,32 @@ class LineRules:
     shout_words: int = 3
     #: A line of at least so many words without any sentence mark fails.
     long_unpunctuated: int = 100
+    #: Phrases count in lines of at most so many words; in longer ones they are part of a sentence.
+    phrase_line_words: int = 12
+    #: A line fails if so many of its words in percent are addresses of pages or mail.
+    max_linked_percent: int = 40
+    #: A line of at least ``blank_words`` words fails if so many of them hold no letter.
+    max_unlettered_percent: int = 60
+    blank_words: int = 3
+    #: So many lines in a row of at most ``menu_words`` words, none with a mark at its end, are a menu.
+    menu_lines: int = 4
+    menu_words: int = 3
     #: A document is rejected if failing lines hold more than this share of its words.
     max_lost_percent: int = 30
     boilerplate: tuple[str, ...] = field(default=BOILERPLATE)
 
 
+@lru_cache(8)
+def _phrases(phrases: tuple[str, ...]) -> re.Pattern[str]:
+    """Any of the phrases between word boundaries, with any white space inside."""
+    return re.compile(r"(?<!\w)(?:" + "|".join(
+        r"\s+".join(map(re.escape, p.split())) for p in phrases) + r")(?!\w)")
+
+
 def line_fails(words: list[str], line: str, rules: LineRules) -> bool:
-    """Whether a line with these words fails."""
+    """Whether a line with these words fails, whatever stands around it."""
     n = len(words)
-    marked = shouted = 0
+    marked = shouted = linked = unlettered = 0
     for w in words:
         last = w[-1]
         if last in SYMBOLS or last in MENU_MARKS:
@@ -59,14 +83,38 @@ def line_fails(words: list[str], line: str, rules: LineRules) -> bool:
             shouted += 1
         elif last in SENTENCE_ENDS and len(w) > 1 and w[-2] in SYMBOLS:
             marked += 1
-    if 100 * marked > rules.max_marked_percent * n:
+        if not w.isalpha():
+            if "://" in w or w.startswith("www.") or ("@" in w and "." in w):
+                linked += 1
+            elif not any(map(str.isalpha, w)):
+                unlettered += 1
+    if 100 * marked > rules.max_marked_percent * n or 100 * linked > rules.max_linked_percent * n:
         return True
     if n >= rules.shout_words and 100 * shouted > rules.max_shouted_percent * n:
         return True
+    if n >= rules.blank_words and 100 * unlettered > rules.max_unlettered_percent * n:
+        return True
     if n >= rules.long_unpunctuated and not any(c in line for c in SENTENCE_ENDS):
         return True
-    low = line.lower()
-    return any(p in low for p in rules.boilerplate)
+    return bool(rules.boilerplate) and n <= rules.phrase_line_words and (
+        _phrases(rules.boilerplate).search(line.lower()) is not None)
+
+
+def failing(lines: list[str], own: list[list[str]], rules: LineRules) -> list[bool]:
+    """Which lines fail, by themselves or as part of a menu; lines without words neither fail nor end a
+    menu."""
+    fails = [bool(w) and line_fails(w, line, rules) for w, line in zip(own, lines)]
+    run: list[int] = []
+    for i, w in enumerate([*own, None]):
+        if w is not None and (not w or (len(w) <= rules.menu_words and w[-1][-1] not in LINE_ENDS)):
+            if w:
+                run.append(i)
+            continue
+        if len(run) >= rules.menu_lines:
+            for k in run:
+                fails[k] = True
+        run = []
+    return fails
 
 
 def repeated_words(words: list[str], window: int = 5) -> int:
@@ -119,14 +167,15 @@ def judge(text: str, rules: LineRules) -> tuple[int, int, int, int, int, bool, b
     words: list[str] = []
     seen: set[str] = set()
     dup_lines = lost = 0
-    for line in text.split("\n"):
-        own = words_of(line)
+    lines = text.split("\n")
+    split = [words_of(line) for line in lines]
+    for line, own, fails in zip(lines, split, failing(lines, split, rules)):
         if not own:
             continue
         if line in seen:
             dup_lines += 1
         seen.add(line)
-        if line_fails(own, line, rules):
+        if fails:
             lost += len(own)
         words += own
     n = len(words)
@@ -166,9 +215,9 @@ _COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 def clean_lines(docs: DataFrame, rules: LineRules = LineRules(), *, text: str = "text") -> DataFrame:
     """``docs`` with failing lines taken out of the text; null texts stay null."""
     def clean(value: str) -> str:
-        return "\n".join(
-            line for line in value.split("\n")
-            if not (own := words_of(line)) or not line_fails(own, line, rules))
+        lines = value.split("\n")
+        fails = failing(lines, [words_of(line) for line in lines], rules)
+        return "\n".join(line for line, bad in zip(lines, fails) if not bad)
 
     def run(batch: pa.RecordBatch) -> dict:
         out = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}

@@ -506,6 +506,26 @@ def test_lines_decide(spark, awkward, empty):
     assert quality_rules(empty).count() == 0 and clean_lines(empty).count() == 0
 
 
+def test_line_rules_by_shape(spark):
+    prose = " ".join(f"Plain{i} words{i} number{i} go{i} here{i}." for i in range(6))
+    house = "The new design in this house is very good for all of us here."
+    menu = "\n".join(["Home", "About us", "", "News", "Shop", "Contact"])
+    verse = "\n".join(["Roses are red,", "violets blue,", "sugar is sweet,", "and so on."] * 1)
+    cases = {
+        1: (house, True), 2: (menu + "\nJobs\nPress here\nHelp\nMore", False), 3: (verse, True),
+        4: (f"{prose}\n{menu}", True), 5: ("see https://a.example/x and www.b.example or me@c.example "
+                                           "http://d.example/1 http://e.example/2 now", False),
+        6: ("12 34 56 78 90 11 22 33 44 words", False), 7: ("Please SIGN  IN to see all ten words of it", False),
+        8: ("Spread more of the jam on ten slices of bread today.", True),
+        9: ("Alle Rechte vorbehalten, das sind die zehn Wörter in Zeile eins.", False),
+        10: ("Home\nAbout\nNews\n" + prose, True)}
+    docs = table(spark, [(k, t, "a") for k, (t, _) in cases.items()])
+    got = by_id(quality_rules(docs))
+    assert {k: got[k].kept for k in cases} == {k: kept for k, (_, kept) in cases.items()}
+    cleaned = by_id(clean_lines(docs))
+    assert cleaned[4].text == f"{prose}\n" and cleaned[10].text == cases[10][0] and cleaned[1].text == house
+
+
 # Quality classifier
 
 def test_classifier_on_held_out_rows(spark):
