@@ -15,6 +15,10 @@ from geolayer.llm.common import SPACE, bounded, text_of
 from geolayer.session import written
 
 PREFIX_CHARS = 256
+#: Groups of copies that hold more than this share of all copies, and at least so many, are joined by
+#: broadcast: there are fewer than 1 / share of them.
+HOT_SHARE = 1 / 100_000
+HOT_ROWS = 256
 
 
 def normalised(text: Column) -> Column:
@@ -34,8 +38,9 @@ def exact_dedup(
     ``_x`` are replaced.
 
     Two passes read the texts: one for lengths and prefix hashes, one that fetches the rows.
-    Copies are counted with map-side aggregates and joined back, so that a large group of
-    copies is spread over tasks.
+    Copies are counted with map-side aggregates. What is known of a large group of copies is sent to
+    all tasks, which find its rows where they are; rows of other groups meet it in a shuffle. So no
+    task gets a large group, and very long texts are one row's work each.
     """
     names = [c for c in columns or docs.columns if c not in ("keep_id", "group_size", "kept")]
     norm = normalised(text_of(text))
@@ -62,12 +67,17 @@ def exact_dedup(
         .select(*names, "_xid", "_xchars", "_xhash")
         .withColumn("_xrow", F.monotonically_increasing_id()),
         "exact-copies")
-    stays = copies.groupBy("_xhash").agg(
+    stays = written(copies.groupBy("_xhash").agg(
         F.min(F.struct(
             (-F.col("_xchars")).alias("c"), F.col("_xid").isNull().alias("n"),
             F.col("_xid").alias("i"), F.col("_xrow").alias("r"))).alias("_xbest"),
-        F.count(F.lit(1)).alias("group_size"))
-    grouped = copies.join(stays, "_xhash").select(
+        F.count(F.lit(1)).alias("group_size")), "exact-stays")
+    total = stays.agg(F.sum("group_size")).first()[0] or 0
+    hot = F.col("group_size") > max(HOT_ROWS, int(total * HOT_SHARE))
+    large = F.broadcast(stays.filter(hot))
+    grouped = copies.join(large, "_xhash").unionByName(
+        copies.join(large.select("_xhash"), "_xhash", "left_anti").join(stays.filter(~hot), "_xhash"))
+    grouped = grouped.select(
         *names, F.col("_xbest.i").alias("keep_id"), "group_size",
         (F.col("_xbest.r") == F.col("_xrow")).alias("kept"))
     alone = keyed.join(groups, ["_xlen", "_xpre"], "left_anti").select(

@@ -572,6 +572,20 @@ def test_exact_dedup(spark, awkward, empty):
     assert exact_dedup(awkward).count() == len(AWKWARD) and exact_dedup(empty).count() == 0
 
 
+def test_exact_dedup_of_large_groups(spark):
+    """Groups joined by broadcast beside groups joined by shuffle."""
+    rows = [(i, " " * (i % 5) + ("hot text" if i % 3 else f"group {i % 60}"), "s") for i in range(3000)]
+    got = by_id(exact_dedup(table(spark, rows)))
+    groups = collections.defaultdict(list)
+    for i, t, _ in rows:
+        groups["".join(words(t))].append((-len(t), i))
+    assert max(map(len, groups.values())) == 2000 and len(groups) == 21
+    for members in groups.values():
+        for _, i in members:
+            assert (got[i].keep_id, got[i].group_size, got[i].kept) == (
+                min(members)[1], len(members), i == min(members)[1])
+
+
 # Sharding
 
 def test_sharding(spark, rows, awkward, empty):
