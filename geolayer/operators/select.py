@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geolayer.errors import InputTypeError, InputValueError, ZeroMatchedError
-from geolayer.functions import crs, relate
+from geolayer.functions import crs, pair_tests, relate
 from geolayer.functions import geometry as g
 from geolayer.functions.sql import each, keep, let, num, some, struct
 from geolayer.layer import LayerInfo, geometry_column, resolve_field
+from geolayer.plans.block_join import block_pairs
 from geolayer.plans.bounded import Size, measure
 from geolayer.plans.long_rings import LONG_RING, spots_in_areas
 from geolayer.plans.spatial_join import FINEST, candidate_pairs, level_of
@@ -21,6 +22,8 @@ from geolayer.plans.spatial_join import FINEST, candidate_pairs, level_of
 MAX_LITERAL_IDS = 1000
 # Most query geometries for the relations whose answer is nearly every pair.
 MAX_COMPLEMENT_QUERIES = 1000
+# Longest query table tested row by row; longer ones meet the features block by block.
+MAX_ROWWISE_QUERIES = 256
 # Most of their vertices that are held as one value; the same pairs come back beyond it.
 MAX_COMPLEMENT_VERTICES = 50_000
 
@@ -38,6 +41,8 @@ PREDICATES = (
 )
 
 Relation = Callable[[str, str, float], str]
+# A relation with the feature first, its pattern, and whether the pattern has the feature first.
+Named = tuple[str, str | None, bool]
 
 
 def matched(df: DataFrame, require_match: bool, detail: str | None = None) -> DataFrame:
@@ -135,16 +140,18 @@ def spatial_pairs(
     query_size: Size | None = None,
     carry: tuple[str, ...] = (),
     spots: str | None = None,
+    relation: Named | None = None,
 ) -> DataFrame:
     """``(query_id, feature_id)`` of the pairs whose envelopes meet and that pass ``test``.
 
     ``test`` writes the test of the prepared feature and query; ``None`` keeps envelope pairs.
     ``carry`` names feature columns to bring along, which saves a join on the id afterwards.
     ``spots`` says what ``test`` asks of a point and an area, ``meet`` or ``inside``: then query areas with
-    long rings meet a point layer segment by segment.
+    long rings meet a point layer segment by segment. ``relation`` names ``test`` with the feature first; then a long
+    query table meets the features block by block, and ``test`` only sees the pairs that are not plain.
     """
     cell, finest = grid_of(info.epsg, cell)
-    left = _prepared(features, info.id_col, geometry_column(features, info), carry).drop("_nv")
+    left = _prepared(features, info.id_col, geometry_column(features, info), carry)
     right = _prepared(queries, "query_id", "geom")
     if test is None:
         left, right = left.drop("prep"), right.drop("prep")
@@ -154,17 +161,25 @@ def spatial_pairs(
             "xmin": F.col("xmin") - pad, "ymin": F.col("ymin") - pad,
             "xmax": F.col("xmax") + pad, "ymax": F.col("ymax") + pad})
     by_segment = None
-    if spots and info.kind == "point":
+    if test is not None:
         query_size = query_size or measure(right, "_nv", level_of(cell, finest))
+    in_blocks = relation is not None and query_size.rows > MAX_ROWWISE_QUERIES
+    if spots and info.kind == "point":
         if query_size.most > LONG_RING:
             long = g.is_area("geom") + f" AND {g.n_vertices('geom')} > {LONG_RING}"
             by_segment = _named(spots_in_areas(
-                left.drop("prep"), queries.where(long), spots, crs.tolerance(info.epsg), cell, finest), carry)
+                left.drop("prep", "_nv"), queries.where(long), spots, crs.tolerance(info.epsg), cell, finest), carry)
             right = right.where(f"NOT (prep.dim = 2 AND _nv > {LONG_RING})")
             query_size = None
-    pairs = candidate_pairs(left, right, cell, query_size, info.kind == "point", finest)
-    if test is not None:
-        pairs = pairs.where(test("l_prep", "r_prep"))
+    if in_blocks:
+        tol, (name, pattern, feature_first) = crs.tolerance(info.epsg), relation
+        pairs = block_pairs(left, right, cell, lambda a, ai, b, bi: pair_tests.judge(
+            name, a, ai, b, bi, tol, pattern, feature_first), carry, finest)
+        pairs = pairs.where(f"CASE WHEN _sure THEN true ELSE {test('l_prep', 'r_prep')} END")
+    else:
+        pairs = candidate_pairs(left.drop("_nv"), right, cell, query_size, info.kind == "point", finest)
+        if test is not None:
+            pairs = pairs.where(test("l_prep", "r_prep"))
     pairs = _named(pairs, carry)
     return pairs if by_segment is None else pairs.unionByName(by_segment)
 
@@ -235,7 +250,10 @@ def ids_by_geom(
         pairs = within_distance(df, info, queries, int(distance), info.epsg, cell, outfields)
     else:
         spots = {"Intersects": "meet", "Contains": "inside"}.get(relation.removeprefix("esriSpatialRel"))
-        pairs = spatial_pairs(df, info, queries, test, cell, carry=carry, spots=spots)
+        name = relation.removeprefix("esriSpatialRel")
+        first = {"Contains": "within", "Within": "contains", "Relation": "relate"}.get(name, name.lower())
+        pairs = spatial_pairs(df, info, queries, test, cell, carry=carry, spots=spots,
+                              relation=(first, pattern, False) if test else None)
     return matched(pairs, require_match)
 
 
@@ -304,9 +322,17 @@ def within_distance(
     queries = as_queries(df.sparkSession, geom, geo_crs, info.epsg)
     right = _reaching(queries, info.epsg, metres)
     carry = _carried(df, info, outfields)
-    left = _prepared(df, info.id_col, geometry_column(df, info), carry).drop("_nv")
+    left = _prepared(df, info.id_col, geometry_column(df, info), carry)
     cell, finest = grid_of(info.epsg, cell)
-    pairs = candidate_pairs(left, right, cell, None, info.kind == "point", finest)
+    size = measure(right, "_nv", level_of(cell, finest))
+    if (info.kind == "point" and size.most <= 1 and size.rows > MAX_ROWWISE_QUERIES
+            and not crs.is_projected(info.epsg)):
+        # Single points have no envelope of their own to turn or to measure from.
+        pairs = block_pairs(left, right, cell, lambda a, ai, b, bi: pair_tests.near_spots(
+            a, ai, b, bi, metres), carry, finest)
+        exact = _spots_near("l_prep", "r_prep", info.epsg, metres)
+        return _named(pairs.where(f"CASE WHEN _sure THEN true ELSE {exact} END"), carry)
+    pairs = candidate_pairs(left.drop("_nv"), right, cell, size, info.kind == "point", finest)
     if not crs.is_projected(info.epsg):
         pairs = pairs.where("r__turned = 0 OR l_xmax - l_xmin < 180")
     return _named(pairs.where(_near_test("l_prep", "r_prep", "r_", info.epsg, metres)), carry)
@@ -443,7 +469,8 @@ def features_by_geom(
     test = _predicate_test(predicate, crs.tolerance(info.epsg), pattern)
     spots = {"INTERSECTS": "meet", "WITHIN": "inside"}.get(predicate)
     return spatial_pairs(
-        df, info, queries, test, cell, carry=_carried(df, info, outfields), spots=spots)
+        df, info, queries, test, cell, carry=_carried(df, info, outfields), spots=spots,
+        relation=(predicate.lower(), pattern, True))
 
 
 def _all_but(

@@ -101,11 +101,13 @@ def crowding(df: DataFrame, cell: float, finest: int = FINEST) -> dict[int, floa
     return {r["_k"]: max((r["n2"] - r["n"] ** 2 * share) / (1 - share) / r["n"], 1.0) for r in rows}
 
 
-def chosen_levels(left: Size, right: Size, crowd: dict[int, float]) -> tuple[int, ...]:
+def chosen_levels(
+    left: Size, right: Size, crowd: dict[int, float], candidate: float = 1.0
+) -> tuple[int, ...]:
     """The levels to use, of those the tables have: fewest entries and candidates together.
 
-    Rows whose level is not chosen go up to the next one that is. An entry and a candidate count the
-    same; a geometry meets what lies in about four cells.
+    Rows whose level is not chosen go up to the next one that is. A candidate costs ``candidate``
+    entries; a geometry meets what lies in about four cells.
     """
     levels = sorted({*left.levels, *right.levels})
     if not levels or not left.rows:
@@ -123,7 +125,7 @@ def chosen_levels(left: Size, right: Size, crowd: dict[int, float]) -> tuple[int
     best: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
     for j, level in enumerate(levels):
         best.append(min(
-            (best[i][0] + left.rows + right.rows + 4 * crowd_at(level) * sum(meets[i:j + 1]),
+            (best[i][0] + left.rows + right.rows + 4 * candidate * crowd_at(level) * sum(meets[i:j + 1]),
              (*best[i][1], level)) for i in range(j + 1)))
     return best[-1][1]
 
@@ -140,9 +142,9 @@ def _side(df: DataFrame, prefix: str) -> DataFrame:
 
 def split_hot(
     left: DataFrame, right: DataFrame, by: tuple[str, ...] = (*BBOX, "_salt"),
-    by_right: tuple[str, ...] | None = None,
+    by_right: tuple[str, ...] | None = None, vertices: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Blocks for the cells with more than ``BLOCK_ROWS`` entries of a side.
+    """Blocks for the cells with more than ``BLOCK_ROWS`` entries of a side, or ``vertices`` (``_nv``) if given.
 
     The bound does not move with the tables, so two blocks never make more pairs than its square. The
     list of these cells is sent if it is short, and joined by shuffle if not. ``by`` names the columns
@@ -151,9 +153,10 @@ def split_hot(
     key = ["_lv", "_cx", "_cy"]
 
     def hot(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*key).agg(
-            F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_ROWS)).cast("int").alias(name)
-        ).where(F.col(name) > 1)
+        blocks = F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_ROWS))
+        if vertices:
+            blocks = F.greatest(blocks, F.ceil(F.sum("_nv") / F.lit(vertices)))
+        return df.groupBy(*key).agg(blocks.cast("int").alias(name)).where(F.col(name) > 1)
 
     # Written, so that both sides are counted once and not once for each use of the list.
     blocks = written(hot(left, "_nl").join(hot(right, "_nr"), key, "full"), "hot-cells")
