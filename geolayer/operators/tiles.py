@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geolayer.errors import InputTypeError, InputValueError
 from geolayer.functions import crs
 from geolayer.functions import geometry as g
+from geolayer.functions.pixels import pixel_counts
 from geolayer.functions.sql import let
 from geolayer.layer import LayerInfo, geometry_column
+from geolayer.plans.block_join import points_by_box
 from geolayer.plans.spatial_join import candidate_pairs
 from geolayer.operators.select import grid_of
 
@@ -154,6 +157,26 @@ def tile_requests(
         F.lit("layers"), F.col("layer")))
 
 
+def _points_and_boxes(
+    points: DataFrame, info: LayerInfo, boxes: DataFrame, resolution: float, max_px: int, box_id: str,
+    values: tuple[str, ...],
+) -> tuple[DataFrame, DataFrame]:
+    """The two sides of the join of points and boxes with their tiling."""
+    plan = tile_plan(boxes, resolution, info.epsg, max_px)
+    grid = [*SIDES, "nx", "ny", "dx", "dy", "sub_width", "sub_height"]
+    right = plan.select(
+        F.col(box_id).alias("id"), F.struct(*grid).alias("grid"),
+        F.col("west").alias("xmin"), F.col("south").alias("ymin"),
+        F.col("east").alias("xmax"), F.col("north").alias("ymax"),
+        F.lit(5).alias("_nv"), F.xxhash64(box_id).alias("_salt"))
+    if not set(g.BBOX) <= set(points.columns):
+        points = g.with_bbox(points, geometry_column(points, info))
+    left = points.where(F.col("xmin") == F.col("xmax")).where(
+        F.col("ymin") == F.col("ymax")).select(
+        F.col(info.id_col).alias("id"), *values, *g.BBOX, F.xxhash64(info.id_col).alias("_salt"))
+    return left, right
+
+
 def points_to_tiles(
     points: DataFrame,
     info: LayerInfo,
@@ -170,18 +193,7 @@ def points_to_tiles(
     belong to its last tiles. Pixel rows count from the top. Boxes are found by grid cell, the
     tile then follows by arithmetic, so tiles are never joined.
     """
-    plan = tile_plan(boxes, resolution, info.epsg, max_px)
-    grid = [*SIDES, "nx", "ny", "dx", "dy", "sub_width", "sub_height"]
-    right = plan.select(
-        F.col(box_id).alias("id"), F.struct(*grid).alias("grid"),
-        F.col("west").alias("xmin"), F.col("south").alias("ymin"),
-        F.col("east").alias("xmax"), F.col("north").alias("ymax"),
-        F.lit(5).alias("_nv"), F.xxhash64(box_id).alias("_salt"))
-    if not set(g.BBOX) <= set(points.columns):
-        points = g.with_bbox(points, geometry_column(points, info))
-    left = points.where(F.col("xmin") == F.col("xmax")).where(
-        F.col("ymin") == F.col("ymax")).select(
-        F.col(info.id_col).alias("id"), *values, *g.BBOX, F.xxhash64(info.id_col).alias("_salt"))
+    left, right = _points_and_boxes(points, info, boxes, resolution, max_px, box_id, values)
     side, finest = grid_of(info.epsg, cell)
     pairs = candidate_pairs(left, right, side, None, True, finest)
     b, x, y = F.col("r_grid"), F.col("l_xmin"), F.col("l_ymin")
@@ -209,3 +221,36 @@ def rasterize(
     if value:
         aggs.append(F.avg(value).alias("mean"))
     return placed.groupBy(box_id, "tile_no", "px", "py").agg(*aggs)
+
+
+def rasterize_points(
+    points: DataFrame,
+    info: LayerInfo,
+    boxes: DataFrame,
+    resolution: float,
+    max_px: int = MAX_PIXELS,
+    value: str | None = None,
+    box_id: str = "box_id",
+    cell: float | None = None,
+) -> DataFrame:
+    """``rasterize(points_to_tiles(...))`` without a shuffle of the placed points.
+
+    The points of a box come together (``points_by_box``), so its pixels are counted where they are placed. Only
+    boxes whose points lie in several blocks are summed up by a shuffle of their counted pixels. ``value`` is taken as a double.
+    """
+    left, right = _points_and_boxes(points, info, boxes, resolution, max_px, box_id, (value,) if value else ())
+    mean = F.col(value).cast("double") if value else F.lit(None).cast("double")
+    left = left.select(mean.alias("value"), *g.BBOX, "_salt")
+    right = right.select("id", "grid.*", *g.BBOX, "_salt")
+    side, finest = grid_of(info.epsg, cell)
+    schema = T.StructType([
+        T.StructField("id", right.schema["id"].dataType), *[T.StructField(c, T.LongType()) for c in (
+            "tile_no", "px", "py", "n", "n_value")], T.StructField("total", T.DoubleType())])
+    counted, any_split = points_by_box(left, right, side, finest, pixel_counts, schema)
+    keys = ["id", "tile_no", "px", "py"]
+    pixels = counted.where("NOT _split").drop("_split") if any_split else counted.drop("_split")
+    if any_split:
+        parts = counted.where("_split").groupBy(*keys)
+        pixels = pixels.unionByName(parts.agg(*[F.sum(c).alias(c) for c in ("n", "n_value", "total")]))
+    means = [F.expr("IF(n_value > 0, total / n_value, NULL)").alias("mean")] if value else []
+    return pixels.select(F.col("id").alias(box_id), "tile_no", "px", "py", "n", *means)

@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 
 from geolayer.functions.geometry import BBOX
 from geolayer.functions.pair_tests import NO, YES, Shapes
-from geolayer.plans.bounded import Size, measure
+from geolayer.plans.bounded import measure
 from geolayer.plans.spatial_join import (
-    COARSEST, CROWD_STEP, FINEST, LEVEL_RATIO, _at, chosen_levels, crowding, level_of, split_hot, with_cells,
+    COARSEST, FINEST, LEVEL_RATIO, _at, _size, chosen_levels, crowding, level_of, split_hot, with_cells,
 )
 from geolayer.session import ship_packages
 
@@ -31,6 +31,9 @@ CELL_ROWS = 250
 LEAST_CELLS = 64
 #: Vertices of one side of a block.
 BLOCK_VERTICES = 1_000_000
+#: Points and boxes of a block, where all points of a box are wanted together.
+BLOCK_POINTS = 1_000_000
+BLOCK_BOXES = 4_000
 #: Envelope pairs looked at in one go.
 STEP = 1 << 17
 #: A candidate within a block costs this part of a shuffled row.
@@ -91,23 +94,20 @@ def _column(table: pa.Table, name: str) -> pa.Array:
     return column.chunk(0) if column.num_chunks == 1 else pa.concat_arrays(column.chunks)
 
 
-def _block(table: pa.Table, cell: float, judge: Judge, carried: list[str]) -> Iterator[pa.RecordBatch]:
-    """The pairs of one block."""
+def _sides(table: pa.Table) -> tuple[pa.Table, pa.Table]:
+    """Features, sorted by their west sides, and queries of a block."""
     side = _column(table, "_left")
     left, right = table.filter(side), table.filter(pc.invert(side))
-    if not left.num_rows or not right.num_rows:
-        return
-    left = left.take(pa.array(np.argsort(_column(left, "xmin").to_numpy(), kind="stable")))
-    lv, cx, cy = (table.column(c)[0].as_py() for c in KEY[:3])
-    size = cell * LEVEL_RATIO ** lv
-    l_env, r_env = ([_column(t, b).to_numpy() for b in BBOX] for t in (left, right))
-    l_own, r_own = (_column(t, "_own").to_numpy() for t in (left, right))
-    l_prep, r_prep = _column(left, "prep"), _column(right, "prep")
-    a, b = Shapes(l_prep), Shapes(r_prep)
-    l_ids, r_ids = _column(left, "l_id"), _column(right, "r_id")
+    if left.num_rows:
+        left = left.take(pa.array(np.argsort(_column(left, "xmin").to_numpy(), kind="stable")))
+    return left, right
+
+
+def _meeting(l_env: list[np.ndarray], r_env: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the features and queries whose envelopes meet, all of a query together; features are sorted by
+    their west sides."""
     widest = (l_env[2] - l_env[0]).max()
-    first = np.searchsorted(l_env[0], r_env[0] - widest * (1 + 1e-9) - 1e-9, "left")
-    # What is left of the cell in both has met in another one.
+    first = np.searchsorted(l_env[0], r_env[0] - widest * (1 + 1e-9) - (1e-9 if widest else 0.0), "left")
     last = np.searchsorted(l_env[0], r_env[2], "right")
     ends = np.cumsum(np.maximum(last - first, 0))
     start = 0
@@ -120,7 +120,24 @@ def _block(table: pa.Table, cell: float, judge: Judge, carried: list[str]) -> It
         li = np.arange(len(r)) + np.repeat(first[rows] - (np.cumsum(n) - n), n)
         start = stop
         met = (l_env[1][li] <= r_env[3][r]) & (l_env[3][li] >= r_env[1][r]) & (l_env[2][li] >= r_env[0][r])
-        li, r = li[met], r[met]
+        if met.any():
+            yield li[met], r[met]
+
+
+def _block(table: pa.Table, cell: float, judge: Judge, carried: list[str]) -> Iterator[pa.RecordBatch]:
+    """The pairs of one block."""
+    left, right = _sides(table)
+    if not left.num_rows or not right.num_rows:
+        return
+    lv, cx, cy = (table.column(c)[0].as_py() for c in KEY[:3])
+    size = cell * LEVEL_RATIO ** lv
+    l_env, r_env = ([_column(t, b).to_numpy() for b in BBOX] for t in (left, right))
+    l_own, r_own = (_column(t, "_own").to_numpy() for t in (left, right))
+    l_prep, r_prep = _column(left, "prep"), _column(right, "prep")
+    a, b = Shapes(l_prep), Shapes(r_prep)
+    l_ids, r_ids = _column(left, "l_id"), _column(right, "r_id")
+    for li, r in _meeting(l_env, r_env):
+        # What is left of the cell, or below it, in both has met in another one.
         here = ((np.floor(np.maximum(l_env[0][li], r_env[0][r]) / size) == cx)
                 & (np.floor(np.maximum(l_env[1][li], r_env[1][r]) / size) == cy)
                 & (np.maximum(l_own[li], r_own[r]) == lv))
@@ -139,3 +156,49 @@ def _block(table: pa.Table, cell: float, judge: Judge, carried: list[str]) -> It
                 [l_ids.take(i), r_ids.take(j), *[_column(left, c).take(i) for c in carried],
                  pa.array(np.full(len(at), sure)), *shapes],
                 names=["l_id", "r_id", *[f"l_{c}" for c in carried], "_sure", "l_prep", "r_prep"])
+
+
+def points_by_box(
+    points: DataFrame, boxes: DataFrame, cell: float, finest: int, work: Callable, schema: T.StructType
+) -> tuple[DataFrame, bool]:
+    """What ``work`` makes of the points of each box, with ``_split`` where a box had them in several blocks, and
+    whether there is such a box.
+
+    A box is listed in the cell of its lower left corner only, at a level that is larger than it, and a point in that cell
+    and the ones left of and below it. So all points of a box come together, unless a cell holds more than
+    ``BLOCK_POINTS``. ``work(points, boxes, pairs)`` gets the two sides of a block and the pairs that meet, all of a
+    box at once, and yields arrays of ``schema``.
+    """
+    spark = points.sparkSession
+    ship_packages(spark)
+    crowd, finest = _grid(points, cell, finest)
+    own = level_of(cell, finest, "(greatest(xmax - xmin, ymax - ymin) * 1.000001D)")
+    left_size, right_size = measure(points, "1", str(finest)), measure(boxes, "1", own)
+    chosen = chosen_levels(left_size, right_size, crowd, CANDIDATE_COST)
+    at = _at(right_size, chosen)
+    levels = ", ".join(map(str, at)) or "NULL"
+    size = _size("_lv", cell)
+    placed = ["*", f"floor(xmin / {size}) AS _cx", f"floor(ymin / {size}) AS _cy"]
+    cells_l = points.selectExpr("*", f"explode(CAST(array({levels}) AS array<int>)) AS _lv").selectExpr(*placed)
+    for c in ("_cx", "_cy"):
+        cells_l = cells_l.withColumn(c, F.explode(F.array(F.col(c), F.col(c) - 1)))
+    cells_r = boxes.selectExpr(
+        "*", f"element_at(filter(CAST(array({levels}) AS array<int>), k -> k >= {own}), 1) AS _lv").selectExpr(*placed)
+    cells_l, cells_r = split_hot(cells_l, cells_r, rows=(BLOCK_POINTS, BLOCK_BOXES), told=True)
+    any_split = not cells_r.where("_split").isEmpty()
+    listed = cells_l.drop("_salt").withColumn("_left", F.lit(True)).unionByName(
+        cells_r.drop("_salt").withColumn("_left", F.lit(False)), allowMissingColumns=True)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)
+    names = [*schema.names, "_split"]
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left, right = _sides(pa.Table.from_batches(list(batches)).combine_chunks())
+        if not left.num_rows or not right.num_rows:
+            return
+        split = _column(right, "_split")[0].as_py()
+        met = _meeting(*([_column(t, b).to_numpy() for b in BBOX] for t in (left, right)))
+        for arrays in work(left, right, met):
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(np.full(len(arrays[0]), split))], names=names)
+
+    return listed.repartition(tasks, *KEY).groupBy(*KEY).applyInArrow(
+        find, T.StructType([*schema, T.StructField("_split", T.BooleanType())])), any_split

@@ -39,9 +39,10 @@ COUNTERS = 4096
 CROWD_STEP = 2
 
 
-def level_of(cell: float, finest: int = FINEST) -> str:
+def level_of(
+    cell: float, finest: int = FINEST, side: str = "greatest(xmax - xmin, ymax - ymin)"
+) -> str:
     """Grid level by the longer side of the envelope."""
-    side = "greatest(xmax - xmin, ymax - ymin)"
     least = num(cell * LEVEL_RATIO ** finest)
     up = f"int(ceil(log({num(LEVEL_RATIO)}, {side} / {num(cell)})))"
     return f"IF({side} <= {least}, {finest}, least(greatest({up}, {finest}), {COARSEST}))"
@@ -143,23 +144,27 @@ def _side(df: DataFrame, prefix: str) -> DataFrame:
 def split_hot(
     left: DataFrame, right: DataFrame, by: tuple[str, ...] = (*BBOX, "_salt"),
     by_right: tuple[str, ...] | None = None, vertices: int | None = None,
+    rows: tuple[int, int] | None = None, told: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Blocks for the cells with more than ``BLOCK_ROWS`` entries of a side, or ``vertices`` (``_nv``) if given.
 
     The bound does not move with the tables, so two blocks never make more pairs than its square. The
     list of these cells is sent if it is short, and joined by shuffle if not. ``by`` names the columns
-    that deal the rows of a side to its blocks.
+    that deal the rows of a side to its blocks. ``rows`` are other bounds for the two sides; with ``told`` a row says
+    whether the other side of its cell is in several blocks (``_split``).
     """
     key = ["_lv", "_cx", "_cy"]
+    most = rows or (BLOCK_ROWS, BLOCK_ROWS)
 
-    def hot(df: DataFrame, name: str) -> DataFrame:
-        blocks = F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_ROWS))
+    def hot(df: DataFrame, name: str, bound: int) -> DataFrame:
+        blocks = F.ceil(F.count(F.lit(1)) / F.lit(bound))
         if vertices:
             blocks = F.greatest(blocks, F.ceil(F.sum("_nv") / F.lit(vertices)))
         return df.groupBy(*key).agg(blocks.cast("int").alias(name)).where(F.col(name) > 1)
 
     # Written, so that both sides are counted once and not once for each use of the list.
-    blocks = written(hot(left, "_nl").join(hot(right, "_nr"), key, "full"), "hot-cells")
+    blocks = written(
+        hot(left, "_nl", most[0]).join(hot(right, "_nr", most[1]), key, "full"), "hot-cells")
     if small_rows(blocks, MAX_SENT_CELLS):
         blocks = F.broadcast(blocks)
 
@@ -168,8 +173,11 @@ def split_hot(
     ) -> DataFrame:
         n1, n2 = F.coalesce(F.col(n_mine), F.lit(1)), F.coalesce(F.col(n_other), F.lit(1))
         spread = F.pmod(F.xxhash64(*[F.col(b) for b in by]), n1).cast("int")
+        dealt = df.join(blocks, key, "left")
+        if told:
+            dealt = dealt.withColumn("_split", n2 > 1)
         return (
-            df.join(blocks, key, "left")
+            dealt
             .withColumn(mine, spread)
             .withColumn(other, F.explode(F.sequence(F.lit(0), n2 - 1)))
             .drop("_nl", "_nr")

@@ -314,4 +314,5 @@ def g4(spark, sf):
 @query("g5_rasterize", f"""SELECT box_id, tile_no, px, py, count(*) AS n, round(avg(acctbal), 6) AS mean
     FROM ({PLACED_SQL}) GROUP BY 1, 2, 3, 4""")
 def g5(spark, sf):
-    return tl.rasterize(placed(spark, sf), "acctbal").withColumn("mean", F.round("mean", 6))
+    pixels = tl.rasterize_points(ly.sites(spark, sf), SITES, plots(spark, sf), 250.0, 100_000, "acctbal")
+    return pixels.withColumn("mean", F.round("mean", 6))
