@@ -15,7 +15,7 @@ from geolayer.functions.sql import each, keep, let, num, some, struct
 from geolayer.layer import LayerInfo, geometry_column, resolve_field
 from geolayer.plans.block_join import block_pairs
 from geolayer.plans.bounded import Size, measure
-from geolayer.plans.long_rings import LONG_RING, spots_in_areas
+from geolayer.plans.long_rings import LONG_RING, WHOLE_RING, spots_in_areas, spots_in_rings
 from geolayer.plans.spatial_join import FINEST, candidate_pairs, level_of
 
 # Longest id list written into the filter itself; longer ones become a join table.
@@ -166,9 +166,14 @@ def spatial_pairs(
     in_blocks = relation is not None and query_size.rows > MAX_ROWWISE_QUERIES
     if spots and info.kind == "point":
         if query_size.most > LONG_RING:
-            long = g.is_area("geom") + f" AND {g.n_vertices('geom')} > {LONG_RING}"
-            by_segment = _named(spots_in_areas(
-                left.drop("prep", "_nv"), queries.where(long), spots, crs.tolerance(info.epsg), cell, finest), carry)
+            tol, bare, n = crs.tolerance(info.epsg), left.drop("prep", "_nv"), g.n_vertices("geom")
+            areas = queries.where(g.is_area("geom"))
+            by_segment = spots_in_rings(
+                bare, areas.where(f"{n} > {LONG_RING} AND {n} <= {WHOLE_RING}"), spots, tol, cell, finest)
+            if query_size.most > WHOLE_RING:
+                by_segment = by_segment.unionByName(spots_in_areas(
+                    bare, areas.where(f"{n} > {WHOLE_RING}"), spots, tol, cell, finest))
+            by_segment = _named(by_segment, carry)
             right = right.where(f"NOT (prep.dim = 2 AND _nv > {LONG_RING})")
             query_size = None
     if in_blocks:

@@ -159,7 +159,8 @@ def _block(table: pa.Table, cell: float, judge: Judge, carried: list[str]) -> It
 
 
 def points_by_box(
-    points: DataFrame, boxes: DataFrame, cell: float, finest: int, work: Callable, schema: T.StructType
+    points: DataFrame, boxes: DataFrame, cell: float, finest: int, work: Callable, schema: T.StructType,
+    vertices: int | None = None,
 ) -> tuple[DataFrame, bool]:
     """What ``work`` makes of the points of each box, with ``_split`` where a box had them in several blocks, and
     whether there is such a box.
@@ -167,8 +168,10 @@ def points_by_box(
     A box is listed in the cell of its lower left corner only, at a level that is larger than it, and a point in that cell
     and the ones left of and below it. So all points of a box come together, unless a cell holds more than
     ``BLOCK_POINTS``. ``work(points, boxes, pairs)`` gets the two sides of a block and the pairs that meet, all of a
-    box at once, and yields arrays of ``schema``.
+    box at once, and yields arrays of ``schema``. ``vertices`` (``_nv``) bound the blocks as well, if given.
     """
+    seen = "xmin + ymin + xmax + ymax IS NOT NULL AND NOT isnan(xmin + ymin + xmax + ymax)"
+    points, boxes = points.where(seen), boxes.where(seen)
     spark = points.sparkSession
     ship_packages(spark)
     crowd, finest = _grid(points, cell, finest)
@@ -184,7 +187,8 @@ def points_by_box(
         cells_l = cells_l.withColumn(c, F.explode(F.array(F.col(c), F.col(c) - 1)))
     cells_r = boxes.selectExpr(
         "*", f"element_at(filter(CAST(array({levels}) AS array<int>), k -> k >= {own}), 1) AS _lv").selectExpr(*placed)
-    cells_l, cells_r = split_hot(cells_l, cells_r, rows=(BLOCK_POINTS, BLOCK_BOXES), told=True)
+    cells_l, cells_r = split_hot(
+        cells_l, cells_r, vertices=vertices, rows=(BLOCK_POINTS, BLOCK_BOXES), told=True)
     any_split = not cells_r.where("_split").isEmpty()
     listed = cells_l.drop("_salt").withColumn("_left", F.lit(True)).unionByName(
         cells_r.drop("_salt").withColumn("_left", F.lit(False)), allowMissingColumns=True)

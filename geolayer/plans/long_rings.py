@@ -10,18 +10,29 @@ ring of n short segments meets some ``PER_BAND`` of them and not n.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geolayer.functions import geometry as g
 from geolayer.functions import relate
+from geolayer.functions.ring_bands import Rings
 from geolayer.functions.sql import num
+from geolayer.plans.block_join import points_by_box
 from geolayer.plans.bounded import MAX_BROADCAST_ROWS, small_rows
 from geolayer.plans.spatial_join import candidate_pairs, split_hot
 from geolayer.session import written
 
 #: Areas with more vertices are cut into segments; the rows found are the same either way.
 LONG_RING = 2000
+#: Areas up to here are sent whole (``spots_in_rings``).
+WHOLE_RING = 50_000
+#: Vertices of the areas of a block.
+BLOCK_RING_VERTICES = 4_000_000
 PER_BAND = 64
 MAX_LEVEL = 24
 #: A band no segment is in: one row for each area, which counts how often a point comes.
@@ -109,3 +120,38 @@ def spots_in_areas(
     odd = "(_right div _times) % 2 = 1"
     return counted.where(f"{odd} OR _on = 1" if spots == "meet" else f"{odd} AND _on = 0").selectExpr(
         "l_id", "r_id", *[f"`{c}`" for c in carried], "explode(sequence(1L, _times)) AS _time").drop("_time")
+
+
+def spots_in_rings(
+    points: DataFrame, areas: DataFrame, spots: str, tol: float, cell: float, finest: int
+) -> DataFrame:
+    """``spots_in_areas`` for areas that are sent whole, once each, to the block their points come to.
+
+    Within a block the edges of an area are listed by horizontal band, and a point meets those of its band.
+    """
+    carried = [c for c in points.columns if c.startswith("c_")]
+    left = points.select(F.col("id").alias("l_id"), *carried, *g.BBOX, "_salt", F.lit(1).alias("_nv"))
+    framed = areas.select("query_id", "geom", F.expr(g.envelope("geom")).alias("_e"))
+    right = framed.select(
+        F.col("query_id").alias("r_id"), F.expr("transform(geom.parts, p -> p.x)").alias("xs"),
+        F.expr("transform(geom.parts, p -> p.y)").alias("ys"), F.expr(g.n_vertices("geom")).alias("_nv"),
+        F.xxhash64("query_id").alias("_salt"),
+        *[(F.col(f"_e.{b}") + (2 * tol if b.endswith("max") else -2 * tol)).alias(b) for b in g.BBOX])
+    schema = T.StructType([
+        T.StructField("l_id", left.schema["l_id"].dataType), T.StructField("r_id", right.schema["r_id"].dataType),
+        *[T.StructField(f"l_{c}", left.schema[c].dataType) for c in carried]])
+
+    def work(spot: pa.Table, area: pa.Table, pairs: Iterator) -> Iterator[list[pa.Array]]:
+        x, y = (spot.column(b).to_numpy() for b in ("xmin", "ymin"))
+        ids, queries = (t.column(c).combine_chunks() for t, c in ((spot, "l_id"), (area, "r_id")))
+        rings = Rings(area)
+        for li, box in pairs:
+            new = np.flatnonzero(np.diff(box, prepend=-1))
+            hold = np.concatenate([
+                rings.hold(int(box[s]), x[li[s:e]], y[li[s:e]], tol, spots == "meet")
+                for s, e in zip(new, np.append(new[1:], len(box)))])
+            at = pa.array(li[hold])
+            yield [ids.take(at), queries.take(pa.array(box[hold])),
+                   *[spot.column(c).combine_chunks().take(at) for c in carried]]
+
+    return points_by_box(left, right, cell, finest, work, schema, BLOCK_RING_VERTICES)[0].drop("_split")

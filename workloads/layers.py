@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from geolayer.functions import geometry as g
 from geolayer.layer import LayerInfo
+from geolayer.plans.bounded import spread_small
 
 SITES = LayerInfo("site_id", kind="point")
 CATCHMENTS = LayerInfo("catch_id", kind="polygon")
@@ -93,7 +94,8 @@ def long_catchments(spark: SparkSession, sf: str, steps: int = 600) -> DataFrame
     edges = (f"flatten(transform(slice(geom.parts[0], 1, size(geom.parts[0]) - 1), (v, i) -> "
              f"transform(sequence(0, {steps - 1}), j -> {vertex})))")
     ring = f"array(concat({edges}, slice(geom.parts[0], -1, 1)))"
-    return catchments(spark, sf).withColumn(
+    # Spread before the vertices are made: the table is a small file, and its rings are not.
+    return spread_small(catchments(spark, sf), "catch_id").withColumn(
         "geom", F.expr(f"CAST(named_struct('kind', 'polygon', 'parts', {ring}) AS {g.GEOMETRY})"))
 
 
