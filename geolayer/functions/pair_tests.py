@@ -3,12 +3,17 @@
 Most pairs of a join are plain: a point well inside, edges that cross or stay apart. These are answered here
 by the formulas of ``relate``; pairs whose boundaries come within ``CLOSE`` tolerances of each other, and kinds of shapes
 that no rule names, are ``UNSURE`` and left to ``relate`` itself. So both ways find the same pairs.
+
+A query with many features in reach is tested against all of them at once (``judge_one``): its edges are single numbers
+then, and nothing is gathered for a pair but the feature's positions.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +26,11 @@ NO, YES, UNSURE = 0, 1, 2
 CLOSE = 1000.0
 #: Most pairs of edges of two shapes that are tested here.
 MAX_EDGE_PAIRS = 4096
+#: Positions and edges of one query tested in one go.
+EDGE_STEP = 1 << 15
+#: Distances up to here are told by chords, but for those within ``CHORD_MARGIN`` metres of the limit.
+MAX_CHORD = 1_000_000
+CHORD_MARGIN = 0.01
 
 
 class Shapes:
@@ -33,6 +43,26 @@ class Shapes:
         self.n_segs, self.seg_at, (self.x1, self.y1, self.x2, self.y2) = _flat(segs, ("x1", "y1", "x2", "y2"))
         self.n_ends, self.end_at, (self.ex, self.ey) = _flat(ends, ("x", "y"))
         self.spot = (self.dim == 0) & (self.n_verts == 1)
+        self.all_spots = bool(self.spot.all())
+        self.all_lines = bool((self.dim == 1).all())
+
+    @cached_property
+    def space(self) -> np.ndarray:
+        """Places of the vertices of a geographic layer on the ellipsoid, in metres from its centre."""
+        a, inv = crs.GRS80
+        e2 = (2 - 1 / inv) / inv
+        lon, lat = np.radians(self.vx), np.radians(self.vy)
+        n = a / np.sqrt(1 - e2 * np.sin(lat) ** 2)
+        return np.array([n * np.cos(lat) * np.cos(lon), n * np.cos(lat) * np.sin(lon), n * (1 - e2) * np.sin(lat)])
+
+    def edges_of(self, one: int) -> np.ndarray:
+        """Ends of the edges of one shape: four rows, a column for an edge."""
+        at = slice(self.seg_at[one], self.seg_at[one] + self.n_segs[one])
+        return np.array([v[at] for v in (self.x1, self.y1, self.x2, self.y2)])
+
+    def corners_of(self, one: int) -> np.ndarray:
+        at = slice(self.vert_at[one], self.vert_at[one] + self.n_verts[one])
+        return np.array([self.vx[at], self.vy[at]])
 
     def edges(self, at: np.ndarray) -> Iterator:
         """The first edges of the shapes ``at``, then the second ones, and so on, with the places that have one."""
@@ -258,13 +288,15 @@ def _boxes_touch(a: tuple, b: tuple, tol: float) -> np.ndarray:
 
 def _extents_say(relation: str, a: Shapes, ai: np.ndarray, b: Shapes, bi: np.ndarray, tol: float) -> np.ndarray:
     """Pairs of lines and areas."""
-    met = _meetings(a, ai, b, bi, tol, relation != "intersects")
     if relation == "intersects":
-        found = met.crossed
+        found = np.zeros(len(ai), bool)
         for p, pi, q, qi in ((a, ai, b, bi), (b, bi, a, ai)):
             rest = np.flatnonzero(~found)
             found[rest] = _corners_inside(p, pi[rest], q, qi[rest], tol, True) > 0
+        rest = np.flatnonzero(~found)
+        found[rest] = _meetings(a, ai[rest], b, bi[rest], tol, False).crossed
         return found.astype(np.int8)
+    met = _meetings(a, ai, b, bi, tol, True)
     says = np.full(len(ai), UNSURE, np.int8)
     dims = a.dim[ai] + b.dim[bi]
     if relation != "relate":
@@ -340,19 +372,117 @@ def judge(
     return says
 
 
-def near_spots(a: Shapes, ai: np.ndarray, b: Shapes, bi: np.ndarray, metres: float) -> np.ndarray:
-    """Whether single points of a geographic layer are at most ``metres`` apart (``crs.nearer_than``)."""
+def _inside(x: np.ndarray, y: np.ndarray, edges: np.ndarray, tol: float) -> tuple[np.ndarray, np.ndarray]:
+    """Whether positions lie inside an area by its edges, and whether they lie on one (``locate``)."""
+    on, odd = np.zeros(len(x), bool), np.zeros(len(x), bool)
+    x1, y1, x2, y2 = edges[:, :, None]
+    dx, dy, up = x2 - x1, y2 - y1, y2 > y1
+    reach = (tol * tol) * (dx * dx + dy * dy)
+    for at in _slices(len(x), len(x1)):
+        px, py = x[at], y[at]
+        turn = dx * (py - y1) - (px - x1) * dy
+        e, i = np.nonzero(turn * turn <= reach)
+        if len(e):
+            qx, qy, (ax, ay, bx, by) = px[i], py[i], edges[:, e]
+            hold = ((qx >= np.minimum(ax, bx) - tol) & (qx <= np.maximum(ax, bx) + tol)
+                    & (qy >= np.minimum(ay, by) - tol) & (qy <= np.maximum(ay, by) + tol))
+            on[at.start + i[hold]] = True
+        odd[at] = np.bitwise_xor.reduce(((y1 > py) != (y2 > py)) & ((turn > 0) == up), axis=0)
+    return odd, on
+
+
+def _slices(n: int, edges: int) -> Iterator[slice]:
+    """Parts of ``n`` positions whose pairs with ``edges`` are few enough to be at hand."""
+    step = max(EDGE_STEP // edges, 1)
+    return (slice(s, min(s + step, n)) for s in range(0, n, step))
+
+
+def _lines_meet(a: Shapes, at: np.ndarray, b: Shapes, q: int, tol: float) -> np.ndarray:
+    """Which of the lines ``at`` meet the area ``q``: what ``_extents_say`` finds, in the order of what is cheap."""
+    edges, corners = b.edges_of(q), b.corners_of(q)
+    found, close = np.zeros(len(at), bool), np.zeros(len(at), bool)
+    rest = np.arange(len(at))
+    for k in range(int(a.n_verts[at].max())):
+        live = rest[a.n_verts[at[rest]] > k]
+        i = a.vert_at[at[live]] + k
+        odd, on = _inside(a.vx[i], a.vy[i], edges, tol)
+        found[live[odd | on]] = True
+        rest = rest[~found[rest]]
+    p1, q1, p2, q2 = edges[:, :, None]
+    ox, oy = p2 - p1, q2 - q1
+    o_long = tol * (np.abs(ox) + np.abs(oy))[:, 0]
+    for k in range(int(a.n_segs[at[rest]].max(initial=0))):
+        live = rest[a.n_segs[at[rest]] > k]
+        for part in _slices(len(live), edges.shape[1]):
+            here = live[part]
+            i = a.seg_at[at[here]] + k
+            x1, y1, x2, y2 = a.x1[i], a.y1[i], a.x2[i], a.y2[i]
+            tx, ty = x2 - x1, y2 - y1
+            t_long = tol * (np.abs(tx) + np.abs(ty))
+            # A corner of the area is on a line only if it is near the line's edge.
+            far = np.abs(tx * (corners[1][:, None] - y1) - ty * (corners[0][:, None] - x1))
+            close[here[(far <= 4 * t_long).any(axis=0)]] = True
+            o1, o2 = ox * (y1 - q1) - oy * (x1 - p1), ox * (y2 - q1) - oy * (x2 - p1)
+            e, i = np.nonzero(o1 * o2 < 0)
+            (ax, ay, bx, by), sx, sy, x, y = edges[:, e], tx[i], ty[i], x1[i], y1[i]
+            t1, t2 = sx * (ay - y) - sy * (ax - x), sx * (by - y) - sy * (bx - x)
+            hit = ((t1 * t2 < 0) & (np.minimum(np.abs(t1), np.abs(t2)) > t_long[i])
+                   & (np.minimum(np.abs(o1[e, i]), np.abs(o2[e, i])) > o_long[e]))
+            found[here[i[hit]]] = True
+        rest = rest[~found[rest]]
+    check = np.flatnonzero(close & ~found)
+    if len(check):
+        found[check] = _corners_inside(b, np.full(len(check), q), a, at[check], tol, True) > 0
+    return found
+
+
+def judge_one(
+    relation: str, a: Shapes, at: np.ndarray, b: Shapes, q: int, tol: float,
+    pattern: str | None = None, feature_first: bool = True,
+) -> np.ndarray:
+    """``judge`` of the features ``at`` and one query."""
+    area = b.dim[q] == 2 and b.n_segs[q] > 0
+    if area and a.all_spots and relation != "relate":
+        odd, on = _inside(a.vx[at], a.vy[at], b.edges_of(q), tol)
+        return _spots(relation, np.where(on, 1, np.where(odd, 0, 2)), True, feature_first, pattern).astype(np.int8)
+    if (area and a.all_lines and relation == "intersects"
+            and a.n_segs[at].max(initial=0) * b.n_segs[q] <= MAX_EDGE_PAIRS):
+        return _lines_meet(a, at, b, q, tol).astype(np.int8)
+    return judge(relation, a, at, b, np.full(len(at), q), tol, pattern, feature_first)
+
+
+def near_spots(a: Shapes, ai: np.ndarray, b: Shapes, bi: np.ndarray | int, metres: float) -> np.ndarray:
+    """Whether single points of a geographic layer are at most ``metres`` apart (``crs.nearer_than``); ``bi`` may be
+    one query for all."""
     says = np.full(len(ai), UNSURE, np.int8)
-    at = np.flatnonzero(a.spot[ai] & b.spot[bi])
-    pa_, pb = a.vert_at[ai[at]], b.vert_at[bi[at]]
-    lon1, lat1, lon2, lat2 = (np.radians(v) for v in (a.vx[pa_], a.vy[pa_], b.vx[pb], b.vy[pb]))
-    dlat, dlon = np.sin((lat2 - lat1) / 2), np.sin((lon2 - lon1) / 2)
-    h = dlat * dlat + np.cos(lat1) * np.cos(lat2) * dlon * dlon
-    d = 2 * crs.MEAN_RADIUS * np.arcsin(np.minimum(1.0, np.sqrt(h)))
-    found = np.where(d < metres * 0.99, YES, NO).astype(np.int8)
-    edge = np.flatnonzero((d >= metres * 0.99) & (d <= metres * 1.01))
+    spots = a.spot[ai] & b.spot[bi]
+    at = slice(None) if spots.all() else np.flatnonzero(spots)
+    pa_, pb = a.vert_at[ai[at]], b.vert_at[bi if np.ndim(bi) == 0 else bi[at]]
+
+    def lonlat(near: np.ndarray | slice) -> list[np.ndarray]:
+        i, j = pa_[near], np.broadcast_to(pb, pa_.shape)[near]
+        return [np.radians(v) for v in (a.vx[i], a.vy[i], b.vx[j], b.vy[j])]
+
+    if metres <= MAX_CHORD:
+        # A geodesic is no shorter than its chord, and no longer than the arc of the smallest radius of curvature on it.
+        major, inv = crs.GRS80
+        radius = major * (1 - 1 / inv) ** 2
+        least = 2 * radius * math.sin(max(metres - CHORD_MARGIN, 0) / (2 * radius))
+        d = 0.0
+        for u, v in zip(a.space, b.space):
+            step = u[pa_] - v[pb]
+            d = d + step * step
+        found = (d < least * least).astype(np.int8)
+        edge = np.flatnonzero((d >= least * least) & (d <= (metres + CHORD_MARGIN) ** 2))
+    else:
+        lon1, lat1, lon2, lat2 = lonlat(slice(None))
+        dlat, dlon = np.sin((lat2 - lat1) / 2), np.sin((lon2 - lon1) / 2)
+        h = dlat * dlat + np.cos(lat1) * np.cos(lat2) * dlon * dlon
+        d = 2 * crs.MEAN_RADIUS * np.arcsin(np.minimum(1.0, np.sqrt(h)))
+        found = np.where(d < metres * 0.99, YES, NO).astype(np.int8)
+        edge = np.flatnonzero((d >= metres * 0.99) & (d <= metres * 1.01))
     if len(edge):
-        exact = _geodesic(lon1[edge], lat1[edge], lon2[edge], lat2[edge])
+        exact = _geodesic(*lonlat(edge))
         found[edge] = np.where(exact < metres - 1e-5, YES, np.where(exact > metres + 1e-5, NO, UNSURE))
     says[at] = found
     return says

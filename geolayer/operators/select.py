@@ -14,7 +14,7 @@ from geolayer.functions import geometry as g
 from geolayer.functions.sql import each, keep, let, num, some, struct
 from geolayer.layer import LayerInfo, geometry_column, resolve_field
 from geolayer.plans.block_join import block_pairs
-from geolayer.plans.bounded import Size, measure
+from geolayer.plans.bounded import Size, measure, spread
 from geolayer.plans.long_rings import LONG_RING, WHOLE_RING, spots_in_areas, spots_in_rings
 from geolayer.plans.spatial_join import FINEST, candidate_pairs, level_of
 
@@ -164,6 +164,9 @@ def spatial_pairs(
     if test is not None:
         query_size = query_size or measure(right, "_nv", level_of(cell, finest))
     in_blocks = relation is not None and query_size.rows > MAX_ROWWISE_QUERIES
+    if in_blocks:
+        # A layer in a small file would be prepared, and listed by cell, in one task.
+        left = _prepared(spread(features, info.id_col), info.id_col, geometry_column(features, info), carry)
     if spots and info.kind == "point":
         if query_size.most > LONG_RING:
             tol, bare, n = crs.tolerance(info.epsg), left.drop("prep", "_nv"), g.n_vertices("geom")
@@ -178,9 +181,9 @@ def spatial_pairs(
             query_size = None
     if in_blocks:
         tol, (name, pattern, feature_first) = crs.tolerance(info.epsg), relation
-        pairs = block_pairs(left, right, cell, lambda a, ai, b, bi: pair_tests.judge(
-            name, a, ai, b, bi, tol, pattern, feature_first), carry, finest)
-        pairs = pairs.where(f"CASE WHEN _sure THEN true ELSE {test('l_prep', 'r_prep')} END")
+        judge, judge_one = ((lambda a, ai, b, bi, say=say: say(name, a, ai, b, bi, tol, pattern, feature_first))
+                            for say in (pair_tests.judge, pair_tests.judge_one))
+        pairs = block_pairs(left, right, cell, judge, judge_one, test("l_prep", "r_prep"), carry, finest)
     else:
         pairs = candidate_pairs(left.drop("_nv"), right, cell, query_size, info.kind == "point", finest)
         if test is not None:
@@ -333,10 +336,14 @@ def within_distance(
     if (info.kind == "point" and size.most <= 1 and size.rows > MAX_ROWWISE_QUERIES
             and not crs.is_projected(info.epsg)):
         # Single points have no envelope of their own to turn or to measure from.
-        pairs = block_pairs(left, right, cell, lambda a, ai, b, bi: pair_tests.near_spots(
-            a, ai, b, bi, metres), carry, finest)
-        exact = _spots_near("l_prep", "r_prep", info.epsg, metres)
-        return _named(pairs.where(f"CASE WHEN _sure THEN true ELSE {exact} END"), carry)
+        left = _prepared(spread(df, info.id_col), info.id_col, geometry_column(df, info), carry)
+        right = _reaching(spread(queries, "query_id"), info.epsg, metres)
+
+        def judge(a, ai, b, bi):
+            return pair_tests.near_spots(a, ai, b, bi, metres)
+
+        return _named(block_pairs(left, right, cell, judge, judge, _spots_near(
+            "l_prep", "r_prep", info.epsg, metres), carry, finest), carry)
     pairs = candidate_pairs(left.drop("_nv"), right, cell, size, info.kind == "point", finest)
     if not crs.is_projected(info.epsg):
         pairs = pairs.where("r__turned = 0 OR l_xmax - l_xmin < 180")

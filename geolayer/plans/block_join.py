@@ -3,7 +3,9 @@
 Both sides are listed by grid cell (``spatial_join``) and shuffled by it, at a grid coarse enough that a cell is worth a
 call. A cell with too many rows or vertices is split into blocks of both sides. Within a block, envelopes are
 swept along x and the pairs that meet are tested together (``functions.pair_tests``), so a geometry is sent once for a
-cell and not once for a pair, and only results leave the block. Pairs that need the exact test come back with their shapes.
+cell and not once for a pair, and only results leave the block: a query with the list of its features, which Spark
+explodes. Queries with a crowd of features in reach are tested one by one against all of them, the others
+together. Pairs that need the exact test come back with their shapes.
 """
 
 from __future__ import annotations
@@ -36,11 +38,16 @@ BLOCK_POINTS = 1_000_000
 BLOCK_BOXES = 4_000
 #: Envelope pairs looked at in one go.
 STEP = 1 << 17
+#: A query with more features in reach is tested on its own.
+CROWD = 256
+#: Pairs of a batch of results.
+RESULT_PAIRS = 1 << 18
 #: A candidate within a block costs this part of a shuffled row.
 CANDIDATE_COST = 0.02
 KEY = ("_lv", "_cx", "_cy", "_block_l", "_block_r")
 
 Judge = Callable[[Shapes, np.ndarray, Shapes, np.ndarray], np.ndarray]
+JudgeOne = Callable[[Shapes, np.ndarray, Shapes, int], np.ndarray]
 
 
 def _grid(left: DataFrame, cell: float, finest: int) -> tuple[dict[int, float], int]:
@@ -53,11 +60,11 @@ def _grid(left: DataFrame, cell: float, finest: int) -> tuple[dict[int, float],
 
 
 def block_pairs(
-    left: DataFrame, right: DataFrame, cell: float, judge: Judge, carry: tuple[str, ...] = (),
-    finest: int = FINEST,
+    left: DataFrame, right: DataFrame, cell: float, judge: Judge, judge_one: JudgeOne, exact: str,
+    carry: tuple[str, ...] = (), finest: int = FINEST,
 ) -> DataFrame:
-    """``l_id, r_id``, carried ``l_c_`` columns, ``_sure`` and, where not sure, ``l_prep, r_prep`` of the pairs
-    whose envelopes meet and that ``judge`` does not refuse.
+    """``l_id, r_id`` and carried ``l_c_`` columns of the pairs whose envelopes meet and that ``judge``, or
+    ``judge_one`` for a single query, says to hold; ``exact`` tests ``l_prep`` and ``r_prep`` where it can not tell.
 
     Both tables have ``id``, envelope, ``prep``, ``_nv`` and ``_salt``, the left one also ``c_`` columns to carry.
     """
@@ -78,15 +85,20 @@ def block_pairs(
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)
     types = listed.schema
     schema = T.StructType([
-        T.StructField("l_id", types["l_id"].dataType), T.StructField("r_id", types["r_id"].dataType),
-        *[T.StructField(f"l_{c}", types[c].dataType) for c in carried], T.StructField("_sure", T.BooleanType()),
+        T.StructField("l_id", T.ArrayType(types["l_id"].dataType)), T.StructField("r_id", types["r_id"].dataType),
+        *[T.StructField(f"l_{c}", T.ArrayType(types[c].dataType)) for c in carried],
+        T.StructField("_sure", T.BooleanType()),
         T.StructField("l_prep", types["prep"].dataType), T.StructField("r_prep", types["prep"].dataType)])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches)).combine_chunks()
-        yield from _block(table, cell, judge, carried)
+        yield from _block(table, cell, judge, judge_one, carried)
 
-    return listed.repartition(tasks, *KEY).groupBy(*KEY).applyInArrow(find, schema)
+    found = listed.repartition(tasks, *KEY).groupBy(*KEY).applyInArrow(find, schema).where(
+        f"CASE WHEN _sure THEN true ELSE {exact} END")
+    if not carried:
+        return found.selectExpr("r_id", "explode(l_id) AS l_id")
+    return found.selectExpr("r_id", f"inline(arrays_zip({', '.join(['l_id', *[f'`l_{c}`' for c in carried]])}))")
 
 
 def _column(table: pa.Table, name: str) -> pa.Array:
@@ -103,19 +115,27 @@ def _sides(table: pa.Table) -> tuple[pa.Table, pa.Table]:
     return left, right
 
 
-def _meeting(l_env: list[np.ndarray], r_env: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of the features and queries whose envelopes meet, all of a query together; features are sorted by
-    their west sides."""
+def _in_reach(l_env: list[np.ndarray], r_env: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """For each query the first of the features that may meet it by their sides along x, and the one after the last."""
     widest = (l_env[2] - l_env[0]).max()
     first = np.searchsorted(l_env[0], r_env[0] - widest * (1 + 1e-9) - (1e-9 if widest else 0.0), "left")
-    last = np.searchsorted(l_env[0], r_env[2], "right")
-    ends = np.cumsum(np.maximum(last - first, 0))
+    return first, np.maximum(np.searchsorted(l_env[0], r_env[2], "right"), first)
+
+
+def _meeting(
+    l_env: list[np.ndarray], r_env: list[np.ndarray], queries: np.ndarray | None = None,
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the features and queries whose envelopes meet, all of a query together; features are sorted by
+    their west sides. ``queries`` are the places of those to look at, all if not given."""
+    first, last = _in_reach(l_env, r_env)
+    queries = np.arange(len(first)) if queries is None else queries
+    ends = np.cumsum((last - first)[queries])
     start = 0
     while start < len(ends):
         before = ends[start - 1] if start else 0
         stop = max(int(np.searchsorted(ends, before + STEP, "right")), start + 1)
-        rows = np.arange(start, stop)
-        n = np.maximum(last[rows] - first[rows], 0)
+        rows = queries[start:stop]
+        n = last[rows] - first[rows]
         r = np.repeat(rows, n)
         li = np.arange(len(r)) + np.repeat(first[rows] - (np.cumsum(n) - n), n)
         start = stop
@@ -124,7 +144,9 @@ def _meeting(l_env: list[np.ndarray], r_env: list[np.ndarray]) -> Iterator[tuple
             yield li[met], r[met]
 
 
-def _block(table: pa.Table, cell: float, judge: Judge, carried: list[str]) -> Iterator[pa.RecordBatch]:
+def _block(
+    table: pa.Table, cell: float, judge: Judge, judge_one: JudgeOne, carried: list[str],
+) -> Iterator[pa.RecordBatch]:
     """The pairs of one block."""
     left, right = _sides(table)
     if not left.num_rows or not right.num_rows:
@@ -132,30 +154,67 @@ def _block(table: pa.Table, cell: float, judge: Judge, carried: list[str]) -> It
     lv, cx, cy = (table.column(c)[0].as_py() for c in KEY[:3])
     size = cell * LEVEL_RATIO ** lv
     l_env, r_env = ([_column(t, b).to_numpy() for b in BBOX] for t in (left, right))
-    l_own, r_own = (_column(t, "_own").to_numpy() for t in (left, right))
+    # What is left of the cell, below it or finer in both has met in another one. Nothing is right of it or above.
+    l_home, r_home = ([np.floor(env[0] / size) == cx, np.floor(env[1] / size) == cy, _column(t, "_own").to_numpy() == lv]
+                      for t, env in ((left, l_env), (right, r_env)))
     l_prep, r_prep = _column(left, "prep"), _column(right, "prep")
     a, b = Shapes(l_prep), Shapes(r_prep)
     l_ids, r_ids = _column(left, "l_id"), _column(right, "r_id")
-    for li, r in _meeting(l_env, r_env):
-        # What is left of the cell, or below it, in both has met in another one.
-        here = ((np.floor(np.maximum(l_env[0][li], r_env[0][r]) / size) == cx)
-                & (np.floor(np.maximum(l_env[1][li], r_env[1][r]) / size) == cy)
-                & (np.maximum(l_own[li], r_own[r]) == lv))
-        li, r = li[here], r[here]
-        if not len(li):
-            continue
-        says = judge(a, li, b, r)
-        for sure in (True, False):
-            at = np.flatnonzero((says == YES) if sure else (says != YES) & (says != NO))
-            if not len(at):
-                continue
-            i, j = pa.array(li[at]), pa.array(r[at])
-            shapes = ([pa.nulls(len(at), p.type) for p in (l_prep, r_prep)] if sure
-                      else [l_prep.take(i), r_prep.take(j)])
-            yield pa.RecordBatch.from_arrays(
-                [l_ids.take(i), r_ids.take(j), *[_column(left, c).take(i) for c in carried],
-                 pa.array(np.full(len(at), sure)), *shapes],
-                names=["l_id", "r_id", *[f"l_{c}" for c in carried], "_sure", "l_prep", "r_prep"])
+    extra = [_column(left, c) for c in carried]
+    names = ["l_id", "r_id", *[f"l_{c}" for c in carried], "_sure", "l_prep", "r_prep"]
+
+    def rows(li: np.ndarray, r: np.ndarray, sure: bool) -> pa.RecordBatch:
+        """A row for each run of a query, or for each pair that is not sure."""
+        i = pa.array(li)
+        start = np.flatnonzero(np.diff(r, prepend=-1)) if sure else np.arange(len(r))
+        j, ends = pa.array(r[start]), pa.array(np.append(start, len(r)).astype(np.int32))
+        shapes = ([pa.nulls(len(start), p.type) for p in (l_prep, r_prep)] if sure
+                  else [l_prep.take(i), r_prep.take(j)])
+        lists = [pa.ListArray.from_arrays(ends, c.take(i)) for c in (l_ids, *extra)]
+        return pa.RecordBatch.from_arrays(
+            [lists[0], r_ids.take(j), *lists[1:], pa.array(np.full(len(start), sure)), *shapes], names=names)
+
+    def results(found: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for li, r, says in found:
+            yes, unsure = says == YES, (says != YES) & (says != NO)
+            if unsure.any():
+                yield rows(li[unsure], r[unsure], False)
+            if yes.any():
+                held.append((li[yes], r[yes]))
+                n += len(held[-1][0])
+            if n > RESULT_PAIRS:
+                yield rows(*map(np.concatenate, zip(*held)), True)
+                held, n = [], 0
+        if held:
+            yield rows(*map(np.concatenate, zip(*held)), True)
+
+    first, last = _in_reach(l_env, r_env)
+    crowded = last - first > CROWD
+
+    def together() -> Iterator:
+        for li, r in _meeting(l_env, r_env, np.flatnonzero(~crowded)):
+            here = np.ones(len(li), bool)
+            for mine, theirs in zip(l_home, r_home):
+                here &= mine[li] | theirs[r]
+            li, r = li[here], r[here]
+            if len(li):
+                yield li, r, judge(a, li, b, r)
+
+    def one_by_one() -> Iterator:
+        for q in np.flatnonzero(crowded).tolist():
+            at = slice(first[q], last[q])
+            west, south, _, north = (v[q] for v in r_env)
+            met = (l_env[1][at] <= north) & (l_env[3][at] >= south) & (l_env[2][at] >= west)
+            for mine, theirs in zip(l_home, r_home):
+                if not theirs[q]:
+                    met &= mine[at]
+            li = np.flatnonzero(met) + first[q]
+            if len(li):
+                yield li, np.full(len(li), q), judge_one(a, li, b, q)
+
+    yield from results(together())
+    yield from results(one_by_one())
 
 
 def points_by_box(

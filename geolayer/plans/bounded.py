@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_VERTICES = 2_000_000
 SMALL_BYTES_PER_CORE = 8 << 20
+SPREAD_PER_CORE = 4
 # A geometry covers at most two by two cells of a grid level that fits it.
 CELLS_PER_LEVEL = 4
 
@@ -62,3 +63,8 @@ def spread_small(df: DataFrame, key: str) -> DataFrame:
 def small_rows(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> bool:
     """Whether a table has at most ``limit`` rows; reads no more than it must to know."""
     return df.limit(limit + 1).count() <= limit
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a table a few partitions per core, for work on its rows that does not follow from the bytes of its files."""
+    return df.repartition(SPREAD_PER_CORE * df.sparkSession.sparkContext.defaultParallelism, key)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from geolayer.functions import geometry as g
+from geolayer.functions import pair_tests
 from geolayer.layer import LayerInfo
 from geolayer.operators import select as sel
 from geolayer.plans import block_join, spatial_join
@@ -89,3 +91,49 @@ def test_distances_of_points_in_blocks(spark, monkeypatch):
     queries = spots.select(F.col("id").alias("query_id"), "geom")
     want, got = _both(monkeypatch, lambda: sel.within_distance(spots, info, queries, 60_000))
     assert got == want and len(want) > 800
+
+
+@pytest.mark.parametrize("name", ["Intersects", "Contains", "Touches"])
+@pytest.mark.parametrize("kinds", [("point",), ("line", "multiline"), ("polygon", "multipolygon")])
+def test_queries_tested_one_by_one_find_the_same(shapes, monkeypatch, name, kinds):
+    monkeypatch.setattr(block_join, "CROWD", -1)
+    layer = shapes.where(F.col("geom.kind").isin(*kinds))
+    queries = shapes.select(F.col("id").alias("query_id"), "geom")
+    want, got = _both(monkeypatch, lambda: sel.ids_by_geom(layer, MIXED, queries, relation="esriSpatialRel" + name))
+    assert got == want and want
+
+
+def test_results_leave_a_block_as_lists(shapes):
+    """One row for a query and not one for each of its pairs."""
+    left = sel._prepared(shapes, "id", "geom")
+    right = sel._prepared(shapes.select(F.col("id").alias("query_id"), "geom"), "query_id", "geom")
+    seen = block_join.block_pairs(
+        left, right, 0.5, _all_hold, _all_hold, "false").where("l_id >= 0")._jdf.queryExecution().toString()
+    assert "explode(l_id" in seen
+
+
+def _all_hold(a, ai, b, bi):
+    return np.ones(len(ai), np.int8)
+
+
+def test_chords_tell_distances_as_the_ellipsoid_does():
+    rng = np.random.default_rng(3)
+    for metres in (5, 30_000, 900_000):
+        n, reach = 3000, metres / 111_000 * 1.2
+        lat = rng.uniform(-89, 89, n)
+        lon = rng.uniform(-180, 180, n)
+        lon2 = lon + rng.uniform(-reach, reach, n) / np.cos(np.radians(lat))
+        lat2 = np.clip(lat + rng.uniform(-reach, reach, n), -90, 90)
+        one, two = (_spots_of(x, y) for x, y in ((lon, lat), (lon2, lat2)))
+        at = np.arange(n)
+        says = pair_tests.near_spots(one, at, two, at, metres)
+        exact = pair_tests._geodesic(*map(np.radians, (lon, lat, lon2, lat2)))
+        known = ~np.isnan(exact) & (says != pair_tests.UNSURE)
+        assert known.sum() > n * 0.9 and (says[known] == (exact[known] <= metres)).all()
+        assert says.any() and not says.all()
+
+
+def _spots_of(x, y):
+    shapes = object.__new__(pair_tests.Shapes)
+    shapes.vx, shapes.vy, shapes.vert_at, shapes.spot = x, y, np.arange(len(x)), np.ones(len(x), bool)
+    return shapes
