@@ -198,17 +198,19 @@ def near_duplicates(
 
 def _classes(sketches: DataFrame) -> DataFrame:
     """One written row per distinct set: ``node`` numbers them in the order of their least id."""
-    classes = written(
-        sketches.filter("n_shingles > 0").groupBy("digest").agg(
-            F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"),
-            F.first("bands").alias("bands"), F.first("odd").alias("odd")),
-        "near-classes")
+    some = sketches.filter("n_shingles > 0")
+    # Only ids and digests are put in order and written twice; bands and sketches join them once, by digest.
+    classes = written(some.groupBy("digest").agg(F.min("doc_id").alias("id")), "near-classes")
     cores = classes.sparkSession.sparkContext.defaultParallelism
     parts = max(cores, classes.count() // CLASSES_PER_PART)
     order = [F.col("id").asc_nulls_last(), F.col("digest")]
-    return written(
+    numbered = written(
         classes.repartitionByRange(parts, *order).sortWithinPartitions(*order)
         .withColumn("node", F.monotonically_increasing_id()),
+        "near-numbers")
+    return written(
+        numbered.join(some.groupBy("digest").agg(
+            F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("odd").alias("odd")), "digest"),
         "near-nodes")
 
 
