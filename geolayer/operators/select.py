@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -152,14 +153,17 @@ def spatial_pairs(
     """
     cell, finest = grid_of(info.epsg, cell)
     left = _prepared(features, info.id_col, geometry_column(features, info), carry)
-    right = _prepared(queries, "query_id", "geom")
-    if test is None:
-        left, right = left.drop("prep"), right.drop("prep")
-    else:
-        pad = crs.tolerance(info.epsg)
-        right = right.withColumns({
+    pad = crs.tolerance(info.epsg)
+
+    def asked(some: DataFrame) -> DataFrame:
+        right = _prepared(some, "query_id", "geom")
+        return right.drop("prep") if test is None else right.withColumns({
             "xmin": F.col("xmin") - pad, "ymin": F.col("ymin") - pad,
             "xmax": F.col("xmax") + pad, "ymax": F.col("ymax") + pad})
+
+    if test is None:
+        left = left.drop("prep")
+    right = asked(queries)
     by_segment = None
     if test is not None:
         query_size = query_size or measure(right, "_nv", level_of(cell, finest))
@@ -171,14 +175,18 @@ def spatial_pairs(
         if query_size.most > LONG_RING:
             tol, bare, n = crs.tolerance(info.epsg), left.drop("prep", "_nv"), g.n_vertices("geom")
             areas = queries.where(g.is_area("geom"))
-            by_segment = spots_in_rings(
-                bare, areas.where(f"{n} > {LONG_RING} AND {n} <= {WHOLE_RING}"), spots, tol, cell, finest)
+            rings = areas.where(f"{n} > {LONG_RING} AND {n} <= {WHOLE_RING}")
+            found = []
             if query_size.most > WHOLE_RING:
-                by_segment = by_segment.unionByName(spots_in_areas(
-                    bare, areas.where(f"{n} > {WHOLE_RING}"), spots, tol, cell, finest))
-            by_segment = _named(by_segment, carry)
-            right = right.where(f"NOT (prep.dim = 2 AND _nv > {LONG_RING})")
-            query_size = None
+                found.append(spots_in_areas(bare, areas.where(f"{n} > {WHOLE_RING}"), spots, tol, cell, finest))
+            if not found or not rings.isEmpty():
+                found.append(spots_in_rings(bare, rings, spots, tol, cell, finest))
+            by_segment = _named(reduce(DataFrame.unionByName, found), carry)
+            rest = queries.where(f"{n} > 0 AND NOT coalesce({g.is_area('geom')} AND {n} > {LONG_RING}, false)")
+            if rest.isEmpty():
+                return by_segment
+            # Told by the geometries, so that no long ring is prepared to be left out.
+            right, query_size = asked(rest), None
     if in_blocks:
         tol, (name, pattern, feature_first) = crs.tolerance(info.epsg), relation
         judge, judge_one = ((lambda a, ai, b, bi, say=say: say(name, a, ai, b, bi, tol, pattern, feature_first))

@@ -23,7 +23,7 @@ from geolayer.functions.geometry import BBOX
 from geolayer.functions.pair_tests import NO, YES, Shapes
 from geolayer.plans.bounded import measure
 from geolayer.plans.spatial_join import (
-    COARSEST, FINEST, LEVEL_RATIO, _at, _size, chosen_levels, crowding, level_of, split_hot, with_cells,
+    COARSEST, FINEST, LEVEL_RATIO, _at, _size, chosen_levels, crowding, hot_cells, level_of, split_hot, with_cells,
 )
 from geolayer.session import ship_packages
 
@@ -219,7 +219,7 @@ def _block(
 
 def points_by_box(
     points: DataFrame, boxes: DataFrame, cell: float, finest: int, work: Callable, schema: T.StructType,
-    vertices: int | None = None,
+    vertices: int | None = None, sizes: DataFrame | None = None,
 ) -> tuple[DataFrame, bool]:
     """What ``work`` makes of the points of each box, with ``_split`` where a box had them in several blocks, and
     whether there is such a box.
@@ -228,14 +228,16 @@ def points_by_box(
     and the ones left of and below it. So all points of a box come together, unless a cell holds more than
     ``BLOCK_POINTS``. ``work(points, boxes, pairs)`` gets the two sides of a block and the pairs that meet, all of a
     box at once, and yields arrays of ``schema``. ``vertices`` (``_nv``) bound the blocks as well, if given.
+    ``sizes`` are the boxes without what is wide in them, to be counted in their place.
     """
     seen = "xmin + ymin + xmax + ymax IS NOT NULL AND NOT isnan(xmin + ymin + xmax + ymax)"
-    points, boxes = points.where(seen), boxes.where(seen)
+    sizes = boxes if sizes is None else sizes
+    points, boxes, sizes = points.where(seen), boxes.where(seen), sizes.where(seen)
     spark = points.sparkSession
     ship_packages(spark)
     crowd, finest = _grid(points, cell, finest)
     own = level_of(cell, finest, "(greatest(xmax - xmin, ymax - ymin) * 1.000001D)")
-    left_size, right_size = measure(points, "1", str(finest)), measure(boxes, "1", own)
+    left_size, right_size = measure(points, "1", str(finest)), measure(sizes, "1", own)
     chosen = chosen_levels(left_size, right_size, crowd, CANDIDATE_COST)
     at = _at(right_size, chosen)
     levels = ", ".join(map(str, at)) or "NULL"
@@ -244,11 +246,11 @@ def points_by_box(
     cells_l = points.selectExpr("*", f"explode(CAST(array({levels}) AS array<int>)) AS _lv").selectExpr(*placed)
     for c in ("_cx", "_cy"):
         cells_l = cells_l.withColumn(c, F.explode(F.array(F.col(c), F.col(c) - 1)))
-    cells_r = boxes.selectExpr(
-        "*", f"element_at(filter(CAST(array({levels}) AS array<int>), k -> k >= {own}), 1) AS _lv").selectExpr(*placed)
-    cells_l, cells_r = split_hot(
-        cells_l, cells_r, vertices=vertices, rows=(BLOCK_POINTS, BLOCK_BOXES), told=True)
-    any_split = not cells_r.where("_split").isEmpty()
+    own_cell = f"element_at(filter(CAST(array({levels}) AS array<int>), k -> k >= {own}), 1) AS _lv"
+    cells_r, counted = (df.selectExpr("*", own_cell).selectExpr(*placed) for df in (boxes, sizes))
+    blocks = hot_cells(cells_l, counted, vertices, (BLOCK_POINTS, BLOCK_BOXES))
+    any_split = not counted.join(blocks, list(KEY[:3])).where("_nl > 1").isEmpty()
+    cells_l, cells_r = split_hot(cells_l, cells_r, told=True, blocks=blocks)
     listed = cells_l.drop("_salt").withColumn("_left", F.lit(True)).unionByName(
         cells_r.drop("_salt").withColumn("_left", F.lit(False)), allowMissingColumns=True)
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)

@@ -132,11 +132,13 @@ def spots_in_rings(
     carried = [c for c in points.columns if c.startswith("c_")]
     left = points.select(F.col("id").alias("l_id"), *carried, *g.BBOX, "_salt", F.lit(1).alias("_nv"))
     framed = areas.select("query_id", "geom", F.expr(g.envelope("geom")).alias("_e"))
+    box = [(F.col(f"_e.{b}") + (2 * tol if b.endswith("max") else -2 * tol)).alias(b) for b in g.BBOX]
+    n = F.expr(g.n_vertices("geom")).alias("_nv")
     right = framed.select(
         F.col("query_id").alias("r_id"), F.expr("transform(geom.parts, p -> p.x)").alias("xs"),
-        F.expr("transform(geom.parts, p -> p.y)").alias("ys"), F.expr(g.n_vertices("geom")).alias("_nv"),
-        F.xxhash64("query_id").alias("_salt"),
-        *[(F.col(f"_e.{b}") + (2 * tol if b.endswith("max") else -2 * tol)).alias(b) for b in g.BBOX])
+        F.expr("transform(geom.parts, p -> p.y)").alias("ys"), n, F.xxhash64("query_id").alias("_salt"), *box)
+    # The rings themselves are read once more only, to be sent.
+    sizes = written(framed.select(n, *box), "ring-sizes")
     schema = T.StructType([
         T.StructField("l_id", left.schema["l_id"].dataType), T.StructField("r_id", right.schema["r_id"].dataType),
         *[T.StructField(f"l_{c}", left.schema[c].dataType) for c in carried]])
@@ -154,4 +156,4 @@ def spots_in_rings(
             yield [ids.take(at), queries.take(pa.array(box[hold])),
                    *[spot.column(c).combine_chunks().take(at) for c in carried]]
 
-    return points_by_box(left, right, cell, finest, work, schema, BLOCK_RING_VERTICES)[0].drop("_split")
+    return points_by_box(left, right, cell, finest, work, schema, BLOCK_RING_VERTICES, sizes)[0].drop("_split")

@@ -141,17 +141,14 @@ def _side(df: DataFrame, prefix: str) -> DataFrame:
     return df.toDF(*[c if c in keep else prefix + c for c in df.columns])
 
 
-def split_hot(
-    left: DataFrame, right: DataFrame, by: tuple[str, ...] = (*BBOX, "_salt"),
-    by_right: tuple[str, ...] | None = None, vertices: int | None = None,
-    rows: tuple[int, int] | None = None, told: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """Blocks for the cells with more than ``BLOCK_ROWS`` entries of a side, or ``vertices`` (``_nv``) if given.
+def hot_cells(
+    left: DataFrame, right: DataFrame, vertices: int | None = None, rows: tuple[int, int] | None = None,
+) -> DataFrame:
+    """The cells with more than ``BLOCK_ROWS`` entries of a side, or ``vertices`` (``_nv``) if given, and the number of
+    blocks of each side (``_nl, _nr``).
 
-    The bound does not move with the tables, so two blocks never make more pairs than its square. The
-    list of these cells is sent if it is short, and joined by shuffle if not. ``by`` names the columns
-    that deal the rows of a side to its blocks. ``rows`` are other bounds for the two sides; with ``told`` a row says
-    whether the other side of its cell is in several blocks (``_split``).
+    The list of these cells is sent if it is short, and joined by shuffle if not. ``rows`` are other bounds for
+    the two sides.
     """
     key = ["_lv", "_cx", "_cy"]
     most = rows or (BLOCK_ROWS, BLOCK_ROWS)
@@ -165,8 +162,22 @@ def split_hot(
     # Written, so that both sides are counted once and not once for each use of the list.
     blocks = written(
         hot(left, "_nl", most[0]).join(hot(right, "_nr", most[1]), key, "full"), "hot-cells")
-    if small_rows(blocks, MAX_SENT_CELLS):
-        blocks = F.broadcast(blocks)
+    return F.broadcast(blocks) if small_rows(blocks, MAX_SENT_CELLS) else blocks
+
+
+def split_hot(
+    left: DataFrame, right: DataFrame, by: tuple[str, ...] = (*BBOX, "_salt"),
+    by_right: tuple[str, ...] | None = None, vertices: int | None = None, told: bool = False,
+    blocks: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Blocks for the cells with many entries of a side (``hot_cells``, if not given as ``blocks``).
+
+    The bound does not move with the tables, so two blocks never make more pairs than its square. ``by`` names the
+    columns that deal the rows of a side to its blocks. With ``told`` a row says
+    whether the other side of its cell is in several blocks (``_split``).
+    """
+    key = ["_lv", "_cx", "_cy"]
+    blocks = hot_cells(left, right, vertices) if blocks is None else blocks
 
     def assign(
         df: DataFrame, mine: str, n_mine: str, other: str, n_other: str, by: tuple[str, ...]

@@ -13,6 +13,8 @@ _LOCAL_WORK: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 _ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _PACKAGES = ("geolayer", "workloads")
+#: Row groups of tables with long rows. Spark's reader holds up to 4,096 rows of a row group unpacked, however long.
+LONG_ROWS = {"parquet.block.size": 8 << 20, "parquet.block.row.count.limit": 64}
 
 
 def get_session(master: str | None = None, app: str = "geolayer", **conf: str) -> SparkSession:
@@ -47,20 +49,21 @@ def work_dir(spark: SparkSession) -> str:
     return _LOCAL_WORK[app]
 
 
-def written(df: DataFrame, name: str = "cut") -> DataFrame:
+def written(df: DataFrame, name: str = "cut", long_rows: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts the lineage: what follows reads files that survive the loss of any executor,
-    and sees the same rows however often it is run.
+    and sees the same rows however often it is run. ``long_rows`` is for rows that hold thousands of values, as
+    long rings do: then a task that reads them has few of them at a time.
     """
-    return written_at(df, name)[0]
+    return written_at(df, name, long_rows)[0]
 
 
-def written_at(df: DataFrame, name: str = "cut") -> tuple[DataFrame, str]:
+def written_at(df: DataFrame, name: str = "cut", long_rows: bool = False) -> tuple[DataFrame, str]:
     """``written`` and the folder it went to."""
     spark = df.sparkSession
     path = os.path.join(work_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.options(**LONG_ROWS if long_rows else {}).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

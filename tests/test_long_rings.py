@@ -2,14 +2,18 @@
 
 import math
 import time
+from urllib.parse import urlparse
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from geolayer.functions import geometry as g
 from geolayer.layer import LayerInfo
 from geolayer.operators import select as sel
-from geolayer.plans import long_rings
+from geolayer.plans import block_join, long_rings
+from geolayer.session import written
+from workloads import selection
 
 POINTS = LayerInfo("id", kind="point")
 
@@ -92,3 +96,65 @@ def test_a_ring_of_100_000_vertices(spark):
     assert abs(found / 100_000 - math.pi * 4 / 36) < 0.005
     assert seconds < 30, seconds
     print("seconds", seconds)
+
+
+def row_groups(df):
+    return [m.row_group(i).num_rows for f in df.inputFiles()
+            for m in [pq.ParquetFile(urlparse(f).path).metadata] for i in range(m.num_row_groups)]
+
+
+def test_long_rows_are_stored_in_small_row_groups(spark):
+    df = spark.range(0, 500, 1, 1).select("id", F.sequence(F.lit(1), F.lit(2000)).alias("v"))
+    stored = written(df, long_rows=True)
+    assert sum(row_groups(stored)) == 500 and max(row_groups(stored)) <= 64
+    assert stored.orderBy("id").collect() == df.collect()
+    assert row_groups(written(df.select("id"))) == [500]
+
+
+def test_the_query_stores_its_rings_in_small_row_groups(spark, tmp_path, monkeypatch):
+    spark.range(400).selectExpr(
+        "id * 977 AS c_custkey", "0 AS c_nationkey", "0D AS c_acctbal", "'A' AS c_mktsegment").write.parquet(
+        str(tmp_path / "customer.parquet"))
+    spark.range(200).selectExpr("id AS s_suppkey", "0D AS s_acctbal").write.parquet(str(tmp_path / "supplier.parquet"))
+    stored = []
+
+    def kept(*args, **kinds):
+        stored.append(written(*args, **kinds))
+        return stored[-1]
+
+    monkeypatch.setattr(selection, "written", kept)
+    # All rings in one file, as those of a large table are.
+    monkeypatch.setattr(selection.ly, "spread_small", lambda df, key: df.coalesce(1))
+    found = selection.c3b_long_rings(spark, str(tmp_path))
+    short = selection.c3b(spark, str(tmp_path))
+    assert found.count() > 50 and sorted(found.collect()) == sorted(short.collect())
+    assert sum(row_groups(stored[0])) == 200 and max(row_groups(stored[0])) <= 64
+
+
+def test_rings_are_counted_by_their_sizes(spark, monkeypatch):
+    """Only the first measure and the last step read the rings; no ring is prepared for the row-wise test."""
+    layer, queries = spots(spark, 1500), areas(spark).where("query_id IN (1, 2, 3)")
+    asked = dict(predicate="WITHIN", outfields=["name"])
+    whole = rows(sel.features_by_geom(layer, POINTS, queries, **asked))
+    monkeypatch.setattr(sel, "LONG_RING", 100)
+    monkeypatch.setattr("geolayer.plans.block_join.BLOCK_POINTS", 200)
+    monkeypatch.setattr(long_rings, "BLOCK_RING_VERTICES", 400)
+    asked_of, counted = [], []
+    real = {n: getattr(block_join, n) for n in ("measure", "hot_cells")}
+
+    def measured(df, n, level):
+        asked_of.append(df.columns)
+        return real["measure"](df, n, level)
+
+    def hot(left, right, *bounds):
+        counted.append(right.columns)
+        return real["hot_cells"](left, right, *bounds)
+
+    monkeypatch.setattr(block_join, "measure", measured)
+    monkeypatch.setattr(block_join, "hot_cells", hot)
+    found = sel.features_by_geom(layer, POINTS, queries, **asked)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(found) == whole and len(whole) > 300
+    assert len(asked_of) == 2 and len(counted) == 1
+    assert not any({"xs", "ys", "prep"} & set(c) for c in (*asked_of, *counted))
+    assert "l_prep" not in plan

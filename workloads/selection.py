@@ -102,7 +102,7 @@ def c3b(spark, sf):
        f"SELECT gid AS query_id, pid AS feature_id FROM ({SITE_IN_CATCHMENT})")
 def c3b_long_rings(spark, sf):
     # Stored, as query tables are best given: it is read more than once.
-    areas = written(ly.as_queries(ly.long_catchments(spark, sf), "catch_id"), "areas")
+    areas = written(ly.as_queries(ly.long_catchments(spark, sf), "catch_id"), "areas", long_rows=True)
     return ids(sel.ids_by_geom(
         ly.sites(spark, sf), SITES, areas, relation="esriSpatialRelContains"))
 
