@@ -78,13 +78,16 @@ def param_pairs(params: Column, dtype: T.DataType) -> Column:
     return F.coalesce(F.filter(pairs, lambda q: q.isNotNull()), F.array().cast("array<string>"))
 
 
-def normalize_url(url: Column, pairs: Column | None = None) -> Column:
+def normalize_url(url: Column, params: Column | None = None, pairs: Column | None = None) -> Column:
     """Normal form: lower-case scheme and host, no default port or fragment, sorted query.
 
     Names and values of the query are written in one spelling (``canonical``), and repeated names stay.
-    ``pairs`` are further ones, from ``param_pairs``. Text that is no absolute URL stays as it is, and so does the
-    spelling of a path.
+    ``params``, a map, has further ones, and so have ``pairs``, which come from ``param_pairs``. Text that is no absolute
+    URL stays as it is, and so does the spelling of a path.
     """
+    if params is not None:
+        mapped = param_pairs(params, T.MapType(T.StringType(), T.StringType()))
+        pairs = mapped if pairs is None else F.concat(mapped, pairs)
     trimmed = F.trim(url)
     pieces = F.split(F.regexp_replace(trimmed, _SHAPE, f"$1{_GAP}$2{_GAP}$3{_GAP}$4"), _GAP)
 

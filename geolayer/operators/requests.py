@@ -29,7 +29,7 @@ def _has(df: DataFrame, name: str) -> bool:
 def normalize_urls(df: DataFrame, url: str = "url", params: str | None = None) -> DataFrame:
     """Add ``norm_url``, with the parameters merged in: a map, pairs in an array, or a query text."""
     pairs = param_pairs(F.col(params), df.schema[params].dataType) if params else None
-    return df.withColumn("norm_url", normalize_url(F.col(url), pairs))
+    return df.withColumn("norm_url", normalize_url(F.col(url), pairs=pairs))
 
 
 def with_request_key(df: DataFrame) -> DataFrame:
