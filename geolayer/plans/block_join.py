@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geolayer.functions.geometry import BBOX
-from geolayer.functions.pair_tests import NO, YES, Shapes
+from geolayer.functions.pair_tests import LATER, NO, YES, Shapes
 from geolayer.plans.bounded import measure
 from geolayer.plans.spatial_join import (
     COARSEST, FINEST, LEVEL_RATIO, _at, _size, chosen_levels, crowding, hot_cells, level_of, split_hot, with_cells,
@@ -202,6 +202,7 @@ def _block(
                 yield li, r, judge(a, li, b, r)
 
     def one_by_one() -> Iterator:
+        left_over, n = [], 0
         for q in np.flatnonzero(crowded).tolist():
             at = slice(first[q], last[q])
             west, south, _, north = (v[q] for v in r_env)
@@ -210,8 +211,24 @@ def _block(
                 if not theirs[q]:
                     met &= mine[at]
             li = np.flatnonzero(met) + first[q]
-            if len(li):
-                yield li, np.full(len(li), q), judge_one(a, li, b, q)
+            if not len(li):
+                continue
+            says = judge_one(a, li, b, q)
+            later = np.flatnonzero(says == LATER)
+            if len(later):
+                left_over.append((li[later], np.full(len(later), q)))
+                n += len(later)
+                says[later] = NO
+            yield li, np.full(len(li), q), says
+            if n > STEP:
+                yield judged(left_over)
+                left_over, n = [], 0
+        if left_over:
+            yield judged(left_over)
+
+    def judged(some: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        li, r = map(np.concatenate, zip(*some))
+        return li, r, judge(a, li, b, r)
 
     yield from results(together())
     yield from results(one_by_one())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,6 +104,59 @@ def test_queries_tested_one_by_one_find_the_same(shapes, monkeypatch, name, kind
     assert got == want and want
 
 
+def _lines(n, long):
+    """Lines on a grid, so that many touch, overlap or repeat; some with ``long`` edges, and one without any."""
+    rng = np.random.default_rng(5)
+    out = [(0, ("line", [[(1.0, 1.0, None), (1.0, 1.0, None)]]))]
+    for i in range(1, n):
+        k = long if i % 17 == 0 else 1 + i % 4
+        at = np.cumsum(np.vstack([rng.integers(0, 24, 2), rng.integers(-3, 4, (k, 2))]), axis=0) / 8 + 0.1
+        out.append((i, ("line", [[(float(x), float(y), None) for x, y in at]])))
+    return out
+
+
+@pytest.mark.parametrize("long", [5, 40])
+def test_lines_crossed_one_by_one_are_those_of_the_row_wise_test(spark, monkeypatch, long):
+    lines = spark.createDataFrame(_lines(300, long), f"id bigint, geom {g.GEOMETRY}")
+    queries = lines.select(F.col("id").alias("query_id"), "geom")
+    monkeypatch.setattr(block_join, "CROWD", -1)
+    monkeypatch.setattr(block_join, "STEP", 100)
+    info = LayerInfo("id", kind="line")
+    want, got = _both(monkeypatch, lambda: sel.ids_by_geom(
+        lines.repartition(1), info, queries.repartition(1), relation="esriSpatialRelCrosses"))
+    assert got == want and len(want) > 1000
+
+
+def _tracks(rng, n, k):
+    """Lines of ``k`` edges off any grid, as the blocks have them."""
+    at = np.cumsum(np.concatenate([rng.uniform(0, 2, (n, 1, 2)), rng.uniform(-.5, .5, (n, k, 2))], axis=1), axis=1) - 100
+    both = pa.array([[{"x": float(x), "y": float(y)} for x, y in line] for line in at])
+    ends = pa.array([[{"x": float(x), "y": float(y)} for x, y in line[[0, -1]]] for line in at])
+    segs = pa.array([[dict(x1=float(a), y1=float(b), x2=float(c), y2=float(d)) for (a, b), (c, d) in zip(line, line[1:])]
+                     for line in at])
+    return pair_tests.Shapes(pa.StructArray.from_arrays(
+        [pa.array([1] * n), both, segs, ends], names=["dim", "verts", "segs", "ends"]))
+
+
+def test_a_crowd_of_lines_is_crossed_without_the_pairs_of_edges(monkeypatch):
+    rng = np.random.default_rng(2)
+    a, b = _tracks(rng, 500, 3), _tracks(rng, 20, 4)
+    at = np.arange(500)
+    want = np.stack([pair_tests.judge("crosses", a, at, b, np.full(500, q), 1e-9) for q in range(20)])
+    monkeypatch.setattr(pair_tests, "_meetings", None)
+    got = np.stack([pair_tests.judge_one("crosses", a, at, b, q, 1e-9) for q in range(20)])
+    sure = got != pair_tests.LATER
+    assert (got[sure] == want[sure]).all() and sure.mean() > 0.99 and 500 < want.sum() < 9000
+    # A step to the side of each edge's line is told, one within reach of the exact test is left to it.
+    for step, says in ((1e-3, {pair_tests.YES, pair_tests.NO}), (1e-8, {pair_tests.LATER})):
+        t = _tracks(np.random.default_rng(1), 1, 1)
+        one = object.__new__(pair_tests.Shapes)
+        vars(one).update(vars(t))
+        one.x1, one.y1 = t.x1 + (t.x2 - t.x1) / 3 - step * (t.y2 - t.y1), t.y1 + (t.y2 - t.y1) / 3 + step * (t.x2 - t.x1)
+        one.x2, one.y2 = t.x2 + 1, t.y2 - 2
+        assert set(pair_tests.judge_one("crosses", t, np.arange(1), one, 0, 1e-9)) <= says
+
+
 def test_results_leave_a_block_as_lists(shapes):
     """One row for a query and not one for each of its pairs."""
     left = sel._prepared(shapes, "id", "geom")
